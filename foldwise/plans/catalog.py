@@ -3,3 +3,4 @@
 from __future__ import annotations
 
 from .q_impute import impute_rows, impute_tier_counts, tier_medians  # noqa: F401
+from . import q_features  # noqa: F401,E402
