@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..session import materialize
-from .fit import frequent_values, mode, quantile_edges, tiered_quantile
+from .fit import STAT, frequent_values, mode, quantile_edges, tiered_quantiles
 from .lookup import _join_params, apply_tiered, keep_if_listed
 
 
@@ -115,8 +115,10 @@ def fit_features(train: DataFrame, r: Roles = Roles(), by: Sequence[str] = (),
     """
     by = tuple(by)
     d = _derived(train, r, by)
-    age = materialize(tiered_quantile(d, age_tiers(r), r.age, by=by, method=method))
-    fare = materialize(tiered_quantile(d, fare_tiers(r), r.fare, by=by, method=method))
+    both = materialize(tiered_quantiles(d, [("age", age_tiers(r), r.age), ("fare", fare_tiers(r), r.fare)],
+                                        by=by, method=method))
+    age = both.where(F.col(STAT) == "age").drop(STAT)
+    fare = both.where(F.col(STAT) == "fare").drop(STAT, _TITLE, r.sex)
     port = materialize(mode(d, r.embarked, by=by))
     prefixes = materialize(frequent_values(d, _PREFIX, r.ticket_min_count, by=by))
     filled = apply_tiered(d, fare, fare_tiers(r), r.fare, "_fare_filled", by=by)

@@ -38,33 +38,59 @@ def tiered_quantile(df: DataFrame, tiers: Sequence[Sequence[str]], value: str,
 
     ``ranked``: value counts are taken once at the finest grain and rolled up
     to every tier before the rank search, so the input is read once.
-    ``direct``: one ``GROUPING SETS`` aggregation with Spark's ``percentile``.
+    ``direct``: Spark's ``percentile`` per tier (one value map per group).
+    """
+    res = tiered_quantiles(df, [("_", tiers, value)], by, prob, out, method)
+    return res.drop(STAT)
+
+
+STAT = "_stat"
+
+
+def _ordered_keys(tier_lists) -> list[str]:
+    keys: list[str] = []
+    for tiers in tier_lists:
+        for t in tiers:
+            for k in t:
+                if k not in keys:
+                    keys.append(k)
+    return keys
+
+
+def tiered_quantiles(df: DataFrame, specs: Sequence[tuple[str, Sequence[Sequence[str]], str]],
+                     by: Sequence[str] = (), prob: float = 0.5, out: str = "median",
+                     method: str = "ranked") -> DataFrame:
+    """Several tiered quantiles in one pass: ``specs`` = [(stat, tiers, value)].
+
+    Result ``(_stat, _tier, <all keys>, <by>, out)``.  With ``ranked`` all
+    measures share one rank search (one set of jobs for the whole fit).
     """
     by = list(by)
-    all_keys: list[str] = []
-    for t in tiers:
-        for k in t:
-            if k not in all_keys:
-                all_keys.append(k)
+    all_keys = _ordered_keys([t for _, t, _ in specs])
     if method == "direct":
         parts = []
-        for i, t in enumerate(tiers):
-            rows = df.where(F.lit(True) if not t else F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in t)))
-            q = grouped_quantiles(rows, [*by, *t], value, [prob], method="direct")
-            parts.append(q.withColumn(TIER, F.lit(i)).withColumnRenamed("q0", out))
-        res = _union_all(parts)
-        return res.select(TIER, *all_keys, *by, out)
-    base = value_counts(df, [*by, *all_keys], value)
+        for stat, tiers, value in specs:
+            for i, t in enumerate(tiers):
+                rows = df
+                for k in t:
+                    rows = rows.where(F.col(k).isNotNull())
+                q = grouped_quantiles(rows, [*by, *t], value, [prob], method="direct")
+                parts.append(q.withColumn(TIER, F.lit(i)).withColumn(STAT, F.lit(stat))
+                             .withColumnRenamed("q0", out))
+        return _union_all(parts).select(STAT, TIER, *all_keys, *by, out)
     parts = []
-    for i, t in enumerate(tiers):
-        rows = base
-        for k in t:
-            rows = rows.where(F.col(k).isNotNull())
-        parts.append(rows.groupBy(*by, *t, value).agg(F.sum("_n").alias("_n"))
-                     .withColumn(TIER, F.lit(i)))
+    for stat, tiers, value in specs:
+        keys = _ordered_keys([tiers])
+        base = value_counts(df, [*by, *keys], value).withColumn("_v", F.col(value).cast("double"))
+        for i, t in enumerate(tiers):
+            rows = base
+            for k in t:
+                rows = rows.where(F.col(k).isNotNull())
+            parts.append(rows.groupBy(*by, *t, "_v").agg(F.sum("_n").alias("_n"))
+                         .withColumn(TIER, F.lit(i)).withColumn(STAT, F.lit(stat)))
     rolled = _union_all(parts)
-    q = quantiles_from_counts(rolled, [TIER, *by, *all_keys], value, [prob])
-    return q.withColumnRenamed("q0", out).select(TIER, *all_keys, *by, out)
+    q = quantiles_from_counts(rolled, [STAT, TIER, *by, *all_keys], "_v", [prob])
+    return q.withColumnRenamed("q0", out).select(STAT, TIER, *all_keys, *by, out)
 
 
 def mode(df: DataFrame, column: str, by: Sequence[str] = (), out: str = "mode") -> DataFrame:

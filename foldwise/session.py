@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,12 +62,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, store it reliably and cut its lineage.
 
-    Used for fitted parameter tables and fold tables: they are small, reused by
-    many later stages, and must not trigger a re-scan of the input when an
-    executor is lost.
+    The rows are written as a parquet table under the checkpoint directory and
+    read back: one job, fault tolerant (a lost executor costs a re-read, not a
+    recomputation of the lineage), and the table's size is then known from
+    file metadata.  Used for fitted parameter tables, fold tables and other
+    intermediate results that several later stages consume.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "tables", uuid.uuid4().hex)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def row_count_at_most(df: DataFrame, limit: int) -> bool:
