@@ -5,3 +5,4 @@ from __future__ import annotations
 from .q_impute import impute_rows, impute_tier_counts, tier_medians  # noqa: F401
 from . import q_features  # noqa: F401,E402
 from . import q_profile  # noqa: F401,E402
+from . import q_folds  # noqa: F401,E402

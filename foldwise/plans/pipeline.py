@@ -1,0 +1,79 @@
+"""The leakage-safe pipeline over all cross-validation splits at once.
+
+``prepare(raw, roles)`` expands the raw rows into every split they belong to,
+fits the feature-row statistics, the encoder and the mutual-information
+ranking *per split on its training rows only* (one set of grouped jobs for
+all splits), and returns the encoded rows of every split plus the ranking.
+Model fitting then only selects a split's rows and its top-k columns.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators.encode import EncoderParams, encode_long, encode_wide, fit_encoder, one_hot_union
+from ..operators.features import (CATEGORICAL_COLUMNS, PASSTHROUGH_COLUMNS, SCALED_COLUMNS,
+                                  FeatureParams, Roles, apply_features, fit_features)
+from ..operators.folds import TRAIN, split_membership
+from ..operators.select import bin_continuous, class_counts, mutual_information, rank_features
+from ..session import materialize
+
+SPLIT, ROLE = "split", "role"
+# encoded features scored as continuous (binned at learned deciles first)
+CONTINUOUS = ["AgeFilled", "FareFilled", "FareLog", "FarePerPerson", "AgePclass"]
+MI_BINS = 10
+
+
+@dataclass
+class Prepared:
+    roles: Roles
+    features: FeatureParams
+    encoder: EncoderParams
+    clean: DataFrame        # clean feature rows of every split (+ label, split, role)
+    ranking: DataFrame      # (split, feature, mi, position, rank)
+    names: list             # encoded feature names in column order (union over splits)
+
+
+def clean_all_splits(raw: DataFrame, r: Roles, nested: bool = True, seed: int = 42,
+                     outer_k: int = 5, inner_k: int = 4) -> tuple[DataFrame, FeatureParams]:
+    cols = list(dict.fromkeys([*r.raw_features(), r.label]))
+    members = split_membership(raw.select(*cols), r.key, r.label, outer_k, inner_k, seed, nested)
+    members = materialize(members)
+    fp = fit_features(members.where(F.col(ROLE) == TRAIN), r, by=[SPLIT])
+    clean = apply_features(members, fp, r, keep=[r.label, SPLIT, ROLE])
+    return materialize(clean), fp
+
+
+def score_features(clean: DataFrame, enc: EncoderParams, r: Roles, names: list,
+                   by: tuple = (SPLIT,)) -> DataFrame:
+    """E5a/E5b per group on the training rows; ranked (O3)."""
+    train = clean.where(F.col(ROLE) == TRAIN) if ROLE in clean.columns else clean
+    long = encode_long(train, enc, keys=[r.key, r.label])
+    long = bin_continuous(long, [c for c in CONTINUOUS if c in names], by=list(by), bins=MI_BINS)
+    mi = mutual_information(long, r.label, class_counts(train, r.label, list(by)), by=list(by))
+    positions = clean.sparkSession.createDataFrame(list(enumerate(names)), "position int, feature string")
+    return rank_features(mi, positions, by=list(by))
+
+
+def prepare(raw: DataFrame, r: Roles, nested: bool = True, seed: int = 42) -> Prepared:
+    clean, fp = clean_all_splits(raw, r, nested, seed)
+    train = clean.where(F.col(ROLE) == TRAIN)
+    enc = fit_encoder(train, SCALED_COLUMNS, PASSTHROUGH_COLUMNS, CATEGORICAL_COLUMNS, by=[SPLIT])
+    names = list(SCALED_COLUMNS) + list(PASSTHROUGH_COLUMNS) + [f"{c}_{v}" for c, v in one_hot_union(enc)]
+    ranking = materialize(score_features(clean, enc, r, names))
+    return Prepared(r, fp, enc, clean, ranking, names)
+
+
+def encoded_rows(p: Prepared) -> DataFrame:
+    """Wide encoded rows of every split, written partitioned by split so a
+    model fit reads only its own split's files."""
+    wide = encode_wide(p.clean, p.encoder, keep=[p.roles.key, p.roles.label, SPLIT, ROLE])
+    from ..session import checkpoint_dir
+    import os
+    import uuid
+    path = os.path.join(checkpoint_dir(wide.sparkSession), "tables", uuid.uuid4().hex)
+    wide.write.partitionBy(SPLIT).parquet(path)
+    return wide.sparkSession.read.parquet(path)
