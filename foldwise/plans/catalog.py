@@ -6,3 +6,4 @@ from .q_impute import impute_rows, impute_tier_counts, tier_medians  # noqa: F40
 from . import q_features  # noqa: F401,E402
 from . import q_profile  # noqa: F401,E402
 from . import q_folds  # noqa: F401,E402
+from . import q_encode  # noqa: F401,E402

@@ -72,7 +72,9 @@ qe AS (SELECT list_sort(list_distinct([round(min(ff), 6), round(quantile_cont(ff
 edges AS (SELECT CASE WHEN len(e) <= 2 THEN []::DOUBLE[] ELSE list_slice(e, 2, len(e) - 1) END AS inner_edges FROM qe)"""
 
 
-def clean_rows_sql(train_where: str = "pid % 5 <> 0") -> str:
+def clean_rows_sql(train_where: str = "pid % 5 <> 0", extra: str = "", rounded: bool = True) -> str:
+    def rnd(x: str) -> str:
+        return f"round({x}, 6)" if rounded else x
     return f"""WITH {fit_ctes(train_where)},
 j AS (
   SELECT p.*, COALESCE(p.age, a3.m, a2.m, a1.m, a0.m) AS af,
@@ -85,18 +87,18 @@ j AS (
   CROSS JOIN a0
   LEFT JOIN f1 ON p.pclass = f1.pclass
   CROSS JOIN f0 CROSS JOIN pm CROSS JOIN edges)
-SELECT pid AS PassengerId, pclass AS Pclass, sex AS Sex,
+SELECT {extra} pid AS PassengerId, pclass AS Pclass, sex AS Sex,
        CAST(CASE WHEN sex = 'F' THEN 0 WHEN sex = 'O' THEN 1 ELSE -1 END AS INTEGER) AS SexEncoded,
-       round(af, 6) AS AgeFilled,
+       {rnd('af')} AS AgeFilled,
        CASE WHEN af <= 0 THEN 'Child' WHEN af <= 2000 THEN 'Teen' WHEN af <= 4000 THEN 'Young'
             WHEN af <= 6000 THEN 'Middle' WHEN af <= 8000 THEN 'Senior' ELSE 'Elder' END AS AgeBand,
        sibsp AS SibSp, parch AS Parch, CAST(fs AS INTEGER) AS FamilySize,
        CASE WHEN fs > 0 AND fs <= 1 THEN 'Solo' WHEN fs > 1 AND fs <= 4 THEN 'Small'
             WHEN fs > 4 AND fs <= 6 THEN 'Medium' WHEN fs > 6 THEN 'Large' END AS FamilyGroup,
        CAST(CASE WHEN fs = 1 THEN 1 ELSE 0 END AS INTEGER) AS IsAlone,
-       round(ff, 6) AS FareFilled,
-       round(CASE WHEN ff > -1 THEN ln(1 + ff) END, 6) AS FareLog,
-       round(ff / fs, 6) AS FarePerPerson,
+       {rnd('ff')} AS FareFilled,
+       {rnd('CASE WHEN ff > -1 THEN ln(1 + ff) END')} AS FareLog,
+       {rnd('ff / fs')} AS FarePerPerson,
        'Q' || CAST(len(list_filter(inner_edges, lambda e: e < ff)) + 1 AS VARCHAR) AS FareBand,
        COALESCE(embarked, port_mode) AS EmbarkedFilled,
        title AS Title,
@@ -104,7 +106,7 @@ SELECT pid AS PassengerId, pclass AS Pclass, sex AS Sex,
        CAST(CASE WHEN cabin IS NOT NULL THEN 1 ELSE 0 END AS INTEGER) AS HasCabin,
        CASE WHEN prefix IN (SELECT prefix FROM fp) THEN prefix ELSE 'OTHER' END AS TicketPrefix,
        sex || '_P' || CAST(pclass AS VARCHAR) AS SexPclass,
-       round(af * pclass, 6) AS AgePclass,
+       {rnd('af * pclass')} AS AgePclass,
        CAST(length(name) AS INTEGER) AS NameLength,
        CAST(CASE WHEN sex = 'O' THEN 1 WHEN af < 0 THEN 1 ELSE 0 END AS INTEGER) AS WomenChildPriority,
        CAST(CASE WHEN age IS NULL THEN 1 ELSE 0 END AS INTEGER) AS AgeMissing,
