@@ -7,3 +7,4 @@ from . import q_features  # noqa: F401,E402
 from . import q_profile  # noqa: F401,E402
 from . import q_folds  # noqa: F401,E402
 from . import q_encode  # noqa: F401,E402
+from . import q_metrics  # noqa: F401,E402
