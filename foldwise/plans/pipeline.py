@@ -22,6 +22,7 @@ from ..operators.select import bin_continuous, class_counts, mutual_information,
 from ..session import materialize
 
 SPLIT, ROLE = "split", "role"
+KEY = "PassengerId"      # the clean feature row names its key column so
 # encoded features scored as continuous (binned at learned deciles first)
 CONTINUOUS = ["AgeFilled", "FareFilled", "FareLog", "FarePerPerson", "AgePclass"]
 MI_BINS = 10
@@ -51,7 +52,7 @@ def score_features(clean: DataFrame, enc: EncoderParams, r: Roles, names: list,
                    by: tuple = (SPLIT,)) -> DataFrame:
     """E5a/E5b per group on the training rows; ranked (O3)."""
     train = clean.where(F.col(ROLE) == TRAIN) if ROLE in clean.columns else clean
-    long = encode_long(train, enc, keys=[r.key, r.label])
+    long = encode_long(train, enc, keys=[KEY, r.label])
     long = bin_continuous(long, [c for c in CONTINUOUS if c in names], by=list(by), bins=MI_BINS)
     mi = mutual_information(long, r.label, class_counts(train, r.label, list(by)), by=list(by))
     positions = clean.sparkSession.createDataFrame(list(enumerate(names)), "position int, feature string")
@@ -70,7 +71,7 @@ def prepare(raw: DataFrame, r: Roles, nested: bool = True, seed: int = 42) -> Pr
 def encoded_rows(p: Prepared) -> DataFrame:
     """Wide encoded rows of every split, written partitioned by split so a
     model fit reads only its own split's files."""
-    wide = encode_wide(p.clean, p.encoder, keep=[p.roles.key, p.roles.label, SPLIT, ROLE])
+    wide = encode_wide(p.clean, p.encoder, keep=[KEY, p.roles.label, SPLIT, ROLE])
     from ..session import checkpoint_dir
     import os
     import uuid
