@@ -106,7 +106,7 @@ SELECT {extra} pid AS PassengerId, pclass AS Pclass, sex AS Sex,
        CAST(CASE WHEN cabin IS NOT NULL THEN 1 ELSE 0 END AS INTEGER) AS HasCabin,
        CASE WHEN prefix IN (SELECT prefix FROM fp) THEN prefix ELSE 'OTHER' END AS TicketPrefix,
        sex || '_P' || CAST(pclass AS VARCHAR) AS SexPclass,
-       {rnd('af * pclass')} AS AgePclass,
+       {rnd('af * pclass')} + 0.0 AS AgePclass,
        CAST(length(name) AS INTEGER) AS NameLength,
        CAST(CASE WHEN sex = 'O' THEN 1 WHEN af < 0 THEN 1 ELSE 0 END AS INTEGER) AS WomenChildPriority,
        CAST(CASE WHEN age IS NULL THEN 1 ELSE 0 END AS INTEGER) AS AgeMissing,

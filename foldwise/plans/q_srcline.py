@@ -82,7 +82,7 @@ SELECT pid, title AS Title, CAST(sibsp + parch + 1 AS INTEGER) AS FamilySize,
             WHEN age_f > 60 AND age_f <= 120 THEN 'Senior' END AS AgeBand,
        {_DECK} AS Deck, sex || '_' || CAST(pclass AS VARCHAR) AS Sex_Pclass,
        title || '_' || CAST(pclass AS VARCHAR) AS Title_Pclass,
-       round(age_f * pclass, 6) AS Age_x_Pclass, CAST((sibsp + parch + 1) * pclass AS INTEGER) AS FamilySize_x_Pclass
+       round(age_f * pclass, 6) + 0.0 AS Age_x_Pclass, CAST((sibsp + parch + 1) * pclass AS INTEGER) AS FamilySize_x_Pclass
 FROM f CROSS JOIN edges"""
 
 
