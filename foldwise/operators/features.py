@@ -114,7 +114,9 @@ def fit_features(train: DataFrame, r: Roles = Roles(), by: Sequence[str] = (),
     The label is never read, so flipping it cannot change a parameter (D11).
     """
     by = tuple(by)
-    d = _derived(train, r, by)
+    # the narrow projection every statistic reads: computed once (one scan of
+    # the training rows and their joins), not once per statistic
+    d = materialize(_derived(train, r, by))
     both = materialize(tiered_quantiles(d, [("age", age_tiers(r), r.age), ("fare", fare_tiers(r), r.fare)],
                                         by=by, method=method))
     age = both.where(F.col(STAT) == "age").drop(STAT)

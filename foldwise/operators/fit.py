@@ -81,13 +81,25 @@ def tiered_quantiles(df: DataFrame, specs: Sequence[tuple[str, Sequence[Sequence
     parts = []
     for stat, tiers, value in specs:
         keys = _ordered_keys([tiers])
-        base = value_counts(df, [*by, *keys], value).withColumn("_v", F.col(value).cast("double"))
+        grouping = [*by, *keys, "_v"]
+        # one GROUPING SETS aggregation rolls the value counts up to every tier
+        sets = [[*by, *t, "_v"] for t in tiers]
+        rows = df.where(not_missing(df, value)).withColumn("_v", F.col(value).cast("double"))
+        counted = rows.groupingSets(sets, *grouping).agg(F.count(F.lit(1)).alias("_n"),
+                                                         F.grouping_id().alias("_gid"))
+        tier_of = None
         for i, t in enumerate(tiers):
-            rows = base
+            kept = {*by, *t, "_v"}
+            gid = sum(1 << (len(grouping) - 1 - j) for j, c in enumerate(grouping) if c not in kept)
+            # a data NULL in a key of this tier never matches on apply: drop it
+            ok = F.lit(True)
             for k in t:
-                rows = rows.where(F.col(k).isNotNull())
-            parts.append(rows.groupBy(*by, *t, "_v").agg(F.sum("_n").alias("_n"))
-                         .withColumn(TIER, F.lit(i)).withColumn(STAT, F.lit(stat)))
+                ok = ok & F.col(k).isNotNull()
+            cond = (F.col("_gid") == gid) & ok
+            tier_of = F.when(cond, F.lit(i)) if tier_of is None else tier_of.when(cond, F.lit(i))
+        part = counted.withColumn(TIER, tier_of).where(F.col(TIER).isNotNull()) \
+                      .withColumn(STAT, F.lit(stat)).drop("_gid")
+        parts.append(part)
     rolled = _union_all(parts)
     q = quantiles_from_counts(rolled, [STAT, TIER, *by, *all_keys], "_v", [prob])
     return q.withColumnRenamed("q0", out).select(STAT, TIER, *all_keys, *by, out)

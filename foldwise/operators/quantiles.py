@@ -21,7 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranks import running_sum
+from . import ranks
+from ..session import materialize
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -40,26 +41,42 @@ def not_missing(df: DataFrame, name: str):
 
 def quantiles_from_counts(counts: DataFrame, keys: Sequence[str], value: str,
                           probs: Sequence[float], count_col: str = "_n",
-                          slices: int | None = None) -> DataFrame:
+                          slices: int | None = None, single_task_rows: int | None = None) -> DataFrame:
     """Quantiles from a ``(keys, value, count)`` table with unique ``(keys, value)``.
 
+    The counts table is materialised and its row count read from file
+    metadata.  When it is small enough for one task (``ranks.SINGLE_TASK_ROWS``)
+    no group can exceed that bound either, and Spark's exact ``percentile``
+    with frequencies runs as one aggregation.  Otherwise the values at the ranks
+    around ``p * (n - 1)`` are found with the range-sliced running sum, so a
+    hot group is spread over many tasks.
+
     Returns ``(keys..., q0, q1, ...)`` one column per probability, DOUBLE.
     """
     keys = list(keys)
-    cum = running_sum(counts, [value], count_col, keys, out="_cum", total_out="_total", slices=slices)
+    limit = ranks.SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
+    data = materialize(counts.select(*keys, value, count_col))
+    if data.count() <= limit:
+        arr = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(float(p)) for p in probs]),
+                           F.col(count_col))
+        res = data.groupBy(*keys).agg(arr.alias("_qs"))
+        return res.select(*keys, *[F.col("_qs")[i].alias(f"q{i}") for i in range(len(probs))])
+    cum = ranks.sliced_running_sum(data.withColumn("_w", F.col(count_col)), [value], keys, "_cum", "_total",
+                                   slices or ranks.default_slices(data))
     v = F.col(value).cast("double")
     first_rank = F.col("_cum") - F.col(count_col)           # rank of the first copy (0-based)
-    aggs = []
+    aggs, cols = [], []
     for i, p in enumerate(probs):
         pos = F.lit(float(p)) * (F.col("_total") - 1)
         lo = F.floor(pos)
         hi = F.ceil(pos)
         holds_lo = (first_rank <= lo) & (lo < F.col("_cum"))
         holds_hi = (first_rank <= hi) & (hi < F.col("_cum"))
-        cum = cum.withColumn(f"_lo{i}", F.when(holds_lo, v)).withColumn(f"_hi{i}", F.when(holds_hi, v)) \
-                 .withColumn(f"_fr{i}", pos - lo)
+        cols += [F.when(holds_lo, v).alias(f"_lo{i}"), F.when(holds_hi, v).alias(f"_hi{i}"),
+                 (pos - lo).alias(f"_fr{i}")]
         aggs += [F.max(f"_lo{i}").alias(f"_lo{i}"), F.max(f"_hi{i}").alias(f"_hi{i}"),
                  F.max(f"_fr{i}").alias(f"_fr{i}")]
+    cum = cum.select(*keys, *cols)
     hits = None
     for i in range(len(probs)):
         cond = F.col(f"_lo{i}").isNotNull() | F.col(f"_hi{i}").isNotNull()

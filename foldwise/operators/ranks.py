@@ -57,12 +57,14 @@ def running_sum(df: DataFrame, order_by: Sequence[str], weight: str | None = Non
         if total_out:
             res = res.withColumn(total_out, F.sum("_w").over(part))
         return res.drop("_w")
-    return _sliced_running_sum(data, order_by, group_by, out, total_out,
-                               slices or default_slices(df))
+    return sliced_running_sum(data, order_by, group_by, out, total_out,
+                              slices or default_slices(df))
 
 
-def _sliced_running_sum(data: DataFrame, order_by: Sequence[str], group_by: list[str],
-                        out: str, total_out: str | None, slices: int) -> DataFrame:
+def sliced_running_sum(data: DataFrame, order_by: Sequence[str], group_by: list[str],
+                       out: str, total_out: str | None, slices: int) -> DataFrame:
+    """Range-sliced form of :func:`running_sum`; ``data`` carries the weight in
+    ``_w`` and must be deterministic (materialised)."""
     keys = group_by + list(order_by)
     # The slice of a row must be the same for both consumers below.  Range
     # bounds come from sampling (seeded per RDD), so two evaluations could

@@ -79,14 +79,22 @@ def row_count_at_most(df: DataFrame, limit: int) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
-# Parameter tables hold one row per learned group.  Below this many rows they
-# are broadcast; above it the apply join is left to a shuffle join (AQE may
-# still demote it to a broadcast at run time from the measured size).
-BROADCAST_MAX_ROWS = 1_000_000
+# Broadcast policy for parameter tables.  Spark's plan statistics give an
+# upper bound of a table's size without running a job: for a materialised
+# (parquet) table it is the size of its files, and filters or aggregations
+# above it only keep or lower that bound.  Up to BROADCAST_MAX_BYTES the side
+# is broadcast; above it the join is left to a shuffle join (AQE may still
+# demote it to a broadcast at run time from the measured size).
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint behind a row-count check on a (materialised) small table."""
+def size_upper_bound(df: DataFrame) -> int:
+    """Optimizer's size estimate (bytes) of ``df``; an upper bound for file scans."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def sized_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint behind a size check that needs no Spark job."""
     from pyspark.sql import functions as F
 
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+    return F.broadcast(df) if size_upper_bound(df) <= max_bytes else df
