@@ -162,15 +162,22 @@ def mean_std(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> D
 def category_lists(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Sorted distinct non-missing categories per column, long form
     ``(by..., feature, category, position)``.  ``category`` is the value as
-    text; ``position`` (0-based) follows the column's own type order, so
-    numbers sort numerically, as scikit-learn's encoder does."""
+    text; ``position`` (0-based) follows the column's own type order (numbers
+    numerically, text lexically), as scikit-learn's encoder does.
+
+    One pass: all columns are unpivoted, de-duplicated together, and numbered
+    with a window per (group, column) over distinct values only.
+    """
     from pyspark.sql import Window
+    from pyspark.sql.types import NumericType
 
-    parts = []
+    types = {f.name: f.dataType for f in df.schema.fields}
+    items = []
     for c in columns:
-        distinct = df.where(F.col(c).isNotNull()).select(*by, c).distinct()
-        w = Window.partitionBy(*by).orderBy(c) if by else Window.orderBy(c)
-        parts.append(distinct.select(*by, F.lit(c).alias("feature"),
-                                     F.col(c).cast("string").alias("category"),
-                                     (F.row_number().over(w) - 1).alias("position")))
-    return _union_all(parts)
+        numeric = isinstance(types[c], NumericType)
+        items.append(F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("category"),
+                              (F.col(c).cast("double") if numeric else F.lit(None).cast("double")).alias("_num")))
+    long = (df.select(*by, F.explode(F.array(*items)).alias("_s")).select(*by, "_s.*")
+            .where(F.col("category").isNotNull()).distinct())
+    w = Window.partitionBy(*by, "feature").orderBy("_num", "category")
+    return long.withColumn("position", F.row_number().over(w) - 1).drop("_num")

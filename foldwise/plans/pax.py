@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.features import Roles
+from ..session import materialize
 from .views import VIEW_SQL, view
 
 PAX_ROLES = Roles(
@@ -27,12 +28,15 @@ PAX_ROLES = Roles(
 TRAIN_RULE = "pid % 5 <> 0"
 
 
-def pax(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view(spark, sf_dir, "pax")
+def pax(spark: SparkSession, sf_dir: str, materialized: bool = False) -> DataFrame:
+    """The raw record.  ``materialized`` writes the joined view once when a
+    query reads it several times (fit and apply), instead of re-joining."""
+    v = view(spark, sf_dir, "pax")
+    return materialize(v) if materialized else v
 
 
-def pax_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    p = pax(spark, sf_dir)
+def pax_split(spark: SparkSession, sf_dir: str, source: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    p = source if source is not None else pax(spark, sf_dir)
     return p.where(F.expr(TRAIN_RULE)), p.where(~F.expr(TRAIN_RULE))
 
 

@@ -23,9 +23,10 @@ SELECT_K = 20
 def encoded_pax(spark: SparkSession, sf_dir: str):
     """Fit feature row + encoder on the training rows; return (clean rows of all
     rows with the label, encoder params, feature names)."""
-    train, _ = pax_split(spark, sf_dir)
+    raw = pax(spark, sf_dir, materialized=True)
+    train, _ = pax_split(spark, sf_dir, raw)
     fp = fit_features(train, PAX_ROLES)
-    clean = materialize(apply_features(pax(spark, sf_dir), fp, PAX_ROLES, keep=["survived"]))
+    clean = materialize(apply_features(raw, fp, PAX_ROLES, keep=["survived"]))
     ctrain = clean.where(F.expr(TRAIN_PID))
     enc = fit_encoder(ctrain, SCALED_COLUMNS, PASSTHROUGH_COLUMNS, CATEGORICAL_COLUMNS)
     names = list(SCALED_COLUMNS) + list(PASSTHROUGH_COLUMNS) + [f"{c}_{v}" for c, v in one_hot_union(enc)]

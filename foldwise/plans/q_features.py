@@ -16,9 +16,10 @@ def round_doubles(df: DataFrame, decimals: int = 6) -> DataFrame:
 
 
 def clean_pax(spark: SparkSession, sf_dir: str, method: str = "ranked") -> DataFrame:
-    train, _ = pax_split(spark, sf_dir)
+    raw = pax(spark, sf_dir, materialized=True)
+    train, _ = pax_split(spark, sf_dir, raw)
     params = fit_features(train, PAX_ROLES, method=method)
-    return apply_features(pax(spark, sf_dir), params, PAX_ROLES)
+    return apply_features(raw, params, PAX_ROLES)
 
 
 @query("f22_clean_feature_rows", oracle=clean_rows_sql())
