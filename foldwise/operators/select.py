@@ -86,3 +86,95 @@ def rank_features(scores: DataFrame, positions: DataFrame, by: Sequence[str] = (
 def select_k(ranked: DataFrame, k: int | None) -> DataFrame:
     """Features with rank <= k (all when k is None), in column order."""
     return ranked if k is None else ranked.where(F.col("rank") <= k)
+
+
+# ---------------------------------------------------------------------------
+# K-nearest-neighbour MI between a continuous feature and a discrete label
+# (Ross 2014, the estimator behind the reference's scores), one dimension.
+
+EULER_GAMMA = 0.5772156649015329
+
+
+def digamma_int(n):
+    """psi(n) for a positive integer column: H(n-1) - gamma; exact below 10,
+    asymptotic series above (error < 1e-12)."""
+    expr = None
+    for m in range(1, 10):
+        h = sum(1.0 / i for i in range(1, m)) - EULER_GAMMA
+        expr = F.when(n == m, F.lit(h)) if expr is None else expr.when(n == m, F.lit(h))
+    x = n.cast("double")
+    series = (F.log(x) - 1 / (2 * x) - 1 / (12 * x * x) + 1 / (120 * F.pow(x, 4))
+              - 1 / (252 * F.pow(x, 6)) + 1 / (240 * F.pow(x, 8)))
+    return expr.otherwise(series)
+
+
+def knn_mutual_information(long: DataFrame, key: str, label: str, by: Sequence[str] = (),
+                           k: int = 3, out: str = "mi") -> DataFrame:
+    """E5c on the long form ``(by..., key, feature, value, label)``.
+
+    For each point: ``r`` = distance to its k-th neighbour of the same class
+    (k = min(k, class size - 1); classes of one point are ignored), ``m`` =
+    points of any class strictly closer than ``r`` (equal values when r = 0),
+    ``MI = psi(N) + <psi(k)> - <psi(N_class)> - <psi(m)>``, floored at 0.
+    "Strictly closer" is evaluated on values: ``x - r < v < x + r``.
+
+    Neighbours come from exact per-class positions (skew-safe global index)
+    joined at offsets -k..k, and ``m`` from one skew-safe running count over
+    the values merged with the two query bounds of every point: no window
+    holds a whole class, no pair of points is ever formed beyond 2k offsets.
+    """
+    from .ranks import global_index, running_sum
+
+    by = list(by)
+    g = [*by, "feature"]
+    gl = [*g, label]
+    rows = long.where(F.col("value").isNotNull()).select(*g, key, label, F.col("value").cast("double").alias("value"))
+    ny = rows.groupBy(*gl).agg(F.count(F.lit(1)).alias("_ny"))
+    rows = rows.join(ny, gl).where(F.col("_ny") > 1).withColumn("_k", F.least(F.lit(k), F.col("_ny") - 1))
+    pos = global_index(rows, ["value", key], group_by=gl, out="_i")
+    offsets = [d for d in range(-k, k + 1) if d != 0]
+    left = pos.select(*gl, key, "_i", F.explode(F.array(*[F.lit(d) for d in offsets])).alias("_d"))
+    right = pos.select(*gl, F.col("_i").alias("_j"), F.col("value").alias("_vj"))
+    nb = (left.join(right, [*[left[c] == right[c] for c in gl], right["_j"] == left["_i"] + left["_d"]], "inner")
+          .select(*[left[c] for c in gl], left[key], left["_d"], right["_vj"]))
+    nmap = nb.groupBy(*gl, key).agg(F.map_from_entries(F.collect_list(F.struct("_d", "_vj"))).alias("_nb"))
+    p = pos.join(nmap, [*gl, key], "left")
+    inf = F.lit(float("inf"))
+    x = F.col("value")
+
+    def dist(d: int):
+        if d == 0:
+            return F.lit(0.0)
+        v = F.col("_nb")[F.lit(d)]
+        return F.coalesce(F.abs(v - x), inf)
+
+    radius = None
+    for kk in range(1, k + 1):
+        r_kk = F.least(*[F.greatest(dist(-(kk - j)), dist(j)) for j in range(0, kk + 1)]) \
+            if kk > 0 else F.lit(0.0)
+        radius = F.when(F.col("_k") == kk, r_kk) if radius is None else radius.when(F.col("_k") == kk, r_kk)
+    p = p.withColumn("_r", radius)
+    # counts of points strictly inside (x - r, x + r); all points equal to x when r = 0
+    pts = p.select(*g, x.alias("_v"), F.lit(1).alias("_t"), F.lit(1).cast("long").alias("_w"),
+                   F.lit(None).cast("long").alias("_q"), F.lit(None).cast("int").alias("_side"))
+    zero = F.col("_r") == 0
+    up = p.select(*g, (x + F.col("_r")).alias("_v"), F.when(zero, 2).otherwise(0).alias("_t"),
+                  F.lit(0).cast("long").alias("_w"), F.col("_i").alias("_q"), F.lit(1).alias("_side"),
+                  F.col(label).alias("_lab"))
+    lo = p.select(*g, (x - F.col("_r")).alias("_v"), F.when(zero, 0).otherwise(2).alias("_t"),
+                  F.lit(0).cast("long").alias("_w"), F.col("_i").alias("_q"), F.lit(-1).alias("_side"),
+                  F.col(label).alias("_lab"))
+    merged = pts.withColumn("_lab", F.lit(None).cast(dict(p.dtypes)[label])).unionByName(up).unionByName(lo)
+    cum = running_sum(merged, ["_v", "_t"], "_w", g, out="_c")
+    q = cum.where(F.col("_q").isNotNull())
+    m = q.groupBy(*g, "_lab", "_q").agg(F.sum(F.col("_side") * F.col("_c")).alias("_m"))
+    m = m.withColumnRenamed("_lab", label).withColumnRenamed("_q", "_i")
+    per_point = p.join(m, [*gl, "_i"]).select(*g, label, "_ny", "_k", "_m")
+    agg = per_point.groupBy(*g).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.avg(digamma_int(F.col("_k"))).alias("_pk"),
+        F.avg(digamma_int(F.col("_ny"))).alias("_pn"),
+        F.avg(digamma_int(F.col("_m"))).alias("_pm"))
+    mi = digamma_int(F.col("_n")) + F.col("_pk") - F.col("_pn") - F.col("_pm")
+    return agg.select(*g, F.greatest(mi, F.lit(0.0)).alias(out))
+

@@ -158,3 +158,47 @@ def q_feature_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = r.select("feature", F.col("mi").alias("mutual_information"),
                    (F.col("rank") <= SELECT_K).alias("selected"), F.col("rank").cast("int").alias("rank"))
     return round_doubles(out)
+
+
+def _psi_sql(n: str) -> str:
+    small = " ".join(f"WHEN {n} = {m} THEN {sum(1.0 / i for i in range(1, m)) - 0.5772156649015329!r}"
+                     for m in range(1, 10))
+    x = f"CAST({n} AS DOUBLE)"
+    return (f"(CASE {small} ELSE ln({x}) - 1 / (2 * {x}) - 1 / (12 * {x} * {x}) + 1 / (120 * pow({x}, 4))"
+            f" - 1 / (252 * pow({x}, 6)) + 1 / (240 * pow({x}, 8)) END)")
+
+
+def _d(c: str) -> str:
+    return f"COALESCE(ABS({c} - value), CAST('inf' AS DOUBLE))"
+
+
+_KNN_SQL = f"""WITH {_CLEAN},
+lg AS ({' UNION ALL '.join(f"SELECT PassengerId AS id, survived AS y, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM ctr" for c in CONTINUOUS)}),
+ny AS (SELECT feature, y, COUNT(*) AS n FROM lg GROUP BY feature, y),
+p AS (SELECT lg.*, ny.n, LEAST(3, ny.n - 1) AS k FROM lg JOIN ny ON lg.feature = ny.feature AND lg.y = ny.y WHERE ny.n > 1),
+w AS (SELECT *, lag(value, 1) OVER wi AS m1, lag(value, 2) OVER wi AS m2, lag(value, 3) OVER wi AS m3,
+             lead(value, 1) OVER wi AS p1, lead(value, 2) OVER wi AS p2, lead(value, 3) OVER wi AS p3
+      FROM p WINDOW wi AS (PARTITION BY feature, y ORDER BY value, id)),
+r AS (SELECT *, CASE k WHEN 1 THEN LEAST({_d('m1')}, {_d('p1')})
+                       WHEN 2 THEN LEAST({_d('m2')}, GREATEST({_d('m1')}, {_d('p1')}), {_d('p2')})
+                       ELSE LEAST({_d('m3')}, GREATEST({_d('m2')}, {_d('p1')}), GREATEST({_d('m1')}, {_d('p2')}), {_d('p3')}) END AS r
+      FROM w),
+m AS (SELECT r.feature, r.id, r.n, r.k,
+             (SELECT COUNT(*) FROM p q WHERE q.feature = r.feature AND
+                ((r.r > 0 AND q.value > r.value - r.r AND q.value < r.value + r.r) OR (r.r = 0 AND q.value = r.value))) AS m
+      FROM r),
+agg AS (SELECT feature, COUNT(*) AS big_n, AVG({_psi_sql('k')}) AS pk, AVG({_psi_sql('n')}) AS pn, AVG({_psi_sql('m')}) AS pm
+        FROM m GROUP BY feature)
+SELECT feature, round(GREATEST({_psi_sql('big_n')} + pk - pn - pm, 0), 6) AS mi FROM agg"""
+
+
+@query("e5c_knn_mutual_information", oracle=_KNN_SQL)
+def q_knn_mi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """3-nearest-neighbour MI of the continuous clean features with the label."""
+    from ..operators.select import knn_mutual_information
+    clean, _, _ = encoded_pax(spark, sf_dir)
+    train = clean.where(F.expr(TRAIN_PID))
+    long = train.select("PassengerId", "survived", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in CONTINUOUS]))
+        .alias("_s")).select("PassengerId", "survived", "_s.*")
+    return round_doubles(knn_mutual_information(long, "PassengerId", "survived"))
