@@ -137,3 +137,43 @@ def q_written(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SHA-256 of the input parquet files, computed on the executors."""
     return sinks.file_checksums(spark, os.path.join(sf_dir, "*.parquet"))
+
+
+PAX_SCHEMA = ("pid long, survived int, pclass int, name string, sex string, age double, sibsp int, "
+              "parch int, ticket string, fare double, cabin string, embarked string")
+
+
+@query("s1_s3_csv_contract", oracle=oracle_with("pax", """
+SELECT * FROM (VALUES ('train_columns', 0), ('test_columns', 0), ('train_unique_key', 0),
+  ('test_unique_key', 0), ('disjoint_keys', 0), ('label_domain', 0)) v("check", violations)
+UNION ALL SELECT 'row_counts', 0"""))
+def q_csv_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1-S3 + D1: the raw train/test pair written as CSV, scanned back with an
+    explicit, header-checked schema, and validated (row counts included)."""
+    from pyspark.sql.types import _parse_datatype_string
+    from ..operators.contract import validate_raw
+    from ..sources.tables import load_train_test
+    train, test = pax_split(spark, sf_dir)
+    n_train, n_test = train.count(), test.count()
+    base = os.path.join(checkpoint_dir(spark), "csv", uuid.uuid4().hex)
+    sinks.write_table(train, f"{base}/train", "csv")
+    sinks.write_table(test.drop("survived"), f"{base}/test", "csv")
+    schema = _parse_datatype_string(PAX_SCHEMA)
+    tr, te = load_train_test(spark, f"{base}/train", f"{base}/test", schema, "survived")
+    checks = validate_raw(tr, te, tr.columns, "pid", "survived", expected_rows=(n_train, n_test))
+    return checks.select("check", "violations")
+
+
+@query("d7_field_dictionary")
+def q_field_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Field dictionary of the clean feature row, with null counts measured
+    on the clean training rows."""
+    from ..operators.features import CATEGORICAL_COLUMNS, PASSTHROUGH_COLUMNS, SCALED_COLUMNS
+    from ..operators.profile import null_counts
+    role = {**{c: "scaled" for c in SCALED_COLUMNS}, **{c: "passthrough" for c in PASSTHROUGH_COLUMNS},
+            **{c: "one-hot" for c in CATEGORICAL_COLUMNS}}
+    entries = [(c, "key" if c == "PassengerId" else ("category" if role.get(c) == "one-hot" else "number"),
+                "derived", f"clean feature {c}", role.get(c, "not a model input")) for c in CLEAN_COLUMNS]
+    d = A.field_dictionary(spark, entries)
+    _, _, ctrain, _ = _clean_train_test(spark, sf_dir)
+    return d.join(null_counts(ctrain), "field", "left")
