@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..session import materialize
-from .fit import STAT, frequent_values, mode, quantile_edges, tiered_quantiles
+from .fit import STAT, mode, quantile_edges, tiered_quantiles
 from .lookup import _join_params, apply_tiered, keep_if_listed
 
 
@@ -117,14 +117,21 @@ def fit_features(train: DataFrame, r: Roles = Roles(), by: Sequence[str] = (),
     # the narrow projection every statistic reads: computed once (one scan of
     # the training rows and their joins), not once per statistic
     d = materialize(_derived(train, r, by))
+    n = d.count()                      # from the written files' metadata
     both = materialize(tiered_quantiles(d, [("age", age_tiers(r), r.age), ("fare", fare_tiers(r), r.fare)],
-                                        by=by, method=method))
+                                        by=by, method=method, rows_bound=n))
     age = both.where(F.col(STAT) == "age").drop(STAT)
     fare = both.where(F.col(STAT) == "fare").drop(STAT, _TITLE, r.sex)
-    port = materialize(mode(d, r.embarked, by=by))
-    prefixes = materialize(frequent_values(d, _PREFIX, r.ticket_min_count, by=by))
+    # port and ticket-prefix frequencies in one GROUPING SETS pass
+    freq = materialize(d.groupingSets([[*by, r.embarked], [*by, _PREFIX]], *by, r.embarked, _PREFIX)
+                       .agg(F.count(F.lit(1)).alias("count"), F.grouping_id().alias("_gid")))
+    only_port = freq.where(F.col(r.embarked).isNotNull() & F.col(_PREFIX).isNull())
+    port = materialize(mode(only_port.select(*by, r.embarked, "count"), r.embarked, by=by, weight="count"))
+    prefixes = freq.where(F.col(_PREFIX).isNotNull() & F.col(r.embarked).isNull()
+                          & (F.col("count") >= r.ticket_min_count)).select(*by, _PREFIX, "count")
     filled = apply_tiered(d, fare, fare_tiers(r), r.fare, "_fare_filled", by=by)
-    edges = materialize(quantile_edges(filled, "_fare_filled", r.fare_quantiles, by=by, method=method))
+    edges = materialize(quantile_edges(filled, "_fare_filled", r.fare_quantiles, by=by, method=method,
+                                       rows_bound=n))
     return FeatureParams(age, fare, port, prefixes, edges, by)
 
 

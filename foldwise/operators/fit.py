@@ -27,7 +27,7 @@ def _union_all(frames: list[DataFrame]) -> DataFrame:
 
 def tiered_quantile(df: DataFrame, tiers: Sequence[Sequence[str]], value: str,
                     by: Sequence[str] = (), prob: float = 0.5, out: str = "median",
-                    method: str = "ranked") -> DataFrame:
+                    method: str = "ranked", rows_bound: int | None = None) -> DataFrame:
     """A1/A2/A3: exact quantile (median by default) of ``value`` for each key tier.
 
     ``tiers`` lists key sets from the most to the least specific, e.g.
@@ -40,7 +40,7 @@ def tiered_quantile(df: DataFrame, tiers: Sequence[Sequence[str]], value: str,
     to every tier before the rank search, so the input is read once.
     ``direct``: Spark's ``percentile`` per tier (one value map per group).
     """
-    res = tiered_quantiles(df, [("_", tiers, value)], by, prob, out, method)
+    res = tiered_quantiles(df, [("_", tiers, value)], by, prob, out, method, rows_bound)
     return res.drop(STAT)
 
 
@@ -59,11 +59,12 @@ def _ordered_keys(tier_lists) -> list[str]:
 
 def tiered_quantiles(df: DataFrame, specs: Sequence[tuple[str, Sequence[Sequence[str]], str]],
                      by: Sequence[str] = (), prob: float = 0.5, out: str = "median",
-                     method: str = "ranked") -> DataFrame:
+                     method: str = "ranked", rows_bound: int | None = None) -> DataFrame:
     """Several tiered quantiles in one pass: ``specs`` = [(stat, tiers, value)].
 
     Result ``(_stat, _tier, <all keys>, <by>, out)``.  With ``ranked`` all
     measures share one rank search (one set of jobs for the whole fit).
+    ``rows_bound`` = known row count of ``df`` (bounds the rolled-up counts).
     """
     by = list(by)
     all_keys = _ordered_keys([t for _, t, _ in specs])
@@ -101,13 +102,18 @@ def tiered_quantiles(df: DataFrame, specs: Sequence[tuple[str, Sequence[Sequence
                       .withColumn(STAT, F.lit(stat)).drop("_gid")
         parts.append(part)
     rolled = _union_all(parts)
-    q = quantiles_from_counts(rolled, [STAT, TIER, *by, *all_keys], "_v", [prob])
+    levels = sum(len(t) for _, t, _ in specs)
+    q = quantiles_from_counts(rolled, [STAT, TIER, *by, *all_keys], "_v", [prob],
+                              rows_bound=None if rows_bound is None else rows_bound * levels)
     return q.withColumnRenamed("q0", out).select(STAT, TIER, *all_keys, *by, out)
 
 
-def mode(df: DataFrame, column: str, by: Sequence[str] = (), out: str = "mode") -> DataFrame:
-    """A4: most frequent non-missing value; ties go to the smallest value."""
-    counts = df.where(not_missing(df, column)).groupBy(*by, column).agg(F.count(F.lit(1)).alias("_c"))
+def mode(df: DataFrame, column: str, by: Sequence[str] = (), out: str = "mode",
+         weight: str | None = None) -> DataFrame:
+    """A4: most frequent non-missing value; ties go to the smallest value.
+    ``weight`` names a count column when ``df`` is already a frequency table."""
+    c = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    counts = df.where(not_missing(df, column)).groupBy(*by, column).agg(c.alias("_c"))
     # min over (-count, value): most frequent first, then smallest value
     pick = F.min(F.struct((-F.col("_c")).alias("neg"), F.col(column).alias("v")))["v"]
     return counts.groupBy(*by).agg(pick.alias(out))
@@ -124,7 +130,8 @@ def frequent_values(df: DataFrame, column: str, min_count: int, by: Sequence[str
 
 
 def quantile_edges(df: DataFrame, value: str, q: int, by: Sequence[str] = (),
-                   out: str = "edges", method: str = "ranked", decimals: int | None = 6) -> DataFrame:
+                   out: str = "edges", method: str = "ranked", decimals: int | None = 6,
+                   rows_bound: int | None = None) -> DataFrame:
     """``q`` equal-mass bins.  Returns the *inner* edges (array<double>),
     duplicates dropped, so the bins are (-inf, e1], (e1, e2], ..., (e_last, inf).
 
@@ -132,7 +139,7 @@ def quantile_edges(df: DataFrame, value: str, q: int, by: Sequence[str] = (),
     interpolation arithmetic bin a value that sits on an edge identically.
     """
     probs = [i / q for i in range(q + 1)]
-    qs = grouped_quantiles(df, list(by), value, probs, method=method)
+    qs = grouped_quantiles(df, list(by), value, probs, method=method, rows_bound=rows_bound)
     inner = [F.col(f"q{i}") for i in range(1, q)]
     if decimals is not None:
         inner = [F.round(c, decimals) for c in inner]

@@ -41,7 +41,8 @@ def not_missing(df: DataFrame, name: str):
 
 def quantiles_from_counts(counts: DataFrame, keys: Sequence[str], value: str,
                           probs: Sequence[float], count_col: str = "_n",
-                          slices: int | None = None, single_task_rows: int | None = None) -> DataFrame:
+                          slices: int | None = None, single_task_rows: int | None = None,
+                          rows_bound: int | None = None) -> DataFrame:
     """Quantiles from a ``(keys, value, count)`` table with unique ``(keys, value)``.
 
     The counts table is materialised and its row count read from file
@@ -51,12 +52,21 @@ def quantiles_from_counts(counts: DataFrame, keys: Sequence[str], value: str,
     around ``p * (n - 1)`` are found with the range-sliced running sum, so a
     hot group is spread over many tasks.
 
+    ``rows_bound``, when the caller knows one (e.g. the row count of a
+    materialised input times the number of roll-up levels), proves the counts
+    table small without writing it first.
+
     Returns ``(keys..., q0, q1, ...)`` one column per probability, DOUBLE.
     """
     keys = list(keys)
     limit = ranks.SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
-    data = materialize(counts.select(*keys, value, count_col))
-    if data.count() <= limit:
+    if rows_bound is not None and rows_bound <= limit:
+        data = counts.select(*keys, value, count_col)
+        small = True
+    else:
+        data = materialize(counts.select(*keys, value, count_col))
+        small = data.count() <= limit
+    if small:
         arr = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(float(p)) for p in probs]),
                            F.col(count_col))
         res = data.groupBy(*keys).agg(arr.alias("_qs"))
@@ -90,7 +100,8 @@ def quantiles_from_counts(counts: DataFrame, keys: Sequence[str], value: str,
 
 
 def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                      method: str = "ranked", slices: int | None = None) -> DataFrame:
+                      method: str = "ranked", slices: int | None = None,
+                      rows_bound: int | None = None) -> DataFrame:
     """Exact quantiles of ``value`` per ``keys`` group: ``(keys..., q0, q1, ...)``."""
     keys = list(keys)
     if method == "direct":
@@ -99,7 +110,8 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seq
         return res.select(*keys, *[F.col("_qs")[i].alias(f"q{i}") for i in range(len(probs))])
     if method != "ranked":
         raise ValueError(f"unknown quantile method {method!r}")
-    return quantiles_from_counts(value_counts(df, keys, value), keys, value, probs, slices=slices)
+    return quantiles_from_counts(value_counts(df, keys, value), keys, value, probs, slices=slices,
+                                 rows_bound=rows_bound)
 
 
 def grouped_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",

@@ -46,7 +46,7 @@ def _default_estimator(n_rows: int, label: str):
     return baseline_logistic(label=label, n_rows=n_rows)
 
 
-def run_search(p: Prepared, k_grid=K_GRID, estimator=None, parallelism: int = 8,
+def run_search(p: Prepared, k_grid=K_GRID, estimator=None, parallelism: int = 16,
                outer_k: int = 5, inner_k: int = 4) -> SearchResult:
     r = p.roles
     key, label = KEY, r.label
