@@ -172,12 +172,14 @@ def category_lists(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()
     text; ``position`` (0-based) follows the column's own type order (numbers
     numerically, text lexically), as scikit-learn's encoder does.
 
-    One pass: all columns are unpivoted, de-duplicated together, and numbered
-    with a window per (group, column) over distinct values only.
+    One pass: all columns are unpivoted and de-duplicated together; positions
+    come from the skew-safe global index (a column with very many categories is
+    never numbered inside one task).
     """
-    from pyspark.sql import Window
     from pyspark.sql.types import NumericType
 
+    from .ranks import global_index
+
     types = {f.name: f.dataType for f in df.schema.fields}
     items = []
     for c in columns:
@@ -186,5 +188,4 @@ def category_lists(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()
                               (F.col(c).cast("double") if numeric else F.lit(None).cast("double")).alias("_num")))
     long = (df.select(*by, F.explode(F.array(*items)).alias("_s")).select(*by, "_s.*")
             .where(F.col("category").isNotNull()).distinct())
-    w = Window.partitionBy(*by, "feature").orderBy("_num", "category")
-    return long.withColumn("position", F.row_number().over(w) - 1).drop("_num")
+    return global_index(long, ["_num", "category"], group_by=[*by, "feature"], out="position").drop("_num")
