@@ -12,3 +12,4 @@ from . import q_search  # noqa: F401,E402
 from . import q_srcline  # noqa: F401,E402
 from . import q_audit  # noqa: F401,E402
 from . import q_stream  # noqa: F401,E402
+from . import q_text  # noqa: F401,E402
