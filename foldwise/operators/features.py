@@ -126,7 +126,7 @@ def fit_features(train: DataFrame, r: Roles = Roles(), by: Sequence[str] = (),
     freq = materialize(d.groupingSets([[*by, r.embarked], [*by, _PREFIX]], *by, r.embarked, _PREFIX)
                        .agg(F.count(F.lit(1)).alias("count"), F.grouping_id().alias("_gid")))
     only_port = freq.where(F.col(r.embarked).isNotNull() & F.col(_PREFIX).isNull())
-    port = materialize(mode(only_port.select(*by, r.embarked, "count"), r.embarked, by=by, weight="count"))
+    port = mode(only_port.select(*by, r.embarked, "count"), r.embarked, by=by, weight="count")
     prefixes = freq.where(F.col(_PREFIX).isNotNull() & F.col(r.embarked).isNull()
                           & (F.col("count") >= r.ticket_min_count)).select(*by, _PREFIX, "count")
     filled = apply_tiered(d, fare, fare_tiers(r), r.fare, "_fare_filled", by=by)

@@ -31,15 +31,16 @@ def class_counts(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame
 
 
 def bin_continuous(long: DataFrame, features: Sequence[str], by: Sequence[str] = (),
-                   bins: int = 10) -> DataFrame:
-    """E5b step 1: replace the values of ``features`` by their learned bin codes."""
+                   bins: int = 10, rows_bound: int | None = None) -> DataFrame:
+    """E5b step 1: replace the values of ``features`` by their learned bin codes.
+    ``rows_bound``: known upper bound of the rows of those features."""
     by = list(by)
     features = list(features)
     if not features:
         return long
     is_cont = F.col("feature").isin(*features)
     cont = long.where(is_cont)
-    edges = quantile_edges(cont, "value", bins, by=[*by, "feature"])
+    edges = quantile_edges(cont, "value", bins, by=[*by, "feature"], rows_bound=rows_bound)
     binned = (cont.join(edges, [*by, "feature"], "left")
               .withColumn("value", learned_bin_code(F.col("value"), F.col("edges")).cast("double"))
               .drop("edges"))

@@ -37,7 +37,7 @@ def _feature_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean, enc, names = encoded_pax(spark, sf_dir)
     train = clean.where(F.expr(TRAIN_PID))
     long = encode_long(train, enc, keys=["PassengerId", "survived"])
-    long = bin_continuous(long, CONTINUOUS, bins=MI_BINS)
+    long = bin_continuous(long, CONTINUOUS, bins=MI_BINS, rows_bound=train.count() * len(CONTINUOUS))
     mi = mutual_information(long, "survived", class_counts(train, "survived"))
     positions = spark.createDataFrame(list(enumerate(names)), "position int, feature string")
     return rank_features(mi, positions)

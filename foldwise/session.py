@@ -93,8 +93,17 @@ def size_upper_bound(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+# fallback bound when plan statistics are not reachable (e.g. a Connect session)
+BROADCAST_MAX_ROWS = 500_000
+
+
 def sized_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Broadcast hint behind a size check that needs no Spark job."""
+    """Broadcast hint behind a size check that needs no Spark job (plan
+    statistics); without them, behind a bounded row count."""
     from pyspark.sql import functions as F
 
-    return F.broadcast(df) if size_upper_bound(df) <= max_bytes else df
+    try:
+        small = size_upper_bound(df) <= max_bytes
+    except Exception:  # noqa: BLE001 - no JVM handle: count at most N+1 rows
+        small = row_count_at_most(df, BROADCAST_MAX_ROWS)
+    return F.broadcast(df) if small else df
