@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import learned_bin_code
+from ..session import materialize
 from .fit import quantile_edges
 
 SCORE_DECIMALS = 12
@@ -54,7 +55,9 @@ def mutual_information(long: DataFrame, label: str, classes: DataFrame, by: Sequ
     ``classes`` = :func:`class_counts` of the same rows.
     """
     by = list(by)
-    c = long.groupBy(*by, "feature", "value", label).agg(F.count(F.lit(1)).alias("_c"))
+    # the contingency table is small (features x distinct values x classes) and
+    # is read three times below: computed once from the long rows and stored
+    c = materialize(long.groupBy(*by, "feature", "value", label).agg(F.count(F.lit(1)).alias("_c")))
     # rows missing from the long form are zeros: top up value 0.0 per class
     seen = c.groupBy(*by, "feature", label).agg(F.sum("_c").alias("_seen"))
     zeros = (seen.join(classes, [*by, label], "inner")
