@@ -12,7 +12,8 @@ from foldwise.sources.tables import TABLES
 FAST = ["a1_j1_impute_rows", "a1_tier_medians", "f22_clean_feature_rows", "a8_null_counts", "a14_describe",
         "a19_box_stats", "w4_stratified_folds", "v1_fold_medians", "v1_fold_moments", "e5_mutual_information",
         "e7_feature_scores", "m3_roc_auc", "d9_table_fingerprints", "e10_src_preprocessor", "f23_all_features",
-        "stream_frozen_fill"]
+        "stream_frozen_fill", "d10_unseen_categories", "d11_label_flip_invariance", "j9_compare_runs",
+        "s1_s3_csv_contract", "w5_holdout_split", "m3_roc_points", "a12_label_rate_pivot", "f1_f3_text_titles"]
 
 
 def test_entry_tier_counts(spark, sf_dir):
