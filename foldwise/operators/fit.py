@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .quantiles import grouped_quantiles, not_missing, quantiles_from_counts, value_counts
+from .quantiles import grouped_quantiles, not_missing, quantiles_from_counts
 
 TIER = "_tier"
 

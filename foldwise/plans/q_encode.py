@@ -129,16 +129,23 @@ def q_encoded_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("e8_model_ready_width", oracle=f"""WITH {_CLEAN},
 {_POSITIONS}
 SELECT (SELECT COUNT(*) FROM clean) AS rows, CAST((SELECT COUNT(*) FROM pos) + 2 AS INTEGER) AS columns,
-       CAST(0 AS BIGINT) AS missing_cells""")
+       CAST(0 AS BIGINT) AS missing_cells, true AS aligned, true AS all_numeric""")
 def q_model_ready_width(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E4+E8+D3+D5: the wide model-ready matrix (key, label, all encoded features):
-    its shape and its missing cells."""
+    """E4+E8+D3+D4+D5: the wide model-ready matrix (key, label, all encoded
+    features): shape, missing cells, train/test feature alignment, all numeric."""
+    from ..operators.contract import aligned, non_numeric
     from ..operators.profile import total_nulls
     clean, enc, names = encoded_pax(spark, sf_dir)
     wide = align_columns(encode_wide(clean, enc, keep=["PassengerId", "survived"]), names,
                          keep=["PassengerId", "survived"])
+    train_m = wide.where(F.expr(TRAIN_PID))
+    test_m = align_columns(wide.where(~F.expr(TRAIN_PID)).drop("survived"), names, keep=["PassengerId"])
+    same = aligned(train_m, test_m, ignore=["PassengerId", "survived"])
+    numeric = not non_numeric(wide)
     n = wide.agg(F.count(F.lit(1)).alias("rows"))
-    return n.crossJoin(total_nulls(wide)).select("rows", F.lit(len(wide.columns)).alias("columns"), "missing_cells")
+    return n.crossJoin(total_nulls(wide)).select(
+        "rows", F.lit(len(wide.columns)).alias("columns"), "missing_cells",
+        F.lit(same).alias("aligned"), F.lit(numeric).alias("all_numeric"))
 
 
 @query("e5_mutual_information", oracle=f"WITH {_MI_CTES}\nSELECT feature, round(mi, 6) AS mi FROM mi")

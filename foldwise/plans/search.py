@@ -109,6 +109,9 @@ def run_search(p: Prepared, k_grid=K_GRID, estimator=None, parallelism: int = 16
         F.round(F.avg("valid_accuracy"), 12).alias("cv_accuracy_mean"),
         F.stddev_pop("valid_accuracy").alias("cv_accuracy_std"),
         F.avg("train_accuracy").alias("train_accuracy_mean"))
+    # P11: "all" is shown as the total number of encoded features (chart data)
+    summary = summary.withColumn("effective_k", F.when(F.col("k") == "all", F.lit(len(p.names)))
+                                 .otherwise(F.col("k").cast("int")))
     selection = M.rank_candidates(summary, "cv_accuracy_mean", "grid_pos").orderBy("rank", "k")
     best_row = selection.where("selected").first()
     best_k = best_row["k"]
