@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
@@ -19,6 +19,7 @@ from ..session import materialize, sized_broadcast
 from .features import Roles
 from .fit import mean_std, mode, quantile_edges, tiered_quantile
 from .lookup import _join_params, apply_tiered
+from .ranks import global_index
 
 FARE_BINS = 5
 EMBARKED_DEFAULT = "S"
@@ -52,12 +53,14 @@ def fit_src(train: DataFrame, r: Roles, fill_age_by_group: bool = True, encode_c
     port = materialize(mode(d, r.embarked))
     labels = None
     if encode_categorical:
-        parts = []
-        for c in (r.sex, r.embarked):
-            vals = d.select(F.coalesce(F.col(c).cast("string"), F.lit(MISSING_CLASS)).alias("value")).distinct()
-            parts.append(vals.select(F.lit(c).alias("column"), "value",
-                                     (F.row_number().over(Window.orderBy("value")) - 1).alias("code")))
-        labels = materialize(parts[0].unionByName(parts[1]))
+        # sorted distinct classes of both columns, numbered 0.. per column with
+        # the skew-safe global index (no single-task window over all values)
+        vals = d.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column"),
+                     F.coalesce(F.col(c).cast("string"), F.lit(MISSING_CLASS)).alias("value"))
+            for c in (r.sex, r.embarked)])).alias("_s")).select("_s.*").distinct()
+        labels = materialize(global_index(vals, ["value"], group_by=["column"], out="code")
+                             .withColumn("code", F.col("code").cast("int")))
     filled = _fill(d, r, age, fare, port)
     scaled = (r.cls, r.age, r.sibsp, r.parch, r.fare)
     scale = materialize(mean_std(filled, list(scaled))) if scale_features else None
