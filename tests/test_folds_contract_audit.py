@@ -46,3 +46,23 @@ def test_encoder_unseen_null_constant(spark):
     hot = {(r["id"], r["feature"]) for r in rows if r["feature"].startswith("c_")}
     assert hot == {(3, "c_a")}
     assert all(r["value"] == 0.0 for r in rows if r["feature"] == "x")
+
+
+def test_sliced_paths_equal_plain_paths(spark):
+    from foldwise.operators import metrics as M
+    from foldwise.operators import ranks
+
+    df = spark.range(0, 2000).select(F.col("id"), (F.col("id") % 7 == 0).cast("int").alias("y"),
+                                     ((F.col("id") * 37) % 101 / 100.0).alias("s"))
+    old = ranks.SINGLE_TASK_ROWS
+    try:
+        ranks.SINGLE_TASK_ROWS = 10_000_000
+        plain_f = {r["id"]: r["fold"] for r in assign_folds(df, "id", "y", 5, 42).collect()}
+        plain_auc = M.roc_auc(df, "y", "s").first()["auc"]
+        ranks.SINGLE_TASK_ROWS = 0
+        sliced_f = {r["id"]: r["fold"] for r in assign_folds(df, "id", "y", 5, 42).collect()}
+        sliced_auc = M.roc_auc(df, "y", "s").first()["auc"]
+    finally:
+        ranks.SINGLE_TASK_ROWS = old
+    assert plain_f == sliced_f
+    assert abs(plain_auc - sliced_auc) < 1e-12
