@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..session import materialize
 from .fit import STAT, mode, quantile_edges, tiered_quantiles
-from .lookup import _join_params, apply_tiered, keep_if_listed
+from .lookup import join_params, apply_tiered, keep_if_listed
 
 
 @dataclass(frozen=True)
@@ -147,8 +147,8 @@ def apply_features(df: DataFrame, p: FeatureParams, r: Roles = Roles(),
                      X.title_b(r.name).alias(_TITLE), X.ticket_prefix(r.ticket).alias(_PREFIX))
     t = apply_tiered(base, p.age, age_tiers(r), r.age, "_age_filled", by=by)
     t = apply_tiered(t, p.fare, fare_tiers(r), r.fare, "_fare_filled", by=by)
-    t = _join_params(t, p.port_mode, [], "_pm_", ["mode"], by)
-    t = _join_params(t, p.fare_edges, [], "_fe_", ["edges"], by)
+    t = join_params(t, p.port_mode, [], "_pm_", ["mode"], by)
+    t = join_params(t, p.fare_edges, [], "_fe_", ["edges"], by)
     t = keep_if_listed(t, p.prefixes, _PREFIX, _PREFIX, "_prefix_kept", X.TICKET_OTHER, by)
 
     fam = X.family_size(r.sibsp, r.parch)

@@ -17,8 +17,8 @@ from ..session import sized_broadcast
 from .fit import TIER
 
 
-def _join_params(df: DataFrame, params: DataFrame, keys: Sequence[str], prefix: str,
-                 payload: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def join_params(df: DataFrame, params: DataFrame, keys: Sequence[str], prefix: str,
+                payload: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Left join ``params(keys+by, payload)`` to ``df`` on keys+by, payload renamed."""
     join_keys = list(by) + list(keys)
     side = params.select(*[F.col(k).alias(f"{prefix}k_{k}") for k in join_keys],
@@ -46,7 +46,7 @@ def apply_tiered(df: DataFrame, params: DataFrame, tiers: Sequence[Sequence[str]
     fills: list[Column] = []
     for i, t in enumerate(tiers):
         part = params.where(F.col(TIER) == i)
-        res = _join_params(res, part, t, f"_t{i}_", [stat], by)
+        res = join_params(res, part, t, f"_t{i}_", [stat], by)
         fills.append(F.col(f"_t{i}_{stat}"))
     observed = F.col(value).isNotNull()
     if dict(df.dtypes).get(value) in ("double", "float"):
@@ -65,7 +65,7 @@ def fill_from_table(df: DataFrame, params: DataFrame, column: str, stat: str, ou
                     by: Sequence[str] = ()) -> DataFrame:
     """F13 with a learned value: ``coalesce(column, params.stat)``; ``params``
     holds one row per ``by`` group (one row in total without ``by``)."""
-    res = _join_params(df, params, [], "_f_", [stat], by)
+    res = join_params(df, params, [], "_f_", [stat], by)
     return res.withColumn(out, F.coalesce(F.col(column), F.col(f"_f_{stat}"))).drop(f"_f_{stat}")
 
 
@@ -73,6 +73,6 @@ def keep_if_listed(df: DataFrame, listed: DataFrame, column: str, list_col: str,
                    other: str = "OTHER", by: Sequence[str] = ()) -> DataFrame:
     """Keep the value when it is in the learned list, else ``other``."""
     side = listed.select(*by, F.col(list_col).alias(column)).withColumn("_listed", F.lit(True))
-    res = _join_params(df, side, [column], "_l_", ["_listed"], by)
+    res = join_params(df, side, [column], "_l_", ["_listed"], by)
     return (res.withColumn(out, F.when(F.col("_l__listed"), F.col(column)).otherwise(F.lit(other)))
             .drop("_l__listed"))

@@ -18,7 +18,7 @@ from ..functions import exprs as X
 from ..session import materialize, sized_broadcast
 from .features import Roles
 from .fit import mean_std, mode, quantile_edges, tiered_quantile
-from .lookup import _join_params, apply_tiered
+from .lookup import join_params, apply_tiered
 from .ranks import global_index
 
 FARE_BINS = 5
@@ -75,8 +75,8 @@ def _fill(d: DataFrame, r: Roles, age, fare, port) -> DataFrame:
     if age is not None:
         t = apply_tiered(t, age, [["_title", r.sex, r.cls], []], r.age, "_age_f")
         t = t.withColumn(r.age, F.col("_age_f")).drop("_age_f")
-    t = _join_params(t, fare, [], "_fm_", ["median"])
-    t = _join_params(t, port, [], "_pm_", ["mode"])
+    t = join_params(t, fare, [], "_fm_", ["median"])
+    t = join_params(t, port, [], "_pm_", ["mode"])
     t = t.withColumn(r.fare, F.coalesce(F.col(r.fare).cast("double"), F.col("_fm_median")))
     t = t.withColumn(r.embarked, F.coalesce(F.col(r.embarked), F.col("_pm_mode"), F.lit(EMBARKED_DEFAULT)))
     return t.drop("_fm_median", "_pm_mode")
@@ -98,7 +98,7 @@ def transform_src(df: DataFrame, p: SrcParams, r: Roles) -> DataFrame:
                  .withColumn(f"{c}_encoded", F.coalesce(F.col(f"{c}_encoded"), F.lit(-1)).cast("int"))
     fam = X.family_size(r.sibsp, r.parch)
     t = t.withColumn("FamilySize", fam).withColumn("IsAlone", X.flag(fam == 1))
-    t = _join_params(t, p.fare_edges, [], "_fe_", ["edges"])
+    t = join_params(t, p.fare_edges, [], "_fe_", ["edges"])
     t = t.withColumn("FareBin", F.coalesce(X.learned_bin_code(r.fare, F.col("_fe_edges")),
                                            F.lit(X.SRC_FARE_BIN_DEFAULT)).cast("int")).drop("_fe_edges")
     t = t.withColumn("AgeBand", X.cut_right(r.age, X.SRC_AGE_CODE_EDGES, list(range(5)),
