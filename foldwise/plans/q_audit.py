@@ -177,3 +177,43 @@ def q_field_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = A.field_dictionary(spark, entries)
     _, _, ctrain, _ = _clean_train_test(spark, sf_dir)
     return d.join(null_counts(ctrain), "field", "left")
+
+
+@query("d7_cleaning_rules", oracle="""SELECT CAST(step AS INTEGER) AS step, item, rule, status FROM (VALUES
+  (1, 'structure', 'raw key unique, train and test keys disjoint', 'PASS'),
+  (2, 'age', 'tiered median fill: no missing AgeFilled', 'PASS'),
+  (3, 'fare', 'class median fill: no missing FareFilled', 'PASS'),
+  (4, 'port', 'mode fill: no missing EmbarkedFilled', 'PASS'),
+  (5, 'cabin', 'deck letter or U, HasCabin = 1 - CabinMissing', 'PASS'),
+  (6, 'title', 'title in Mr, Miss, Mrs, Master, Rare', 'PASS'),
+  (7, 'family', 'FamilySize = SibSp + Parch + 1, IsAlone = (FamilySize = 1)', 'PASS'),
+  (8, 'bands', 'AgeBand, FareBand and FamilyGroup assigned', 'PASS')) v(step, item, rule, status)""")
+def q_cleaning_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaning-rule table, each status measured on the clean rows of
+    train and test in one aggregation (PASS when no row violates the rule)."""
+    train, test, ctrain, ctest = _clean_train_test(spark, sf_dir)
+    clean = ctrain.unionByName(ctest)
+    c = F.col
+    rules = [
+        (2, "age", "tiered median fill: no missing AgeFilled", c("AgeFilled").isNull()),
+        (3, "fare", "class median fill: no missing FareFilled", c("FareFilled").isNull()),
+        (4, "port", "mode fill: no missing EmbarkedFilled", c("EmbarkedFilled").isNull()),
+        (5, "cabin", "deck letter or U, HasCabin = 1 - CabinMissing",
+         c("CabinDeck").isNull() | (c("HasCabin") != 1 - c("CabinMissing"))),
+        (6, "title", "title in Mr, Miss, Mrs, Master, Rare",
+         ~F.coalesce(c("Title").isin("Mr", "Miss", "Mrs", "Master", "Rare"), F.lit(False))),
+        (7, "family", "FamilySize = SibSp + Parch + 1, IsAlone = (FamilySize = 1)",
+         (c("FamilySize") != c("SibSp") + c("Parch") + 1) | (c("IsAlone") != (c("FamilySize") == 1).cast("int"))),
+        (8, "bands", "AgeBand, FareBand and FamilyGroup assigned",
+         c("AgeBand").isNull() | c("FareBand").isNull() | c("FamilyGroup").isNull()),
+    ]
+    counts = clean.agg(*[F.count_if(cond).alias(f"r{step}") for step, _, _, cond in rules])
+    dup = train.unionByName(test).groupBy("pid").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    structure = dup.agg(F.count(F.lit(1)).alias("r1"))
+    wide = counts.crossJoin(structure)
+    allr = [(1, "structure", "raw key unique, train and test keys disjoint")] + [(s, i, r) for s, i, r, _ in rules]
+    stacked = F.explode(F.array(*[
+        F.struct(F.lit(s).alias("step"), F.lit(i).alias("item"), F.lit(r).alias("rule"),
+                 F.when(F.col(f"r{s}") == 0, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"))
+        for s, i, r in allr]))
+    return wide.select(stacked.alias("_s")).select("_s.*")
