@@ -107,3 +107,34 @@ def sized_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> Data
     except Exception:  # noqa: BLE001 - no JVM handle: count at most N+1 rows
         small = row_count_at_most(df, BROADCAST_MAX_ROWS)
     return F.broadcast(df) if small else df
+
+
+# beyond this the per-map-task shuffle bookkeeping outweighs smaller partitions;
+# AQE splits skewed partitions and coalesces small ones either way
+MAX_SHUFFLE_PARTITIONS = 200_000
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a large cluster run, sized from the input volume.
+
+    * scan splits of ``target_partition_bytes`` (parquet is columnar, so the
+      bytes actually read per task are usually far fewer);
+    * shuffle partitions so that a shuffle of the whole input lands at about
+      the same size per partition, rounded up to a multiple of the cores;
+    * AQE on, with coalescing and skew-join splitting, so partitions of the
+      many small shuffles (parameter tables, contingency counts) collapse and
+      a hot key of a shuffle join is split at run time.
+    """
+    cores = max(executors * cores_per_executor, 1)
+    parts = max(cores, -(-input_bytes // target_partition_bytes))
+    parts = min(-(-parts // cores) * cores, MAX_SHUFFLE_PARTITIONS)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
