@@ -19,7 +19,8 @@ from .fit import TIER
 
 def join_params(df: DataFrame, params: DataFrame, keys: Sequence[str], prefix: str,
                 payload: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Left join ``params(keys+by, payload)`` to ``df`` on keys+by, payload renamed."""
+    """Left join ``params(keys+by, payload)`` to ``df`` on keys+by; the side's
+    columns arrive with ``prefix`` (callers select what they keep)."""
     join_keys = list(by) + list(keys)
     side = params.select(*[F.col(k).alias(f"{prefix}k_{k}") for k in join_keys],
                          *[F.col(p).alias(f"{prefix}{p}") for p in payload])
@@ -27,8 +28,7 @@ def join_params(df: DataFrame, params: DataFrame, keys: Sequence[str], prefix: s
     if not join_keys:
         return df.crossJoin(side)   # a one-row table
     cond = [df[k] == side[f"{prefix}k_{k}"] for k in join_keys]
-    out = df.join(side, on=cond, how="left")
-    return out.drop(*[f"{prefix}k_{k}" for k in join_keys])
+    return df.join(side, on=cond, how="left")
 
 
 def apply_tiered(df: DataFrame, params: DataFrame, tiers: Sequence[Sequence[str]], value: str,
@@ -52,13 +52,14 @@ def apply_tiered(df: DataFrame, params: DataFrame, tiers: Sequence[Sequence[str]
     if dict(df.dtypes).get(value) in ("double", "float"):
         observed = observed & ~F.isnan(F.col(value))
     filled = F.when(observed, F.col(value).cast("double")).otherwise(F.coalesce(*fills))
-    res = res.withColumn(out, filled)
+    outs = [filled.alias(out)]
     if tier_out:
         which = F.when(observed, F.lit(-1))
         for i, f in enumerate(fills):
             which = which.when(f.isNotNull(), F.lit(i))
-        res = res.withColumn(tier_out, which)
-    return res.drop(*[f"_t{i}_{stat}" for i in range(len(tiers))])
+        outs.append(which.alias(tier_out))
+    keep = [F.col(c) for c in df.columns if c not in (out, tier_out)]
+    return res.select(*keep, *outs)
 
 
 def fill_from_table(df: DataFrame, params: DataFrame, column: str, stat: str, out: str,
@@ -66,7 +67,8 @@ def fill_from_table(df: DataFrame, params: DataFrame, column: str, stat: str, ou
     """F13 with a learned value: ``coalesce(column, params.stat)``; ``params``
     holds one row per ``by`` group (one row in total without ``by``)."""
     res = join_params(df, params, [], "_f_", [stat], by)
-    return res.withColumn(out, F.coalesce(F.col(column), F.col(f"_f_{stat}"))).drop(f"_f_{stat}")
+    keep = [F.col(c) for c in df.columns if c != out]
+    return res.select(*keep, F.coalesce(F.col(column), F.col(f"_f_{stat}")).alias(out))
 
 
 def keep_if_listed(df: DataFrame, listed: DataFrame, column: str, list_col: str, out: str,
@@ -74,5 +76,5 @@ def keep_if_listed(df: DataFrame, listed: DataFrame, column: str, list_col: str,
     """Keep the value when it is in the learned list, else ``other``."""
     side = listed.select(*by, F.col(list_col).alias(column)).withColumn("_listed", F.lit(True))
     res = join_params(df, side, [column], "_l_", ["_listed"], by)
-    return (res.withColumn(out, F.when(F.col("_l__listed"), F.col(column)).otherwise(F.lit(other)))
-            .drop("_l__listed"))
+    keep = [F.col(c) for c in df.columns if c != out]
+    return res.select(*keep, F.when(F.col("_l__listed"), F.col(column)).otherwise(F.lit(other)).alias(out))
