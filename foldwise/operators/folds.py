@@ -32,8 +32,16 @@ def fold_hash(key: str, seed: int | Column) -> Column:
 
 
 def assign_folds(df: DataFrame, key: str, label: str, k: int, seed: int,
-                 out: str = "fold", group_by: Sequence[str] = (), seed_col: Column | None = None) -> DataFrame:
-    """Stratified fold ``1..k`` for every row (within ``group_by`` groups)."""
+                 out: str = "fold", group_by: Sequence[str] = (), seed_col: Column | None = None,
+                 approximate: bool = False) -> DataFrame:
+    """Stratified fold ``1..k`` for every row (within ``group_by`` groups).
+
+    ``approximate=True`` deals ``pmod(xxhash64(key, seed), k) + 1`` instead: no
+    ordering pass and no shuffle, folds balanced only in expectation.
+    """
+    if approximate:
+        s = seed_col if seed_col is not None else F.lit(seed)
+        return df.withColumn(out, (F.pmod(F.xxhash64(F.col(key), s), F.lit(k)) + 1).cast("int"))
     h = fold_hash(key, seed_col if seed_col is not None else seed)
     tagged = df.withColumn("_h", h)
     idx = global_index(tagged, [label, "_h"], group_by=group_by, out="_idx")

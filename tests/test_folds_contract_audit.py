@@ -66,3 +66,10 @@ def test_sliced_paths_equal_plain_paths(spark):
         ranks.SINGLE_TASK_ROWS = old
     assert plain_f == sliced_f
     assert abs(plain_auc - sliced_auc) < 1e-12
+
+
+def test_approximate_folds_cover_all_folds(spark):
+    df = spark.range(0, 5000).select(F.col("id"), (F.col("id") % 2).cast("int").alias("y"))
+    a = assign_folds(df, "id", "y", 5, 42, approximate=True)
+    sizes = {r["fold"]: r["count"] for r in a.groupBy("fold").count().collect()}
+    assert set(sizes) == {1, 2, 3, 4, 5} and min(sizes.values()) > 800
