@@ -8,16 +8,18 @@ be written against the very same derived rows.
   injected by a fixed rule so that every fallback tier is exercised.
 * ``olab`` - scalable classification view with a known signal.
 * ``pax``  - the full raw record of the reference's feature row, one role per
-  column (see ``PAX_ROLES``), built from orders, customer, nation and a
+  column (see ``PAX_ROLE_SOURCES``), built from orders, customer, nation and a
   per-order lineitem aggregate.
 * ``clf``  - documents joined with their quality labels.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.tables import register_views
+from ..sources.tables import table
 
 OBS_SQL = """
 SELECT o_orderkey AS id, o_orderpriority AS k1, c_mktsegment AS k2, n_regionkey AS k3,
@@ -38,7 +40,7 @@ FROM orders JOIN customer ON o_custkey = c_custkey
 """
 
 # Raw record in the reference's column roles.  Left: role, right: source.
-PAX_ROLES = {
+PAX_ROLE_SOURCES = {
     "key": "o_orderkey",
     "label": "olab rule on o_totalprice / o_orderkey",
     "cls": "n_regionkey (ordered class)",
@@ -94,12 +96,16 @@ VIEW_TABLES = {
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Build a role view over the tables of ``sf_dir``.
 
-    The SQL is planned by Catalyst like any DataFrame: only the referenced
-    columns are read, and the small dimension sides are broadcast by AQE from
-    their measured size.
+    The tables are bound as DataFrame arguments of ``spark.sql`` (no session
+    temp views are created or replaced).  The SQL is planned by Catalyst like
+    any DataFrame: only the referenced columns are read, and the small
+    dimension sides are broadcast from their measured size.
     """
-    register_views(spark, sf_dir, VIEW_TABLES[name])
-    return spark.sql(VIEW_SQL[name])
+    tables = VIEW_TABLES[name]
+    sql = VIEW_SQL[name]
+    for t in tables:
+        sql = re.sub(rf"\b{t}\b", "{" + t + "}", sql)
+    return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in tables})
 
 
 def oracle_with(name: str, body: str) -> str:
