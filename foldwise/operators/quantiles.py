@@ -3,10 +3,13 @@
 Two strategies:
 
 * ``"ranked"`` (default): pre-aggregate to ``(group, value, count)`` with a
-  map-side combine, then find the values at the two ranks around
-  ``p * (n - 1)`` with the skew-safe running sum of :mod:`.ranks`.  No group,
-  however large or however many distinct values it has, is ever held by one
-  task.
+  map-side combine.  If that table is provably small (its row count, or a
+  bound given by the caller, is within ``ranks.SINGLE_TASK_ROWS``) Spark's
+  exact ``percentile`` with frequencies finishes in one aggregation; otherwise
+  the values at the two ranks around ``p * (n - 1)`` are found with the
+  range-sliced running sum of :mod:`.ranks`.  No group, however large or
+  however many distinct values it has, is ever held by one task beyond that
+  bound.
 * ``"direct"``: Spark's built-in ``percentile``; one value->count map per group
   in one task.  Fast when every group has a bounded number of distinct values.
 
