@@ -202,6 +202,11 @@ def priority_rule(sex: str | Column, age: str | Column, priority_value: str = PR
     return F.when(_c(sex) == priority_value, 1).when(_c(age) < below, 1).otherwise(0)
 
 
+def safe_cast(col: str | Column, to: str) -> Column:
+    """P10: cast that yields NULL for dirty input (a plain cast raises under ANSI)."""
+    return _c(col).try_cast(to)
+
+
 def pct(num: str | Column, den: str | Column, decimals: int = 2) -> Column:
     """rounded percentage."""
     return F.round(F.lit(100.0) * _c(num) / _c(den), decimals)

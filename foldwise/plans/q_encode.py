@@ -160,11 +160,12 @@ r AS (SELECT mi.feature, mi.mi, row_number() OVER (ORDER BY round(mi.mi, 12) DES
       FROM mi JOIN pos ON mi.feature = pos.feature)
 SELECT feature, round(mi, 6) AS mutual_information, rank <= {SELECT_K} AS selected, CAST(rank AS INTEGER) AS rank FROM r""")
 def q_feature_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E6+E7+O3: score report with the top-20 selection (ties -> later column)."""
+    """E6+E7+O3+O1: score report with the top-20 selection (ties -> later
+    column), sorted selected first, then by score, then by name."""
     r = _feature_scores(spark, sf_dir)
     out = r.select("feature", F.col("mi").alias("mutual_information"),
                    (F.col("rank") <= SELECT_K).alias("selected"), F.col("rank").cast("int").alias("rank"))
-    return round_doubles(out)
+    return round_doubles(out).orderBy(F.desc("selected"), F.desc("mutual_information"), F.asc("feature"))
 
 
 def _psi_sql(n: str) -> str:

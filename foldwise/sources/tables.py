@@ -46,4 +46,5 @@ def load_train_test(spark: SparkSession, train_path: str, test_path: str,
     test_schema = StructType([f for f in schema.fields if f.name != label])
     train = load_csv(spark, train_path, schema)
     test = load_csv(spark, test_path, test_schema)
-    return train.withColumn(label, F.col(label).cast("int")), test
+    from ..functions.exprs import safe_cast
+    return train.withColumn(label, safe_cast(label, "int")), test

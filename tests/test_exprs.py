@@ -60,3 +60,7 @@ def test_two_value_log_ratio_rule(spark):
     assert [r[0] for r in df.select(X.ratio("a", "b")).collect()] == [None, 1.5]
     df = spark.createDataFrame([("female", 60.0), ("male", 15.9), ("male", 16.0)], "s string, a double")
     assert [r[0] for r in df.select(X.priority_rule("s", "a")).collect()] == [1, 1, 0]
+
+
+def test_safe_cast_dirty_input(spark):
+    assert one_col(spark, ["12", "x", None], "string", lambda c: X.safe_cast(c, "int")) == [12, None, None]
