@@ -18,7 +18,7 @@ from ..operators.features import (CATEGORICAL_COLUMNS, PASSTHROUGH_COLUMNS, SCAL
                                   apply_features, fit_features)
 from ..operators.models import baseline_logistic
 from ..session import materialize
-from .pipeline import KEY, score_features
+from .splits import KEY, score_features
 
 
 class TransformPipelineModel(Model):

@@ -12,7 +12,7 @@ from ..operators.features import (CATEGORICAL_COLUMNS, PASSTHROUGH_COLUMNS, SCAL
 from ..operators.select import bin_continuous, class_counts, mutual_information, rank_features
 from ..session import materialize
 from .pax import PAX_ROLES, clean_rows_sql, pax, pax_split
-from .pipeline import CONTINUOUS, MI_BINS
+from .splits import CONTINUOUS, MI_BINS
 from .q_features import round_doubles
 from .registry import query
 

@@ -1,6 +1,6 @@
 """Nested cross-validation, final search and scoring.
 
-Statistics of all 26 training sets come from :mod:`.pipeline` (one set of
+Statistics of all 26 training sets come from :mod:`.splits` (one set of
 grouped jobs).  What remains per candidate is an MLlib fit on one split's
 files (partition-pruned) with its top-k columns; fits run concurrently from a
 thread pool, each as ordinary distributed Spark jobs.  Results (one number per
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..operators import metrics as M
 from ..operators.folds import TRAIN, VALID
 from ..operators.models import baseline_logistic
-from .pipeline import KEY, ROLE, SPLIT, Prepared, encoded_rows
+from .splits import KEY, ROLE, SPLIT, Prepared, encoded_rows
 
 K_GRID = [8, 12, 16, 20, 24, 28, 32, 36, 40, "all"]
 

@@ -1,4 +1,4 @@
-"""The leakage-safe pipeline over all cross-validation splits at once.
+"""Leakage-safe fits over all cross-validation splits at once.
 
 ``prepare(raw, roles)`` expands the raw rows into every split they belong to,
 fits the feature-row statistics, the encoder and the mutual-information
