@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontam, exact_dedup, mixing, simhash
+from . import decontam, exact_dedup, mixing, simhash, suffix_dedup
 
 QUERIES = {
     "op1_source_mix": mixing.query,
+    "op2_suffix_dedup": suffix_dedup.query,
     "op4_exact_dedup": exact_dedup.query,
     "op8_decontamination": decontam.query,
     "op9_simhash_near_dedup": simhash.query,
