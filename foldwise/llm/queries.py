@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from . import decontam, exact_dedup, mixing, simhash, suffix_dedup
+from . import (decontam, exact_dedup, html_extract, langid, licenses, mixing, pii, quality_lm, simhash,
+               suffix_dedup)
 
 QUERIES = {
     "op1_source_mix": mixing.query,
     "op2_suffix_dedup": suffix_dedup.query,
+    "op3_quality_classifier": quality_lm.query,
     "op4_exact_dedup": exact_dedup.query,
+    "op5_html_extraction": html_extract.query,
+    "op6_pii_surrogates": pii.query,
+    "op7_language_id": langid.query,
     "op8_decontamination": decontam.query,
     "op9_simhash_near_dedup": simhash.query,
+    "op10_license_scan": licenses.query,
 }
 
 ORACLES = {
