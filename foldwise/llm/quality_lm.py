@@ -2,9 +2,9 @@
 
 The model is over UTF-8 bytes (digits taken as one symbol), order ``ORDER``, and
 is trained on every trusted document, those labelled with quality 1.  A
-document's perplexity is compared with a threshold of its language, a quantile
-of the trusted documents' perplexities times a tolerance; documents above it are
-rejected.
+document's perplexity, evened out for very short texts, is compared with a
+threshold of its language, a quantile of the trusted documents' perplexities
+times a tolerance; documents above it are rejected.
 
 Documents and labels are dealt to buckets by document, once.  Each bucket gives
 its distinct n-grams with their trusted counts; these are added up by n-gram,
@@ -39,7 +39,8 @@ from .common import byte_texts, documents, materialize, shuffle_partitions, size
 
 ORDER = 5
 QUANTILE = 0.99
-TOLERANCE = 1.15
+TOLERANCE = 1.05
+PRIOR_BYTES = 32
 ACCURACY = 10_000  # of the quantile: ranks within 1 / ACCURACY
 CHUNK = 1 << 22
 ALPHABET = 256
@@ -161,7 +162,7 @@ def log_probabilities(counts: DataFrame) -> DataFrame:
     return lower.select("g", F.log("p").alias("logp"))
 
 
-def _score(carry: list[str]):
+def _score(carry: list[str], with_text: bool):
     def run(rows: pa.Table, probs: pa.Table) -> pa.Table:
         order = np.argsort(g := probs.column("g").to_numpy())
         g, logp = g[order], probs.column("logp").to_numpy()[order]
@@ -173,16 +174,18 @@ def _score(carry: list[str]):
             sizes.append(len(text))
             total = sum(float(logp[np.searchsorted(g, grams(text)[i:i + CHUNK])].sum()) for i in range(0, len(text), CHUNK))
             ppl.append(math.exp(-total / len(text)) if text else None)
-        out = [docs.column(c) for c in ("x_id", "x_lang", *carry)]
+        carried = [*(("x_text",) if with_text else ()), *carry]
+        out = [docs.column(c) for c in ("x_id", "x_lang", *carried)]
         good = [i in trusted for i in docs.column("x_id").to_pylist()]
         return pa.table([*out, pa.array(good, pa.bool_()), pa.array(sizes, pa.int64()), pa.array(ppl, pa.float64())],
-                        names=["x_id", "x_lang", *carry, "x_trusted", "x_bytes", "x_ppl"])
+                        names=["x_id", "x_lang", *carried, "x_trusted", "x_bytes", "x_ppl"])
 
     return run
 
 
-def perplexities(docs: DataFrame, labels: DataFrame, carry: list[str] = ()) -> DataFrame:
-    """x_id, x_lang, carry..., x_trusted, x_bytes, x_ppl for every document, stored."""
+def perplexities(docs: DataFrame, labels: DataFrame, carry: list[str] = (), with_text: bool = False) -> DataFrame:
+    """x_id, x_lang, (x_text), carry..., x_trusted, x_bytes, x_ppl for every
+    document, stored."""
     clash = [c for c in carry if c == "b" or c.startswith("x_")]
     if clash:
         raise ValueError(f"columns {clash} clash with the classifier's")
@@ -191,37 +194,53 @@ def perplexities(docs: DataFrame, labels: DataFrame, carry: list[str] = ()) -> D
     asked = rows.sortWithinPartitions("b", "x_id", "x_kind").mapInArrow(_bucket_grams, "b int, g long, c long").repartition(n, "g")
     probs = log_probabilities(asked.groupBy("g").agg(F.sum("c").alias("c")))
     slices = asked.select("b", "g").join(probs, "g").select("b", "g", "logp")
-    schema = T.StructType([T.StructField("x_id", T.LongType()), T.StructField("x_lang", T.StringType()), *[T.StructField(c, docs.schema[c].dataType) for c in carry],
+    schema = T.StructType([T.StructField("x_id", T.LongType()), T.StructField("x_lang", T.StringType()),
+                           *([T.StructField("x_text", T.StringType())] if with_text else []), *[T.StructField(c, docs.schema[c].dataType) for c in carry],
                            T.StructField("x_trusted", T.BooleanType()), T.StructField("x_bytes", T.LongType()), T.StructField("x_ppl", T.DoubleType())])
-    return materialize(rows.groupBy("b").cogroup(slices.groupBy("b")).applyInArrow(_score(list(carry)), schema))
+    return materialize(rows.groupBy("b").cogroup(slices.groupBy("b")).applyInArrow(_score(list(carry), with_text), schema))
 
 
-def thresholds(scored: DataFrame, quantile: float = QUANTILE, tolerance: float = TOLERANCE) -> tuple[DataFrame, Column]:
-    """Limit per language and over all, from the trusted documents."""
-    limit = (F.percentile_approx("x_ppl", quantile, ACCURACY) * tolerance).alias("limit")
+def evened(limits: str = "middle", weight: int = PRIOR_BYTES) -> Column:
+    """Perplexity as if the text went on for ``weight`` bytes at its language's
+    median: a text of a few bytes says little about itself."""
+    n = F.col("x_bytes")
+    return F.exp((F.log("x_ppl") * n + F.log(F.col(limits)) * weight) / (n + weight))
+
+
+def _per_language(scored: DataFrame, values: Column, share: float, name: str) -> DataFrame:
+    """(l_lang, name): a quantile over the trusted documents of each language;
+    languages without trusted documents get the one over all."""
+    quantile = F.percentile_approx(values, share, ACCURACY).alias(name)
     trusted = scored.where("x_trusted and x_ppl is not null")
-    per_language = trusted.groupBy(F.col("x_lang").alias("l_lang")).agg(limit)
-    overall = trusted.agg(limit.alias("any_limit"))
-    return per_language, overall
+    overall = trusted.agg(quantile).first()[name]
+    seen = scored.groupBy(F.col("x_lang").alias("l_lang")).agg(F.count("*").alias("n_rows"))
+    own = trusted.groupBy(F.col("x_lang").alias("o_lang")).agg(quantile)
+    return materialize(seen.join(own, F.col("l_lang").eqNullSafe(F.col("o_lang")), "left").select(
+        "l_lang", F.coalesce(F.col(name), F.lit(overall).cast("double")).alias(name)))
+
+
+def _with(scored: DataFrame, limits: DataFrame) -> DataFrame:
+    """One row per language is joined on; NULL is a language."""
+    return scored.join(sized_broadcast(limits), scored["x_lang"].eqNullSafe(F.col("l_lang")), "left").drop("l_lang")
 
 
 def judged(scored: DataFrame, quantile: float = QUANTILE, tolerance: float = TOLERANCE) -> DataFrame:
-    """``scored`` plus x_limit and x_keep."""
-    per_language, overall = thresholds(scored, quantile, tolerance)
-    per_language = materialize(per_language)  # one row per language
-    any_limit = overall.first()["any_limit"]
-    limit = F.coalesce(F.col("limit"), F.lit(any_limit).cast("double"))
-    kept = F.col("x_ppl").isNotNull() & F.coalesce(F.col("x_ppl") <= limit, F.lit(True))
-    return scored.join(sized_broadcast(per_language), scored["x_lang"].eqNullSafe(F.col("l_lang")), "left").select(
-        *scored.columns, limit.alias("x_limit"), kept.alias("x_keep"))
+    """``scored`` plus x_even (the perplexity that is judged), x_limit and x_keep."""
+    middles = _per_language(scored, F.col("x_ppl"), 0.5, "middle")
+    level = _with(scored, middles).withColumn("x_even", F.coalesce(evened(), F.col("x_ppl"))).drop("middle")
+    limits = _per_language(level, F.col("x_even"), quantile, "limit")
+    kept = F.col("x_ppl").isNotNull() & F.coalesce(F.col("x_even") <= F.col("x_limit"), F.lit(True))
+    return _with(level, limits).withColumn("x_limit", F.col("limit") * tolerance).withColumn("x_keep", kept).drop("limit")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **rules) -> DataFrame:
     """``docs`` without the rejected documents, all columns kept."""
-    return judged(perplexities(docs, labels, docs.columns), **rules).where("x_keep").select(*docs.columns)
+    own = {"doc_id": "x_id", "lang": "x_lang", "text": "x_text"}
+    scored = perplexities(docs, labels, [c for c in docs.columns if c not in own], with_text=True)
+    return judged(scored, **rules).where("x_keep").select(*[F.col(own.get(c, c)).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir):
     found = judged(perplexities(documents(spark, sf_dir), table(spark, sf_dir, "labels")))
-    return found.select(F.col("x_id").alias("doc_id"), F.col("x_lang").alias("lang"), F.col("x_bytes").alias("n_bytes"), F.col("x_ppl").alias("perplexity"),
+    return found.select(F.col("x_id").alias("doc_id"), F.col("x_lang").alias("lang"), F.col("x_bytes").alias("n_bytes"), F.col("x_ppl").alias("perplexity"), F.col("x_even").alias("judged_perplexity"),
                         F.col("x_limit").alias("threshold"), F.col("x_keep").alias("kept"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import (decontam, exact_dedup, html_extract, langid, licenses, mixing, pii, quality_lm, simhash,
                suffix_dedup)
 
@@ -16,6 +18,7 @@ QUERIES = {
     "op8_decontamination": decontam.query,
     "op9_simhash_near_dedup": simhash.query,
     "op10_license_scan": licenses.query,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
