@@ -204,15 +204,16 @@ def cut_spans(text: str | None, spans: list[tuple[int, int]]) -> str | None:
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **rules) -> DataFrame:
     """``docs`` with every hit span cut out of its text instead."""
-    scanned = scan(docs, benchmark, docs.columns, text=text, **rules)
+    names = docs.columns
+    scanned = scan(docs, benchmark, names, text=text, **rules)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cut = [cut_spans(t, [(s["begin"], s["end"]) for s in hit])
                    for t, hit in zip(batch.column(text).to_pylist(), batch.column("hit_spans").to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(cut, pa.string()) if c == text else batch.column(c) for c in docs.columns], names=docs.columns)
+            yield pa.RecordBatch.from_arrays([pa.array(cut, pa.string()) if c == text else batch.column(c) for c in names], names=names)
 
-    return scanned.select(*docs.columns, "hit_spans").mapInArrow(run, docs.schema)
+    return scanned.select(*names, "hit_spans").mapInArrow(run, docs.schema)
 
 
 def query(spark, sf_dir):

@@ -13,7 +13,7 @@ crosses a range border is joined up again from the first and last text of every
 range: two rows per range, whatever the data.
 
 Defined results: NULL counts as the empty text; of rows with equal text and
-equal identifier exactly one stays; a NULL identifier sorts below all others;
+equal identifier exactly one stays; a NULL identifier stays only if its text has no other;
 an empty table gives an empty result.
 """
 
@@ -106,7 +106,7 @@ def content_sort(docs: DataFrame, key: str = "doc_id", text: str = "text", keep:
     carried = list(docs.columns) if carry else [key]
     whole = F.coalesce(F.col(text), F.lit(""))
     keyed = docs.select(*carried, whole.alias("x_text"), F.substring(whole, 1, HEAD).alias("x_head"), F.sha2(whole, 256).alias("x_dig"))
-    ident = F.col(key).asc_nulls_first() if keep == "max" else F.col(key).desc_nulls_last()
+    ident = F.col(key).asc_nulls_first() if keep == "max" else F.col(key).desc_nulls_first()
     order = [F.col("x_head"), F.col("x_dig"), ident]
     ordered = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
     schema = T.StructType([*[T.StructField(c, docs.schema[c].dataType) for c in carried], *MARKS.fields])

@@ -200,37 +200,37 @@ def perplexities(docs: DataFrame, labels: DataFrame, carry: list[str] = (), with
     return materialize(rows.groupBy("b").cogroup(slices.groupBy("b")).applyInArrow(_score(list(carry), with_text), schema))
 
 
-def evened(limits: str = "middle", weight: int = PRIOR_BYTES) -> Column:
+def evened(weight: int = PRIOR_BYTES) -> Column:
     """Perplexity as if the text went on for ``weight`` bytes at its language's
     median: a text of a few bytes says little about itself."""
     n = F.col("x_bytes")
-    return F.exp((F.log("x_ppl") * n + F.log(F.col(limits)) * weight) / (n + weight))
+    return F.exp((F.log("x_ppl") * n + F.log("x_mid") * weight) / (n + weight))
 
 
 def _per_language(scored: DataFrame, values: Column, share: float, name: str) -> DataFrame:
-    """(l_lang, name): a quantile over the trusted documents of each language;
+    """(x_of, name): a quantile over the trusted documents of each language;
     languages without trusted documents get the one over all."""
     quantile = F.percentile_approx(values, share, ACCURACY).alias(name)
     trusted = scored.where("x_trusted and x_ppl is not null")
     overall = trusted.agg(quantile).first()[name]
-    seen = scored.groupBy(F.col("x_lang").alias("l_lang")).agg(F.count("*").alias("n_rows"))
-    own = trusted.groupBy(F.col("x_lang").alias("o_lang")).agg(quantile)
-    return materialize(seen.join(own, F.col("l_lang").eqNullSafe(F.col("o_lang")), "left").select(
-        "l_lang", F.coalesce(F.col(name), F.lit(overall).cast("double")).alias(name)))
+    seen = scored.groupBy(F.col("x_lang").alias("x_of")).agg(F.count("*").alias("x_rows"))
+    own = trusted.groupBy(F.col("x_lang").alias("x_by")).agg(quantile)
+    return materialize(seen.join(own, F.col("x_of").eqNullSafe(F.col("x_by")), "left").select(
+        "x_of", F.coalesce(F.col(name), F.lit(overall).cast("double")).alias(name)))
 
 
 def _with(scored: DataFrame, limits: DataFrame) -> DataFrame:
     """One row per language is joined on; NULL is a language."""
-    return scored.join(sized_broadcast(limits), scored["x_lang"].eqNullSafe(F.col("l_lang")), "left").drop("l_lang")
+    return scored.join(sized_broadcast(limits), scored["x_lang"].eqNullSafe(F.col("x_of")), "left").drop("x_of")
 
 
 def judged(scored: DataFrame, quantile: float = QUANTILE, tolerance: float = TOLERANCE) -> DataFrame:
     """``scored`` plus x_even (the perplexity that is judged), x_limit and x_keep."""
-    middles = _per_language(scored, F.col("x_ppl"), 0.5, "middle")
-    level = _with(scored, middles).withColumn("x_even", F.coalesce(evened(), F.col("x_ppl"))).drop("middle")
-    limits = _per_language(level, F.col("x_even"), quantile, "limit")
+    middles = _per_language(scored, F.col("x_ppl"), 0.5, "x_mid")
+    level = _with(scored, middles).withColumn("x_even", F.coalesce(evened(), F.col("x_ppl"))).drop("x_mid")
+    limits = _per_language(level, F.col("x_even"), quantile, "x_lim")
     kept = F.col("x_ppl").isNotNull() & F.coalesce(F.col("x_even") <= F.col("x_limit"), F.lit(True))
-    return _with(level, limits).withColumn("x_limit", F.col("limit") * tolerance).withColumn("x_keep", kept).drop("limit")
+    return _with(level, limits).withColumn("x_limit", F.col("x_lim") * tolerance).withColumn("x_keep", kept).drop("x_lim")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **rules) -> DataFrame:

@@ -302,6 +302,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", w: int = W, k: int = K,
     sorted pieces that may still touch; t1 and t2 stand for the text."""
     rows = materialize(context_rows(docs, text, w, k))
     state = rows.groupBy("kg").agg(F.count("*").alias("total"), F.min("ch").alias("c0"), F.max("ch").alias("c1")).where("total > 1")
+    state = materialize(state)  # read from a table, the join below may split a hot anchor
     shared = materialize(rows.join(state, "kg").select("kg", "ch", "t1", "t2", "begin", "n_win", "off", (F.col("c0") == F.col("c1")).alias("same")))
     mixed = shared.where("not same")
     kinds = mixed.groupBy("kg", "ch").agg(F.count("*").alias("n"), F.min(F.struct("t1", "t2", "begin", "n_win", "off")).alias("at"))
