@@ -6,8 +6,8 @@ document's perplexity, evened out for very short texts, is compared with a
 threshold of its language, a quantile of the trusted documents' perplexities
 times a tolerance; documents above it are rejected.
 
-Documents and labels are dealt to buckets by document, once.  Each bucket gives
-its distinct n-grams with their trusted counts; these are added up by n-gram,
+Documents and labels are dealt to buckets of about ``BUCKET_BYTES`` of text by
+document, once, with the texts compressed.  Each bucket gives its distinct n-grams with their trusted counts; these are added up by n-gram,
 the lower orders follow as continuation counts (the number of different
 one-symbol extensions to the left), discounts come from the counts of counts,
 and the probabilities of all n-grams that occur anywhere are worked out by joins
@@ -31,13 +31,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_texts, documents, materialize, shuffle_partitions, sized_broadcast, table
+from .common import documents, materialize, shuffle_partitions, sized_broadcast, table
 
-ORDER = 5
+ORDER = 4
+BUCKET_BYTES = 16 << 20
 QUANTILE = 0.99
 TOLERANCE = 1.05
 PRIOR_BYTES = 32
@@ -60,18 +62,33 @@ def grams(text: bytes) -> np.ndarray:
     return g
 
 
-def dealt(docs: DataFrame, labels: DataFrame, carry: list[str], n: int) -> DataFrame:
-    """Documents and labels by bucket: (b, x_id, x_kind, x_good, x_lang, x_text, carry...).
-    A label row has x_kind 0 and sorts before its documents."""
+def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one, so that fewer bytes are shuffled."""
+    squeeze = zstandard.ZstdCompressor(level=3, write_content_size=True).compress
+    for batch in batches:
+        at = batch.schema.get_field_index("x_text")
+        small = pa.array([None if t is None else squeeze(t) for t in batch.column(at).cast(pa.binary()).to_pylist()], pa.binary())
+        yield batch.set_column(at, "x_text", small)
+
+
+def unpacked(column: pa.Array) -> list[bytes]:
+    expand = zstandard.ZstdDecompressor().decompress
+    return [expand(t) if t else b"" for t in column.to_pylist()]
+
+
+def dealt(docs: DataFrame, labels: DataFrame, carry: list[str], n: int, buckets: int) -> DataFrame:
+    """Documents and labels by bucket: (b, x_id, x_kind, x_good, x_lang, x_text, carry...),
+    texts compressed.  A label row has x_kind 0 and sorts before its documents."""
     key = F.col("doc_id").cast("long")
-    bucket = lambda k: F.pmod(k, F.lit(2 * n)).cast("int")
+    bucket = lambda k: F.pmod(k, F.lit(buckets)).cast("int")
     text = F.coalesce(F.col("text"), F.lit(""))
     left = docs.select(bucket(F.when(key.isNull(), F.xxhash64(text)).otherwise(F.xxhash64(key))).alias("b"), key.alias("x_id"),
                        F.lit(1).alias("x_kind"), F.lit(False).alias("x_good"), F.col("lang").alias("x_lang"), F.col("text").alias("x_text"),
                        *[F.col(c) for c in carry])
+    left = left.mapInArrow(packed, T.StructType([T.StructField("x_text", T.BinaryType()) if f.name == "x_text" else T.StructField(f.name, f.dataType) for f in left.schema]))
     marks = labels.where(F.col("doc_id").isNotNull()).select(
         bucket(F.xxhash64(key)).alias("b"), key.alias("x_id"), F.lit(0).alias("x_kind"), F.coalesce(F.col("quality") == 1, F.lit(False)).alias("x_good"),
-        F.lit(None).cast("string").alias("x_lang"), F.lit(None).cast("string").alias("x_text"), *[F.lit(None).cast(docs.schema[c].dataType).alias(c) for c in carry])
+        F.lit(None).cast("string").alias("x_lang"), F.lit(None).cast("binary").alias("x_text"), *[F.lit(None).cast(docs.schema[c].dataType).alias(c) for c in carry])
     return left.unionByName(marks).repartition(n, "b")
 
 
@@ -102,7 +119,7 @@ def _bucket_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         return pa.RecordBatch.from_arrays([pa.array(np.full(g.size, bucket, np.int32)), pa.array(g), pa.array(c)], names=["b", "g", "c"])
 
     for batch in batches:
-        for b, key, kind, label, text in zip(*[batch.column(c).to_pylist() for c in ("b", "x_id", "x_kind", "x_good")], byte_texts(batch.column("x_text"))):
+        for b, key, kind, label, text in zip(*[batch.column(c).to_pylist() for c in ("b", "x_id", "x_kind", "x_good")], unpacked(batch.column("x_text"))):
             if b != bucket:
                 if bucket is not None:
                     yield rows()
@@ -170,12 +187,15 @@ def _score(carry: list[str], with_text: bool):
         trusted = {i for i, k, x in zip(ids, kinds, goods) if k == 0 and x}
         docs = rows.filter(pa.array([k == 1 for k in kinds], pa.bool_()))
         ppl, sizes = [], []
-        for text in (t.as_py() or b"" for t in docs.column("x_text").cast(pa.binary())):
+        whole = unpacked(docs.column("x_text"))
+        for text in whole:
             sizes.append(len(text))
             total = sum(float(logp[np.searchsorted(g, grams(text)[i:i + CHUNK])].sum()) for i in range(0, len(text), CHUNK))
             ppl.append(math.exp(-total / len(text)) if text else None)
         carried = [*(("x_text",) if with_text else ()), *carry]
-        out = [docs.column(c) for c in ("x_id", "x_lang", *carried)]
+        blank = docs.column("x_text").is_null().to_pylist()
+        texts = pa.array([None if null else t.decode() for t, null in zip(whole, blank)], pa.string()) if with_text else None
+        out = [texts if c == "x_text" else docs.column(c) for c in ("x_id", "x_lang", *carried)]
         good = [i in trusted for i in docs.column("x_id").to_pylist()]
         return pa.table([*out, pa.array(good, pa.bool_()), pa.array(sizes, pa.int64()), pa.array(ppl, pa.float64())],
                         names=["x_id", "x_lang", *carried, "x_trusted", "x_bytes", "x_ppl"])
@@ -190,7 +210,8 @@ def perplexities(docs: DataFrame, labels: DataFrame, carry: list[str] = (), with
     if clash:
         raise ValueError(f"columns {clash} clash with the classifier's")
     n = shuffle_partitions(docs.sparkSession)
-    rows = dealt(docs, labels, list(carry), n)
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rows = dealt(docs, labels, list(carry), n, -(-total // BUCKET_BYTES) or 1)
     asked = rows.sortWithinPartitions("b", "x_id", "x_kind").mapInArrow(_bucket_grams, "b int, g long, c long").repartition(n, "g")
     probs = log_probabilities(asked.groupBy("g").agg(F.sum("c").alias("c")))
     slices = asked.select("b", "g").join(probs, "g").select("b", "g", "logp")
