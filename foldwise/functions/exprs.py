@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
@@ -207,6 +207,14 @@ def safe_cast(col: str | Column, to: str) -> Column:
     return _c(col).try_cast(to)
 
 
+def nan_as_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """NaN means missing: floating columns (of ``columns``, all when None) with
+    NaN turned into NULL.  Done at the entry of every fit and apply."""
+    floating = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")
+                and (columns is None or f.name in columns)]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floating}) if floating else df
+
+
 def pct(num: str | Column, den: str | Column, decimals: int = 2) -> Column:
     """rounded percentage."""
     return F.round(F.lit(100.0) * _c(num) / _c(den), decimals)

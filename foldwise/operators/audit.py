@@ -3,8 +3,9 @@
 The reference hashes output files byte by byte.  Files written by a cluster
 come in many parts whose order and split points vary, so the check is
 re-aimed at an order-insensitive *table fingerprint*: row count plus the sum
-of a 32-bit slice of each row's MD5, taken in DECIMAL so the sum cannot
-overflow.  Equal tables give equal fingerprints whatever the partitioning;
+of the first 60 bits of each row's MD5, taken in DECIMAL so the sum cannot
+overflow.  Every cell goes into the digest behind its length, so cells that
+contain the separator or the NULL mark are told apart.  Equal tables give equal fingerprints whatever the partitioning;
 one changed cell changes it (with overwhelming probability).
 """
 
@@ -17,18 +18,20 @@ from pyspark.sql import functions as F
 
 from .profile import null_counts
 
-NULL_TOKEN = "␀"
+NULL_TOKEN = "␀"  # without a length, unlike a cell with that text
+DIGEST_DIGITS = 15
 
 
 def row_digest(df: DataFrame, columns: Sequence[str] | None = None):
     cols = list(columns or df.columns)
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_TOKEN)) for c in cols]
+    text = [F.col(c).cast("string") for c in cols]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit(NULL_TOKEN)) for t in text]
     return F.md5(F.concat_ws("|", *parts))
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(rows, fingerprint)`` of a table, independent of row order."""
-    h = F.conv(F.substring(row_digest(df, columns), 1, 8), 16, 10).cast("decimal(38,0)")
+    h = F.conv(F.substring(row_digest(df, columns), 1, DIGEST_DIGITS), 16, 10).cast("decimal(38,0)")
     return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(h).cast("decimal(38,0)").cast("string").alias("fingerprint"))
 
 

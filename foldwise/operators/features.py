@@ -66,6 +66,7 @@ CLEAN_COLUMNS = [
     "FareMissing", "CabinMissing",
 ]
 
+# Which clean columns are scaled, passed through and one-hot encoded.
 SCALED_COLUMNS = ["AgeFilled", "FareFilled"]
 PASSTHROUGH_COLUMNS = [
     "SexEncoded", "SibSp", "Parch", "FamilySize", "IsAlone", "FareLog", "FarePerPerson",
@@ -103,23 +104,24 @@ class FeatureParams:
 
 
 def _derived(df: DataFrame, r: Roles, by: Sequence[str]) -> DataFrame:
-    return df.select(*by, r.cls, r.sex, r.age, r.fare, r.embarked,
+    return X.nan_as_null(df, r.raw_features()).select(*by, r.cls, r.sex, r.age, r.fare, r.embarked,
                      X.title_b(r.name).alias(_TITLE), X.ticket_prefix(r.ticket).alias(_PREFIX))
 
 
-def fit_features(train: DataFrame, r: Roles = Roles(), by: Sequence[str] = (),
-                 method: str = "ranked") -> FeatureParams:
+def fit_features(train: DataFrame, r: Roles = Roles(), by: Sequence[str] = ()) -> FeatureParams:
     """Learn every statistic of the feature row from ``train`` only.
 
     The label is never read, so flipping it cannot change a parameter (D11).
     """
     by = tuple(by)
+    absent = [c for c in [*by, *r.raw_features()] if c not in train.columns]
+    if absent:
+        raise ValueError(f"the training rows lack the columns {absent}")
     # the narrow projection every statistic reads: computed once (one scan of
     # the training rows and their joins), not once per statistic
     d = materialize(_derived(train, r, by))
-    n = d.count()                      # from the written files' metadata
     both = materialize(tiered_quantiles(d, [("age", age_tiers(r), r.age), ("fare", fare_tiers(r), r.fare)],
-                                        by=by, method=method, rows_bound=n))
+                                        by=by))
     age = both.where(F.col(STAT) == "age").drop(STAT)
     fare = both.where(F.col(STAT) == "fare").drop(STAT, _TITLE, r.sex)
     # port and ticket-prefix frequencies in one GROUPING SETS pass
@@ -130,8 +132,7 @@ def fit_features(train: DataFrame, r: Roles = Roles(), by: Sequence[str] = (),
     prefixes = freq.where(F.col(_PREFIX).isNotNull() & F.col(r.embarked).isNull()
                           & (F.col("count") >= r.ticket_min_count)).select(*by, _PREFIX, "count")
     filled = apply_tiered(d, fare, fare_tiers(r), r.fare, "_fare_filled", by=by)
-    edges = materialize(quantile_edges(filled, "_fare_filled", r.fare_quantiles, by=by, method=method,
-                                       rows_bound=n))
+    edges = materialize(quantile_edges(filled, "_fare_filled", r.fare_quantiles, by=by))
     return FeatureParams(age, fare, port, prefixes, edges, by)
 
 
@@ -143,7 +144,7 @@ def apply_features(df: DataFrame, p: FeatureParams, r: Roles = Roles(),
     batch is read once; all parameter joins are broadcast hash joins.
     """
     by = list(p.by)
-    base = df.select(*dict.fromkeys([*keep, *by, *r.raw_features()]),
+    base = X.nan_as_null(df, r.raw_features()).select(*dict.fromkeys([*keep, *by, *r.raw_features()]),
                      X.title_b(r.name).alias(_TITLE), X.ticket_prefix(r.ticket).alias(_PREFIX))
     t = apply_tiered(base, p.age, age_tiers(r), r.age, "_age_filled", by=by)
     t = apply_tiered(t, p.fare, fare_tiers(r), r.fare, "_fare_filled", by=by)
@@ -183,5 +184,7 @@ def apply_features(df: DataFrame, p: FeatureParams, r: Roles = Roles(),
         "FareMissing": X.flag(F.col(r.fare).isNull()),
         "CabinMissing": X.flag(F.col(r.cabin).isNull()),
     }
+    # the key comes first, then what is carried along (the label at position 1)
     carried = [c for c in dict.fromkeys([*keep, *by]) if c not in cols]
-    return t.select(*carried, *[e.alias(n) for n, e in cols.items()])
+    key, *rest = [e.alias(n) for n, e in cols.items()]
+    return t.select(key, *carried, *rest)

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exprs import nan_as_null
 from .quantiles import grouped_quantiles, not_missing, quantiles_from_counts
 
 TIER = "_tier"
@@ -26,8 +27,7 @@ def _union_all(frames: list[DataFrame]) -> DataFrame:
 
 
 def tiered_quantile(df: DataFrame, tiers: Sequence[Sequence[str]], value: str,
-                    by: Sequence[str] = (), prob: float = 0.5, out: str = "median",
-                    method: str = "ranked", rows_bound: int | None = None) -> DataFrame:
+                    by: Sequence[str] = (), prob: float = 0.5, out: str = "median") -> DataFrame:
     """A1/A2/A3: exact quantile (median by default) of ``value`` for each key tier.
 
     ``tiers`` lists key sets from the most to the least specific, e.g.
@@ -36,11 +36,10 @@ def tiered_quantile(df: DataFrame, tiers: Sequence[Sequence[str]], value: str,
     NULL key are left out of the tiers using that key (a missing key never
     matches on apply), and missing values are ignored.
 
-    ``ranked``: value counts are taken once at the finest grain and rolled up
-    to every tier before the rank search, so the input is read once.
-    ``direct``: Spark's ``percentile`` per tier (one value map per group).
+    Value counts are taken once at the finest grain (map-side combine) and the
+    counts are rolled up to every tier before the rank search.
     """
-    res = tiered_quantiles(df, [("_", tiers, value)], by, prob, out, method, rows_bound)
+    res = tiered_quantiles(df, [("_", tiers, value)], by, prob, out)
     return res.drop(STAT)
 
 
@@ -58,36 +57,24 @@ def _ordered_keys(tier_lists) -> list[str]:
 
 
 def tiered_quantiles(df: DataFrame, specs: Sequence[tuple[str, Sequence[Sequence[str]], str]],
-                     by: Sequence[str] = (), prob: float = 0.5, out: str = "median",
-                     method: str = "ranked", rows_bound: int | None = None) -> DataFrame:
+                     by: Sequence[str] = (), prob: float = 0.5, out: str = "median") -> DataFrame:
     """Several tiered quantiles in one pass: ``specs`` = [(stat, tiers, value)].
 
-    Result ``(_stat, _tier, <all keys>, <by>, out)``.  With ``ranked`` all
-    measures share one rank search (one set of jobs for the whole fit).
-    ``rows_bound`` = known row count of ``df`` (bounds the rolled-up counts).
+    Result ``(_stat, _tier, <all keys>, <by>, out)``.  All measures share one
+    rank search (one set of jobs for the whole fit).
     """
     by = list(by)
     all_keys = _ordered_keys([t for _, t, _ in specs])
-    if method == "direct":
-        parts = []
-        for stat, tiers, value in specs:
-            for i, t in enumerate(tiers):
-                rows = df
-                for k in t:
-                    rows = rows.where(F.col(k).isNotNull())
-                q = grouped_quantiles(rows, [*by, *t], value, [prob], method="direct")
-                parts.append(q.withColumn(TIER, F.lit(i)).withColumn(STAT, F.lit(stat))
-                             .withColumnRenamed("q0", out))
-        return _union_all(parts).select(STAT, TIER, *all_keys, *by, out)
     parts = []
     for stat, tiers, value in specs:
         keys = _ordered_keys([tiers])
         grouping = [*by, *keys, "_v"]
-        # one GROUPING SETS aggregation rolls the value counts up to every tier
+        # rows are counted once at the finest grain; GROUPING SETS then copies
+        # counts, not rows, once per tier
         sets = [[*by, *t, "_v"] for t in tiers]
         rows = df.where(not_missing(df, value)).withColumn("_v", F.col(value).cast("double"))
-        counted = rows.groupingSets(sets, *grouping).agg(F.count(F.lit(1)).alias("_n"),
-                                                         F.grouping_id().alias("_gid"))
+        finest = rows.groupBy(*grouping).agg(F.count(F.lit(1)).alias("_m"))
+        counted = finest.groupingSets(sets, *grouping).agg(F.sum("_m").alias("_n"), F.grouping_id().alias("_gid"))
         tier_of = None
         for i, t in enumerate(tiers):
             kept = {*by, *t, "_v"}
@@ -102,9 +89,7 @@ def tiered_quantiles(df: DataFrame, specs: Sequence[tuple[str, Sequence[Sequence
                       .withColumn(STAT, F.lit(stat)).drop("_gid")
         parts.append(part)
     rolled = _union_all(parts)
-    levels = sum(len(t) for _, t, _ in specs)
-    q = quantiles_from_counts(rolled, [STAT, TIER, *by, *all_keys], "_v", [prob],
-                              rows_bound=None if rows_bound is None else rows_bound * levels)
+    q = quantiles_from_counts(rolled, [STAT, TIER, *by, *all_keys], "_v", [prob])
     return q.withColumnRenamed("q0", out).select(STAT, TIER, *all_keys, *by, out)
 
 
@@ -130,16 +115,14 @@ def frequent_values(df: DataFrame, column: str, min_count: int, by: Sequence[str
 
 
 def quantile_edges(df: DataFrame, value: str, q: int, by: Sequence[str] = (),
-                   out: str = "edges", method: str = "ranked", decimals: int | None = 6,
-                   rows_bound: int | None = None) -> DataFrame:
+                   out: str = "edges", decimals: int | None = None) -> DataFrame:
     """``q`` equal-mass bins.  Returns the *inner* edges (array<double>),
     duplicates dropped, so the bins are (-inf, e1], (e1, e2], ..., (e_last, inf).
 
-    Edges are rounded to ``decimals`` so that engines with different
-    interpolation arithmetic bin a value that sits on an edge identically.
+    Edges are exact unless ``decimals`` asks for rounding.
     """
     probs = [i / q for i in range(q + 1)]
-    qs = grouped_quantiles(df, list(by), value, probs, method=method, rows_bound=rows_bound)
+    qs = grouped_quantiles(df, list(by), value, probs)
     inner = [F.col(f"q{i}") for i in range(1, q)]
     if decimals is not None:
         inner = [F.round(c, decimals) for c in inner]
@@ -159,7 +142,7 @@ def mean_std(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> D
     aggs = []
     for c in columns:
         aggs += [F.avg(c).alias(f"{c}__mean"), F.stddev_pop(c).alias(f"{c}__std")]
-    wide = df.groupBy(*by).agg(*aggs)
+    wide = nan_as_null(df, columns).groupBy(*by).agg(*aggs)
     stacked = F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"))
         for c in columns]))

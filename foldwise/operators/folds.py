@@ -3,8 +3,10 @@
 Fold rule (reproducible in any SQL engine): order the rows by
 ``(label, md5(concat_ws('|', key, seed)))``, number them 0..n-1 and deal
 ``fold = idx % k + 1``.  Fold sizes differ by at most one and each label is
-spread evenly.  The global index comes from :func:`ranks.global_index`, which
-never routes a label (two groups!) through one task.
+spread evenly.  The index of a row is the number of rows in the buckets before
+its own (a bucket: one label and one value of the first ``BUCKET_DIGITS`` hex
+digits of the hash, counted with a map-side combine) plus its place inside the
+bucket, so no label (two groups!) goes through one task and rows are shuffled once.
 
 A *split* is one training set with its validation rows.  ``split_membership``
 expands every row into the splits it belongs to (``role`` = train / valid):
@@ -17,11 +19,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
-from .ranks import global_index
+from ..functions.exprs import nan_as_null
+from ..session import materialize, sized_broadcast
 
 TRAIN, VALID = "train", "valid"
 
@@ -31,6 +33,27 @@ def fold_hash(key: str, seed: int | Column) -> Column:
     return F.md5(F.concat_ws("|", F.col(key).cast("string"), seed_col.cast("string")))
 
 
+# 65,536 buckets per label: their counts fit one task, and 100 TB of rows leave
+# about a million rows in each
+BUCKET_DIGITS = 4
+
+
+def hashed_index(df: DataFrame, h: Column, first: Sequence[str], group_by: Sequence[str], out: str) -> DataFrame:
+    """Add ``out``: the 0-based position in the order ``(*first, h)`` inside
+    ``group_by``, for a uniformly distributed hex string ``h``."""
+    tagged = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, BUCKET_DIGITS))
+    bucket = [*group_by, *first, "_b"]
+    sizes = tagged.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy(*group_by) if group_by else Window.partitionBy(F.lit(0))
+    before = before.orderBy(*first, "_b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*[F.col(c).alias(f"_o_{c}") for c in bucket],
+                          F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    inside = tagged.withColumn("_place", F.row_number().over(Window.partitionBy(*bucket).orderBy("_h")))
+    match = [inside[c].eqNullSafe(starts[f"_o_{c}"]) for c in bucket]
+    return (inside.join(starts, match).withColumn(out, F.col("_start") + F.col("_place") - 1)
+            .drop("_h", "_b", "_place", "_start", *[f"_o_{c}" for c in bucket]))
+
+
 def assign_folds(df: DataFrame, key: str, label: str, k: int, seed: int,
                  out: str = "fold", group_by: Sequence[str] = (), seed_col: Column | None = None,
                  approximate: bool = False) -> DataFrame:
@@ -43,22 +66,20 @@ def assign_folds(df: DataFrame, key: str, label: str, k: int, seed: int,
         s = seed_col if seed_col is not None else F.lit(seed)
         return df.withColumn(out, (F.pmod(F.xxhash64(F.col(key), s), F.lit(k)) + 1).cast("int"))
     h = fold_hash(key, seed_col if seed_col is not None else seed)
-    tagged = df.withColumn("_h", h)
-    idx = global_index(tagged, [label, "_h"], group_by=group_by, out="_idx")
-    return idx.withColumn(out, (F.col("_idx") % k + 1).cast("int")).drop("_h", "_idx")
+    idx = hashed_index(df, h, [label], list(group_by), "_idx")
+    return idx.withColumn(out, (F.col("_idx") % k + 1).cast("int")).drop("_idx")
 
 
 def holdout_split(df: DataFrame, key: str, label: str, test_size: float, seed: int,
                   out: str = "role") -> DataFrame:
     """Stratified hold-out: per label the first ``ceil(n_label*test_size)``
     rows in hash order go to ``valid``."""
-    tagged = df.withColumn("_h", fold_hash(key, seed))
-    idx = global_index(tagged, ["_h"], group_by=[label], out="_idx")
-    n = idx.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    joined = idx.join(F.broadcast(n), label)      # one row per label value
+    idx = hashed_index(df, fold_hash(key, seed), [], [label], "_idx")
+    n = df.groupBy(F.col(label).alias("_l")).agg(F.count(F.lit(1)).alias("_n"))
+    joined = idx.join(sized_broadcast(n), F.col(label).eqNullSafe(F.col("_l")))      # one row per label value
     return (joined.withColumn(out, F.when(F.col("_idx") < F.ceil(F.col("_n") * test_size), F.lit(VALID))
                               .otherwise(F.lit(TRAIN)))
-            .drop("_h", "_idx", "_n"))
+            .drop("_idx", "_n", "_l"))
 
 
 def split_membership(df: DataFrame, key: str, label: str, outer_k: int = 5, inner_k: int = 4,
@@ -95,33 +116,36 @@ def fold_sizes(folds: DataFrame, fold: str = "fold", label: str | None = None) -
     return folds.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def fold_moments(df: DataFrame, columns: Sequence[str], fold: str, k: int,
-                 scale: int = 6) -> DataFrame:
+def fold_moments(df: DataFrame, columns: Sequence[str], fold: str, k: int) -> DataFrame:
     """V1 for additive statistics: count, mean and population std of each column
-    over the training rows of every fold (= all rows minus the fold's rows),
-    from one pass over the data and no row expansion.
+    over the training rows of every fold, from one pass over the data and no row
+    expansion.
 
-    Sums are taken in DECIMAL(38, ``scale``) so that "total minus fold" is
-    exact; values are rounded to ``scale`` decimals first.
+    Per fold ``(n, mean, M2)`` are taken in one aggregation; those of the k-1
+    other folds are then merged (Chan et al.), which neither rounds the values
+    nor subtracts large sums from each other.
     Result: ``(fold, feature, n, mean, std)``.
     """
-    dec = f"decimal(38,{scale})"
     aggs = []
     for c in columns:
-        v = F.col(c).cast(dec)
-        aggs += [F.count(v).alias(f"{c}__n"), F.sum(v).alias(f"{c}__s"),
-                 F.sum(v * v).alias(f"{c}__ss")]
-    per = df.groupBy(fold).agg(*aggs)
-    tot = per.agg(*[F.sum(F.col(f"{c}__{m}")).alias(f"{c}__t{m}") for c in columns for m in ("n", "s", "ss")])
-    folds = per.sparkSession.range(1, k + 1).select(F.col("id").cast("int").alias(fold))
-    j = folds.join(per, fold, "left").crossJoin(tot)
-    out = []
-    for c in columns:
-        n = F.col(f"{c}__tn") - F.coalesce(F.col(f"{c}__n"), F.lit(0))
-        s = F.col(f"{c}__ts") - F.coalesce(F.col(f"{c}__s"), F.lit(0))
-        ss = F.col(f"{c}__tss") - F.coalesce(F.col(f"{c}__ss"), F.lit(0))
-        mean = s.cast("double") / n
-        var = (ss.cast("double") - s.cast("double") * s.cast("double") / n) / n
-        out.append(F.struct(F.lit(c).alias("feature"), n.cast("long").alias("n"), mean.alias("mean"),
-                            F.sqrt(F.greatest(var, F.lit(0.0))).alias("std")))
-    return j.select(fold, F.explode(F.array(*out)).alias("_m")).select(fold, "_m.*")
+        v = F.col(c).cast("double")
+        aggs += [F.count(v).alias(f"{c}__n"), F.avg(v).alias(f"{c}__mean"),
+                 (F.var_pop(v) * F.count(v)).alias(f"{c}__m2")]
+    per = nan_as_null(df, columns).groupBy(fold).agg(*aggs)
+    one = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"{c}__n").alias("n"), F.col(f"{c}__mean").alias("mean"),
+                                       F.col(f"{c}__m2").alias("m2")) for c in columns]))
+    long = per.select(F.col(fold).alias("_of"), one.alias("_m")).select("_of", "_m.*").where("n > 0")
+    # k rows per feature: each goes to the k-1 training sets it belongs to
+    to = F.explode(F.array_except(F.sequence(F.lit(1), F.lit(k)), F.array(F.col("_of").cast("int"))))
+    parts = F.sort_array(F.collect_list(F.struct(F.col("_of"), F.col("n").cast("double").alias("n"), "mean", "m2")))
+    sets = long.withColumn(fold, to).groupBy(fold, "feature").agg(parts.alias("_p"))
+
+    def merge(a, b):
+        n, d = a["n"] + b["n"], b["mean"] - a["mean"]
+        return F.struct(n.alias("n"), (a["mean"] + d * b["n"] / n).alias("mean"),
+                        (a["m2"] + b["m2"] + d * d * a["n"] * b["n"] / n).alias("m2"))
+
+    zero = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    total = F.aggregate("_p", zero, merge)
+    return sets.withColumn("_t", total).select(fold, "feature", F.col("_t.n").cast("long").alias("n"), F.col("_t.mean").alias("mean"),
+                                               F.sqrt(F.col("_t.m2") / F.col("_t.n")).alias("std"))

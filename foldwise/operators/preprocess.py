@@ -45,7 +45,7 @@ def _src_title(r: Roles):
 def fit_src(train: DataFrame, r: Roles, fill_age_by_group: bool = True, encode_categorical: bool = True,
             scale_features: bool = True, extract_deck: bool = True) -> SrcParams:
     """E10 fit: every statistic from ``train`` only."""
-    d = train.select("*", _src_title(r))
+    d = X.nan_as_null(train, r.raw_features()).select("*", _src_title(r))
     age = None
     if fill_age_by_group:
         age = materialize(tiered_quantile(d, [["_title", r.sex, r.cls], []], r.age))
@@ -85,7 +85,7 @@ def _fill(d: DataFrame, r: Roles, age, fare, port) -> DataFrame:
 def transform_src(df: DataFrame, p: SrcParams, r: Roles) -> DataFrame:
     """E10 transform: title, deck, fills, label codes, family features, frozen
     fare bins, coded age bands, then standardisation of the fitted columns."""
-    t = _fill(df.select("*", _src_title(r)), r, p.age, p.fare_median, p.port_mode)
+    t = _fill(X.nan_as_null(df, r.raw_features()).select("*", _src_title(r)), r, p.age, p.fare_median, p.port_mode)
     t = t.withColumnRenamed("_title", "Title")
     if p.flags["extract_deck"]:
         t = t.withColumn("Deck", X.first_letter(r.cabin, X.SRC_CABIN_MISSING))
@@ -125,7 +125,7 @@ def create_all_features(df: DataFrame, r: Roles, family: bool = True, title: boo
     computed on ``df`` itself (one-row aggregates joined back), as the
     original did; use :func:`fit_src` / :func:`transform_src` for models.
     """
-    t = df
+    t = X.nan_as_null(df)
     if title:
         t = t.withColumn("Title", X.title_src(r.name))
     if family:

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from ..functions.exprs import nan_as_null
+from ..session import materialize, sized_broadcast
 from .quantiles import grouped_quantiles
 
 
@@ -77,20 +79,20 @@ def count_and_rate(df: DataFrame, key: Column, key_name: str, label: str, decima
         F.count(F.lit(1)).alias("count"), F.round(F.avg(label) * 100, decimals).alias("rate_pct"))
 
 
-def describe(df: DataFrame, columns: Sequence[str], method: str = "ranked") -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Exact ``describe``: count, mean, sample std, min, quartiles, max per column.
 
     Long form ``(feature, count, mean, std, min, q25, q50, q75, max)``.  The
     quartiles are exact (``summary()`` would give approximate ones).
     """
     columns = list(columns)
-    long = df.select(F.explode(F.array(*[
+    long = nan_as_null(df, columns).select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns]))
         .alias("_s")).select("_s.*")
     basic = long.groupBy("feature").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
-    qs = grouped_quantiles(long, ["feature"], "value", [0.25, 0.5, 0.75], method=method)
+    qs = grouped_quantiles(long, ["feature"], "value", [0.25, 0.5, 0.75])
     qs = qs.select("feature", F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75"))
     return basic.join(qs, "feature", "left").select(
         "feature", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
@@ -143,20 +145,20 @@ def histogram(df: DataFrame, value: str, bins: int, where: Column | None = None)
                           (F.col("_lo") + (F.col("bin") + 1) * width).alias("upper"), "count")
 
 
-def box_stats(df: DataFrame, value: str, by: Sequence[str], whisker: float = 1.5,
-              method: str = "ranked") -> DataFrame:
+def box_stats(df: DataFrame, value: str, by: Sequence[str], whisker: float = 1.5) -> DataFrame:
     """Quartiles, whiskers (furthest values inside 1.5 IQR fences) and the
     number of outliers per group."""
     by = list(by)
-    rows = df.where(F.col(value).isNotNull())
-    q = grouped_quantiles(rows, by, value, [0.25, 0.5, 0.75], method=method).select(
+    rows = nan_as_null(df, [value]).where(F.col(value).isNotNull())
+    q = grouped_quantiles(rows, by, value, [0.25, 0.5, 0.75]).select(
         *by, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     q = q.withColumn("_lf", F.col("q1") - whisker * (F.col("q3") - F.col("q1"))) \
          .withColumn("_uf", F.col("q3") + whisker * (F.col("q3") - F.col("q1")))
     v = F.col(value)
     inside = (v >= F.col("_lf")) & (v <= F.col("_uf"))
-    # the quartile table has one row per group; AQE broadcasts it from its
-    # measured size, a shuffle join remains for very many groups
+    # the quartile table has one row per group: stored, then sent to the rows
+    # behind a check of its size; a shuffle join remains for very many groups
+    q = sized_broadcast(materialize(q))
     joined = rows.join(q, by, "inner") if by else rows.crossJoin(q)
     agg = joined.groupBy(*by, "q1", "median", "q3").agg(
         F.min(F.when(inside, v)).alias("whisker_low"), F.max(F.when(inside, v)).alias("whisker_high"),
@@ -164,11 +166,12 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str], whisker: float = 1.5
     return agg
 
 
-def mean_median(df: DataFrame, value: str, by: Sequence[str] = (), method: str = "ranked") -> DataFrame:
+def mean_median(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Mean and exact median (reference lines of a histogram)."""
     by = list(by)
+    df = nan_as_null(df, [value])
     m = df.groupBy(*by).agg(F.avg(value).alias("mean"))
-    med = grouped_quantiles(df, by, value, [0.5], method=method).withColumnRenamed("q0", "median")
+    med = grouped_quantiles(df, by, value, [0.5]).withColumnRenamed("q0", "median")
     return m.join(med, by, "inner") if by else m.crossJoin(med)
 
 

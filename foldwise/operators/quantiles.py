@@ -1,17 +1,9 @@
 """Exact grouped quantiles (linear interpolation, ``quantile_cont`` semantics).
 
-Two strategies:
-
-* ``"ranked"`` (default): pre-aggregate to ``(group, value, count)`` with a
-  map-side combine.  If that table is provably small (its row count, or a
-  bound given by the caller, is within ``ranks.SINGLE_TASK_ROWS``) Spark's
-  exact ``percentile`` with frequencies finishes in one aggregation; otherwise
-  the values at the two ranks around ``p * (n - 1)`` are found with the
-  range-sliced running sum of :mod:`.ranks`.  No group, however large or
-  however many distinct values it has, is ever held by one task beyond that
-  bound.
-* ``"direct"``: Spark's built-in ``percentile``; one value->count map per group
-  in one task.  Fast when every group has a bounded number of distinct values.
+Values are pre-aggregated to ``(group, value, count)`` with a map-side combine;
+the values at the two ranks around ``p * (n - 1)`` are found with the
+range-sliced running sum of :mod:`.ranks`.  No group, however large or however
+many distinct values it has, is ever held by one task.
 
 NULL values are ignored; a group whose values are all NULL yields NULL (the
 caller falls back to a coarser level).
@@ -25,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import ranks
-from ..session import materialize
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -44,36 +35,13 @@ def not_missing(df: DataFrame, name: str):
 
 def quantiles_from_counts(counts: DataFrame, keys: Sequence[str], value: str,
                           probs: Sequence[float], count_col: str = "_n",
-                          slices: int | None = None, single_task_rows: int | None = None,
-                          rows_bound: int | None = None) -> DataFrame:
+                          slices: int | None = None) -> DataFrame:
     """Quantiles from a ``(keys, value, count)`` table with unique ``(keys, value)``.
 
-    The counts table is materialised and its row count read from file
-    metadata.  When it is small enough for one task (``ranks.SINGLE_TASK_ROWS``)
-    no group can exceed that bound either, and Spark's exact ``percentile``
-    with frequencies runs as one aggregation.  Otherwise the values at the ranks
-    around ``p * (n - 1)`` are found with the range-sliced running sum, so a
-    hot group is spread over many tasks.
-
-    ``rows_bound``, when the caller knows one (e.g. the row count of a
-    materialised input times the number of roll-up levels), proves the counts
-    table small without writing it first.
-
     Returns ``(keys..., q0, q1, ...)`` one column per probability, DOUBLE.
     """
     keys = list(keys)
-    limit = ranks.SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
-    if rows_bound is not None and rows_bound <= limit:
-        data = counts.select(*keys, value, count_col)
-        small = True
-    else:
-        data = materialize(counts.select(*keys, value, count_col))
-        small = data.count() <= limit
-    if small:
-        arr = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(float(p)) for p in probs]),
-                           F.col(count_col))
-        res = data.groupBy(*keys).agg(arr.alias("_qs"))
-        return res.select(*keys, *[F.col("_qs")[i].alias(f"q{i}") for i in range(len(probs))])
+    data = counts.select(*keys, value, count_col)
     cum = ranks.sliced_running_sum(data.withColumn("_w", F.col(count_col)), [value], keys, "_cum", "_total",
                                    slices or ranks.default_slices(data))
     v = F.col(value).cast("double")
@@ -103,20 +71,11 @@ def quantiles_from_counts(counts: DataFrame, keys: Sequence[str], value: str,
 
 
 def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                      method: str = "ranked", slices: int | None = None,
-                      rows_bound: int | None = None) -> DataFrame:
+                      slices: int | None = None) -> DataFrame:
     """Exact quantiles of ``value`` per ``keys`` group: ``(keys..., q0, q1, ...)``."""
     keys = list(keys)
-    if method == "direct":
-        arr = F.percentile(F.col(value).cast("double"), F.array(*[F.lit(float(p)) for p in probs]))
-        res = df.where(not_missing(df, value)).groupBy(*keys).agg(arr.alias("_qs"))
-        return res.select(*keys, *[F.col("_qs")[i].alias(f"q{i}") for i in range(len(probs))])
-    if method != "ranked":
-        raise ValueError(f"unknown quantile method {method!r}")
-    return quantiles_from_counts(value_counts(df, keys, value), keys, value, probs, slices=slices,
-                                 rows_bound=rows_bound)
-
-
-def grouped_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
-                   method: str = "ranked") -> DataFrame:
-    return grouped_quantiles(df, keys, value, [0.5], method).withColumnRenamed("q0", out)
+    return quantiles_from_counts(value_counts(df, keys, value), keys, value, probs, slices=slices)
+
+
+def grouped_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median") -> DataFrame:
+    return grouped_quantiles(df, keys, value, [0.5]).withColumnRenamed("q0", out)

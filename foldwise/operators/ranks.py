@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, sized_broadcast
 
 _PID = "_slice"
 
@@ -24,43 +24,25 @@ def default_slices(df: DataFrame) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
 
 
-# Up to this many rows a plain window is used: even if every row belonged to
-# one group, one task handles them comfortably (the window buffer spills).
-SINGLE_TASK_ROWS = 2_000_000
-
-
 def running_sum(df: DataFrame, order_by: Sequence[str], weight: str | None = None,
                 group_by: Sequence[str] = (), out: str = "cum",
-                total_out: str | None = None, slices: int | None = None,
-                single_task_rows: int | None = None) -> DataFrame:
+                total_out: str | None = None, slices: int | None = None) -> DataFrame:
     """Add ``out`` = sum of ``weight`` (1 when None) over all rows of the same
     group whose order key is <= the row's (rows with equal keys are ordered by
     the remaining columns of ``order_by``; give a unique tail for a strict index).
 
     ``total_out`` optionally adds the group total.  Exact, skew-safe, no
-    unbounded single-task window and no driver round trip.  The input is
-    materialised first; its row count (file metadata) decides between a plain
-    window (small inputs) and the range-sliced form.
+    unbounded single-task window and no driver round trip; the same form at
+    every size.
     """
-    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
     w = F.lit(1).cast("long") if weight is None else F.col(weight)
-    group_by = list(group_by)
-    data = materialize(df.withColumn("_w", w))
-    if data.count() <= limit:
-        part = Window.partitionBy(*group_by) if group_by else Window.partitionBy(F.lit(0))
-        run = part.orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        res = data.withColumn(out, F.sum("_w").over(run))
-        if total_out:
-            res = res.withColumn(total_out, F.sum("_w").over(part))
-        return res.drop("_w")
-    return sliced_running_sum(data, order_by, group_by, out, total_out,
+    return sliced_running_sum(df.withColumn("_w", w), order_by, list(group_by), out, total_out,
                               slices or default_slices(df))
 
 
 def sliced_running_sum(data: DataFrame, order_by: Sequence[str], group_by: list[str],
                        out: str, total_out: str | None, slices: int) -> DataFrame:
-    """Range-sliced form of :func:`running_sum`; ``data`` carries the weight in
-    ``_w`` and must be deterministic (materialised)."""
+    """:func:`running_sum` for rows that carry their weight in ``_w``."""
     keys = group_by + list(order_by)
     # The slice of a row must be the same for both consumers below.  Range
     # bounds come from sampling (seeded per RDD), so two evaluations could

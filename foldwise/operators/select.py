@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import learned_bin_code
-from ..session import materialize
+from ..session import materialize, sized_broadcast
 from .fit import quantile_edges
 
 SCORE_DECIMALS = 12
@@ -32,20 +32,18 @@ def class_counts(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame
 
 
 def bin_continuous(long: DataFrame, features: Sequence[str], by: Sequence[str] = (),
-                   bins: int = 10, rows_bound: int | None = None) -> DataFrame:
-    """E5b step 1: replace the values of ``features`` by their learned bin codes.
-    ``rows_bound``: known upper bound of the rows of those features."""
+                   bins: int = 10) -> DataFrame:
+    """E5b step 1: replace the values of ``features`` by their learned bin codes."""
     by = list(by)
     features = list(features)
     if not features:
         return long
-    is_cont = F.col("feature").isin(*features)
-    cont = long.where(is_cont)
-    edges = quantile_edges(cont, "value", bins, by=[*by, "feature"], rows_bound=rows_bound)
-    binned = (cont.join(edges, [*by, "feature"], "left")
-              .withColumn("value", learned_bin_code(F.col("value"), F.col("edges")).cast("double"))
-              .drop("edges"))
-    return long.where(~is_cont).unionByName(binned)
+    cont = long.where(F.col("feature").isin(*features))
+    # at most features x groups rows: stored and sent to the rows behind a check
+    # of its size, so that no row is shuffled on a feature name
+    edges = sized_broadcast(materialize(quantile_edges(cont, "value", bins, by=[*by, "feature"])))
+    binned = F.when(F.col("edges").isNull(), F.col("value")).otherwise(learned_bin_code(F.col("value"), F.col("edges")).cast("double"))
+    return long.join(edges, [*by, "feature"], "left").withColumn("value", binned).drop("edges").select(*long.columns)
 
 
 def mutual_information(long: DataFrame, label: str, classes: DataFrame, by: Sequence[str] = (),
@@ -84,7 +82,7 @@ def rank_features(scores: DataFrame, positions: DataFrame, by: Sequence[str] = (
     by = list(by)
     w = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy(
         F.desc(F.round(score, SCORE_DECIMALS)), F.desc("position"))
-    return scores.join(F.broadcast(positions), "feature").withColumn("rank", F.row_number().over(w))
+    return scores.join(sized_broadcast(positions), "feature").withColumn("rank", F.row_number().over(w))
 
 
 def select_k(ranked: DataFrame, k: int | None) -> DataFrame:
@@ -159,8 +157,7 @@ def knn_mutual_information(long: DataFrame, key: str, label: str, by: Sequence[s
         radius = F.when(F.col("_k") == kk, r_kk) if radius is None else radius.when(F.col("_k") == kk, r_kk)
     p = p.withColumn("_r", radius)
     # counts of points strictly inside (x - r, x + r); all points equal to x when r = 0
-    pts = p.select(*g, x.alias("_v"), F.lit(1).alias("_t"), F.lit(1).cast("long").alias("_w"),
-                   F.lit(None).cast("long").alias("_q"), F.lit(None).cast("int").alias("_side"))
+    pts = p.select(*g, x.alias("_v"), F.lit(1).alias("_t"), F.lit(1).cast("long").alias("_w"))
     zero = F.col("_r") == 0
     up = p.select(*g, (x + F.col("_r")).alias("_v"), F.when(zero, 2).otherwise(0).alias("_t"),
                   F.lit(0).cast("long").alias("_w"), F.col("_i").alias("_q"), F.lit(1).alias("_side"),
@@ -168,9 +165,12 @@ def knn_mutual_information(long: DataFrame, key: str, label: str, by: Sequence[s
     lo = p.select(*g, (x - F.col("_r")).alias("_v"), F.when(zero, 0).otherwise(2).alias("_t"),
                   F.lit(0).cast("long").alias("_w"), F.col("_i").alias("_q"), F.lit(-1).alias("_side"),
                   F.col(label).alias("_lab"))
-    merged = pts.withColumn("_lab", F.lit(None).cast(dict(p.dtypes)[label])).unionByName(up).unionByName(lo)
-    cum = running_sum(merged, ["_v", "_t"], "_w", g, out="_c")
-    q = cum.where(F.col("_q").isNotNull())
+    asked = up.unionByName(lo)
+    # equal values are added up first, so that a value with very many copies (a
+    # filled-in median) is one row of the running count
+    places = pts.unionByName(asked.select(*g, "_v", "_t", "_w")).groupBy(*g, "_v", "_t").agg(F.sum("_w").alias("_w"))
+    cum = materialize(running_sum(places, ["_v", "_t"], "_w", g, out="_c"))
+    q = asked.drop("_w").join(cum, [*g, "_v", "_t"])
     m = q.groupBy(*g, "_lab", "_q").agg(F.sum(F.col("_side") * F.col("_c")).alias("_m"))
     m = m.withColumnRenamed("_lab", label).withColumnRenamed("_q", "_i")
     per_point = p.join(m, [*gl, "_i"]).select(*g, label, "_ny", "_k", "_m")

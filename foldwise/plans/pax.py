@@ -70,9 +70,8 @@ pm AS (SELECT embarked AS m FROM tr WHERE embarked IS NOT NULL GROUP BY embarked
        ORDER BY COUNT(*) DESC, embarked LIMIT 1),
 fp AS (SELECT prefix FROM tr GROUP BY prefix HAVING COUNT(*) >= 10),
 trf AS (SELECT COALESCE(tr.fare, f1.m, f0.m) AS ff FROM tr LEFT JOIN f1 ON tr.pclass = f1.pclass CROSS JOIN f0),
-qe AS (SELECT list_sort(list_distinct([round(min(ff), 6), round(quantile_cont(ff, 0.25), 6),
-                                        round(quantile_cont(ff, 0.5), 6), round(quantile_cont(ff, 0.75), 6),
-                                        round(max(ff), 6)])) AS e FROM trf),
+qe AS (SELECT list_sort(list_distinct([min(ff), quantile_cont(ff, 0.25), quantile_cont(ff, 0.5),
+                                        quantile_cont(ff, 0.75), max(ff)])) AS e FROM trf),
 edges AS (SELECT CASE WHEN len(e) <= 2 THEN []::DOUBLE[] ELSE list_slice(e, 2, len(e) - 1) END AS inner_edges FROM qe)"""
 
 

@@ -28,9 +28,9 @@ FP_TABLES = {
 
 
 def _fp_sql(name: str, cols: list[str]) -> str:
-    row = ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '{A.NULL_TOKEN}')" for c in cols)
+    row = ", ".join(f"COALESCE(CAST(length(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '{A.NULL_TOKEN}')" for c in cols)
     return (f"SELECT '{name}' AS artifact, COUNT(*) AS rows, "
-            f"CAST(SUM(CAST(('0x' || substr(md5(concat_ws('|', {row})), 1, 8)) AS BIGINT)) AS VARCHAR) AS fingerprint FROM {name}")
+            f"CAST(SUM(CAST(('0x' || substr(md5(concat_ws('|', {row})), 1, {A.DIGEST_DIGITS})) AS BIGINT)) AS VARCHAR) AS fingerprint FROM {name}")
 
 
 @query("d9_table_fingerprints", oracle="\nUNION ALL ".join(_fp_sql(n, c) for n, c in FP_TABLES.items()))

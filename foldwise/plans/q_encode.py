@@ -37,7 +37,7 @@ def _feature_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean, enc, names = encoded_pax(spark, sf_dir)
     train = clean.where(F.expr(TRAIN_PID))
     long = encode_long(train, enc, keys=["PassengerId", "survived"])
-    long = bin_continuous(long, CONTINUOUS, bins=MI_BINS, rows_bound=train.count() * len(CONTINUOUS))
+    long = bin_continuous(long, CONTINUOUS, bins=MI_BINS)
     mi = mutual_information(long, "survived", class_counts(train, "survived"))
     positions = spark.createDataFrame(list(enumerate(names)), "position int, feature string")
     return rank_features(mi, positions)
@@ -69,7 +69,7 @@ _cont = ", ".join(f"'{c}'" for c in CONTINUOUS)
 
 _MI_CTES = f"""{_CLEAN},
 lg AS ({_long_sql('ctr')}),
-qe AS (SELECT feature, list_sort(list_distinct(list_transform(quantile_cont(value, [{_probs}]), lambda x: round(x, 6)))) AS e
+qe AS (SELECT feature, list_sort(list_distinct(quantile_cont(value, [{_probs}]))) AS e
        FROM lg WHERE feature IN ({_cont}) GROUP BY feature),
 inner_e AS (SELECT feature, CASE WHEN len(e) <= 2 THEN []::DOUBLE[] ELSE list_slice(e, 2, len(e) - 1) END AS ie FROM qe),
 binned AS (SELECT lg.survived, lg.feature,

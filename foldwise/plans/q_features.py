@@ -15,10 +15,10 @@ def round_doubles(df: DataFrame, decimals: int = 6) -> DataFrame:
                        for c, t in df.dtypes])
 
 
-def clean_pax(spark: SparkSession, sf_dir: str, method: str = "ranked") -> DataFrame:
+def clean_pax(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = pax(spark, sf_dir, materialized=True)
     train, _ = pax_split(spark, sf_dir, raw)
-    params = fit_features(train, PAX_ROLES, method=method)
+    params = fit_features(train, PAX_ROLES)
     return apply_features(raw, params, PAX_ROLES)
 
 

@@ -31,10 +31,10 @@ filled AS (
 """
 
 
-def imputed_obs(spark: SparkSession, sf_dir: str, method: str = "ranked") -> DataFrame:
+def imputed_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit the four median tiers on the observed rows of ``obs`` and fill every row."""
     obs = view(spark, sf_dir, "obs")
-    params = materialize(tiered_quantile(obs, OBS_TIERS, "v", method=method))
+    params = materialize(tiered_quantile(obs, OBS_TIERS, "v"))
     return apply_tiered(obs, params, OBS_TIERS, "v", "v_filled", tier_out="tier")
 
 

@@ -25,7 +25,7 @@ _DECK = "CASE WHEN cabin IS NULL OR trim(cabin) = '' THEN 'M' ELSE upper(substr(
 
 def _edges_sql(col: str, src: str, q: int) -> str:
     probs = ", ".join(str(i / q) for i in range(q + 1))
-    return f"""qe AS (SELECT list_sort(list_distinct(list_transform(quantile_cont({col}, [{probs}]), lambda x: round(x, 6)))) AS e FROM {src}),
+    return f"""qe AS (SELECT list_sort(list_distinct(quantile_cont({col}, [{probs}]))) AS e FROM {src}),
 edges AS (SELECT CASE WHEN len(e) <= 2 THEN []::DOUBLE[] ELSE list_slice(e, 2, len(e) - 1) END AS ie FROM qe)"""
 
 

@@ -10,6 +10,7 @@ from ..functions import exprs as X
 from ..operators import profile as P
 from ..operators.select import class_counts, mutual_information
 from .q_features import round_doubles
+from ..sources.tables import table
 from .registry import query
 from .views import oracle_with, view
 
@@ -18,15 +19,15 @@ _MAPPED = (f"(CASE {_TITLE_RAW} WHEN 'Mlle' THEN 'Miss' WHEN 'Ms' THEN 'Miss' WH
            f"ELSE {_TITLE_RAW} END)")
 
 
-@query("f1_f3_text_titles", oracle=oracle_with("clf", f"""
+@query("f1_f3_text_titles", oracle=f"""
 SELECT lang, CASE WHEN COALESCE({_MAPPED}, '') IN ('Mr', 'Miss', 'Mrs', 'Master')
                   THEN {_MAPPED} ELSE 'Rare' END AS title,
        CAST(length({_TITLE_RAW}) AS INTEGER) AS raw_title_length, COUNT(*) AS n
-FROM clf GROUP BY ALL"""))
+FROM documents GROUP BY ALL""")
 def q_text_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1-F3 + F19 on whole documents: the text between the first comma and the
     next dot, normalised; counts per language and raw title length."""
-    c = view(spark, sf_dir, "clf")
+    c = table(spark, sf_dir, "documents")
     t = c.select("lang", X.title_b("text").alias("title"),
                  F.length(X.extract_title("text")).cast("int").alias("raw_title_length"))
     return t.groupBy("lang", "title", "raw_title_length").agg(F.count(F.lit(1)).alias("n"))

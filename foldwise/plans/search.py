@@ -22,6 +22,7 @@ from ..operators.folds import TRAIN, VALID
 from ..operators.models import baseline_logistic
 from .splits import KEY, ROLE, SPLIT, Prepared, encoded_rows
 
+# The numbers of features tried by the search.
 K_GRID = [8, 12, 16, 20, 24, 28, 32, 36, 40, "all"]
 
 

@@ -54,8 +54,7 @@ def score_features(clean: DataFrame, enc: EncoderParams, r: Roles, names: list,
     train = clean.where(F.col(ROLE) == TRAIN) if ROLE in clean.columns else clean
     long = encode_long(train, enc, keys=[KEY, r.label])
     cont = [c for c in CONTINUOUS if c in names]
-    bound = train.count() * len(cont)       # clean rows are materialised: metadata count
-    long = bin_continuous(long, cont, by=list(by), bins=MI_BINS, rows_bound=bound)
+    long = bin_continuous(long, cont, by=list(by), bins=MI_BINS)
     mi = mutual_information(long, r.label, class_counts(train, r.label, list(by)), by=list(by))
     positions = clean.sparkSession.createDataFrame(list(enumerate(names)), "position int, feature string")
     return rank_features(mi, positions, by=list(by))

@@ -63,8 +63,8 @@ SELECT o_orderkey AS pid,
        o_orderstatus AS sex,
        CASE WHEN o_orderkey % 7 = 0 OR o_orderpriority = '5-LOW'
               OR (n_regionkey = 1 AND o_orderstatus = 'P') THEN NULL ELSE c_acctbal END AS age,
-       CAST(li.n_lines - 1 AS INTEGER) AS sibsp,
-       CAST(li.n_returned AS INTEGER) AS parch,
+       CAST(GREATEST(COALESCE(li.n_lines, 0) - 1, 0) AS INTEGER) AS sibsp,
+       CAST(COALESCE(li.n_returned, 0) AS INTEGER) AS parch,
        o_orderpriority AS ticket,
        CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_totalprice END AS fare,
        CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE n_name END AS cabin,
@@ -72,7 +72,7 @@ SELECT o_orderkey AS pid,
 FROM orders
 JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey
-JOIN (SELECT l_orderkey, COUNT(*) AS n_lines,
+LEFT JOIN (SELECT l_orderkey, COUNT(*) AS n_lines,
              SUM(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS n_returned
       FROM lineitem GROUP BY l_orderkey) li ON li.l_orderkey = o_orderkey
 """

@@ -56,18 +56,3 @@ def test_every_query_has_a_builder_and_most_an_oracle():
     assert set(o) <= set(q)
     assert len(o) >= 0.8 * len(q)
     assert not math.isnan(len(q))
-
-
-SLICED = ["a1_tier_medians", "f22_clean_feature_rows", "w4_stratified_folds", "e5_mutual_information"]
-
-
-@pytest.mark.parametrize("name", SLICED)
-def test_query_matches_oracle_on_sliced_path(spark, sf_dir, duck, name):
-    """The range-sliced form (taken by large inputs) gives the same results."""
-    from foldwise.operators import ranks
-    old = ranks.SINGLE_TASK_ROWS
-    ranks.SINGLE_TASK_ROWS = 0
-    try:
-        test_query_matches_oracle(spark, sf_dir, duck, name)
-    finally:
-        ranks.SINGLE_TASK_ROWS = old

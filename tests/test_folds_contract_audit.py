@@ -1,5 +1,7 @@
 """Folds (W4), contract (D1), fingerprints (D9) and encoder edge rows."""
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from foldwise.operators import audit as A
@@ -48,24 +50,18 @@ def test_encoder_unseen_null_constant(spark):
     assert all(r["value"] == 0.0 for r in rows if r["feature"] == "x")
 
 
-def test_sliced_paths_equal_plain_paths(spark):
+def test_folds_and_auc_equal_plain_windows(spark):
     from foldwise.operators import metrics as M
-    from foldwise.operators import ranks
 
     df = spark.range(0, 2000).select(F.col("id"), (F.col("id") % 7 == 0).cast("int").alias("y"),
                                      ((F.col("id") * 37) % 101 / 100.0).alias("s"))
-    old = ranks.SINGLE_TASK_ROWS
-    try:
-        ranks.SINGLE_TASK_ROWS = 10_000_000
-        plain_f = {r["id"]: r["fold"] for r in assign_folds(df, "id", "y", 5, 42).collect()}
-        plain_auc = M.roc_auc(df, "y", "s").first()["auc"]
-        ranks.SINGLE_TASK_ROWS = 0
-        sliced_f = {r["id"]: r["fold"] for r in assign_folds(df, "id", "y", 5, 42).collect()}
-        sliced_auc = M.roc_auc(df, "y", "s").first()["auc"]
-    finally:
-        ranks.SINGLE_TASK_ROWS = old
-    assert plain_f == sliced_f
-    assert abs(plain_auc - sliced_auc) < 1e-12
+    rows = df.collect()
+    order = sorted(rows, key=lambda r: (r["y"], hashlib.md5(f"{r['id']}|42".encode()).hexdigest()))
+    plain_f = {r["id"]: i % 5 + 1 for i, r in enumerate(order)}
+    assert {r["id"]: r["fold"] for r in assign_folds(df, "id", "y", 5, 42).collect()} == plain_f
+    pos, neg = [[r["s"] for r in rows if r["y"] == y] for y in (1, 0)]
+    plain_auc = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+    assert abs(M.roc_auc(df, "y", "s").first()["auc"] - plain_auc) < 1e-12
 
 
 def test_approximate_folds_cover_all_folds(spark):
