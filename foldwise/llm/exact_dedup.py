@@ -141,7 +141,7 @@ def membership(marked: DataFrame, key: str = "doc_id", keep: str = "max") -> Dat
     # the row that stays is the last one of its group in the sort order
     last = F.max(F.struct("x_range", "x_pos", F.col(key).alias("id")))
     groups = placed.groupBy("g_range", "g_run").agg(F.count("*").alias("group_size"), last.alias("top"))
-    joined = placed.join(groups, ["g_range", "g_run"])
+    joined = placed.join(materialize(groups), ["g_range", "g_run"])  # both sides read from tables: a hot group is split
     kept: Column = (F.col("top.x_range") == F.col("x_range")) & (F.col("top.x_pos") == F.col("x_pos"))
     return joined.select(key, F.col("top.id").alias("keep_id"), "group_size", kept.alias("kept"), F.col("x_sha").alias("text_sha256"))
 
