@@ -15,6 +15,7 @@ from .pax import PAX_ROLES, clean_rows_sql, pax, pax_split
 from .splits import CONTINUOUS, MI_BINS
 from .q_features import round_doubles
 from .registry import query
+from .views import VIEW_SQL
 
 TRAIN_PID = "PassengerId % 5 <> 0"
 SELECT_K = 20
@@ -168,6 +169,70 @@ def q_feature_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(out).orderBy(F.desc("selected"), F.desc("mutual_information"), F.asc("feature"))
 
 
+_RANKED_SQL = f"""WITH {_MI_CTES},
+{_POSITIONS},
+r AS (SELECT mi.feature, row_number() OVER (ORDER BY round(mi.mi, 12) DESC, pos.position DESC) AS rank
+      FROM mi JOIN pos ON mi.feature = pos.feature),
+sel AS (SELECT feature FROM r WHERE rank <= {SELECT_K})"""
+
+
+@query("e8_model_ready_selected", oracle=f"""{_RANKED_SQL},
+every AS ({_long_sql('clean')})
+SELECT c.PassengerId, c.survived, sel.feature, round(COALESCE(e.value, 0), 6) AS value
+FROM clean c CROSS JOIN sel LEFT JOIN every e ON e.PassengerId = c.PassengerId AND e.feature = sel.feature""")
+def q_model_ready_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E8+E6: the model-ready table (key, label at position 1, the 20 selected
+    columns in column order), returned cell by cell."""
+    clean, enc, _ = encoded_pax(spark, sf_dir)
+    ranked = _feature_scores(spark, sf_dir).where(F.col("rank") <= SELECT_K)
+    names = [r["feature"] for r in ranked.orderBy("position").collect()]      # 20 rows
+    ready = align_columns(encode_wide(clean, enc, keep=["PassengerId", "survived"]), names, keep=["PassengerId", "survived"])
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("value")) for c in names]))
+    return round_doubles(ready.select("PassengerId", "survived", cells.alias("_s")).select("PassengerId", "survived", "_s.*"))
+
+
+_RAW = ["pid", "survived", "pclass", "name", "sex", "age", "sibsp", "parch", "ticket", "fare", "cabin", "embarked"]
+_nulls = lambda where: "(SELECT SUM(" + " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in _RAW) + f") FROM pax WHERE {where})"
+_clean_nulls = "(SELECT SUM(" + " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in [*SCALED_COLUMNS, *PASSTHROUGH_COLUMNS, *CATEGORICAL_COLUMNS]) + ") FROM clean)"
+
+
+@query("d8_quality_metrics", oracle=f"""WITH pax AS ({VIEW_SQL['pax']}), {_RANKED_SQL.removeprefix('WITH ')}
+SELECT metric, CAST(value AS BIGINT) AS value FROM (
+  SELECT 'raw_train_rows' AS metric, (SELECT COUNT(*) FROM pax WHERE pid % 5 <> 0) AS value
+  UNION ALL SELECT 'raw_test_rows', (SELECT COUNT(*) FROM pax WHERE pid % 5 = 0)
+  UNION ALL SELECT 'raw_columns', {len(_RAW)}
+  UNION ALL SELECT 'raw_train_nulls', {_nulls('pid % 5 <> 0')}
+  UNION ALL SELECT 'raw_test_nulls', {_nulls('pid % 5 = 0')}
+  UNION ALL SELECT 'clean_rows', (SELECT COUNT(*) FROM clean)
+  UNION ALL SELECT 'clean_model_nulls', {_clean_nulls}
+  UNION ALL SELECT 'encoded_features', (SELECT COUNT(*) FROM pos)
+  UNION ALL SELECT 'selected_features', (SELECT COUNT(*) FROM sel)
+  UNION ALL SELECT 'unique_keys', (SELECT COUNT(DISTINCT pid) FROM pax)) t""")
+def q_quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model-free part of the quality report as (metric, value): shapes,
+    missing cells before and after cleaning, feature counts, key uniqueness."""
+    from ..operators.profile import total_nulls
+    raw = pax(spark, sf_dir, materialized=True)
+    train, test = pax_split(spark, sf_dir, raw)
+    clean, enc, names = encoded_pax(spark, sf_dir)
+    used = clean.select(*SCALED_COLUMNS, *PASSTHROUGH_COLUMNS, *CATEGORICAL_COLUMNS)
+    selected = _feature_scores(spark, sf_dir).where(F.col("rank") <= SELECT_K)
+    measured = [("raw_train_rows", train.agg(F.count(F.lit(1)).alias("value"))), ("raw_test_rows", test.agg(F.count(F.lit(1)).alias("value"))),
+                ("raw_columns", raw.agg(F.max(F.lit(len(raw.columns))).alias("value"))),
+                ("raw_train_nulls", total_nulls(train).select(F.col("missing_cells").alias("value"))),
+                ("raw_test_nulls", total_nulls(test).select(F.col("missing_cells").alias("value"))),
+                ("clean_rows", clean.agg(F.count(F.lit(1)).alias("value"))),
+                ("clean_model_nulls", total_nulls(used).select(F.col("missing_cells").alias("value"))),
+                ("encoded_features", clean.agg(F.max(F.lit(len(names))).alias("value"))),
+                ("selected_features", selected.agg(F.count(F.lit(1)).alias("value"))),
+                ("unique_keys", raw.agg(F.count_distinct("pid").alias("value")))]
+    out = None
+    for name, one in measured:
+        row = one.select(F.lit(name).alias("metric"), F.col("value").cast("long").alias("value"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def _psi_sql(n: str) -> str:
     small = " ".join(f"WHEN {n} = {m} THEN {sum(1.0 / i for i in range(1, m)) - 0.5772156649015329!r}"
                      for m in range(1, 10))

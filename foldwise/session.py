@@ -82,14 +82,17 @@ def row_count_at_most(df: DataFrame, limit: int) -> bool:
 # Broadcast policy for parameter tables.  Spark's plan statistics give an
 # upper bound of a table's size without running a job: for a materialised
 # (parquet) table it is the size of its files, and filters or aggregations
-# above it only keep or lower that bound.  Up to BROADCAST_MAX_BYTES the side
-# is broadcast; above it the join is left to a shuffle join (AQE may still
-# demote it to a broadcast at run time from the measured size).
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+# above it only keep or lower that bound.  Files are compressed, a hash table in
+# memory is several times as large, so the limit leaves a wide margin.  Up to
+# BROADCAST_MAX_BYTES the side is broadcast; above it the join is left to a
+# shuffle join (AQE may still demote it to a broadcast at run time from the
+# measured size).  Either way the result is the same.
+BROADCAST_MAX_BYTES = 16 * 1024 * 1024
 
 
 def size_upper_bound(df: DataFrame) -> int:
-    """Optimizer's size estimate (bytes) of ``df``; an upper bound for file scans."""
+    """Optimizer's size estimate (bytes) of ``df``; for file scans the size of the
+    (compressed) files."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
@@ -102,18 +105,13 @@ def sized_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> Data
     statistics); without them, behind a bounded row count."""
     from pyspark.sql import functions as F
 
-    try:
+    if hasattr(df, "_jdf"):
         small = size_upper_bound(df) <= max_bytes
-    except Exception:  # noqa: BLE001 - no JVM handle: count at most N+1 rows
+    else:  # a Connect session has no plan statistics: count at most N+1 rows
         small = row_count_at_most(df, BROADCAST_MAX_ROWS)
     return F.broadcast(df) if small else df
 
 
-# beyond this the per-map-task shuffle bookkeeping outweighs smaller partitions;
-# AQE splits skewed partitions and coalesces small ones either way
-MAX_SHUFFLE_PARTITIONS = 200_000
-
-
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
                  target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Settings for a large cluster run, sized from the input volume.
@@ -128,7 +126,7 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
     """
     cores = max(executors * cores_per_executor, 1)
     parts = max(cores, -(-input_bytes // target_partition_bytes))
-    parts = min(-(-parts // cores) * cores, MAX_SHUFFLE_PARTITIONS)
+    parts = -(-parts // cores) * cores
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(parts),
