@@ -71,9 +71,25 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), "tables", uuid.uuid4().hex)
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)
 
 
+_WRITTEN: list[str] = []
+
+
+def drop_materialized(spark: SparkSession) -> int:
+    """Delete the tables that :func:`materialize` has written from this process
+    and return their number.  For long-lived sessions: call it when every result
+    that reads them has been consumed."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    n = len(_WRITTEN)
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(hadoop).delete(path, True)
+    return n
+
+
 def row_count_at_most(df: DataFrame, limit: int) -> bool:
     """True when ``df`` has at most ``limit`` rows (counts at most limit+1 rows)."""
     return df.limit(limit + 1).count() <= limit
