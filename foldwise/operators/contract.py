@@ -66,23 +66,24 @@ def validate_raw(train: DataFrame, test: DataFrame, train_columns: Sequence[str]
     order_train = 0 if list(train.columns) == list(train_columns) else 1
     order_test = 0 if list(test.columns) == list(test_columns) else 1
     meta = [("train_columns", order_train), ("test_columns", order_test)]
-    parts = [_checks(spark, meta)]
+    bad = (~F.coalesce(F.col(label).isin(*allowed_labels), F.lit(False))).cast("long")
+    # both files side by side, read once each; one aggregation per key answers every check
+    none = F.lit(0).cast("long")
+    one = F.lit(1).cast("long")
+    sides = train.select(F.col(key).alias("_k"), one.alias("_a"), none.alias("_b"), bad.alias("_bad")).union(
+        test.select(F.col(key), none, one, none))
+    per_key = sides.groupBy("_k").agg(*[F.sum(c).alias(c) for c in ("_a", "_b", "_bad")])
+    shared = F.col("_k").isNotNull() & (F.col("_a") > 0) & (F.col("_b") > 0)
+    counted = per_key.agg(F.count_if(F.col("_a") > 1).alias("train_unique_key"), F.count_if(F.col("_b") > 1).alias("test_unique_key"),
+                          F.count_if(shared).alias("disjoint_keys"), F.coalesce(F.sum("_bad"), none).alias("label_domain"),
+                          F.coalesce(F.sum("_a"), none).alias("_n"), F.coalesce(F.sum("_b"), none).alias("_m"))
+    names = ["train_unique_key", "test_unique_key", "disjoint_keys", "label_domain"]
     if expected_rows is not None:
-        n = train.agg(F.count(F.lit(1)).alias("n")).crossJoin(test.agg(F.count(F.lit(1)).alias("m")))
-        parts.append(n.select(F.lit("row_counts").alias("check"),
-                              ((F.col("n") != expected_rows[0]).cast("int") +
-                               (F.col("m") != expected_rows[1]).cast("int")).cast("long").alias("violations")))
-    for name, frame in (("train_unique_key", train), ("test_unique_key", test)):
-        dup = frame.groupBy(key).agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1)
-        parts.append(dup.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check"), "violations"))
-    overlap = key_overlap(train, test, key)
-    parts.append(overlap.agg(F.count(F.lit(1)).alias("violations")).select(F.lit("disjoint_keys").alias("check"), "violations"))
-    bad = train.where(~F.coalesce(F.col(label).isin(*allowed_labels), F.lit(False)))
-    parts.append(bad.agg(F.count(F.lit(1)).alias("violations")).select(F.lit("label_domain").alias("check"), "violations"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return _finish(out)
+        n, m = expected_rows
+        counted = counted.withColumn("row_counts", (F.col("_n") != n).cast("long") + (F.col("_m") != m).cast("long"))
+        names = ["row_counts", *names]
+    stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("check"), F.col(c).alias("violations")) for c in names]))
+    return _finish(_checks(spark, meta).unionByName(counted.select(stacked.alias("_s")).select("_s.*")))
 
 
 def required_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
