@@ -127,17 +127,19 @@ def encode_wide(df: DataFrame, p: EncoderParams, keep: Sequence[str],
     one_hot = list(one_hot) if one_hot is not None else one_hot_union(p)
     t = _with_scale_params(df, p)
     if by:
-        # membership of (group, column, category) in the group's learned list
-        cats = p.categories.select(*by, "feature", "category")
-        lists = cats.groupBy(*by).agg(F.collect_set(F.concat_ws("\u0001", "feature", "category")).alias("_known"))
-        t = t.join(sized_broadcast(lists), by, "left")
+        # a row's value is looked up once per column in its group's learned list
+        lists = p.categories.groupBy(*by, "feature").agg(F.collect_set("category").alias("_cats"))
+        maps = lists.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("feature", "_cats"))).alias("_known"))
+        t = t.join(sized_broadcast(materialize(maps)), by, "left")
+        t = t.withColumns({f"_in_{c}": F.coalesce(F.array_contains(F.col("_known")[c], F.col(c).cast("string")), F.lit(False))
+                           for c in p.categorical})
     cols = [F.col(k) for k in dict.fromkeys([*keep, *by])]
     cols += [_scaled_expr(c).cast("double").alias(c) for c in p.scaled]
     cols += [F.col(c).cast("double").alias(c) for c in p.passthrough]
     for c, cat in one_hot:
         hit = F.col(c).cast("string") == F.lit(cat)
         if by:
-            hit = hit & F.array_contains(F.col("_known"), F.lit(f"{c}\u0001{cat}"))
+            hit = hit & F.col(f"_in_{c}")
         cols.append(F.when(hit, F.lit(1.0)).otherwise(F.lit(0.0)).alias(f"{c}_{cat}"))
     return t.select(*cols)
 
