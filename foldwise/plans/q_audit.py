@@ -14,7 +14,7 @@ from ..operators.profile import total_nulls
 from ..session import checkpoint_dir
 from ..sources import sinks
 from ..sources.tables import table
-from .pax import PAX_ROLES, pax, pax_split
+from .pax import PAX_ROLES, clean_rows_sql, fit_ctes, pax, pax_split
 from .q_profile import PAX_COLS
 from .registry import query
 from .views import oracle_with
@@ -39,8 +39,8 @@ def q_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.fingerprints({n: table(spark, sf_dir, n).select(*c) for n, c in FP_TABLES.items()}, spark)
 
 
-@query("j9_compare_runs", oracle="""SELECT * FROM (VALUES ('nation', true), ('customer', true), ('part', true),
-  ('orders', false)) v(artifact, identical)""")
+@query("j9_compare_runs", oracle="\nUNION ALL ".join(
+    f"SELECT '{n}' AS artifact, COUNT(*) AS left_rows, COUNT(*) AS right_rows, {'false' if n == 'orders' else 'true'} AS identical FROM {n}" for n in FP_TABLES))
 def q_compare_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J9+D9: a second read of each table, reordered, against the first; the
     orders table of the second run has one changed cell."""
@@ -53,7 +53,16 @@ def q_compare_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                              .otherwise(F.col("o_orderstatus")))
         second[n] = t
     cmp = A.compare_fingerprints(first, A.fingerprints(second, spark))
-    return cmp.select("artifact", "identical")
+    return cmp.select("artifact", "left_rows", "right_rows", "identical")
+
+
+# rows of every fitted table, and that both sides of the comparison agree
+_PARAMS_SQL = f"""WITH {fit_ctes()}
+SELECT 'age' AS artifact, (SELECT COUNT(*) FROM a3) + (SELECT COUNT(*) FROM a2) + (SELECT COUNT(*) FROM a1) + (SELECT COUNT(*) FROM a0) AS left_rows, true AS identical
+UNION ALL SELECT 'fare', (SELECT COUNT(*) FROM f1) + (SELECT COUNT(*) FROM f0), true
+UNION ALL SELECT 'port_mode', (SELECT COUNT(*) FROM pm), true
+UNION ALL SELECT 'prefixes', (SELECT COUNT(*) FROM fp), true
+UNION ALL SELECT 'fare_edges', (SELECT COUNT(*) FROM edges), true"""
 
 
 def _clean_train_test(spark: SparkSession, sf_dir: str):
@@ -91,18 +100,16 @@ def q_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.agg(F.count(F.lit(1)).alias("rows")).crossJoin(total_nulls(clean))
 
 
-@query("d11_label_flip_invariance", oracle="""SELECT * FROM (VALUES ('age', true), ('fare', true), ('port_mode', true),
-  ('prefixes', true), ('fare_edges', true)) v(artifact, identical)""")
+@query("d11_label_flip_invariance", oracle=_PARAMS_SQL)
 def q_label_flip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fitted parameter tables do not change when the label is flipped."""
     train, _ = pax_split(spark, sf_dir)
     a = fit_features(train, PAX_ROLES).tables()
     b = fit_features(train.withColumn("survived", 1 - F.col("survived")), PAX_ROLES).tables()
-    return A.compare_fingerprints(A.fingerprints(a, spark), A.fingerprints(b, spark)).select("artifact", "identical")
+    return A.compare_fingerprints(A.fingerprints(a, spark), A.fingerprints(b, spark)).select("artifact", "left_rows", "identical")
 
 
-@query("s6_params_round_trip", oracle="""SELECT * FROM (VALUES ('age', true), ('fare', true), ('port_mode', true),
-  ('prefixes', true), ('fare_edges', true)) v(artifact, identical)""")
+@query("s6_params_round_trip", oracle=_PARAMS_SQL)
 def q_params_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parameter tables written and read back are identical."""
     train, _ = pax_split(spark, sf_dir)
@@ -110,7 +117,7 @@ def q_params_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = os.path.join(checkpoint_dir(spark), "params", uuid.uuid4().hex)
     sinks.write_params(t, path)
     back = sinks.read_params(spark, path, list(t))
-    return A.compare_fingerprints(A.fingerprints(t, spark), A.fingerprints(back, spark)).select("artifact", "identical")
+    return A.compare_fingerprints(A.fingerprints(t, spark), A.fingerprints(back, spark)).select("artifact", "left_rows", "identical")
 
 
 @query("s4_s9_written_artifacts", oracle=oracle_with("pax", """
@@ -164,17 +171,22 @@ def q_csv_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.select("check", "violations")
 
 
-@query("d7_field_dictionary")
+def _dictionary() -> list[tuple[str, str, str, str, str]]:
+    from ..operators.features import CATEGORICAL_COLUMNS, PASSTHROUGH_COLUMNS, SCALED_COLUMNS
+    role = {**{c: "scaled" for c in SCALED_COLUMNS}, **{c: "passthrough" for c in PASSTHROUGH_COLUMNS},
+            **{c: "one-hot" for c in CATEGORICAL_COLUMNS}}
+    return [(c, "key" if c == "PassengerId" else ("category" if role.get(c) == "one-hot" else "number"),
+             "derived", f"clean feature {c}", role.get(c, "not a model input")) for c in CLEAN_COLUMNS]
+
+
+@query("d7_field_dictionary", oracle=f"WITH clean AS ({clean_rows_sql(rounded=False)})\n" + "\nUNION ALL ".join(
+    f"SELECT '{f}' AS field, '{t}' AS type, '{s}' AS source, '{d}' AS definition, '{g}' AS modeling_guidance, "
+    f"COUNT(*) FILTER (WHERE {f} IS NULL) AS missing FROM clean WHERE PassengerId % 5 <> 0" for f, t, s, d, g in _dictionary()))
 def q_field_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Field dictionary of the clean feature row, with null counts measured
     on the clean training rows."""
-    from ..operators.features import CATEGORICAL_COLUMNS, PASSTHROUGH_COLUMNS, SCALED_COLUMNS
     from ..operators.profile import null_counts
-    role = {**{c: "scaled" for c in SCALED_COLUMNS}, **{c: "passthrough" for c in PASSTHROUGH_COLUMNS},
-            **{c: "one-hot" for c in CATEGORICAL_COLUMNS}}
-    entries = [(c, "key" if c == "PassengerId" else ("category" if role.get(c) == "one-hot" else "number"),
-                "derived", f"clean feature {c}", role.get(c, "not a model input")) for c in CLEAN_COLUMNS]
-    d = A.field_dictionary(spark, entries)
+    d = A.field_dictionary(spark, _dictionary())
     _, _, ctrain, _ = _clean_train_test(spark, sf_dir)
     return d.join(null_counts(ctrain), "field", "left")
 
