@@ -6,15 +6,11 @@ from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..session import materialize, sized_broadcast
 from ..sources.tables import table
 
-__all__ = ["DOC_COLUMNS", "batches_of", "byte_texts", "documents", "drop_matching_rows", "materialize",
-           "shuffle_partitions", "sized_broadcast", "table", "words_table"]
-
-DOC_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+__all__ = ["batches_of", "byte_texts", "documents", "materialize", "shuffle_partitions", "sized_broadcast", "table", "words_table"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,9 +50,3 @@ def words_table(keep: bytes) -> bytes:
     for upper, lower in zip(range(ord("A"), ord("Z") + 1), range(ord("a"), ord("z") + 1)):
         out[upper] = out[lower]
     return bytes(out)
-
-
-def drop_matching_rows(docs: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
-    """Rows of ``docs`` whose ``key`` is not in ``dropped``; rows with a NULL key stay."""
-    gone = dropped.select(F.col(key).alias("__gone")).distinct()
-    return docs.join(gone, docs[key] == gone["__gone"], "left_anti")

@@ -19,7 +19,6 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
