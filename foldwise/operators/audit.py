@@ -69,8 +69,3 @@ def field_dictionary(spark: SparkSession, entries: Sequence[tuple[str, str, str,
     """``(field, type, source, definition, modeling_guidance)``."""
     return spark.createDataFrame(list(entries), "field string, type string, source string, "
                                                 "definition string, modeling_guidance string")
-
-
-def cleaning_rules(spark: SparkSession, rules: Sequence[tuple[int, str, str, str]]) -> DataFrame:
-    """``(step, item, rule, status)``."""
-    return spark.createDataFrame(list(rules), "step int, item string, rule string, status string")

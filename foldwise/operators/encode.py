@@ -78,27 +78,6 @@ def encode_long(df: DataFrame, p: EncoderParams, keys: Sequence[str]) -> DataFra
     return num_long.unionByName(hot)
 
 
-def feature_names(p: EncoderParams, by_value: dict | None = None) -> list[str]:
-    """Ordered encoded feature names.  Collects the category list (small by
-    construction) for one ``by`` group, or the union over groups."""
-    cats = p.categories
-    if by_value:
-        for k, v in by_value.items():
-            cats = cats.where(F.col(k) == v)
-    rows = cats.select("feature", "category", "position").distinct().collect()
-    per_col: dict[str, list] = {}
-    for r in rows:
-        per_col.setdefault(r["feature"], []).append((r["position"], r["category"]))
-    names = list(p.scaled) + list(p.passthrough)
-    for c in p.categorical:
-        seen = []
-        for _, cat in sorted(per_col.get(c, [])):
-            if cat not in seen:
-                seen.append(cat)
-        names += [f"{c}_{cat}" for cat in seen]
-    return names
-
-
 def one_hot_union(p: EncoderParams) -> list[tuple[str, str]]:
     """All ``(column, category)`` pairs over every ``by`` group, sorted per column
     by the native order of the categories."""

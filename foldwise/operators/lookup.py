@@ -62,15 +62,6 @@ def apply_tiered(df: DataFrame, params: DataFrame, tiers: Sequence[Sequence[str]
     return res.select(*keep, *outs)
 
 
-def fill_from_table(df: DataFrame, params: DataFrame, column: str, stat: str, out: str,
-                    by: Sequence[str] = ()) -> DataFrame:
-    """F13 with a learned value: ``coalesce(column, params.stat)``; ``params``
-    holds one row per ``by`` group (one row in total without ``by``)."""
-    res = join_params(df, params, [], "_f_", [stat], by)
-    keep = [F.col(c) for c in df.columns if c != out]
-    return res.select(*keep, F.coalesce(F.col(column), F.col(f"_f_{stat}")).alias(out))
-
-
 def keep_if_listed(df: DataFrame, listed: DataFrame, column: str, list_col: str, out: str,
                    other: str = "OTHER", by: Sequence[str] = ()) -> DataFrame:
     """Keep the value when it is in the learned list, else ``other``."""

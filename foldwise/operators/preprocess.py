@@ -8,7 +8,6 @@ unseen labels encode as -1; exactly the fitted numeric columns are scaled.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -156,7 +155,3 @@ def create_all_features(df: DataFrame, r: Roles, family: bool = True, title: boo
         if family:
             t = t.withColumn("FamilySize_x_Pclass", F.col("FamilySize") * F.col(r.cls))
     return t.drop("_fare_med", "_age_med")
-
-
-def scaled_columns(p: SrcParams) -> Sequence[str]:
-    return p.scaled

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -20,11 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def register_views(spark: SparkSession, sf_dir: str, names: Sequence[str] = TABLES) -> None:
-    for n in names:
-        table(spark, sf_dir, n).createOrReplaceTempView(n)
-
-
 def load_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """CSV scan with an explicit schema.
 

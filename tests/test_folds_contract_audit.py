@@ -69,3 +69,9 @@ def test_approximate_folds_cover_all_folds(spark):
     a = assign_folds(df, "id", "y", 5, 42, approximate=True)
     sizes = {r["fold"]: r["count"] for r in a.groupBy("fold").count().collect()}
     assert set(sizes) == {1, 2, 3, 4, 5} and min(sizes.values()) > 800
+
+
+def test_required_columns(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    assert [r["name"] for r in C.required_columns(df, ["a", "c", "b", "d"]).collect()] == ["c", "d"]
+    assert C.required_columns(df, ["a", "b"]).count() == 0
