@@ -4,7 +4,10 @@ The model is over UTF-8 bytes (digits taken as one symbol), order ``ORDER``, and
 is trained on every trusted document, those labelled with quality 1.  A
 document's perplexity, evened out for very short texts, is compared with a
 threshold of its language, a quantile of the trusted documents' perplexities
-times a tolerance; documents above it are rejected.
+times a tolerance; documents above it are rejected.  For the threshold a trusted
+document is scored without its own counts: the trusted texts fall into two halves
+by a hash of the text (equal texts into the same), and each half is scored by the
+model of the other.
 
 Documents and labels are dealt to buckets of about ``BUCKET_BYTES`` of text by
 document, once, with the texts compressed.  Each bucket gives its distinct n-grams with their trusted counts; these are added up by n-gram,
@@ -17,9 +20,9 @@ All of it is one Spark plan, so the documents are shuffled once and the shuffle
 is read twice.
 
 Defined results: NULL and empty texts have no perplexity (NULL) and are
-rejected; a NULL language is a language of its own; a language without trusted
-documents uses the threshold over all of them; without any trusted document
-there is no threshold and every text with bytes stays; repeated labels of a
+rejected; a NULL language is a language of its own; a language with fewer than
+``MIN_TRUSTED`` trusted documents says too little about itself: it has no
+threshold and every text with bytes stays; repeated labels of a
 document trust it if any says quality 1; repeated documents count as often as
 they occur; a document with a NULL identifier is never trusted.
 """
@@ -27,6 +30,7 @@ they occur; a document with a NULL identifier is never trusted.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,10 +46,13 @@ ORDER = 4
 BUCKET_BYTES = 16 << 20
 QUANTILE = 0.99
 TOLERANCE = 1.05
+MIN_TRUSTED = 20  # trusted documents that a language's threshold needs
 PRIOR_BYTES = 32
 ACCURACY = 10_000  # of the quantile: ranks within 1 / ACCURACY
 CHUNK = 1 << 22
 ALPHABET = 256
+# a model and its trusted counts: of both halves, or of the other half only
+MODELS = {"all": "c0 + c1", "no0": "c1", "no1": "c0"}
 
 FOLD = bytes(48 if 48 <= b <= 57 else b for b in range(256))
 
@@ -62,6 +69,11 @@ def grams(text: bytes) -> np.ndarray:
     return g
 
 
+def half(text: bytes) -> int:
+    """The half of the trusted texts that a text falls into."""
+    return zlib.crc32(text) & 1
+
+
 def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts compressed one by one, so that fewer bytes are shuffled."""
     squeeze = zstandard.ZstdCompressor(level=3, write_content_size=True).compress
@@ -93,30 +105,36 @@ def dealt(docs: DataFrame, labels: DataFrame, carry: list[str], n: int, buckets:
 
 
 def _bucket_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows of buckets to (b, g, c): the bucket's distinct n-grams with
-    their counts in trusted documents."""
+    """Sorted rows of buckets to (b, g, c0, c1): the bucket's distinct n-grams with
+    their counts in the trusted documents of either half."""
     bucket = None
-    known = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    texts: tuple[list[bytes], list[bytes]] = [], []
+    known = tuple(np.zeros(0, np.int64) for _ in range(3))
+    texts: tuple[list[bytes], ...] = [], [], []  # of half 0, of half 1, not trusted
     size, now, good = 0, None, False
 
     def fold() -> None:
         nonlocal known, size
-        plain = [np.unique(np.concatenate([grams(t) for t in texts[0]]))] if texts[0] else []
-        trusted = [np.unique(np.concatenate([grams(t) for t in texts[1]]), return_counts=True)] if texts[1] else []
-        g = np.concatenate([known[0], *plain, *[t[0] for t in trusted]])
-        c = np.concatenate([known[1], *[np.zeros(p.size, np.int64) for p in plain], *[t[1] for t in trusted]])
-        g, at = np.unique(g, return_inverse=True)
-        known = g, np.bincount(at, weights=c, minlength=g.size).astype(np.int64)
-        texts[0].clear(), texts[1].clear()
+        plain = [np.unique(np.concatenate([grams(t) for t in texts[2]]))] if texts[2] else []
+        trusted = [np.unique(np.concatenate([grams(t) for t in part]), return_counts=True) if part else (np.zeros(0, np.int64),) * 2 for part in texts[:2]]
+        g, at = np.unique(np.concatenate([known[0], *plain, *[t[0] for t in trusted]]), return_inverse=True)
+        first = known[0].size + sum(p.size for p in plain)
+        counts = []
+        for i, (own, c) in enumerate(trusted):
+            weights = np.zeros(at.size)
+            weights[:known[0].size] = known[1 + i]
+            weights[first:first + own.size] = c
+            first += own.size
+            counts.append(np.bincount(at, weights=weights, minlength=g.size).astype(np.int64))
+        known = g, *counts
+        for part in texts:
+            part.clear()
         size = 0
 
     def rows() -> pa.RecordBatch:
         nonlocal known
         fold()
-        g, c = known
-        known = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.full(g.size, bucket, np.int32)), pa.array(g), pa.array(c)], names=["b", "g", "c"])
+        found, known = known, tuple(np.zeros(0, np.int64) for _ in range(3))
+        return pa.RecordBatch.from_arrays([pa.array(np.full(found[0].size, bucket, np.int32)), *map(pa.array, found)], names=["b", "g", "c0", "c1"])
 
     for batch in batches:
         for b, key, kind, label, text in zip(*[batch.column(c).to_pylist() for c in ("b", "x_id", "x_kind", "x_good")], unpacked(batch.column("x_text"))):
@@ -129,7 +147,7 @@ def _bucket_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             if kind == 0:
                 good = good or label
             elif text:
-                texts[good and key is not None].append(text)
+                texts[half(text) if good and key is not None else 2].append(text)
                 size += len(text)
                 if size > CHUNK:
                     fold()
@@ -138,106 +156,121 @@ def _bucket_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _discounts(counts: DataFrame) -> DataFrame:
-    """One row (one, d1, d2, d3) from the counts of counts 1 to 4."""
-    n = [F.sum((F.col("c") == i).cast("long")).cast("double").alias(f"n{i}") for i in range(1, 5)]
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
-    d = [F.when((F.col(f"n{i}") > 0), F.lit(float(i)) - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")) for i in range(1, 4)]
-    clamped = [F.least(F.greatest(F.coalesce(x, F.lit(0.5)), F.lit(0.1)), F.lit(i + 0.0)).alias(f"d{i}") for i, x in zip(range(1, 4), d)]
-    return counts.agg(*n).select(F.lit(1).alias("one"), *clamped)
+    """One row (one, d1, d2, d3 of every model) from the counts of counts 1 to 4."""
+    n = [F.sum((F.col(f"c_{m}") == i).cast("long")).cast("double").alias(f"n{i}_{m}") for m in MODELS for i in range(1, 5)]
+
+    def clamped(m: str) -> list[Column]:
+        of = lambda i: F.col(f"n{i}_{m}")
+        y = of(1) / (of(1) + 2 * of(2))
+        d = [F.when(of(i) > 0, F.lit(float(i)) - (i + 1) * y * of(i + 1) / of(i)) for i in range(1, 4)]
+        return [F.least(F.greatest(F.coalesce(x, F.lit(0.5)), F.lit(0.1)), F.lit(i + 0.0)).alias(f"d{i}_{m}") for i, x in zip(range(1, 4), d)]
+
+    return counts.agg(*n).select(F.lit(1).alias("one"), *[x for m in MODELS for x in clamped(m)])
 
 
-def _parts(counts: DataFrame, n: int) -> DataFrame:
-    """(g, own, rest): the discounted share of an n-gram in its history and the
-    history's weight for the next lower order (1 where the history is unseen)."""
+def _parts(counts: DataFrame) -> DataFrame:
+    """(g, own, rest of every model): the discounted share of an n-gram in its
+    history and the history's weight for the next lower order (1 where the history
+    is unseen)."""
     history = Window.partitionBy("h")
     seen = counts.withColumn("h", F.shiftright("g", 8)).withColumn("one", F.lit(1)).join(F.broadcast(_discounts(counts)), "one")
-    c = F.col("c")
-    off = F.when(c == 0, 0.0).when(c == 1, F.col("d1")).when(c == 2, F.col("d2")).otherwise(F.col("d3"))
-    total = F.sum("c").over(history)
-    return seen.select("g", F.when(total > 0, (c - off) / total).otherwise(0.0).alias("own"),
-                       F.when(total > 0, F.sum(off).over(history) / total).otherwise(1.0).alias("rest"))
+
+    def shares(m: str) -> list[Column]:
+        c = F.col(f"c_{m}")
+        off = F.when(c == 0, 0.0).when(c == 1, F.col(f"d1_{m}")).when(c == 2, F.col(f"d2_{m}")).otherwise(F.col(f"d3_{m}"))
+        total = F.sum(c).over(history)
+        return [F.when(total > 0, (c - off) / total).otherwise(0.0).alias(f"own_{m}"),
+                F.when(total > 0, F.sum(off).over(history) / total).otherwise(1.0).alias(f"rest_{m}")]
+
+    return seen.select("g", *[x for m in MODELS for x in shares(m)])
 
 
 def log_probabilities(counts: DataFrame) -> DataFrame:
-    """(g, logp) for every n-gram of ``counts`` (g, c), c = 0 for n-grams that
-    are only asked for."""
-    by_order = {ORDER: counts}
+    """(g, logp of every model) for every n-gram of ``counts`` (g, c0, c1), both
+    0 for n-grams that are only asked for."""
+    by_order = {ORDER: counts.select("g", *[F.expr(c).alias(f"c_{m}") for m, c in MODELS.items()])}
     for n in range(ORDER - 1, 0, -1):
         mask = (1 << (8 * n)) - 1
         by_order[n] = by_order[n + 1].groupBy(F.col("g").bitwiseAND(F.lit(mask).cast("long")).alias("g")).agg(
-            F.sum((F.col("c") > 0).cast("long")).alias("c"))
+            *[F.sum((F.col(f"c_{m}") > 0).cast("long")).alias(f"c_{m}") for m in MODELS])
     lower = None
     for n in range(1, ORDER + 1):
-        parts = _parts(by_order[n], n)
+        parts = _parts(by_order[n])
         if lower is None:
-            lower = parts.select("g", (F.col("own") + F.col("rest") / ALPHABET).alias("p"))
+            lower = parts.select("g", *[(F.col(f"own_{m}") + F.col(f"rest_{m}") / ALPHABET).alias(f"p_{m}") for m in MODELS])
             continue
         mask = (1 << (8 * (n - 1))) - 1
-        tail = lower.select(F.col("g").alias("tail"), "p")
+        tail = lower.withColumnRenamed("g", "tail")
         lower = parts.withColumn("tail", F.col("g").bitwiseAND(F.lit(mask).cast("long"))).join(tail, "tail").select(
-            "g", (F.col("own") + F.col("rest") * F.col("p")).alias("p"))
-    return lower.select("g", F.log("p").alias("logp"))
+            "g", *[(F.col(f"own_{m}") + F.col(f"rest_{m}") * F.col(f"p_{m}")).alias(f"p_{m}") for m in MODELS])
+    return lower.select("g", *[F.log(f"p_{m}").alias(f"logp_{m}") for m in MODELS])
 
 
 def _score(carry: list[str], with_text: bool):
     def run(rows: pa.Table, probs: pa.Table) -> pa.Table:
         order = np.argsort(g := probs.column("g").to_numpy())
-        g, logp = g[order], probs.column("logp").to_numpy()[order]
+        g, logp, *others = g[order], *[probs.column(f"logp_{m}").to_numpy()[order] for m in MODELS]
         ids, kinds, goods = (rows.column(c).to_pylist() for c in ("x_id", "x_kind", "x_good"))
         trusted = {i for i, k, x in zip(ids, kinds, goods) if k == 0 and x}
         docs = rows.filter(pa.array([k == 1 for k in kinds], pa.bool_()))
-        ppl, sizes = [], []
+        good = [i in trusted for i in docs.column("x_id").to_pylist()]
+        ppl, held, sizes = [], [], []
         whole = unpacked(docs.column("x_text"))
-        for text in whole:
+        for text, own in zip(whole, good):
             sizes.append(len(text))
-            total = sum(float(logp[np.searchsorted(g, grams(text)[i:i + CHUNK])].sum()) for i in range(0, len(text), CHUNK))
+            total, without = 0.0, 0.0
+            for i in range(0, len(text), CHUNK):
+                at = np.searchsorted(g, grams(text)[i:i + CHUNK])
+                total += float(logp[at].sum())
+                without += float(others[half(text)][at].sum()) if own else 0.0
             ppl.append(math.exp(-total / len(text)) if text else None)
+            held.append(math.exp(-without / len(text)) if text and own else None)
         carried = [*(("x_text",) if with_text else ()), *carry]
         blank = docs.column("x_text").is_null().to_pylist()
         texts = pa.array([None if null else t.decode() for t, null in zip(whole, blank)], pa.string()) if with_text else None
         out = [texts if c == "x_text" else docs.column(c) for c in ("x_id", "x_lang", *carried)]
-        good = [i in trusted for i in docs.column("x_id").to_pylist()]
-        return pa.table([*out, pa.array(good, pa.bool_()), pa.array(sizes, pa.int64()), pa.array(ppl, pa.float64())],
-                        names=["x_id", "x_lang", *carried, "x_trusted", "x_bytes", "x_ppl"])
+        return pa.table([*out, pa.array(good, pa.bool_()), pa.array(sizes, pa.int64()), pa.array(ppl, pa.float64()), pa.array(held, pa.float64())],
+                        names=["x_id", "x_lang", *carried, "x_trusted", "x_bytes", "x_ppl", "x_held"])
 
     return run
 
 
 def perplexities(docs: DataFrame, labels: DataFrame, carry: list[str] = (), with_text: bool = False) -> DataFrame:
-    """x_id, x_lang, (x_text), carry..., x_trusted, x_bytes, x_ppl for every
-    document, stored."""
+    """x_id, x_lang, (x_text), carry..., x_trusted, x_bytes, x_ppl, x_held for
+    every document, stored; x_held is a trusted document's perplexity under the
+    model of the other half."""
     clash = [c for c in carry if c == "b" or c.startswith("x_")]
     if clash:
         raise ValueError(f"columns {clash} clash with the classifier's")
     n = shuffle_partitions(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     rows = dealt(docs, labels, list(carry), n, -(-total // BUCKET_BYTES) or 1)
-    asked = rows.sortWithinPartitions("b", "x_id", "x_kind").mapInArrow(_bucket_grams, "b int, g long, c long").repartition(n, "g")
-    probs = log_probabilities(asked.groupBy("g").agg(F.sum("c").alias("c")))
-    slices = asked.select("b", "g").join(probs, "g").select("b", "g", "logp")
+    asked = rows.sortWithinPartitions("b", "x_id", "x_kind").mapInArrow(_bucket_grams, "b int, g long, c0 long, c1 long").repartition(n, "g")
+    probs = log_probabilities(asked.groupBy("g").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")))
+    # a bucket needs the model without a half for the n-grams of its trusted documents of that half
+    slices = asked.join(probs.withColumnRenamed("g", "of"), F.col("g") == F.col("of")).select(
+        "b", "g", "logp_all", *[F.when(F.col(f"c{i}") > 0, F.col(f"logp_no{i}")).alias(f"logp_no{i}") for i in (0, 1)])
     schema = T.StructType([T.StructField("x_id", T.LongType()), T.StructField("x_lang", T.StringType()),
                            *([T.StructField("x_text", T.StringType())] if with_text else []), *[T.StructField(c, docs.schema[c].dataType) for c in carry],
-                           T.StructField("x_trusted", T.BooleanType()), T.StructField("x_bytes", T.LongType()), T.StructField("x_ppl", T.DoubleType())])
+                           T.StructField("x_trusted", T.BooleanType()), T.StructField("x_bytes", T.LongType()), T.StructField("x_ppl", T.DoubleType()), T.StructField("x_held", T.DoubleType())])
     return materialize(rows.groupBy("b").cogroup(slices.groupBy("b")).applyInArrow(_score(list(carry), with_text), schema))
 
 
-def evened(weight: int = PRIOR_BYTES) -> Column:
+def evened(value: str = "x_ppl", weight: int = PRIOR_BYTES) -> Column:
     """Perplexity as if the text went on for ``weight`` bytes at its language's
     median: a text of a few bytes says little about itself."""
     n = F.col("x_bytes")
-    return F.exp((F.log("x_ppl") * n + F.log("x_mid") * weight) / (n + weight))
+    return F.exp((F.log(value) * n + F.log("x_mid") * weight) / (n + weight))
 
 
-def _per_language(scored: DataFrame, values: Column, share: float, name: str) -> DataFrame:
-    """(x_of, name): a quantile over the trusted documents of each language;
-    languages without trusted documents get the one over all."""
-    quantile = F.percentile_approx(values, share, ACCURACY).alias(name)
-    trusted = scored.where("x_trusted and x_ppl is not null")
-    overall = trusted.agg(quantile).first()[name]
+def _per_language(scored: DataFrame, values: Column, share: float, name: str, least: int) -> DataFrame:
+    """(x_of, name): a quantile over the trusted documents of each language, NULL
+    for languages with fewer than ``least``."""
+    trusted = scored.where("x_trusted and x_held is not null")
     seen = scored.groupBy(F.col("x_lang").alias("x_of")).agg(F.count("*").alias("x_rows"))
-    own = trusted.groupBy(F.col("x_lang").alias("x_by")).agg(quantile)
+    own = trusted.groupBy(F.col("x_lang").alias("x_by")).agg(F.percentile_approx(values, share, ACCURACY).alias(name), F.count("*").alias("x_n"))
     return materialize(seen.join(own, F.col("x_of").eqNullSafe(F.col("x_by")), "left").select(
-        "x_of", F.coalesce(F.col(name), F.lit(overall).cast("double")).alias(name)))
+        "x_of", F.when(F.col("x_n") >= least, F.col(name)).alias(name)))
 
 
 def _with(scored: DataFrame, limits: DataFrame) -> DataFrame:
@@ -245,13 +278,14 @@ def _with(scored: DataFrame, limits: DataFrame) -> DataFrame:
     return scored.join(sized_broadcast(limits), scored["x_lang"].eqNullSafe(F.col("x_of")), "left").drop("x_of")
 
 
-def judged(scored: DataFrame, quantile: float = QUANTILE, tolerance: float = TOLERANCE) -> DataFrame:
+def judged(scored: DataFrame, quantile: float = QUANTILE, tolerance: float = TOLERANCE,
+           min_trusted: int = MIN_TRUSTED) -> DataFrame:
     """``scored`` plus x_even (the perplexity that is judged), x_limit and x_keep."""
-    middles = _per_language(scored, F.col("x_ppl"), 0.5, "x_mid")
-    level = _with(scored, middles).withColumn("x_even", F.coalesce(evened(), F.col("x_ppl"))).drop("x_mid")
-    limits = _per_language(level, F.col("x_even"), quantile, "x_lim")
+    middles = _per_language(scored, F.col("x_held"), 0.5, "x_mid", 1)
+    level = _with(scored, middles).withColumn("x_even", F.coalesce(evened(), F.col("x_ppl"))).withColumn("x_out", evened("x_held")).drop("x_mid")
+    limits = _per_language(level, F.col("x_out"), quantile, "x_lim", min_trusted)
     kept = F.col("x_ppl").isNotNull() & F.coalesce(F.col("x_even") <= F.col("x_limit"), F.lit(True))
-    return _with(level, limits).withColumn("x_limit", F.col("x_lim") * tolerance).withColumn("x_keep", kept).drop("x_lim")
+    return _with(level, limits).withColumn("x_limit", F.col("x_lim") * tolerance).withColumn("x_keep", kept).drop("x_lim", "x_out")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **rules) -> DataFrame:

@@ -90,3 +90,37 @@ def test_junk_goes_and_clean_stays(spark, make):
 def test_without_trusted_documents(spark, make, rows):
     out = q.judged(q.perplexities(make(rows), spark.createDataFrame([], "doc_id long, quality int, toxic int"))).collect()
     assert {r["x_id"]: r["x_keep"] for r in out} == {i: t is not None for i, t in rows}
+
+
+def test_trusted_documents_are_held_out_for_the_limit(spark, make):
+    """x_held is the perplexity under the model of the other half, from the definition."""
+    rows, labels = corpus()
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    scored = q.perplexities(make(rows), marks).collect()
+    good = {i for i, x, _ in labels if x == 1 and i is not None}
+    text = {i: t for i, t, *_ in rows if i in good and i != 5}
+    halves = [[t for i, t, *_ in rows if i in good and t and q.half(t.encode()) == h] for h in (0, 1)]
+    assert min(map(len, halves)) > 0
+    models = [Plain(halves[1], None), Plain(halves[0], None)]
+    for r in scored:
+        assert (r["x_held"] is None) == (r["x_id"] not in good)
+        if r["x_id"] in text:
+            want = models[q.half(text[r["x_id"]].encode())].ppl(text[r["x_id"]])
+            assert abs(r["x_held"] - want) < 1e-9 * want
+
+
+def held_out_share(spark, sf_dir, make, n_trusted):
+    """Kept share of good Spanish documents whose labels the classifier did not see."""
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    good = sorted({r["doc_id"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect() if r["quality"] == 1} & set(docs))
+    spanish = [i for i in good if docs[i]["lang"] == "es"]
+    hidden = set(spanish[n_trusted:])
+    marks = spark.createDataFrame([(i, 1, 0) for i in good if i not in hidden], "doc_id long, quality int, toxic int")
+    out = q.keep_good(make([tuple(docs[i])[:4] for i in good]), marks)
+    kept = {r["doc_id"] for r in out.collect()}
+    return len(kept & hidden) / len(hidden)
+
+
+@pytest.mark.parametrize("n_trusted", [0, 1, 3, 20])
+def test_clean_documents_of_scarce_languages_stay(spark, make, n_trusted):
+    assert held_out_share(spark, "/root/testdata/sf0.01", make, n_trusted) >= 0.9
