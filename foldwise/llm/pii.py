@@ -16,8 +16,9 @@ distinct text; an entity that stands in a large part of the documents is one row
 on one side of that join, and the other side is split by Spark when it is hot.
 
 Defined results: NULL stays NULL and empty stays empty; repeated rows get equal
-texts; a kind whose forms are used up (``MAX_ATTEMPTS`` draws) is an error; an
-empty table gives an empty result.
+texts; an entity whose format class is used up or has no variable character gets
+a longer form of its kind or a keyed mask, checked for collisions like any other;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -167,9 +167,36 @@ def script_of(word: str) -> str:
     return "latin"
 
 
+WIDE_FROM, MASK_FROM = 20, 30  # attempts from which a short class gets longer forms, then masks
+WIDER = 6  # characters that a longer form has more
+SMALL = "abcdefghijklmnopqrstuvwxyz"
+
+
+def _fixed(kind: str, canonical: str) -> bool:
+    """Whether no character of a form can be drawn anew ("________")."""
+    drawn = {"secret": canonical, "email": canonical.rpartition(".")[0]}.get(kind, "x")
+    return not any(map(str.isalnum, drawn))
+
+
 def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
-    """The replacement's canonical form: same kind, length class and script."""
+    """The replacement's canonical form: same kind, length class and script.
+
+    A form without variable characters, and one whose class had no free place in
+    ``WIDE_FROM`` attempts, gets a longer form of its kind; from ``MASK_FROM`` on
+    it is a keyed mask.  Names grow with the attempts anyway."""
     draw = Stream(key, kind, canonical, attempt)
+    named = kind.startswith("given") or kind == "surname"
+    if attempt >= MASK_FROM and not named:
+        return f"[{kind}-" + "".join(draw.pick("0123456789abcdef") for _ in range(24)) + "]"
+    wide = attempt >= WIDE_FROM or _fixed(kind, canonical)
+    more = "".join(str(draw.below(10)) for _ in range(WIDER)) if wide else ""
+    if wide and kind == "ip":
+        return ".".join(str(1 + draw.below(254)) for _ in range(4))
+    if wide and kind == "email":
+        local, host = ("".join(draw.pick(SMALL) for _ in range(2 * WIDER)) for _ in range(2))
+        return f"{local}@{host}.{canonical.rpartition('.')[2]}"
+    if wide and kind == "secret":
+        return "".join(draw.pick(SMALL) for _ in canonical) + more
     if kind == "ip":
         bounds = {1: (1, 9), 2: (10, 99), 3: (100, 254)}
         return ".".join(str(lo + draw.below(hi - lo + 1)) for lo, hi in (bounds[len(octet)] for octet in canonical.split(".")))
@@ -177,7 +204,7 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
         local, _, domain = canonical.rpartition("@")
         host, _, top = domain.rpartition(".")
         return "".join(like(c, draw) for c in local) + "@" + "".join(like(c, draw) for c in host) + "." + top
-    if kind.startswith("given") or kind == "surname":
+    if named:
         stems, ends = SYLLABLES[script_of(canonical)]
         gender = kind[-1] if kind.startswith("given") else "n"
         n = 2 + draw.below(2) + attempt // 4
@@ -186,26 +213,29 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
         return canonical[:4] + "".join(draw.pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in canonical[4:])
     if kind == "phone":
         keep = len(canonical) - min(len(canonical), 10)  # the country code stays
-        rest = "".join(like(c, draw) for c in canonical[keep:])
+        rest = "".join(like(c, draw) for c in canonical[keep:]) + more
         return canonical[:keep] + (str(2 + draw.below(8)) + rest[1:] if canonical[keep:keep + 1] not in ("", "0", "1") else rest)
     if kind == "card":
-        body = canonical[0] + "".join(str(draw.below(10)) for _ in canonical[1:-1])
+        body = canonical[0] + "".join(str(draw.below(10)) for _ in canonical[1:-1]) + more
         if not luhn_ok(canonical):
             last = [d for d in "0123456789" if not luhn_ok(body + d)]
             return body + draw.pick(last)
         return body + next(d for d in "0123456789" if luhn_ok(body + d))
     if kind == "iban":
-        body = canonical[:2] + "00" + "".join(like(c, draw) for c in canonical[4:])
+        body = canonical[:2] + "00" + "".join(like(c, draw) for c in canonical[4:]) + more
         number = "".join(str(int(c, 36)) for c in body[4:] + body[:4])
         return body[:2] + f"{98 - int(number) % 97:02d}" + body[4:]
     if kind == "ssn":
-        return f"{100 + draw.below(565):03d}{1 + draw.below(99):02d}{1 + draw.below(9999):04d}"
+        return f"{100 + draw.below(565):03d}{1 + draw.below(99):02d}{1 + draw.below(9999):04d}{more}"
     hexadecimal = re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", canonical) is not None
     return "".join(like(c, draw, hexadecimal) for c in canonical)
 
 
 def render(mention: str, kind: str, replacement: str) -> str:
-    """The replacement in the shape of the mention."""
+    """The replacement in the shape of the mention; what a longer form has more
+    comes last."""
+    if replacement.startswith("["):
+        return replacement
     if kind.startswith("given") or kind == "surname":
         return replacement.upper() if len(mention) > 1 and mention.isupper() else replacement.capitalize()
     if kind == "email":
@@ -213,4 +243,4 @@ def render(mention: str, kind: str, replacement: str) -> str:
     if kind in ("ip", "awskey", "secret"):
         return replacement
     chars = iter(replacement)
-    return "".join(next(chars) if c.isascii() and c.isalnum() else c for c in mention)
+    return "".join(next(chars) if c.isascii() and c.isalnum() else c for c in mention) + "".join(chars)

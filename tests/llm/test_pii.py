@@ -73,3 +73,29 @@ def test_collisions_are_drawn_again(spark):
 
 def test_empty(make):
     assert pii.replace(make([])).count() == 0
+
+
+@pytest.mark.parametrize("text", ["Password: ________", "token=......", "password=________ or secret: ~~~~~~~~", "_@_._.com"])
+def test_forms_without_variable_characters(make, text):
+    new = pii.replace(make([(1, text), (2, "mail a@b.com, password=abcdefgh")])).collect()
+    assert all(m not in r["text"] for r in new for _, _, m in spans(text)) and all(r["n_entities"] for r in new)
+
+
+def test_short_classes_get_longer_forms(make):
+    """All of a class's forms stand in the corpus: ten thousand telephone numbers of four digits."""
+    rows = [(i, " ".join(f"+{n:04d}" for n in range(i, 10_000, 20))) for i in range(20)] + [(99, "1.2.3.4")]
+    found = {c for _, t in rows for k, c, _ in spans(t) if k == "phone"}
+    out = {r["doc_id"]: r["text"].split() for r in pii.replace(make(rows)).collect()}
+    new = [t for i, ts in out.items() if i != 99 for t in ts]
+    assert len(found) == len(new) == len(set(new)) == 10_000
+    assert not {t[1:] for t in new} & found and all(re.fullmatch(r"\+\d{10}", t) for t in new)
+
+
+def test_longer_forms_and_masks():
+    for kind, canonical, mention in spans(TEXT):
+        for attempt in (20, 30):
+            new = surrogate(b"k", kind, canonical, attempt)
+            assert new != canonical and render(mention, kind, new) != mention
+            assert kind in ("given-m", "surname") or new.startswith("[") == (attempt == 30)
+            if kind == "card" and attempt == 20:
+                assert luhn_ok(new) and len(new) > len(canonical)
