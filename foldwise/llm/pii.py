@@ -26,17 +26,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import documents, materialize
-from .pii_entities import CANDIDATE, mentions, render, surrogate
+from .pii_entities import SIGN, WORDED, mentions, render, surrogate
 from .suffix_dedup import text_hashes
 
 KEY = b"foldwise-surrogates"  # a deployment passes its own secret key
 MAX_ATTEMPTS = 40
 
 
+def candidate(text: str) -> Column:
+    """Whether any pattern can match; the words are looked for only where the cheap sign is missing."""
+    return F.col(text).rlike(SIGN) | F.col(text).rlike(WORDED)
+
+
 def entity_rows(docs: DataFrame, text: str) -> DataFrame:
     """(t1, t2, kind, canonical): distinct entities of every distinct text."""
 
@@ -48,7 +53,7 @@ def entity_rows(docs: DataFrame, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.string(), pa.string()))],
                                              names=["t1", "t2", "kind", "canonical"])
 
-    candidates = docs.where(F.col(text).rlike(CANDIDATE)).select(F.col(text).alias("body"), *text_hashes(F.col(text)))
+    candidates = docs.where(candidate(text)).select(F.col(text).alias("body"), *text_hashes(F.col(text)))
     return candidates.mapInArrow(run, "t1 long, t2 long, kind string, canonical string").distinct()
 
 
@@ -86,7 +91,7 @@ def replace(docs: DataFrame, key: bytes = KEY, text: str = "text", n_column: str
     of_text = rows.join(surrogates, ["kind", "canonical"]).groupBy(F.col("t1").alias("__t1"), F.col("t2").alias("__t2")).agg(
         F.collect_list(F.struct("kind", "canonical", "surrogate")).alias("__map"))
     own = [c for c in docs.columns if c not in (n_column, kinds_column)]
-    hit = F.coalesce(F.col(text).rlike(CANDIDATE), F.lit(False))
+    hit = F.coalesce(candidate(text), F.lit(False))
     h1, h2 = text_hashes(F.col(text))
     named = docs.select(*own).where(hit).withColumns({"__h1": h1, "__h2": h2}).join(
         of_text, (F.col("__h1") == F.col("__t1")) & (F.col("__h2") == F.col("__t2")), "left").select(*own, "__map")

@@ -4,7 +4,8 @@ An entity has a kind and a canonical form, under which its mentions corefer
 (e-mail addresses without case, telephone numbers as digits, names by word).  A
 surrogate is drawn for the canonical form from a keyed hash and rendered in the
 shape of every mention: same separators, same case, same script, same gender for
-names, valid check digits where the original has them.
+names, valid check digits where the original has them.  Digits of every script
+count by their value and are rendered in the mention's own script.
 """
 
 from __future__ import annotations
@@ -64,8 +65,18 @@ def _by_first_letter(words) -> str:
     return "|".join(f"[{c}{c.upper()}](?iu:{_any(rest)})" for c, rest in first.items())
 
 
-# what a text must have for any pattern to match (for Java)
-CANDIDATE = r"[0-9@]|(?i:passw|pwd|secret|token|key)|(?U:\b(?:" + _by_first_letter(NAMED) + r")\b)"
+# what a text must have for any pattern to match (for Java): a cheap sign, or a word
+SIGN = r"[\p{Nd}@]"
+WORDED = r"(?i:passw|pwd|secret|token|key)|(?U:\b(?:" + _by_first_letter(NAMED) + r")\b)"
+CANDIDATE = SIGN + "|" + WORDED
+# the decimal digits beyond ASCII, by value
+DIGITS = {i: 48 + unicodedata.decimal(c) for i in range(0x80, 0x110000) if unicodedata.category(c := chr(i)) == "Nd"}
+OTHER_DIGIT = re.compile("[" + "".join(map(chr, DIGITS)) + "]")
+
+
+def ascii_digits(text: str) -> str:
+    """``text`` with the digits of every script as ASCII digits, place for place."""
+    return text if text.isascii() or not OTHER_DIGIT.search(text) else text.translate(DIGITS)
 
 
 def possible(text: str) -> Iterator[tuple[str, re.Pattern]]:
@@ -91,6 +102,7 @@ def fold(text: str) -> str:
 def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
     """(begin, end, kind, canonical form) of every mention, left to right, no
     overlaps.  Each word of a name is a mention of its own."""
+    text = ascii_digits(text)
     found = sorted(((m.start(), no, kind, m) for no, (kind, finder) in enumerate(possible(text)) for m in finder.finditer(text)), key=lambda x: x[:2])
     upto = 0
     for start, _, kind, m in found:
@@ -231,11 +243,24 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
     return "".join(like(c, draw, hexadecimal) for c in canonical)
 
 
+def in_script(new: str, mention: str) -> str:
+    """``new`` with its digits in the script of the mention's digit at the same
+    place, or else of its first digit."""
+    if mention.isascii() or not OTHER_DIGIT.search(mention):
+        return new
+    zeros = [ord(c) - unicodedata.decimal(c) if c.isdecimal() else None for c in mention]
+    first = next(z for z in zeros if z is not None)
+    aligned = zeros + [None] * (len(new) - len(zeros))
+    return "".join(chr((first if z is None else z) + int(c)) if c.isascii() and c.isdigit() else c for c, z in zip(new, aligned))
+
+
 def render(mention: str, kind: str, replacement: str) -> str:
     """The replacement in the shape of the mention; what a longer form has more
     comes last."""
-    if replacement.startswith("["):
-        return replacement
+    return replacement if replacement.startswith("[") else in_script(_shaped(mention, kind, replacement), mention)
+
+
+def _shaped(mention: str, kind: str, replacement: str) -> str:
     if kind.startswith("given") or kind == "surname":
         return replacement.upper() if len(mention) > 1 and mention.isupper() else replacement.capitalize()
     if kind == "email":
@@ -243,4 +268,4 @@ def render(mention: str, kind: str, replacement: str) -> str:
     if kind in ("ip", "awskey", "secret"):
         return replacement
     chars = iter(replacement)
-    return "".join(next(chars) if c.isascii() and c.isalnum() else c for c in mention) + "".join(chars)
+    return "".join(next(chars) if c.isascii() and c.isalnum() or c.isdecimal() else c for c in mention) + "".join(chars)

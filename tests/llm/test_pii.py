@@ -99,3 +99,17 @@ def test_longer_forms_and_masks():
             assert kind in ("given-m", "surname") or new.startswith("[") == (attempt == 30)
             if kind == "card" and attempt == 20:
                 assert luhn_ok(new) and len(new) > len(canonical)
+
+
+@pytest.mark.parametrize("zero", ["\u0660", "\u0966", "\uff10", "\u06f0", "\U0001d7ce"])
+@pytest.mark.parametrize("more", ["", " in 2024"])
+def test_digits_of_every_script(make, zero, more):
+    """Found by value, coreferring with ASCII mentions, rendered in their own script."""
+    own = str.maketrans({str(i): chr(ord(zero) + i) for i in range(10)})
+    plain = ["4111 1111 1111 1111", "123-45-6789", "+1 (988) 555-2485", "192.168.250.17"]
+    docs = make([(1, " ; ".join(x.translate(own) for x in plain) + more), (2, " ; ".join(plain))])
+    out = {r["doc_id"]: r for r in pii.replace(docs).collect()}
+    assert out[1]["n_entities"] == out[2]["n_entities"] == 4 and out[1]["kinds"] == out[2]["kinds"] == "card,ip,phone,ssn"
+    new, ascii_new = out[1]["text"].removesuffix(more), out[2]["text"]
+    assert new == ascii_new.translate(own)
+    assert not [x for x in plain if x in ascii_new or x.translate(own) in new]
