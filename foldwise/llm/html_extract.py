@@ -7,7 +7,11 @@ text).  One linear scan finds the contiguous region of highest total score.
 
 What is known not to be article text by its own mark-up (navigation, header,
 footer, sidebar, form, script, style, notices, adverts, reader comments, hidden
-parts) scores once, as a tag does, and is left out of the region's text.  Words of one
+parts) scores once, as a tag does, and is left out of the region's text.  Where
+the mark-up only hints at it (a form, header or sidebar element, a name of which one
+word is listed, "has-sidebar"), an element that holds more than ``MAJOR`` of the
+page's words outside sure exclusions is read like any other, behind an exclusion's
+score.  The headings of an excluded header inside an article stay.  Words of one
 text node share a weight, so the scan runs over text nodes and tags.
 
 Blocks end at block-level tags; white space inside a block becomes one space and
@@ -37,6 +41,7 @@ from .common import documents, table
 
 MAX_LABELLED = 512  # labelled pages that the weights are fitted on, taken by hash
 SMOOTH = 1.0
+MAJOR = 0.5  # share of the words from which a doubtful exclusion is read
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -51,6 +56,9 @@ BLOCK_TAGS = frozenset("address article aside blockquote body caption center dd
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 OUTER_TAGS = frozenset("html body main article".split())
 EXCLUDED_TAGS = frozenset("nav header footer aside form button select menu dialog head object canvas".split())
+DOUBTFUL_ROLES = frozenset("form banner complementary".split())
+DOUBTFUL_TAGS = frozenset("header aside form object dialog".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 EXCLUDED_NAMES = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu "
                            "sidebar footer header masthead breadcrumb breadcrumbs cookie cookies consent gdpr notice notices alert popup modal overlay "
                            "newsletter subscribe subscription paywall share sharing social related recommended comment comments commentlist disqus "
@@ -62,51 +70,127 @@ PRIOR = {"word": (90.0, 10.0), "excluded": (1.0, 4.0), "p": (4.0, 1.0), "br": (2
 OTHER = (1.0, 2.0)
 
 
-def excluded(tag: str, attrs: str) -> bool:
-    if tag in EXCLUDED_TAGS:
-        return True
+SURE, DOUBTFUL, HEADER = "sure", "doubtful", "header"
+
+
+def excluded(tag: str, attrs: str) -> str | None:
+    """SURE, DOUBTFUL or HEADER (doubtful, and only a header) for an element that
+    its mark-up excludes."""
+    found = HEADER if tag == "header" else DOUBTFUL if tag in DOUBTFUL_TAGS else SURE if tag in EXCLUDED_TAGS else None
     if not attrs or tag in OUTER_TAGS:
-        return False
+        return found
     for m in ATTR.finditer(attrs):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return SURE
         if name == "style" and "display:none" in value.replace(" ", ""):
-            return True
+            return SURE
         if name == "role" and value in EXCLUDED_ROLES:
-            return True
-        if name in ("class", "id") and not EXCLUDED_NAMES.isdisjoint(WORDS_OF_NAME.findall(value)):
-            return True
-    return False
-
-
-def tokens(page: str) -> Iterator[tuple[str, str]]:
-    """("word", text node), ("excluded", "") for a whole excluded element, or
-    (tag name, "")."""
-    at, inside, depth = 0, None, 0
+            if value not in DOUBTFUL_ROLES:
+                return SURE
+            found = found or DOUBTFUL
+        if name in ("class", "id"):
+            for token in value.split():
+                words = WORDS_OF_NAME.findall(token)
+                listed = EXCLUDED_NAMES.intersection(words)
+                if listed == {"header"}:
+                    found = found or HEADER
+                elif listed and len(listed) == len(set(words)):
+                    return SURE
+                elif listed:
+                    found = DOUBTFUL if found in (None, HEADER) else found
+    return found
+
+
+def marked(page: str) -> list[tuple]:
+    """(begin, end, kind, tag, closing, exclusion) of every tag and raw part; kind
+    is "tag", "raw" or "" (comments)."""
+    out = []
     for m in TOKEN.finditer(page):
-        if inside is None and m.start() > at:
-            yield "word", page[at:m.start()]
-        at = m.end()
         if m["tag"] is None:
-            if inside is None and m["raw"]:
-                yield "excluded", ""
+            out.append((m.start(), m.end(), "raw" if m["raw"] else "", "", False, None))
+            continue
+        tag, closing = m["tag"].lower(), bool(m["close"])
+        starts = not closing and tag not in VOID_TAGS and not m["attrs"].endswith("/")
+        out.append((m.start(), m.end(), "tag", tag, closing, excluded(tag, m["attrs"]) if starts else None))
+    return out
+
+
+def read(page: str, marks: list[tuple], opened: frozenset[int] | None) -> Iterator[tuple[str, str, int]]:
+    """(token kind, text, place of its mark).  Doubtful exclusions are left out
+    unless their place is in ``opened``; None opens all."""
+    at, inside, depth, articles, headings, heading = 0, None, 0, 0, False, False
+    for begin, end, kind, tag, closing, exclusion in marks:
+        if (inside is None or heading) and begin > at:
+            yield "word", page[at:begin], -1
+        at = end
+        if kind != "tag":
+            if inside is None and kind == "raw":
+                yield "excluded", "", begin
             continue
-        tag = m["tag"].lower()
+        if tag in ("article", "main"):
+            articles = max(0, articles + (-1 if closing else 1))
         if inside is not None:
-            depth += (-1 if m["close"] else 1) if tag == inside else 0
+            depth += (-1 if closing else 1) if tag == inside else 0
             if depth and tag not in OUTER_TAGS:
+                if headings and (heading or tag in HEADINGS):
+                    heading = not closing if tag in HEADINGS else True
+                    yield tag, "", begin
                 continue
-            inside = None
+            inside, heading = None, False
             if tag not in OUTER_TAGS:
                 continue
-        elif not m["close"] and tag not in VOID_TAGS and not m["attrs"].endswith("/") and excluded(tag, m["attrs"]):
-            inside, depth = tag, 1
-            yield "excluded", ""
-            continue
-        yield tag, ""
-    if inside is None and at < len(page):
-        yield "word", page[at:]
+        elif exclusion is not None:
+            doubtful = exclusion != SURE and (opened is None or begin in opened)
+            yield "excluded", "", begin
+            if not doubtful:
+                inside, depth, headings = tag, 1, exclusion == HEADER and articles > 0
+                continue
+        yield tag, "", begin
+    if (inside is None or heading) and at < len(page):
+        yield "word", page[at:], -1
+
+
+def major(page: str, marks: list[tuple]) -> frozenset[int]:
+    """Places of the doubtful exclusions that hold more than ``MAJOR`` of the words
+    outside sure exclusions."""
+    at = {m[0]: m for m in marks}
+    words, level, sizes = 0, Counter(), {}
+    open_: dict[str, list[tuple[int, int, int]]] = {}  # by tag: (level, place, words before)
+
+    def close(tag: str, upto: int) -> None:
+        while open_.get(tag) and open_[tag][-1][0] > upto:
+            _, place, before = open_[tag].pop()
+            sizes[place] = words - before
+
+    for kind, text, place in read(page, marks, None):
+        if kind == "word":
+            words += len(text.split())
+        elif kind != "excluded":
+            _, _, _, tag, closing, exclusion = at[place]
+            if tag in OUTER_TAGS:
+                for t in [*open_]:
+                    close(t, -1)
+                level.clear()
+            elif closing:
+                level[tag] -= 1
+                close(tag, level[tag])
+            elif tag not in VOID_TAGS:
+                level[tag] += 1
+                if exclusion is not None:
+                    open_.setdefault(tag, []).append((level[tag], place, words))
+    for t in [*open_]:
+        close(t, -math.inf)
+    return frozenset(p for p, n in sizes.items() if n > MAJOR * words)
+
+
+def tokens(page: str) -> Iterator[tuple[str, str]]:
+    """("word", text node), ("excluded", "") for a whole excluded element, or
+    (tag name, "").  A doubtful exclusion that holds most of the page's words is
+    read, behind an ("excluded", "")."""
+    marks = marked(page)
+    doubtful = any(m[5] not in (None, SURE) for m in marks)
+    return ((kind, text) for kind, text, _ in read(page, marks, major(page, marks) if doubtful else frozenset()))
 
 
 def squeeze(text: str) -> str:

@@ -54,3 +54,26 @@ def test_frame(spark):
     assert hx.extract(pages.limit(0), hx.fit(spark.createDataFrame([], "html string, lines array<string>")), ["page_id"]).count() == 0
     with pytest.raises(ValueError):
         hx.extract(pages.withColumnRenamed("url", "text"), PRIOR, ["text"])
+
+
+WORDS = "<p>First words of the article stand here</p><p>and some more words follow them here</p>"
+TEXT = ["First words of the article stand here", "and some more words follow them here"]
+
+
+@pytest.mark.parametrize("begin,end", [('<div class="page has-sidebar">', "</div>"), ('<div id="post-with-comments">', "</div>"), ("<form action=x>", "</form>"),
+                                       ('<div class="page has-sidebar"><form id=aspnet><div class="no-banner">', "</div></form></div>")])
+def test_wrappers_that_hint_at_exclusions_are_read(begin, end):
+    parts = '<div class="sidebar"><p>Other stories of the day and of the week to read now</p></div><aside>short note</aside><div class="left-menu">A B</div>'
+    assert hx.main_text(f"<body>{begin}{WORDS}{end}</body>", PRIOR).split("\n\n") == TEXT
+    assert hx.main_text(f"<body><nav>a b c</nav>{begin}{parts}<div>{WORDS}</div>{parts}{end}<footer>x</footer></body>", PRIOR).split("\n\n") == TEXT
+
+
+@pytest.mark.parametrize("tag", ["header", 'div class="entry-header"'])
+def test_headings_of_the_articles_header_stay(tag):
+    head = f"<{tag}><h1>The title <b>itself</b></h1><p>By someone</p></{tag.split()[0]}>"
+    assert hx.main_text(f"<body>{head}<article>{head}{WORDS}</article></body>", PRIOR).split("\n\n") == ["The title itself", *TEXT]
+
+
+def test_small_doubtful_parts_are_left_out():
+    page = f'<body><div class="post-comments">I like it</div><div>{WORDS}</div><div class="site-menu">one two</div></body>'
+    assert hx.main_text(page, PRIOR).split("\n\n") == TEXT
