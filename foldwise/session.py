@@ -69,17 +69,24 @@ def materialize(df: DataFrame) -> DataFrame:
     intermediate results that several later stages consume.
     """
     spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), "tables", uuid.uuid4().hex)
+    path = scratch_path(spark, "tables")
     df.write.mode("overwrite").parquet(path)
-    _WRITTEN.append(path)
     return spark.read.parquet(path)
 
 
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A new path for ``kind`` of files under the checkpoint directory, deleted by
+    :func:`drop_materialized`."""
+    path = os.path.join(checkpoint_dir(spark), kind, uuid.uuid4().hex)
+    _WRITTEN.append(path)
+    return path
+
+
 _WRITTEN: list[str] = []
 
 
 def drop_materialized(spark: SparkSession) -> int:
-    """Delete the tables that :func:`materialize` has written from this process
+    """Delete the tables and files that this process has written to scratch paths
     and return their number.  For long-lived sessions: call it when every result
     that reads them has been consumed."""
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
