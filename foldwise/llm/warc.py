@@ -180,7 +180,8 @@ def write_arc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url
 
 
 def _write(records: DataFrame, path: str, separator: str) -> None:
-    records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", separator).option("compression", "gzip").text(path)
+    (records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", separator)
+     .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path))
 
 
 def header_fields(line: bytes, names: list[str]) -> dict[str, str] | None:
