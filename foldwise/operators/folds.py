@@ -8,11 +8,7 @@ its own (a bucket: one label and one value of the first ``BUCKET_DIGITS`` hex
 digits of the hash, counted with a map-side combine) plus its place inside the
 bucket, so no label (two groups!) goes through one task and rows are shuffled once.
 
-A *split* is one training set with its validation rows.  ``split_membership``
-expands every row into the splits it belongs to (``role`` = train / valid):
-split 0 is the full table, split ``10*f`` the outer fold ``f`` and split
-``10*f + g`` the inner fold ``g`` inside outer training set ``f``.  All
-statistics of all splits are then fitted by grouping on ``split``.
+Training sets of many folds at once are the matter of ``split_stats.py``.
 """
 
 from __future__ import annotations
@@ -23,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import nan_as_null
-from ..session import materialize, sized_broadcast
+from ..session import sized_broadcast
 
 TRAIN, VALID = "train", "valid"
 
@@ -82,35 +78,6 @@ def holdout_split(df: DataFrame, key: str, label: str, test_size: float, seed: i
             .drop("_idx", "_n", "_l"))
 
 
-def split_membership(df: DataFrame, key: str, label: str, outer_k: int = 5, inner_k: int = 4,
-                     seed: int = 42, nested: bool = True) -> DataFrame:
-    """V1/V2: every row once per split it belongs to, with ``split`` and ``role``.
-
-    Carries all columns of ``df`` (project first).  Inner folds use seed
-    ``seed + outer_fold`` inside each outer training set.
-    """
-    outer = materialize(assign_folds(df, key, label, outer_k, seed, out="_outer"))
-    flat = F.explode(F.array(
-        F.struct(F.lit(0).alias("split"), F.lit(TRAIN).alias("role")),
-        *[F.struct(F.lit(10 * f).alias("split"),
-                   F.when(F.col("_outer") == f, F.lit(VALID)).otherwise(F.lit(TRAIN)).alias("role"))
-          for f in range(1, outer_k + 1)]))
-    parts = outer.select("*", flat.alias("_m")).select(*df.columns, "_outer", "_m.split", "_m.role")
-    if not nested:
-        return parts.drop("_outer")
-    # rows of outer training set f, re-dealt into inner folds with seed + f
-    in_outer_train = (outer.select("*", F.explode(F.array(*[F.lit(f) for f in range(1, outer_k + 1)])).alias("_f"))
-                      .where(F.col("_f") != F.col("_outer")))
-    inner = assign_folds(in_outer_train, key, label, inner_k, seed, out="_inner", group_by=["_f"],
-                         seed_col=F.lit(seed) + F.col("_f"))
-    inner_flat = F.explode(F.array(*[
-        F.struct((F.col("_f") * 10 + g).alias("split"),
-                 F.when(F.col("_inner") == g, F.lit(VALID)).otherwise(F.lit(TRAIN)).alias("role"))
-        for g in range(1, inner_k + 1)]))
-    inner_parts = inner.select("*", inner_flat.alias("_m")).select(*df.columns, "_outer", "_m.split", "_m.role")
-    return parts.unionByName(inner_parts).drop("_outer")
-
-
 def fold_sizes(folds: DataFrame, fold: str = "fold", label: str | None = None) -> DataFrame:
     keys = [fold] + ([label] if label else [])
     return folds.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))

@@ -72,6 +72,24 @@ def sliced_running_sum(data: DataFrame, order_by: Sequence[str], group_by: list[
     return joined.drop(*dropped)
 
 
+def sliced_running_sums(data: DataFrame, order_by: Sequence[str], group_by: list[str], weights: Sequence[str], slices: int) -> DataFrame:
+    """``data`` plus, for every column ``w`` of ``weights``, ``_cum<w>`` (its sum over the
+    rows of the group up to this one in the order, which must be unique) and ``_total<w>``:
+    many running sums from one ordering, sliced as in :func:`sliced_running_sum`."""
+    ranged = materialize(data.repartitionByRange(slices, *group_by, *order_by).withColumn(_PID, F.spark_partition_id()))
+    up_to_here = Window.partitionBy(_PID, *group_by).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.select("*", *[F.sum(w).over(up_to_here).alias(f"_local{w}") for w in weights])
+    totals = ranged.groupBy(_PID, *group_by).agg(*[F.sum(w).alias(w) for w in weights])
+    part = Window.partitionBy(*group_by) if group_by else Window.partitionBy(F.lit(0))
+    before = part.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(F.col(_PID).alias("_o_slice"), *[F.col(g).alias(f"_o_{g}") for g in group_by],
+                            *[F.coalesce(F.sum(w).over(before), F.lit(0)).alias(f"_before{w}") for w in weights],
+                            *[F.sum(w).over(part).alias(f"_total{w}") for w in weights])
+    cond = [local[_PID] == offsets["_o_slice"]] + [local[g].eqNullSafe(offsets[f"_o_{g}"]) for g in group_by]
+    return local.join(offsets, cond).select(*data.columns, *[(F.col(f"_before{w}") + F.col(f"_local{w}")).alias(f"_cum{w}") for w in weights],
+                                            *[f"_total{w}" for w in weights])
+
+
 def global_index(df: DataFrame, order_by: Sequence[str], group_by: Sequence[str] = (),
                  out: str = "idx", slices: int | None = None) -> DataFrame:
     """0-based position of each row in the order ``order_by`` (inside ``group_by``).

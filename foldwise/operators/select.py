@@ -56,6 +56,12 @@ def mutual_information(long: DataFrame, label: str, classes: DataFrame, by: Sequ
     # the contingency table is small (features x distinct values x classes) and
     # is read three times below: computed once from the long rows and stored
     c = materialize(long.groupBy(*by, "feature", "value", label).agg(F.count(F.lit(1)).alias("_c")))
+    return mi_from_counts(c, label, classes, by, out)
+
+
+def mi_from_counts(c: DataFrame, label: str, classes: DataFrame, by: Sequence[str] = (), out: str = "mi") -> DataFrame:
+    """E5a from a stored contingency table ``(by..., feature, value, label, _c)``."""
+    by = list(by)
     # rows missing from the long form are zeros: top up value 0.0 per class
     seen = c.groupBy(*by, "feature", label).agg(F.sum("_c").alias("_seen"))
     zeros = (seen.join(classes, [*by, label], "inner")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.fit import tiered_quantile
-from ..operators.folds import TRAIN, assign_folds, fold_moments, fold_sizes, holdout_split, split_membership
+from ..operators import split_stats as V
+from ..operators.folds import assign_folds, fold_moments, fold_sizes, holdout_split
+from ..session import materialize
 from .q_features import round_doubles
 from .registry import query
 from .views import oracle_with, view
@@ -49,12 +50,31 @@ SELECT split, 0 AS tier, pclass, sex, round(quantile_cont(age, 0.5), 6) AS media
 UNION ALL SELECT split, 1, pclass, NULL, round(quantile_cont(age, 0.5), 6) FROM exp WHERE age IS NOT NULL GROUP BY split, pclass
 UNION ALL SELECT split, 2, NULL, NULL, round(quantile_cont(age, 0.5), 6) FROM exp WHERE age IS NOT NULL GROUP BY split"""))
 def q_fold_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V1: tiered medians of every outer training fold, all folds in one job."""
+    """V1: tiered medians of every outer training fold from split-count vectors, no row copied."""
     p = view(spark, sf_dir, "pax").select("pid", "survived", "pclass", "sex", "age")
-    m = split_membership(p, "pid", "survived", nested=False)
-    train = m.where((F.col("role") == TRAIN) & (F.col("split") > 0))
-    t = tiered_quantile(train, [["pclass", "sex"], ["pclass"], []], "age", by=["split"])
-    return round_doubles(t.select("split", F.col("_tier").alias("tier"), "pclass", "sex", "median"))
+    splits, keys = V.Splits(nested=False), ["pclass", "sex"]
+    members = materialize(V.with_masks(p, "pid", "survived", splits))
+    t = V.tiered_vectors(V.finest_counts(members, keys, "age", splits), [keys, ["pclass"], []], keys, splits).where(F.col(V.INDEX) > 0)
+    split = F.get(F.array(*[F.lit(i) for i in splits.ids]), F.col(V.INDEX))
+    return round_doubles(t.select(split.alias("split"), F.col("_tier").alias("tier"), "pclass", "sex", F.col("q").alias("median")))
+
+
+@query("v1_nested_fold_medians", oracle=oracle_with("pax", """,
+outer_f AS (SELECT *, (row_number() OVER (ORDER BY survived, md5(concat_ws('|', CAST(pid AS VARCHAR), '42'))) - 1) % 5 + 1 AS f FROM pax),
+inner_f AS (SELECT o.pid, t.i AS outer_fold,
+              (row_number() OVER (PARTITION BY t.i ORDER BY o.survived, md5(concat_ws('|', CAST(o.pid AS VARCHAR), CAST(42 + t.i AS VARCHAR)))) - 1) % 4 + 1 AS g
+            FROM outer_f o JOIN range(1, 6) t(i) ON o.f <> t.i),
+exp AS (SELECT o.pclass, o.age, 10 * i.outer_fold + h.g AS split FROM outer_f o JOIN inner_f i ON o.pid = i.pid JOIN range(1, 5) h(g) ON i.g <> h.g)
+SELECT CAST(split AS INTEGER) AS split, 0 AS tier, pclass, round(quantile_cont(age, 0.5), 6) AS median FROM exp WHERE age IS NOT NULL GROUP BY split, pclass
+UNION ALL SELECT CAST(split AS INTEGER), 1, NULL, round(quantile_cont(age, 0.5), 6) FROM exp WHERE age IS NOT NULL GROUP BY split"""))
+def q_nested_fold_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1+V2: tiered medians of all 20 inner training sets of the nested search, from one row each."""
+    p = view(spark, sf_dir, "pax").select("pid", "survived", "pclass", "age")
+    splits = V.Splits()
+    members = materialize(V.with_masks(p, "pid", "survived", splits))
+    t = V.tiered_vectors(V.finest_counts(members, ["pclass"], "age", splits), [["pclass"], []], ["pclass"], splits)
+    split = F.get(F.array(*[F.lit(i) for i in splits.ids]), F.col(V.INDEX))
+    return round_doubles(t.select(split.alias("split"), F.col("_tier").alias("tier"), "pclass", F.col("q").alias("median")).where("split % 10 <> 0"))
 
 
 @query("v1_fold_moments", oracle=oracle_with("pax", "," + _FOLDS_PAX + """

@@ -1,26 +1,25 @@
-"""Nested cross-validation, final search and scoring.
-
-Statistics of all 26 training sets come from :mod:`.splits` (one set of
-grouped jobs).  What remains per candidate is an MLlib fit on one split's
-files (partition-pruned) with its top-k columns; fits run concurrently from a
-thread pool, each as ordinary distributed Spark jobs.  Results (one number per
-fit) return to the driver and become a small candidate table that is ranked
-with window functions.
+"""Nested cross-validation, final search and scoring.
+
+Every candidate is a (split, k) pair: a logistic regression on the split's training
+rows with its top-k features.  All of them are fitted together by the many-model
+Newton solver, in about ten passes over one stored row per input row, and scored in
+one more pass.  One number per candidate returns to the driver and becomes a small
+table that is ranked with window functions.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import logistic
 from ..operators import metrics as M
-from ..operators.folds import TRAIN, VALID
-from ..operators.models import baseline_logistic
-from .splits import KEY, ROLE, SPLIT, Prepared, encoded_rows
+from ..operators.logistic import Fit
+from ..session import materialize
+from .splits import KEY, SPLIT, Prepared
 
 # The numbers of features tried by the search.
 K_GRID = [8, 12, 16, 20, 24, 28, 32, 36, 40, "all"]
@@ -34,76 +33,53 @@ class SearchResult:
     oof: DataFrame             # V3 (key, fold, prediction)
     best_k: str
     final_features: list
-    final_model: object
-
-
-def _selected(ranking_rows: dict, split: int, k) -> list[str]:
-    feats = ranking_rows[split]                       # [(rank, position, feature)]
-    chosen = feats if k == "all" else [f for f in feats if f[0] <= k]
-    return [f[2] for f in sorted(chosen, key=lambda f: f[1])]
-
-
-def _default_estimator(n_rows: int, label: str):
-    return baseline_logistic(label=label, n_rows=n_rows)
-
-
-def run_search(p: Prepared, k_grid=K_GRID, estimator=None, parallelism: int = 16,
-               outer_k: int = 5, inner_k: int = 4) -> SearchResult:
-    r = p.roles
-    key, label = KEY, r.label
-    spark = p.clean.sparkSession
-    wide = encoded_rows(p)
-    ranking_rows: dict = {}
-    for row in p.ranking.select(SPLIT, "rank", "position", "feature").collect():
-        ranking_rows.setdefault(row[SPLIT], []).append((row["rank"], row["position"], row["feature"]))
-    counts = {(x[SPLIT], x[ROLE]): x["n"] for x in
-              p.clean.groupBy(SPLIT, ROLE).agg(F.count(F.lit(1)).alias("n")).collect()}
-    make = estimator or _default_estimator
-    models: dict = {}
-
-    def fit_eval(split: int, gi: int, k):
-        feats = _selected(ranking_rows, split, k)
-        rows = wide.where(F.col(SPLIT) == split)
-        data = VectorAssembler(inputCols=feats, outputCol="features").transform(rows) \
-            .select(key, label, ROLE, "features")
-        est = make(counts.get((split, TRAIN), 1), label)
-        model = est.fit(data.where(F.col(ROLE) == TRAIN))
-        acc = M.accuracy(model.transform(data), label, "prediction", by=[ROLE]).collect()
-        accs = {a[ROLE]: a["accuracy"] for a in acc}
-        if split % 10 == 0:
-            models[(split, gi)] = (model, feats)
-        return (split, gi, str(k), accs.get(TRAIN), accs.get(VALID))
-
-    splits = sorted(ranking_rows)
-    tasks = [(s, gi, k) for s in splits if s != 0 for gi, k in enumerate(k_grid)]
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        results = list(pool.map(lambda t: fit_eval(*t), tasks))
+    final_weights: np.ndarray  # of final_features, the intercept last
+
+
+def _selected(ranked: list[tuple], k) -> list[tuple]:
+    """The top-k of (rank, position, feature), in column order."""
+    return sorted((f for f in ranked if k == "all" or f[0] <= k), key=lambda f: f[1])
+
+
+def run_search(p: Prepared, k_grid=K_GRID, c: float = 1.0) -> SearchResult:
+    spark = p.rows.sparkSession
+    ids, outer_k = p.splits.ids, p.splits.outer_k
+    ranking: dict[int, list] = {i: [] for i in ids}
+    for row in p.ranking.select(SPLIT, "rank", "position", "feature").collect():  # splits x encoded features
+        ranking[row[SPLIT]].append((row["rank"], row["position"], row["feature"]))
+
+    def fit_of(split: int, k) -> Fit:
+        return Fit(ids.index(split), tuple(f[1] for f in _selected(ranking[split], k)))
+
+    cells = [(s, gi, k) for s in ids if s != 0 for gi, k in enumerate(k_grid)]
+    fits = [fit_of(s, k) for s, _, k in cells]
+    weights = logistic.fit_many(p.rows, p.design, fits, c)
+    scores = logistic.accuracies(p.rows, p.design, fits, weights)
+    share = lambda hits, rows: hits / rows if rows else None
+    results = [(s, gi, str(k), share(x["train_hits"], x["train_rows"]), share(x["valid_hits"], x["valid_rows"])) for (s, gi, k), x in zip(cells, scores)]
     cand = spark.createDataFrame(results, "split int, grid_pos int, k string, train_accuracy double, valid_accuracy double")
+    sizes = {s: (x["train_rows"], x["valid_rows"]) for (s, _, _), x in zip(cells, scores)}
 
     inner = cand.where(F.col(SPLIT) % 10 != 0).withColumn("outer_fold", (F.col(SPLIT) / 10).cast("int"))
     inner_mean = inner.groupBy("outer_fold", "grid_pos", "k").agg(
         F.round(F.avg("valid_accuracy"), 12).alias("inner_accuracy"))
-    best_inner = M.pick_best(inner_mean, "inner_accuracy", "grid_pos", by=["outer_fold"])
+    best_inner = materialize(M.pick_best(inner_mean, "inner_accuracy", "grid_pos", by=["outer_fold"]))
     outer = cand.where((F.col(SPLIT) % 10 == 0) & (F.col(SPLIT) > 0)) \
         .withColumn("outer_fold", (F.col(SPLIT) / 10).cast("int"))
-    sizes = spark.createDataFrame(
-        [(f, counts.get((10 * f, TRAIN), 0), counts.get((10 * f, VALID), 0)) for f in range(1, outer_k + 1)],
-        "outer_fold int, train_rows long, validation_rows long")
+    sized = spark.createDataFrame([(f, *sizes[10 * f]) for f in range(1, outer_k + 1)],
+                                  "outer_fold int, train_rows long, validation_rows long")
     nested = (best_inner.join(outer.select("outer_fold", "grid_pos", F.col("valid_accuracy").alias("outer_accuracy")),
                               ["outer_fold", "grid_pos"])
-              .join(sizes, "outer_fold")
+              .join(sized, "outer_fold")
               .select("outer_fold", "train_rows", "validation_rows", F.col("k").alias("best_k"),
                       F.col("inner_accuracy").alias("inner_best_accuracy"), "outer_accuracy"))
 
-    # V3: out-of-fold predictions of each outer fold's chosen model
+    # V3: out-of-fold predictions of each outer fold's chosen model, from one pass
     best = {row["outer_fold"]: row["grid_pos"] for row in best_inner.collect()}
-    oof = None
-    for f, gi in sorted(best.items()):
-        model, feats = models[(10 * f, gi)]
-        rows = wide.where((F.col(SPLIT) == 10 * f) & (F.col(ROLE) == VALID))
-        pred = model.transform(VectorAssembler(inputCols=feats, outputCol="features").transform(rows)) \
-            .select(key, F.lit(f).alias("fold"), F.col("prediction").cast("int").alias("prediction"))
-        oof = pred if oof is None else oof.unionByName(pred)
+    chosen = [cells.index((10 * f, gi, k_grid[gi])) for f, gi in sorted(best.items())]
+    found = logistic.predictions(p.rows, p.design, [fits[i] for i in chosen], [weights[i] for i in chosen], KEY)
+    fold_of = F.array(*[F.lit(i // 10) for i in ids])
+    oof = found.select(KEY, F.get(fold_of, F.col(SPLIT)).alias("fold"), "prediction")
 
     # V4: the final search over the outer folds (same folds, same seed)
     summary = outer.groupBy("grid_pos", "k").agg(
@@ -112,12 +88,10 @@ def run_search(p: Prepared, k_grid=K_GRID, estimator=None, parallelism: int = 16
         F.avg("train_accuracy").alias("train_accuracy_mean"))
     # P11: "all" is shown as the total number of encoded features (chart data)
     summary = summary.withColumn("effective_k", F.when(F.col("k") == "all", F.lit(len(p.names)))
-                                 .otherwise(F.col("k").cast("int")))
+                                 .otherwise(F.col("k").try_cast("int")))
     selection = M.rank_candidates(summary, "cv_accuracy_mean", "grid_pos").orderBy("rank", "k")
-    best_row = selection.where("selected").first()
-    best_k = best_row["k"]
-    final_feats = _selected(ranking_rows, 0, "all" if best_k == "all" else int(best_k))
-    full = wide.where(F.col(SPLIT) == 0)
-    final_model = make(counts.get((0, TRAIN), 1), label).fit(
-        VectorAssembler(inputCols=final_feats, outputCol="features").transform(full))
-    return SearchResult(cand, nested, selection.drop("grid_pos"), oof, best_k, final_feats, final_model)
+    best_k = selection.where("selected").first()["k"]
+    k = "all" if best_k == "all" else int(best_k)
+    final = fit_of(0, k)
+    return SearchResult(cand, nested, selection.drop("grid_pos"), oof, best_k, [f[2] for f in _selected(ranking[0], k)],
+                        logistic.fit_many(p.rows, p.design, [final], c)[0])

@@ -1,81 +1,240 @@
-"""Leakage-safe fits over all cross-validation splits at once.
-
-``prepare(raw, roles)`` expands the raw rows into every split they belong to,
-fits the feature-row statistics, the encoder and the mutual-information
-ranking *per split on its training rows only* (one set of grouped jobs for
-all splits), and returns the encoded rows of every split plus the ranking.
-Model fitting then only selects a split's rows and its top-k columns.
+"""Leakage-safe preparation of all cross-validation splits at once.
+
+``prepare(raw, roles)`` stores one row per input row, whatever the number of splits:
+the masks of the splits it trains and validates, and every clean column as an array
+of one value, or of one per split where the fitted statistics make it differ.  All
+statistics (tiered medians, modes, frequent prefixes, fare bands, scales, bins and
+mutual information) are fitted per split on its training rows only, from split-count
+vectors.  :class:`Design` turns the stored rows into a split's design matrix.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.encode import EncoderParams, encode_long, encode_wide, fit_encoder, one_hot_union
-from ..operators.features import (CATEGORICAL_COLUMNS, PASSTHROUGH_COLUMNS, SCALED_COLUMNS,
-                                  FeatureParams, Roles, apply_features, fit_features)
-from ..operators.folds import TRAIN, split_membership
-from ..operators.select import bin_continuous, class_counts, mutual_information, rank_features
-from ..session import materialize
+from ..functions import exprs as X
+from ..operators import split_stats as V
+from ..operators.encode import EncoderParams, encode_long
+from ..operators.features import (_PREFIX, _TITLE, CATEGORICAL_COLUMNS, PASSTHROUGH_COLUMNS, SCALED_COLUMNS, Roles, age_tiers, fare_tiers)
+from ..operators.logistic import MAX_COLUMNS
+from ..operators.select import bin_continuous, class_counts, mi_from_counts, mutual_information, rank_features
+from ..operators.split_stats import TRAIN, VALID, Splits
+from ..session import materialize, sized_broadcast
 
-SPLIT, ROLE = "split", "role"
+SPLIT = "split"
 KEY = "PassengerId"      # the clean feature row names its key column so
 # encoded features scored as continuous (binned at learned deciles first)
 CONTINUOUS = ["AgeFilled", "FareFilled", "FareLog", "FarePerPerson", "AgePclass"]
 MI_BINS = 10
+NUMERIC = [*SCALED_COLUMNS, *PASSTHROUGH_COLUMNS]
+NUMBERED = {"Pclass"}    # categories in the order of their numbers
 
 
 @dataclass
 class Prepared:
     roles: Roles
-    features: FeatureParams
-    encoder: EncoderParams
-    clean: DataFrame        # clean feature rows of every split (+ label, split, role)
-    ranking: DataFrame      # (split, feature, mi, position, rank)
+    splits: Splits
+    rows: DataFrame         # one row per input row: KEY, label, masks, an array per clean column
+    design: Design
     names: list             # encoded feature names in column order (union over splits)
-
-
-def clean_all_splits(raw: DataFrame, r: Roles, nested: bool = True, seed: int = 42,
-                     outer_k: int = 5, inner_k: int = 4) -> tuple[DataFrame, FeatureParams]:
-    cols = list(dict.fromkeys([*r.raw_features(), r.label]))
-    members = split_membership(raw.select(*cols), r.key, r.label, outer_k, inner_k, seed, nested)
-    members = materialize(members)
-    fp = fit_features(members.where(F.col(ROLE) == TRAIN), r, by=[SPLIT])
-    clean = apply_features(members, fp, r, keep=[r.label, SPLIT, ROLE])
-    return materialize(clean), fp
+    ranking: DataFrame      # (split, feature, mi, position, rank)
 
 
 def score_features(clean: DataFrame, enc: EncoderParams, r: Roles, names: list,
-                   by: tuple = (SPLIT,)) -> DataFrame:
-    """E5a/E5b per group on the training rows; ranked (O3)."""
-    train = clean.where(F.col(ROLE) == TRAIN) if ROLE in clean.columns else clean
-    long = encode_long(train, enc, keys=[KEY, r.label])
+                   by: tuple = ()) -> DataFrame:
+    """E5a/E5b on the rows of one training set; ranked (O3)."""
+    long = encode_long(clean, enc, keys=[KEY, r.label])
     cont = [c for c in CONTINUOUS if c in names]
     long = bin_continuous(long, cont, by=list(by), bins=MI_BINS)
-    mi = mutual_information(long, r.label, class_counts(train, r.label, list(by)), by=list(by))
+    mi = mutual_information(long, r.label, class_counts(clean, r.label, list(by)), by=list(by))
     positions = clean.sparkSession.createDataFrame(list(enumerate(names)), "position int, feature string")
     return rank_features(mi, positions, by=list(by))
 
 
+class Design:
+    """Design matrices from stored rows: scaled measures, passthrough numbers, one
+    column per category; a category that a split's training rows lack is all zeros
+    there and so has no weight."""
+
+    def __init__(self, label: str, scale: dict, categories: dict[str, list[str]]):
+        self.label, self.categories = label, categories
+        self.scale = {c: [(m or 0.0, d or 1.0) for m, d in v] for c, v in scale.items()}  # no deviation: scale 1
+
+    def names(self) -> list[str]:
+        return NUMERIC + [f"{c}_{v}" for c, own in self.categories.items() for v in own]
+
+    def __call__(self, batch: pa.RecordBatch, splits: Sequence[int]) -> Iterator[tuple]:
+        n = batch.num_rows
+        columns = {}
+        for c in [*NUMERIC, *self.categories]:
+            lists = batch.column(c)
+            many = lists.value_lengths().to_numpy(zero_copy_only=False) > 1
+            starts = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))[:-1]])
+            flat = lists.flatten()
+            if c in self.categories:
+                flat = pc.fill_null(pc.index_in(flat, pa.array(self.categories[c], pa.string())), -1)
+            columns[c] = starts, many, np.nan_to_num(flat.to_numpy(zero_copy_only=False).astype(np.float64))
+        y = batch.column(self.label).to_numpy(zero_copy_only=False).astype(np.float64)
+        train, valid = (batch.column(c).to_numpy() for c in (TRAIN, VALID))
+        for s in splits:
+            x = np.zeros((n, len(NUMERIC) + sum(map(len, self.categories.values()))))
+            at = lambda c: columns[c][2][columns[c][0] + np.where(columns[c][1], s, 0)]  # noqa: E731,B023
+            for i, c in enumerate(NUMERIC):
+                x[:, i] = at(c)
+                if c in self.scale:
+                    mean, deviation = self.scale[c][s]
+                    x[:, i] = (x[:, i] - mean) / deviation
+            first = len(NUMERIC)
+            for c, own in self.categories.items():
+                code = at(c).astype(np.int64)
+                hot = np.flatnonzero(code >= 0)
+                x[hot, first + code[hot]] = 1.0
+                first += len(own)
+            yield s, x, y, (train >> s & 1).astype(bool), (valid >> s & 1).astype(bool)
+
+
+def _members(raw: DataFrame, r: Roles, splits: Splits, seed: int) -> DataFrame:
+    d = X.nan_as_null(raw.select(*dict.fromkeys([*r.raw_features(), r.label])), r.raw_features())
+    narrow = d.select("*", X.title_b(r.name).alias(_TITLE), X.ticket_prefix(r.ticket).alias(_PREFIX))
+    return materialize(V.with_masks(narrow, r.key, r.label, splits, seed))
+
+
+def _port_modes(members: DataFrame, r: Roles, splits: Splits) -> DataFrame:
+    """One row: the most frequent port of every split (A4)."""
+    counts = members.where(F.col(r.embarked).isNotNull()).groupBy(r.embarked).agg(*V.bit_counts(F.col(TRAIN), splits))
+    first = [F.min(F.when(F.col(n) > 0, F.struct((-F.col(n)).alias("c"), F.col(r.embarked).alias("v"))))["v"] for n in splits.counts]
+    return counts.agg(F.array(*first).alias("_ports"))
+
+
+def _prefix_masks(members: DataFrame, r: Roles, splits: Splits) -> DataFrame:
+    """(prefix, mask of the splits where it is frequent)."""
+    counts = members.groupBy(_PREFIX).agg(*V.bit_counts(F.col(TRAIN), splits))
+    mask = F.lit(0).cast("long")
+    for i, n in enumerate(splits.counts):
+        mask = mask + F.when(F.col(n) >= r.ticket_min_count, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long"))
+    return counts.select(F.col(_PREFIX).alias("_listed"), mask.alias("_kept")).where("_kept <> 0")
+
+
+def _fare_edges(members: DataFrame, fares: DataFrame, fills: DataFrame, r: Roles, splits: Splits) -> list[list[float]]:
+    """Inner edges of the imputed fare's bands of every split (A7): the counts of the
+    seen fares plus, at each class's fill value, the number of its missing ones."""
+    seen = fares.groupBy("_v").agg(*V.added(splits))
+    missing = members.where(F.col(r.fare).isNull()).groupBy(r.cls).agg(*V.bit_counts(F.col(TRAIN), splits)) \
+        .withColumn(r.fare, F.lit(None).cast("double"))
+    at_fill = V.filled(missing, fills, fare_tiers(r), r.fare, "_fills", splits)
+    one = F.explode(F.array(*[F.struct(F.get("_fills", F.lit(i)).alias("_v"), *[(F.col(n) if i == j else F.lit(0).cast("long")).alias(n) for j, n in enumerate(splits.counts)])
+                              for i in range(len(splits))]))  # classes x splits, not rows
+    placed = at_fill.select(one.alias("_c")).select("_c.*").where("_v IS NOT NULL")
+    counts = materialize(seen.unionByName(placed).groupBy("_v").agg(*V.added(splits)))
+    q = r.fare_quantiles
+    found: dict[int, dict[int, float]] = {}
+    for x in V.vector_quantiles(counts, [], "_v", [i / q for i in range(q + 1)], splits).collect():
+        found.setdefault(x[V.INDEX], {})[x["i"]] = x["q"]
+    return [sorted(set(found[s].values()))[1:-1] if s in found else [] for s in range(len(splits))]
+
+
+def _clean_rows(members: DataFrame, ages: DataFrame, fares: DataFrame, edges: list, r: Roles, splits: Splits) -> DataFrame:
+    """F22 for every split: each clean column an array of one value or one per split."""
+    t = V.filled(members, ages, age_tiers(r), r.age, "AgeFilled", splits)
+    t = V.filled(t, fares, fare_tiers(r), r.fare, "FareFilled", splits)
+    t = t.crossJoin(F.broadcast(materialize(_port_modes(members, r, splits))))  # one row
+    listed = sized_broadcast(materialize(_prefix_masks(members, r, splits)))
+    t = t.join(listed, F.col(_PREFIX) == F.col("_listed"), "left")
+    each = F.sequence(F.lit(0), F.lit(len(splits) - 1))
+    age, fare, kept = F.col("AgeFilled"), F.col("FareFilled"), F.coalesce("_kept", F.lit(0).cast("long"))
+    # inside a lambda a name could be taken for the clean column of that name
+    t = t.withColumns({"_cls": F.col(r.cls), "_sex": F.col(r.sex), "_fam": X.family_size(r.sibsp, r.parch), "_raw_prefix": F.col(_PREFIX)})
+    fam = F.col("_fam")
+    bands = F.array(*[F.array(*[F.lit(float(e)) for e in own]) if own else F.array().cast("array<double>") for own in edges])
+    prefix = F.when(kept == (1 << len(splits)) - 1, F.array(F.col("_raw_prefix"))).when(kept == 0, F.array(F.lit(X.TICKET_OTHER))).otherwise(
+        F.transform(each, lambda s: F.when(F.call_function("shiftright", kept, s).bitwiseAND(F.lit(1).cast("long")) == 1, F.col("_raw_prefix")).otherwise(F.lit(X.TICKET_OTHER))))
+    cols: dict[str, Column] = {
+        "AgeFilled": age, "FareFilled": fare,
+        "SexEncoded": F.array(X.two_value_code(r.sex, r.sex_codes)),
+        "SibSp": F.array(F.col(r.sibsp)), "Parch": F.array(F.col(r.parch)), "FamilySize": F.array(fam), "IsAlone": F.array(X.flag(fam == 1)),
+        "FareLog": F.transform(fare, X.log1p), "FarePerPerson": F.transform(fare, lambda v: X.ratio(v, fam)),
+        "HasCabin": F.array(X.flag(F.col(r.cabin).isNotNull())), "AgePclass": F.transform(age, lambda v: X.product(v, F.col("_cls"))),
+        "NameLength": F.array(X.char_length(r.name)),
+        "WomenChildPriority": F.transform(age, lambda v: X.priority_rule("_sex", v, r.priority_value, r.child_below)),
+        "AgeMissing": F.array(X.flag(F.col(r.age).isNull())), "FareMissing": F.array(X.flag(F.col(r.fare).isNull())),
+        "CabinMissing": F.array(X.flag(F.col(r.cabin).isNull())),
+        "Pclass": F.array(F.col(r.cls).cast("int")), "Sex": F.array(F.col(r.sex)),
+        "EmbarkedFilled": F.when(F.col(r.embarked).isNotNull(), F.array(F.col(r.embarked))).otherwise(F.col("_ports")),
+        "Title": F.array(F.col(_TITLE)), "CabinDeck": F.array(X.first_letter(r.cabin, X.CABIN_UNKNOWN)), "TicketPrefix": prefix,
+        "AgeBand": F.transform(age, lambda v: X.cut_right(v, list(r.age_edges), list(r.age_labels))),
+        "FareBand": F.transform(each, lambda s: X.learned_bin(V.at_split(fare, s), F.get(bands, s))),
+        "FamilyGroup": F.array(X.cut_right(fam, X.FAMILY_EDGES, X.FAMILY_LABELS)), "SexPclass": F.array(X.interaction(r.sex, r.cls)),
+    }
+    kinds = {c: "array<double>" if c in NUMERIC else "array<string>" for c in cols}
+    return materialize(t.select(F.col(r.key).cast("long").alias(KEY), r.label, TRAIN, VALID, *[e.cast(kinds[c]).alias(c) for c, e in cols.items()]))
+
+
+def _cells(rows: DataFrame, label: str, splits: Splits) -> DataFrame:
+    """(feature, num, cat, label, vector): training rows by value of every clean column
+    that is encoded, from one aggregation; splits that agree on a value share its row."""
+    def of(c: str, kind: str) -> Column:
+        num, cat = ("value", None) if kind == "num" else (None, "value")
+        pick = lambda m, f, t: (m[f] if f else F.lit(None)).cast(t)
+        return F.transform(V.value_masks(F.col(c), F.col(TRAIN), splits), lambda m: F.struct(
+            F.lit(c).alias("feature"), pick(m, num, "double").alias("num"), pick(m, cat, "string").alias("cat"), m["mask"].alias("mask")))
+
+    items = [of(c, "num") for c in NUMERIC] + [of(c, "cat") for c in CATEGORICAL_COLUMNS]
+    long = rows.select(label, F.explode(F.concat(*items)).alias("_c")).select(label, "_c.*").where("num IS NOT NULL OR cat IS NOT NULL")
+    return materialize(long.groupBy("feature", "num", "cat", label).agg(*V.bit_counts(F.col("mask"), splits)))
+
+
+def _binned(cells: DataFrame, label: str, splits: Splits) -> DataFrame:
+    """``(split, feature, value, label, _c)`` of the continuous features, cut at their
+    learned deciles: the counts up to each edge come out of the rank search."""
+    hot = [F.sum(F.when(F.col(label) == 1, F.col(n)).otherwise(0)).alias(f"_p{i}") for i, n in enumerate(splits.counts)]
+    counts = materialize(cells.where(F.col("feature").isin(CONTINUOUS)).groupBy("feature", "num").agg(*V.added(splits), *hot))
+    found: dict[tuple, dict[int, tuple]] = {}
+    for x in V.vector_quantiles(counts, ["feature"], "num", [i / MI_BINS for i in range(MI_BINS + 1)], splits, carry=["_p"]).collect():
+        found.setdefault((x["feature"], x[V.INDEX]), {})[x["i"]] = (x["q"], x["_upto"], x["_p_upto"], x["_of"], x["_p_of"])
+    out = []
+    for (feature, s), by_i in found.items():  # features x splits x deciles
+        (low, *_), (high, _, _, n, p) = by_i[0], by_i[MI_BINS]
+        edges = sorted({v for v in by_i.values() if low < v[0] < high})
+        cuts = {e[0]: e for e in edges}
+        before, upto = (0, 0), [(e[1], e[2]) for e in cuts.values()] + [(n, p)]
+        for b, (all_, ones) in enumerate(upto):
+            out += [(splits.ids[s], feature, float(b), 1, ones - before[1]), (splits.ids[s], feature, float(b), 0, all_ - ones - before[0] + before[1])]
+            before = (all_, ones)
+    kept = [row for row in out if row[-1] > 0]
+    return cells.sparkSession.createDataFrame(kept, f"{SPLIT} int, feature string, value double, `{label}` int, _c long")
+
+
+def _categories(cells: DataFrame) -> dict[str, list[str]]:
+    """The categories of every column, over all splits (bounded by the solver's columns)."""
+    rows = cells.where("cat IS NOT NULL").select("feature", "cat").distinct().limit(MAX_COLUMNS + 1).collect()
+    if len(rows) > MAX_COLUMNS:
+        raise ValueError(f"more than {MAX_COLUMNS} categories: too many for the search's design matrix")
+    order = {c: (lambda v: (float(v), v)) if c in NUMBERED else (lambda v: v) for c in CATEGORICAL_COLUMNS}
+    return {c: sorted((x["cat"] for x in rows if x["feature"] == c), key=order[c]) for c in CATEGORICAL_COLUMNS}
+
+
 def prepare(raw: DataFrame, r: Roles, nested: bool = True, seed: int = 42) -> Prepared:
-    clean, fp = clean_all_splits(raw, r, nested, seed)
-    train = clean.where(F.col(ROLE) == TRAIN)
-    enc = fit_encoder(train, SCALED_COLUMNS, PASSTHROUGH_COLUMNS, CATEGORICAL_COLUMNS, by=[SPLIT])
-    names = list(SCALED_COLUMNS) + list(PASSTHROUGH_COLUMNS) + [f"{c}_{v}" for c, v in one_hot_union(enc)]
-    ranking = materialize(score_features(clean, enc, r, names))
-    return Prepared(r, fp, enc, clean, ranking, names)
-
-
-def encoded_rows(p: Prepared) -> DataFrame:
-    """Wide encoded rows of every split, written partitioned by split so a
-    model fit reads only its own split's files."""
-    wide = encode_wide(p.clean, p.encoder, keep=[KEY, p.roles.label, SPLIT, ROLE])
-    from ..session import checkpoint_dir
-    import os
-    import uuid
-    path = os.path.join(checkpoint_dir(wide.sparkSession), "tables", uuid.uuid4().hex)
-    wide.write.partitionBy(SPLIT).parquet(path)
-    return wide.sparkSession.read.parquet(path)
+    splits = Splits(nested=nested)
+    members = _members(raw, r, splits, seed)
+    age_keys, fare_keys = [_TITLE, r.cls, r.sex], [r.cls]
+    ages = materialize(V.tiered_vectors(materialize(V.finest_counts(members, age_keys, r.age, splits)), age_tiers(r), age_keys, splits))
+    counted = materialize(V.finest_counts(members, fare_keys, r.fare, splits))
+    fares = materialize(V.tiered_vectors(counted, fare_tiers(r), fare_keys, splits))
+    rows = _clean_rows(members, ages, fares, _fare_edges(members, counted, fares, r, splits), r, splits)
+    cells = _cells(rows, r.label, splits)
+    design = Design(r.label, V.moments(cells.where(F.col("feature").isin(SCALED_COLUMNS)), "feature", "num", splits), _categories(cells))
+    discrete = cells.where(~F.col("feature").isin(CONTINUOUS)).withColumn("value", F.coalesce("num", F.lit(1.0))) \
+        .withColumn("feature", F.concat_ws("_", "feature", "cat"))
+    counts = V.per_split(discrete, splits, ["feature", "value", r.label], SPLIT, "_c").select(SPLIT, "feature", "value", r.label, "_c")
+    classes = V.per_split(materialize(rows.groupBy(r.label).agg(*V.bit_counts(F.col(TRAIN), splits))), splits, [r.label], SPLIT, "_ny")
+    mi = mi_from_counts(materialize(counts.unionByName(_binned(cells, r.label, splits))), r.label, classes, by=[SPLIT])
+    names = design.names()
+    positions = raw.sparkSession.createDataFrame(list(enumerate(names)), "position int, feature string")
+    return Prepared(r, splits, rows, design, names, materialize(rank_features(mi, positions, by=[SPLIT])))
