@@ -1,33 +1,35 @@
 """Main-text extraction by a maximum-scoring subsequence.
 
-A page is read as a sequence of tokens, words and tags.  Words score positive,
-tags negative; a word's or tag's weight is the smoothed log-odds of standing
-inside the main text, learned from labelled pages (a page with the lines of its
-text).  One linear scan finds the contiguous region of highest total score.
-
-What is known not to be article text by its own mark-up (navigation, header,
-footer, sidebar, form, script, style, notices, adverts, reader comments, hidden
-parts) scores once, as a tag does, and is left out of the region's text.  Where
-the mark-up only hints at it (a form, header or sidebar element, a name of which one
-word is listed, "has-sidebar"), an element that holds more than ``MAJOR`` of the
-page's words outside sure exclusions is read like any other, behind an exclusion's
-score.  The headings of an excluded header inside an article stay.  Words of one
-text node share a weight, so the scan runs over text nodes and tags.
+A page is read as a sequence of blocks of words and tags.  The words of a block score
+the log-odds of standing in the main text, given what the block looks like: the tag
+around it, its length, whether its words are links, whether it ends as a sentence
+does, and what the mark-up around it says (navigation, header, footer, sidebar, form,
+notices, adverts, reader comments, hidden parts, by tag, role, class or id).  Tags
+score negative, the more so the more often they stand outside.  All these weights are
+learned from labelled pages (a page with the lines of its text), starting from a
+prior.  One linear scan finds the contiguous region of highest total score; nothing
+but scripts, styles and the like is cut beforehand.
+
+An element whose mark-up says that it is no article text is scanned by itself: its
+own best region counts for it if that outweighs the element's tag, and otherwise it
+is stepped over at the cost of that tag.  So a wrapper that only hints at a sidebar is
+read (its words score), and a comment section inside an article is not, by one rule
+for any size.  The headings of a header inside an article are not held against it.
 
 Blocks end at block-level tags; white space inside a block becomes one space and
 blocks are joined by two newlines.  Character references are decoded.
 
-Defined results: NULL or empty html, and pages without a word outside excluded
-parts, give the empty text; of regions with equal score the first, and of these
-the longest, is taken; unclosed comments, scripts and excluded elements end with
-the page (an excluded element also ends where the article or body begins or
-ends); repeated pages give the same text; without labelled pages the weights are
-the prior's.
+Defined results: NULL or empty html, and pages without a block that scores above
+zero, give the empty text; of regions with equal score the first, and of these the
+longest, is taken; unclosed comments, scripts and elements end with the page (an
+element also ends where the article or body begins or ends); repeated pages give the
+same text; without labelled pages the weights are the prior's.
 """
 
 from __future__ import annotations
 
 import html as entities
+import json
 import math
 import re
 from collections import Counter
@@ -41,7 +43,8 @@ from .common import documents, table
 
 MAX_LABELLED = 512  # labelled pages that the weights are fitted on, taken by hash
 SMOOTH = 1.0
-MAJOR = 0.5  # share of the words from which a doubtful exclusion is read
+PRIOR_WORDS = 20.0  # words that a prior log-odds counts for
+MOST, LEAST = 2.0, -4.0  # a feature's log-odds stay within these
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -64,19 +67,27 @@ EXCLUDED_NAMES = frozenset("ad ads adv advert adverts advertisement advertising
                            "newsletter subscribe subscription paywall share sharing social related recommended comment comments commentlist disqus "
                            "reply replies respond discussion widget login signup search pagination pager copyright toolbar skip".split())
 EXCLUDED_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
-# what a fit starts from: pseudo-counts (inside, outside) the main text
-PRIOR = {"word": (90.0, 10.0), "excluded": (1.0, 4.0), "p": (4.0, 1.0), "br": (2.0, 1.0), "b": (2.0, 1.0), "i": (2.0, 1.0), "a": (1.0, 2.0),
-         "li": (2.0, 2.0), "div": (1.0, 2.0), "article": (1.0, 2.0)}
+# what a fit starts from: log-odds of a word's features, pseudo-counts (inside, outside) of a tag
+BLOCK_PRIOR = {"p": 2.0, "blockquote": 2.0, "li": 2.0, "dd": 2.0, "pre": 2.0, "article": 2.0, "main": 2.0, "": 2.0, "heading": 2.0, "figcaption": 1.0, "td": 0.5,
+               "body": 2.0, "option": -2.0, "legend": -2.0}
+BLOCK_OTHER = -1.0  # a block that stands in a div, say
+LENGTH_PRIOR = {2: -0.3, 5: -0.3, 10: -0.3, 20: 0.7, math.inf: 1.5}  # by the words of a block, up to
+LINK_PRIOR = {True: -3.0, False: 0.0}
+SENTENCE_PRIOR = {True: 0.7, False: 0.0}
+TAG_PRIOR = {"excluded": (1.0, 4.0), "p": (4.0, 1.0), "br": (2.0, 1.0), "b": (2.0, 1.0), "i": (2.0, 1.0), "a": (1.0, 2.0), "li": (2.0, 2.0), "div": (1.0, 2.0), "article": (1.0, 2.0)} | {h: (9.0, 1.0) for h in ("h1", "h2", "h3", "h4", "h5", "h6")}
 OTHER = (1.0, 2.0)
+SENTENCE_ENDS = tuple(".!?\u2026\u3002\uff01\uff1f\u0964\"'\u201d\u00bb")
 
 
-SURE, DOUBTFUL, HEADER = "sure", "doubtful", "header"
+SURE, DOUBTFUL, HEADER, ASIDE = "sure", "doubtful", "header", "aside"
+# what an element's mark-up takes from each of its words
+HINTS = {SURE: -9.0, HEADER: -7.0, ASIDE: -7.0, DOUBTFUL: -0.5, None: 0.0}
 
 
 def excluded(tag: str, attrs: str) -> str | None:
     """SURE, DOUBTFUL or HEADER (doubtful, and only a header) for an element that
     its mark-up excludes."""
-    found = HEADER if tag == "header" else DOUBTFUL if tag in DOUBTFUL_TAGS else SURE if tag in EXCLUDED_TAGS else None
+    found = HEADER if tag == "header" else ASIDE if tag == "aside" else DOUBTFUL if tag in DOUBTFUL_TAGS else SURE if tag in EXCLUDED_TAGS else None
     if not attrs or tag in OUTER_TAGS:
         return found
     for m in ATTR.finditer(attrs):
@@ -94,148 +105,182 @@ def excluded(tag: str, attrs: str) -> str | None:
                 words = WORDS_OF_NAME.findall(token)
                 listed = EXCLUDED_NAMES.intersection(words)
                 if listed == {"header"}:
-                    found = found or HEADER
+                    found = found or (HEADER if len(set(words)) == 1 or words[-1] == "header" else DOUBTFUL)
                 elif listed and len(listed) == len(set(words)):
                     return SURE
                 elif listed:
-                    found = DOUBTFUL if found in (None, HEADER) else found
+                    found = found or DOUBTFUL
     return found
 
 
-def marked(page: str) -> list[tuple]:
-    """(begin, end, kind, tag, closing, exclusion) of every tag and raw part; kind
-    is "tag", "raw" or "" (comments)."""
-    out = []
+class Block:
+    """Words between block-level tags: what they look like and what they say."""
+
+    def __init__(self, tag: str, hint: str | None):
+        self.tag, self.hint, self.parts, self.linked = tag, hint, [], 0
+
+    def add(self, text: str, link: bool) -> None:
+        self.parts.append(text)
+        if link:
+            self.linked += len(text.split())
+
+    def close(self) -> None:
+        self.text = squeeze("".join(self.parts))
+        self.words = self.text.count(" ") + 1 if self.text else 0
+
+    def features(self) -> tuple:
+        kind = "heading" if self.tag in HEADINGS else self.tag
+        length = next(n for n in LENGTH_PRIOR if self.words <= n)
+        return (("block", kind), ("length", None if kind == "heading" else length), ("link", 2 * self.linked >= max(self.words, 1)),
+                ("sentence", None if kind == "heading" else self.text.endswith(SENTENCE_ENDS)))
+
+
+class Element:
+    """An element that its mark-up speaks against, or the page: blocks, tags and elements."""
+
+    def __init__(self, tag: str, level: int, hint: str | None):
+        self.tag, self.level, self.hint = tag, level, hint
+        self.content: list = []
+        self.block: Block | None = None
+        self.score, self.region = 0.0, (0, 0)
+
+
+def parse(page: str) -> Element:
+    """The page as a sequence of blocks, tag names and elements."""
+    root = Element("", 0, None)
+    stack, level, blocks, articles, linked = [root], Counter(), [""], 0, 0
+
+    def hint() -> str | None:
+        own = min((e.hint for e in stack), key=HINTS.__getitem__)
+        return None if own == HEADER and articles > 0 and blocks[-1] in HEADINGS else own
+
+    def flush() -> None:
+        top = stack[-1]
+        if top.block is not None:
+            top.block.close()
+            if top.block.words:
+                top.content.append(top.block)
+            top.block = None
+
+    def words(text: str) -> None:
+        top = stack[-1]
+        if top.block is None:
+            top.block = Block(blocks[-1], hint())
+        top.block.add(text, linked > 0)
+
+    def leave(n: int) -> None:
+        """Close the elements above place ``n`` of the stack."""
+        while len(stack) > n:
+            flush()
+            done = stack.pop()
+            stack[-1].content.append(done)
+
+    at = 0
     for m in TOKEN.finditer(page):
+        if m.start() > at:
+            words(page[at:m.start()])
+        at = m.end()
         if m["tag"] is None:
-            out.append((m.start(), m.end(), "raw" if m["raw"] else "", "", False, None))
-            continue
-        tag, closing = m["tag"].lower(), bool(m["close"])
-        starts = not closing and tag not in VOID_TAGS and not m["attrs"].endswith("/")
-        out.append((m.start(), m.end(), "tag", tag, closing, excluded(tag, m["attrs"]) if starts else None))
-    return out
-
-
-def read(page: str, marks: list[tuple], opened: frozenset[int] | None) -> Iterator[tuple[str, str, int]]:
-    """(token kind, text, place of its mark).  Doubtful exclusions are left out
-    unless their place is in ``opened``; None opens all."""
-    at, inside, depth, articles, headings, heading = 0, None, 0, 0, False, False
-    for begin, end, kind, tag, closing, exclusion in marks:
-        if (inside is None or heading) and begin > at:
-            yield "word", page[at:begin], -1
-        at = end
-        if kind != "tag":
-            if inside is None and kind == "raw":
-                yield "excluded", "", begin
+            if m["raw"]:
+                stack[-1].content.append("excluded")
             continue
+        tag, closing, ended = m["tag"].lower(), bool(m["close"]), False
+        void = tag in VOID_TAGS or m["attrs"].endswith("/")
+        if tag == "br":
+            words(" ")
+        if tag in BLOCK_TAGS:
+            flush()
+        if tag in OUTER_TAGS:
+            leave(1)
+            flush()
+            level.clear()
         if tag in ("article", "main"):
             articles = max(0, articles + (-1 if closing else 1))
-        if inside is not None:
-            depth += (-1 if closing else 1) if tag == inside else 0
-            if depth and tag not in OUTER_TAGS:
-                if headings and (heading or tag in HEADINGS):
-                    heading = not closing if tag in HEADINGS else True
-                    yield tag, "", begin
-                continue
-            inside, heading = None, False
-            if tag not in OUTER_TAGS:
-                continue
-        elif exclusion is not None:
-            doubtful = exclusion != SURE and (opened is None or begin in opened)
-            yield "excluded", "", begin
-            if not doubtful:
-                inside, depth, headings = tag, 1, exclusion == HEADER and articles > 0
-                continue
-        yield tag, "", begin
-    if (inside is None or heading) and at < len(page):
-        yield "word", page[at:], -1
-
-
-def major(page: str, marks: list[tuple]) -> frozenset[int]:
-    """Places of the doubtful exclusions that hold more than ``MAJOR`` of the words
-    outside sure exclusions."""
-    at = {m[0]: m for m in marks}
-    words, level, sizes = 0, Counter(), {}
-    open_: dict[str, list[tuple[int, int, int]]] = {}  # by tag: (level, place, words before)
-
-    def close(tag: str, upto: int) -> None:
-        while open_.get(tag) and open_[tag][-1][0] > upto:
-            _, place, before = open_[tag].pop()
-            sizes[place] = words - before
-
-    for kind, text, place in read(page, marks, None):
-        if kind == "word":
-            words += len(text.split())
-        elif kind != "excluded":
-            _, _, _, tag, closing, exclusion = at[place]
-            if tag in OUTER_TAGS:
-                for t in [*open_]:
-                    close(t, -1)
-                level.clear()
-            elif closing:
-                level[tag] -= 1
-                close(tag, level[tag])
-            elif tag not in VOID_TAGS:
-                level[tag] += 1
-                if exclusion is not None:
-                    open_.setdefault(tag, []).append((level[tag], place, words))
-    for t in [*open_]:
-        close(t, -math.inf)
-    return frozenset(p for p, n in sizes.items() if n > MAJOR * words)
-
-
-def tokens(page: str) -> Iterator[tuple[str, str]]:
-    """("word", text node), ("excluded", "") for a whole excluded element, or
-    (tag name, "").  A doubtful exclusion that holds most of the page's words is
-    read, behind an ("excluded", "")."""
-    marks = marked(page)
-    doubtful = any(m[5] not in (None, SURE) for m in marks)
-    return ((kind, text) for kind, text, _ in read(page, marks, major(page, marks) if doubtful else frozenset()))
+        if closing and not void:
+            level[tag] -= 1
+            ends = next((i for i in range(1, len(stack)) if stack[i].tag == tag and stack[i].level > level[tag]), len(stack))
+            ended = ends < len(stack)
+            leave(ends)
+            if tag in blocks[1:]:
+                del blocks[len(blocks) - 1 - blocks[::-1].index(tag):]
+            linked = max(0, linked - (tag == "a"))
+        elif not void:
+            level[tag] += 1
+            linked += tag == "a"
+            if tag in BLOCK_TAGS:
+                if tag in ("p", "li", "dt", "dd", "td", "tr", "option") and blocks[-1] == tag or blocks[-1] == "p":
+                    blocks.pop()
+                blocks.append(tag)
+            if (found := excluded(tag, m["attrs"])) is not None:
+                stack.append(Element(tag, level[tag], found))
+        if not closing or not ended:  # an element's tag counts once
+            stack[-1].content.append(tag)
+    if at < len(page):
+        words(page[at:])
+    leave(1)
+    flush()
+    return root
 
 
 def squeeze(text: str) -> str:
     return " ".join(entities.unescape(text).split())
 
 
+def _flat(element: Element) -> Iterator:
+    for x in element.content:
+        if isinstance(x, Element):
+            yield "excluded"
+            yield from _flat(x)
+        else:
+            yield x
+
+
 def token_counts(page: str, lines: set[str]) -> tuple[Counter, Counter]:
-    """Token kinds inside and outside the main text of a labelled page; a tag is
-    inside when the main text has begun and goes on behind it."""
+    """Features of words, and tags, inside and outside the main text of a labelled page.
+    A tag is inside when the main text has begun and goes on behind it.  The labels say
+    nothing about headings; words that the mark-up speaks against count for that alone."""
     inside, outside, between = Counter(), Counter(), Counter()
     begun = False
-    for kind, text in tokens(page):
-        if kind != "word":
-            between[kind] += 1
+    for x in _flat(parse(page)):
+        if isinstance(x, str):
+            between["tag", x] += x not in HEADINGS
             continue
-        n = len(text.split())
-        if n == 0:
+        if x.tag in HEADINGS:
             continue
-        if squeeze(text) in lines:
-            (inside if begun else outside).update(between)
-            inside["word"] += n
-            begun = True
-        else:
-            outside.update(between)
-            outside["word"] += n
+        side = inside if x.text in lines else outside
+        (inside if side is inside and begun else outside).update(between)
         between.clear()
+        begun = begun or side is inside
+        if x.hint is None:
+            side.update({f: x.words for f in x.features()})
     outside.update(between)
     return inside, outside
 
 
 class Weights:
     def __init__(self, inside: Counter, outside: Counter):
-        kinds = {*inside, *outside, *PRIOR}
-        plus = {k: inside[k] + SMOOTH * PRIOR.get(k, OTHER)[0] for k in kinds}
-        minus = {k: outside[k] + SMOOTH * PRIOR.get(k, OTHER)[1] for k in kinds}
-        odds = {k: math.log(plus[k] / minus[k]) for k in kinds}
-        self.word = max(0.25, odds.pop("word"))
-        # a tag never scores above zero: the more often it stands outside, the less
-        self.tags = {k: -0.1 - math.log1p(math.exp(min(30.0, -v))) for k, v in odds.items()}
+        def odds(kind: str, value, prior: float) -> float:
+            share = 1 / (1 + math.exp(-prior))
+            own = math.log((inside[kind, value] + PRIOR_WORDS * share) / (outside[kind, value] + PRIOR_WORDS * (1 - share)))
+            return max(LEAST, min(MOST, own))
+
+        blocks = {*BLOCK_PRIOR, *(v for k, v in {*inside, *outside} if k == "block")}
+        self.word = {("block", t): odds("block", t, BLOCK_PRIOR.get(t, BLOCK_OTHER)) for t in blocks}
+        for kind, priors in (("length", LENGTH_PRIOR), ("link", LINK_PRIOR), ("sentence", SENTENCE_PRIOR)):
+            self.word |= {(kind, v): odds(kind, v, x) for v, x in priors.items()}
+        self.tags = {}
+        for t in {*TAG_PRIOR, *(v for k, v in {*inside, *outside} if k == "tag")}:
+            plus, minus = (n["tag", t] + SMOOTH * x for n, x in zip((inside, outside), TAG_PRIOR.get(t, OTHER)))
+            # a tag never scores above zero: the more often it stands outside, the less
+            self.tags[t] = -0.1 - math.log1p(min(minus / plus, 1e13))
         self.other = -0.1 - math.log1p(OTHER[1] / OTHER[0])
 
-    def score(self, kind: str, n_words: int) -> float:
-        if kind == "word":
-            return self.word * n_words
-        return self.tags.get(kind, self.other)
+    def of_tag(self, tag: str) -> float:
+        return self.tags.get(tag, self.other)
+
+    def of_block(self, block: Block) -> float:
+        per_word = HINTS[block.hint] + sum(self.word.get(f, BLOCK_OTHER if f[0] == "block" else 0.0) for f in block.features())
+        return block.words * per_word
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
@@ -251,27 +296,43 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     return at
 
 
+def scan(element: Element, weights: Weights) -> None:
+    """Score and region of an element, those of the elements in it first."""
+    cost = -weights.of_tag("excluded")
+    todo, order = [element], []
+    while todo:  # children behind their parents; read backwards below
+        order.append(todo.pop())
+        todo += [x for x in order[-1].content if isinstance(x, Element)]
+    for e in reversed(order):
+        scores = [weights.of_tag(x) if isinstance(x, str) else weights.of_block(x) if isinstance(x, Block) else max(x.score - cost, -cost) for x in e.content]
+        e.region = best_region(scores)
+        e.score = sum(scores[slice(*e.region)])
+
+
+def texts(element: Element, weights: Weights) -> Iterator[str]:
+    """Blocks of the element's region; elements that don't outweigh their tag are stepped over."""
+    cost, at = -weights.of_tag("excluded"), [iter(element.content[slice(*element.region)])]
+    while at:
+        x = next(at[-1], None)
+        if x is None:
+            at.pop()
+        elif isinstance(x, Block):
+            yield x.text
+        elif isinstance(x, Element) and x.score > cost:
+            at.append(iter(x.content[slice(*x.region)]))
+
+
 def main_text(page: str | None, weights: Weights) -> str:
     if not page:
         return ""
-    seq = list(tokens(page))
-    begin, end = best_region([weights.score(kind, len(text.split()) if kind == "word" else 0) for kind, text in seq])
-    blocks, open_ = [], []
-    for kind, text in seq[begin:end]:
-        if kind == "word":
-            open_.append(text)
-        elif kind == "br":
-            open_.append(" ")
-        elif kind in BLOCK_TAGS:
-            blocks.append("".join(open_))
-            open_ = []
-    blocks.append("".join(open_))
-    return "\n\n".join(t for t in map(squeeze, blocks) if t)
+    root = parse(page)
+    scan(root, weights)
+    return "\n\n".join(texts(root, weights))
 
 
 def fit(labelled: DataFrame, html: str = "html", lines: str = "lines") -> Weights:
-    """Weights from rows (html, lines: array of the main text's lines).  Counts of
-    token kinds come to the driver: one row per tag name."""
+    """Weights from rows (html, lines: array of the main text's lines).  Counts come to
+    the driver: a few rows per tag name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = Counter(), Counter()
@@ -279,14 +340,15 @@ def fit(labelled: DataFrame, html: str = "html", lines: str = "lines") -> Weight
             for page, wanted in zip(batch.column("html").to_pylist(), batch.column("lines").to_pylist()):
                 for total, part in zip(totals, token_counts(page or "", {squeeze(x) for x in wanted or () if x} - {""})):
                     total.update(part)
-        rows = [(k, side, n) for side, total in enumerate(totals) for k, n in total.items()]
-        k, s, n = zip(*rows) if rows else ((), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(k, pa.string()), pa.array(s, pa.int32()), pa.array(n, pa.int64())], names=["kind", "side", "n"])
+        rows = [(kind, json.dumps(v), side, n) for side, total in enumerate(totals) for (kind, v), n in total.items()]
+        k, v, s, n = zip(*rows) if rows else ((), (), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(k, pa.string()), pa.array(v, pa.string()), pa.array(s, pa.int32()), pa.array(n, pa.int64())],
+                                         names=["kind", "value", "side", "n"])
 
-    counts = labelled.select(F.col(html).alias("html"), F.col(lines).alias("lines")).mapInArrow(run, "kind string, side int, n long")
+    counts = labelled.select(F.col(html).alias("html"), F.col(lines).alias("lines")).mapInArrow(run, "kind string, value string, side int, n long")
     sides = Counter(), Counter()
-    for r in counts.groupBy("kind", "side").agg(F.sum("n").alias("n")).collect():
-        sides[r["side"]][r["kind"]] += r["n"]
+    for r in counts.groupBy("kind", "value", "side").agg(F.sum("n").alias("n")).collect():
+        sides[r["side"]][r["kind"], json.loads(r["value"])] += r["n"]
     return Weights(*sides)
 
 
