@@ -8,6 +8,7 @@ from . import q_profile  # noqa: F401,E402
 from . import q_folds  # noqa: F401,E402
 from . import q_encode  # noqa: F401,E402
 from . import q_metrics  # noqa: F401,E402
+from . import q_models  # noqa: F401,E402
 from . import q_search  # noqa: F401,E402
 from . import q_srcline  # noqa: F401,E402
 from . import q_audit  # noqa: F401,E402
