@@ -2,13 +2,17 @@
 
 Tokens are aggregated per source, targets are shared out by weight and turned
 into repetition rates, and every document is emitted ``floor(rate)`` times plus
-one more time with probability ``rate - floor(rate)``, decided by a hash of its
-identifier and a seed, so that reruns agree and no state is needed.
+one more time with probability ``rate - floor(rate)``, decided by a hash of a seed,
+its identifier, its text and its number among equal rows, so that reruns agree and
+rows that share an identifier (or have none) are drawn independently.
 
 Defined results: NULL or empty text has size 0 and is never over-counted; a
-NULL source is a source of its own, last in the order; repeated rows are
-decided alike (same identifier, same hash); a source without tokens has target
-0 and its documents are not emitted; an empty table gives an empty mix.
+NULL source is a source of its own, last in the order; repeated rows are numbered
+and drawn one by one (which of them gets which number makes no difference); a source
+without tokens has target 0 and its documents are not emitted; an empty table gives an
+empty mix.  The caller's columns ride along in one struct, so their names cannot clash.
+The order of the sources is found in one task: they are taken to be tens to a million
+named corpora, not one per page.
 """
 
 from __future__ import annotations
@@ -65,10 +69,37 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, budget:
                     F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("rate")))
 
 
-def copies_of(key: Column, rate: Column, seed: int = SEED) -> Column:
+def numbered(rows: DataFrame, same: Column) -> DataFrame:
+    """``rows`` plus ``nth``, a number from 1 among the rows with an equal hash
+    ``same``.  Only rows that repeat are shuffled, by (hash, partition of the scan), so
+    a hash that a third of all rows have is numbered in pieces; the pieces' sizes, one
+    row each, give the offsets."""
+    tagged = rows.withColumn("mix_same", same)
+    again = materialize(tagged.groupBy("mix_same").agg(F.count("*").alias("mix_n")).where("mix_n > 1").select(F.col("mix_same").alias("mix_of")))
+    on = F.col("mix_same") == F.col("mix_of")
+    alone = tagged.join(sized_broadcast(again), on, "left_anti").withColumn("nth", F.lit(1).cast("long"))
+    place = tagged.withColumn("mix_part", F.spark_partition_id()).withColumn("mix_place", F.monotonically_increasing_id())
+    repeated = materialize(place.join(sized_broadcast(again), on, "left_semi"))
+    piece = repeated.withColumn("mix_in", F.row_number().over(Window.partitionBy("mix_same", "mix_part").orderBy("mix_place")))
+    before = Window.partitionBy("mix_same").orderBy("mix_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = repeated.groupBy("mix_same", "mix_part").agg(F.count("*").alias("mix_n"))
+    offsets = sizes.select("mix_same", "mix_part", F.coalesce(F.sum("mix_n").over(before), F.lit(0)).alias("mix_before"))
+    counted = piece.join(offsets, ["mix_same", "mix_part"]).withColumn("nth", F.col("mix_before") + F.col("mix_in"))
+    return alone.unionByName(counted.select(*alone.columns)).drop("mix_same")
+
+
+def same_row(key: Column, text_md5: Column, source: Column) -> Column:
+    return F.xxhash64(key, text_md5, source)
+
+
+def text_digest(text: str) -> Column:
+    return F.coalesce(F.md5(F.col(text)), F.lit(""))
+
+
+def copies_of(key: Column, digest: Column, nth: Column, rate: Column, seed: int = SEED) -> Column:
     """floor(rate) plus one copy with probability frac(rate): the first 52 bits
-    of md5(seed | key) as a fraction of 2^52 are compared with the fraction."""
-    digest = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(key.cast("string"), F.lit(""))))
+    of md5(seed | key | digest | nth) as a fraction of 2^52 are compared with the fraction."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(key.cast("string"), F.lit("")), digest, nth.cast("string")))
     draw = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
     whole = F.floor(rate)
     return (whole + F.when(draw < rate - whole, 1).otherwise(0)).cast("long")
@@ -81,10 +112,11 @@ def _with_rates(docs: DataFrame, targets: DataFrame, source: str, prefix: str) -
 
 def plan_mix(docs: DataFrame, seed: int = SEED, **rules) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, copies, taken."""
-    sizes = materialize(docs.select("doc_id", "source", n_words("text").alias("size")))
+    sizes = materialize(docs.select("doc_id", "source", n_words("text").alias("size"), text_digest("text").alias("digest")))
     targets = materialize(source_targets(sizes, **rules))
-    rated = _with_rates(sizes, targets, "source", "_")
-    return (rated.withColumn("copies", copies_of(F.col("doc_id"), F.col("_rate"), seed))
+    rows = numbered(sizes, same_row(F.col("doc_id"), F.col("digest"), F.col("source")))
+    rated = _with_rates(rows, targets, "source", "_")
+    return (rated.withColumn("copies", copies_of(F.col("doc_id"), F.col("digest"), F.col("nth"), F.col("_rate"), seed))
             .select("doc_id", "source", "size", F.col("_source_size").alias("source_size"),
                     F.col("_target").alias("target"), "copies", (F.col("copies") * F.col("size")).alias("taken")))
 
@@ -93,11 +125,12 @@ def mix(docs: DataFrame, seed: int = SEED, copy_column: str = "copy", **rules) -
     """The mixture itself: every column of ``docs``, one row per emitted copy,
     numbered from 1 in ``copy_column`` (which replaces a column of that name)."""
     targets = materialize(source_targets(docs.select("source", n_words("text").alias("size")), **rules))
-    own = [c for c in docs.columns if c != copy_column]
-    rated = _with_rates(docs.select(*own), targets, "source", "__mix_")
-    counted = rated.withColumn("__mix_copies", copies_of(F.col("doc_id"), F.col("__mix_rate"), seed))
-    return (counted.where("__mix_copies > 0")
-            .select(*own, F.explode(F.sequence(F.lit(1).cast("long"), F.col("__mix_copies"))).alias(copy_column)))
+    own = [F.col(f"`{c}`") for c in docs.columns if c != copy_column]
+    rows = docs.select(F.struct(*own).alias("row"), F.col("doc_id").alias("key"), "source", text_digest("text").alias("digest"))
+    rated = _with_rates(numbered(rows, same_row(F.col("key"), F.col("digest"), F.col("source"))), targets, "source", "of_")
+    copies = rated.withColumn("copies", copies_of(F.col("key"), F.col("digest"), F.col("nth"), F.col("of_rate"), seed)).where("copies > 0")
+    return copies.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("nth_copy")) \
+        .select("row.*", F.col("nth_copy").alias(copy_column))
 
 
 def query(spark, sf_dir):
@@ -108,7 +141,8 @@ def query(spark, sf_dir):
 
 ORACLE = """
 WITH sized AS (
-  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size, coalesce(md5(text), '') AS digest,
+    row_number() OVER (PARTITION BY doc_id, text, source) AS nth FROM documents),
 per_source AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 ranked AS (
   SELECT *, row_number() OVER (ORDER BY source ASC NULLS LAST) AS place, 2.0::DOUBLE * source_size AS cap FROM per_source),
@@ -127,7 +161,7 @@ targets AS (
 rated AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
     CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
-    CAST('0x' || substr(md5('17|' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE AS draw
+    CAST('0x' || substr(md5(concat_ws('|', '17', coalesce(CAST(d.doc_id AS VARCHAR), ''), d.digest, CAST(d.nth AS VARCHAR))), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE AS draw
   FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
 counted AS (
   SELECT *, CAST(floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END AS BIGINT) AS copies FROM rated)

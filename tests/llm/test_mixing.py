@@ -1,6 +1,7 @@
 import random
 from collections import Counter, defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from foldwise.llm import mixing
@@ -59,6 +60,30 @@ def test_edges_and_emission(make):
     assert emitted == +planned
 
 
+def taken_by_source(rows):
+    per = defaultdict(lambda: [0, 0.0])
+    for r in rows:
+        per[r["source"]][0] += r["taken"]
+        per[r["source"]][1] = r["target"]
+    return per
+
+
+@pytest.mark.parametrize("hot", ["null ids", "one id", "equal rows"])
+def test_hot_identifiers_are_drawn_row_by_row(make, hot):
+    """A third of a source's rows share an id, have none, or are equal throughout."""
+    same = {"null ids": lambda i: (None, f"a text of {i}"), "one id": lambda i: (7, f"a text of {i}"), "equal rows": lambda i: (7, "a text of it")}[hot]
+    rows = [(*(same(i) if i % 3 == 0 else (1000 + i, f"some text of {i} with more")), "en", "s") for i in range(9000)]
+    plan = mixing.plan_mix(make(rows, 5))
+    got = plan.collect()
+    assert len(got) == len(rows)
+    for taken, target in taken_by_source(got).values():
+        assert abs(taken - target) < 0.02 * target, (taken, target)
+    third = [r for r in got if r["doc_id"] in (7, None)]
+    assert abs(sum(r["taken"] for r in third) / sum(r["size"] for r in third) - 1.5) < 0.05
+    assert sorted(map(str, got)) == sorted(map(str, mixing.plan_mix(make(rows, 3)).collect()))  # another layout, the same draws
+    assert mixing.mix(make(rows, 5)).count() == sum(r["copies"] for r in got)
+
+
 def test_empty_table(make):
     assert mixing.plan_mix(make([])).count() == 0
     assert mixing.mix(make([])).count() == 0
