@@ -38,6 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import BROADCAST_MAX_BYTES, size_upper_bound
 from .bwt import MAX_SYMBOLS, repeated_windows
 from .common import batches_of, byte_texts, documents, materialize, sized_broadcast
 
@@ -123,18 +124,12 @@ def context_rows(docs: DataFrame, text: str, w: int, k: int) -> DataFrame:
 
 
 def _cut_contexts(w: int):
-    """Texts with the list of contexts wanted from them, to context rows; copies
-    of a text stand together after the join and only the first one is cut."""
+    """Texts with the list of contexts wanted from them, to context rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = None
         for batch in batches:
             out = {c: [] for c in ("kg", "ch", "n", "off", "ctx")}
-            rows = zip(batch.column("t1").to_pylist(), batch.column("t2").to_pylist(), byte_texts(batch.column("body")), batch.column("wanted").to_pylist())
-            for t1, t2, body, wanted in rows:
-                if (t1, t2) == before:
-                    continue
-                before = t1, t2
+            for body, wanted in zip(byte_texts(batch.column("body")), batch.column("wanted").to_pylist()):
                 for x in wanted:
                     for c in ("kg", "ch", "n", "off"):
                         out[c].append(x[c])
@@ -308,8 +303,14 @@ def repeated_spans(docs: DataFrame, text: str = "text", w: int = W, k: int = K,
     kinds = mixed.groupBy("kg", "ch").agg(F.count("*").alias("n"), F.min(F.struct("t1", "t2", "begin", "n_win", "off")).alias("at"))
     kinds = materialize(kinds.select("kg", "ch", "n", "at.*"))
     wanted = kinds.groupBy("t1", "t2").agg(F.collect_list(F.struct("kg", "ch", "n", "begin", "n_win", "off")).alias("wanted"))
+    wanted = materialize(wanted)
     bodies = docs.select(F.col(text).alias("body"), *text_hashes(F.col(text))).where(F.octet_length("body") >= w)
-    contexts = bodies.join(wanted, ["t1", "t2"]).select("t1", "t2", "body", "wanted").mapInArrow(_cut_contexts(w), CONTEXT)
+    keys = wanted.select("t1", "t2")
+    if size_upper_bound(keys) <= BROADCAST_MAX_BYTES:
+        bodies = bodies.join(F.broadcast(keys), ["t1", "t2"], "left_semi")
+    # one body per text, chosen before the shuffle too: a text's copies are never gathered
+    one = bodies.groupBy("t1", "t2").agg(F.first("body").alias("body"))
+    contexts = one.join(wanted, ["t1", "t2"]).select("body", "wanted").mapInArrow(_cut_contexts(w), CONTEXT)
     sizes = kinds.groupBy("kg").agg(F.count("*").alias("m"))
     marks = materialize(context_marks(contexts, sizes, w - k + 1, w, k, group))
     whole = shared.where("same").select("t1", "t2", "begin", (F.col("begin") + F.col("n_win") + (w - 1)).alias("end"))
