@@ -6,17 +6,31 @@ from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import materialize, sized_broadcast
 from ..sources.tables import table
 
-__all__ = ["batches_of", "byte_texts", "documents", "materialize", "shuffle_partitions", "sized_broadcast", "table", "words_table"]
+__all__ = ["batches_of", "byte_texts", "documents", "materialize", "shuffle_partitions", "sized_broadcast", "table", "under_plain_names",
+           "with_own_names", "words_table"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def under_plain_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns named c0, c1, ... and the new name of each, so that no
+    name of the caller's can clash with a working column."""
+    own = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    return df.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()]), own
+
+
+def with_own_names(result: DataFrame, df: DataFrame) -> DataFrame:
+    """The columns c0, c1, ... of ``result`` under the names of ``df`` again."""
+    return result.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -5,7 +5,7 @@ sort inside every range places equal texts next to each other, and one pass
 over the sorted rows compares each text in full with its neighbour.
 
 The sort key is (first ``HEAD`` characters, SHA-256 of the whole text,
-identifier).  The digest stands for the bytes behind the head, so the sampled
+identifier, place in the input).  The digest stands for the bytes behind the head, so the sampled
 splitters that reach the driver have a fixed width however long a text is, and
 the identifier lets one group of copies spread over any number of ranges.
 Whether two rows are equal is decided on the whole texts only.  A group that
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, materialize, sized_broadcast
+from .common import documents, materialize, sized_broadcast, under_plain_names, with_own_names
 
 HEAD = 64
 
@@ -106,8 +106,10 @@ def content_sort(docs: DataFrame, key: str = "doc_id", text: str = "text", keep:
     whole = F.coalesce(F.col(text), F.lit(""))
     keyed = docs.select(*carried, whole.alias("x_text"), F.substring(whole, 1, HEAD).alias("x_head"), F.sha2(whole, 256).alias("x_dig"))
     ident = F.col(key).asc_nulls_first() if keep == "max" else F.col(key).desc_nulls_first()
-    order = [F.col("x_head"), F.col("x_dig"), ident]
-    ordered = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
+    # rows that agree in text and identifier are told apart by their place in the input, so that they can be dealt to several ranges
+    keyed = keyed.withColumn("x_place", F.monotonically_increasing_id())
+    order = [F.col("x_head"), F.col("x_dig"), ident, F.col("x_place")]
+    ordered = keyed.repartitionByRange(*order).sortWithinPartitions(*order).drop("x_place")
     schema = T.StructType([*[T.StructField(c, docs.schema[c].dataType) for c in carried], *MARKS.fields])
     return materialize(ordered.mapInArrow(_mark_runs(carried, not carry), schema))
 
@@ -155,8 +157,9 @@ def survivors(marked: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: str = "max") -> DataFrame:
-    """``docs`` with one row for every distinct text, all columns kept."""
-    return survivors(content_sort(docs, key, text, keep, carry=True), docs.columns)
+    """``docs`` with one row for every distinct text, all columns kept, whatever their names."""
+    plain, own = under_plain_names(docs)
+    return with_own_names(survivors(content_sort(plain, own[key], own[text], keep, carry=True), plain.columns), docs)
 
 
 def query(spark, sf_dir):

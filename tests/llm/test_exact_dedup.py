@@ -53,8 +53,19 @@ def test_survivors_keep_all_columns(make):
     got = out.collect()
     assert sorted(r["text"] or "" for r in got) == sorted({t or "" for _, t in ROWS})
     assert {r["text"]: r["doc_id"] for r in got}["hot text"] == 499
-    with pytest.raises(ValueError):
-        exact_dedup.content_sort(make([(1, "a")], extra="x_run"))
+    clashing = make(ROWS, 4, extra="x_run x_text x_place c0")
+    assert exact_dedup.dedup(clashing).columns == clashing.columns
+    assert sorted(map(str, exact_dedup.dedup(clashing).select(*docs.columns[:5]).collect())) == sorted(map(str, out.select(*docs.columns[:5]).collect()))
+
+
+@pytest.mark.parametrize("key", [7, None])
+def test_rows_with_one_identifier_are_dealt_to_several_ranges(spark, make, key):
+    rows = [(key, "one text")] * 400 + [(i, f"text {i}") for i in range(300)]
+    marked = exact_dedup.content_sort(make(rows, 4))
+    same = hashlib.sha256(b"one text").hexdigest()
+    assert marked.where(f"x_sha = '{same}'").select("x_range").distinct().count() > 1
+    got = [r for r in exact_dedup.membership(marked).collect() if r["text_sha256"] == same]
+    assert len(got) == 400 and sum(r["kept"] for r in got) == 1 and {(r["keep_id"], r["group_size"]) for r in got} == {(key, 400)}
 
 
 def test_empty(make):
