@@ -111,25 +111,40 @@ def links(fps: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -> Dat
     return pairs.union(ties).distinct()
 
 
+def _placed(fps: DataFrame, distance: int, bucket: int, first: Column) -> DataFrame:
+    """(fp, least): for every fingerprint the smallest ``first`` of its component."""
+    roots = components(links(fps, distance, bucket))
+    vertices = fps.groupBy("fp").agg(F.min(first).alias("first"))
+    placed = vertices.join(roots, vertices["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    least = placed.groupBy("root").agg(F.min("first").alias("least"))
+    return placed.join(least, "root").select("fp", "least")
+
+
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE, distance: int = DISTANCE,
                 bucket: int = BUCKET) -> DataFrame:
     """One row per document: key, fp, component_id (the smallest key reachable)."""
     fps = materialize(fingerprints(docs, key, text, k))
-    roots = components(links(fps, distance, bucket))
-    vertices = fps.groupBy("fp").agg(F.min(key).alias("first"))
-    placed = vertices.join(roots, vertices["fp"] == roots["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    return fps.join(placed.join(least, "root").select("fp", "component_id"), "fp").select(key, "fp", "component_id")
-
-
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **rules) -> DataFrame:
-    """``docs`` with one document per component: the one whose key is the
-    component's id.  Rows that repeat a key are the same document and stay
-    together; rows without a key can't be told apart and all stay."""
-    groups = near_groups(docs.where(F.col(key).isNotNull()), key, text, **rules)
-    gone = groups.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("__gone")).distinct()
-    return docs.join(gone, docs[key] == gone["__gone"], "left_anti")
+    least = _placed(fps, distance, bucket, F.col(key)).withColumnRenamed("least", "component_id")
+    return fps.join(least, "fp").select(key, "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE, distance: int = DISTANCE,
+             bucket: int = BUCKET) -> DataFrame:
+    """``docs`` with one document per component: of its documents (key, text) the one
+    with the smallest key (NULL last), then the smallest fingerprint and hash of key and
+    text.  Rows equal in key and text are one document and stay together; rows that
+    share only a key are told apart."""
+    hashes = lambda: (F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`")), F.xxhash64(F.lit(SEED), F.col(f"`{text}`"), F.col(f"`{key}`")))
+    h1, h2 = hashes()
+    rows = docs.select(F.struct(F.col(f"`{key}`").isNull().alias("blank"), F.col(f"`{key}`").alias("key"), h1.alias("h1"), h2.alias("h2")).alias("doc"),
+                       F.col(f"`{text}`").alias("text"))
+    fps = materialize(fingerprints(rows, "doc", "text", k))
+    least = _placed(fps, distance, bucket, F.struct("doc.blank", "doc.key", "fp", "doc.h1", "doc.h2"))
+    gone = fps.join(least, "fp").where((F.col("doc.h1") != F.col("least.h1")) | (F.col("doc.h2") != F.col("least.h2"))) \
+        .select(F.col("doc.h1").alias("gone_1"), F.col("doc.h2").alias("gone_2")).distinct()
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), h1.alias("h1"), h2.alias("h2"))
+    left = whole.join(gone, (F.col("h1") == F.col("gone_1")) & (F.col("h2") == F.col("gone_2")), "left_anti")
+    return left.select("row.*")
 
 
 def hex_fp(fp: Column) -> Column:

@@ -114,5 +114,21 @@ def test_documents(make):
     assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, ((k, f"{f:016x}", first[f]) for k, f in fp)))
     kept = sh.keep_one(docs)
     assert kept.columns == docs.columns
-    assert {r["doc_id"] for r in kept.collect()} == {k for k, f in fp if k is None or first[f] == k}
+    left = kept.collect()
+    assert {r["doc_id"] for r in left} == {first[f] for f in first}
+    assert len({plain_fp(r["text"]) for r in left}) == len(groups_of(set(first), 2))  # one document of every group, NULL ids or not
     assert sh.near_groups(make([])).count() == 0 == sh.keep_one(make([])).count()
+
+
+def test_one_document_of_each_group_stays_when_ids_repeat(spark, make):
+    a, b = "alpha beta gamma delta epsilon", "one two three four five six"
+    rows = [(5, a), (7, a), (3, b), (5, b), (None, b), (None, "no id here at all"), (None, "no id here at all"), (9, a), (9, a)]
+    kept = sorted(((r["doc_id"], r["text"]) for r in sh.keep_one(make(rows)).collect()), key=str)
+    assert kept == sorted([(5, a), (3, b), (None, "no id here at all"), (None, "no id here at all")], key=str)
+
+
+def test_a_third_of_the_rows_on_one_id(make):
+    rows = [(1 if i % 3 == 0 else i, f"text number {i} of words {i * 7} and {i * 13} more {i * 3}") for i in range(300)]
+    kept = sh.keep_one(make(rows, extra="fp least h1 doc root")).collect()
+    groups = groups_of({plain_fp(t) for _, t in rows}, 2)
+    assert len(kept) == len(groups)
