@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_of, byte_texts, documents, materialize, table, words_table
+from .common import batches_of, byte_texts, documents, materialize, table, under_plain_names, with_own_names, words_table
 
 N = 13
 MIN_SHARE = 20  # contaminated when n_hit * MIN_SHARE >= n_words
@@ -185,8 +185,10 @@ def scan(docs: DataFrame, benchmark: DataFrame, carry: list[str], text: str = "t
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **rules) -> DataFrame:
-    """``docs`` without contaminated documents, all columns kept."""
-    return scan(docs, benchmark, docs.columns, **rules).where("not contaminated").select(*docs.columns)
+    """``docs`` without contaminated documents, all columns kept, whatever their names."""
+    plain, own = under_plain_names(docs)
+    kept = scan(plain, benchmark, plain.columns, **(rules | {"text": own[rules.get("text", "text")]})).where("not contaminated")
+    return with_own_names(kept, docs)
 
 
 def cut_spans(text: str | None, spans: list[tuple[int, int]]) -> str | None:
