@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import audit as A
-from ..operators.features import CLEAN_COLUMNS, apply_features, fit_features
+from ..operators.features import CLEAN_COLUMNS, FeatureParams, apply_features, fit_features
 from ..operators.profile import total_nulls
-from ..session import checkpoint_dir
+from ..session import scratch_path
 from ..sources import sinks
 from ..sources.tables import table
 from .pax import PAX_ROLES, clean_rows_sql, fit_ctes, pax, pax_split
@@ -114,12 +113,44 @@ def q_params_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parameter tables written and read back are identical."""
     train, _ = pax_split(spark, sf_dir)
     t = fit_features(train, PAX_ROLES).tables()
-    path = os.path.join(checkpoint_dir(spark), "params", uuid.uuid4().hex)
+    path = scratch_path(spark, "params")
     sinks.write_params(t, path)
     back = sinks.read_params(spark, path, list(t))
     return A.compare_fingerprints(A.fingerprints(t, spark), A.fingerprints(back, spark)).select("artifact", "left_rows", "identical")
 
 
+@query("s6_json_parameters", oracle=f"""WITH {fit_ctes()}
+SELECT 'fare' AS artifact, 0 AS tier, CAST(pclass AS VARCHAR) AS key, round(m, 6) AS value FROM f1
+UNION ALL SELECT 'fare', 1, NULL, round(m, 6) FROM f0
+UNION ALL SELECT 'fare_edges', CAST(i - 1 AS INTEGER), NULL, round(inner_edges[i], 6) FROM edges, generate_series(1, len(inner_edges)) t(i)
+UNION ALL SELECT 'prefixes', CAST(COUNT(*) AS INTEGER), prefix, NULL FROM tr GROUP BY prefix HAVING COUNT(*) >= 10""")
+def q_json_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned parameters as they come back from their JSON files."""
+    train, _ = pax_split(spark, sf_dir)
+    back = _json_back(spark, fit_features(train, PAX_ROLES).tables())
+    cls, none = PAX_ROLES.cls, F.lit(None).cast("string")
+    fare = back["fare"].select(F.lit("fare").alias("artifact"), F.col("_tier").cast("int").alias("tier"), F.col(cls).cast("string").alias("key"), F.round("median", 6).alias("value"))
+    edges = back["fare_edges"].select(F.posexplode("edges").alias("tier", "value")).select(F.lit("fare_edges").alias("artifact"), "tier", none.alias("key"), F.round("value", 6).alias("value"))
+    prefixes = back["prefixes"].select(F.lit("prefixes").alias("artifact"), F.col("count").cast("int").alias("tier"), F.col("_prefix").alias("key"), F.lit(None).cast("double").alias("value"))
+    return fare.unionByName(edges).unionByName(prefixes)
+
+
+@query("s6_json_apply", oracle=oracle_with("pax", "SELECT COUNT(*) AS rows, true AS same_rows FROM pax WHERE pid % 5 = 0"))
+def q_json_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit, JSON, read, apply: the clean rows equal those of the parameters that never left."""
+    train, test = pax_split(spark, sf_dir)
+    fitted = fit_features(train, PAX_ROLES)
+    back = FeatureParams(**_json_back(spark, fitted.tables()))
+    direct, read = (A.fingerprint(apply_features(test, p, PAX_ROLES)).select("rows", F.col("fingerprint").alias(n)) for p, n in ((fitted, "a"), (back, "b")))
+    return direct.join(read.withColumnRenamed("rows", "rows_read"), F.col("rows") == F.col("rows_read"), "left").select("rows", F.coalesce(F.col("a") == F.col("b"), F.lit(False)).alias("same_rows"))
+
+
+def _json_back(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    path = scratch_path(spark, "params")
+    sinks.write_params_json(tables, path)
+    return sinks.read_params_json(spark, path, list(tables))
+
+
 @query("s4_s9_written_artifacts", oracle=oracle_with("pax", """
 SELECT * FROM (VALUES ('train_clean', (SELECT COUNT(*) FROM pax WHERE pid % 5 <> 0)),
                       ('test_clean', (SELECT COUNT(*) FROM pax WHERE pid % 5 = 0)),
@@ -128,7 +159,7 @@ def q_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S4+S5: clean tables (partitioned parquet, CSV) and a report written and
     read back; rows per artifact."""
     train, test, ctrain, ctest = _clean_train_test(spark, sf_dir)
-    base = os.path.join(checkpoint_dir(spark), "artifacts", uuid.uuid4().hex)
+    base = scratch_path(spark, "artifacts")
     sinks.write_table(ctrain, f"{base}/train_clean", "parquet")
     sinks.write_table(ctest, f"{base}/test_clean", "csv")
     rep = A.missing_before_after({"train_raw_missing": train, "test_raw_missing": test,
@@ -162,7 +193,7 @@ def q_csv_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources.tables import load_train_test
     train, test = pax_split(spark, sf_dir)
     n_train, n_test = train.count(), test.count()
-    base = os.path.join(checkpoint_dir(spark), "csv", uuid.uuid4().hex)
+    base = scratch_path(spark, "csv")
     sinks.write_table(train, f"{base}/train", "csv")
     sinks.write_table(test.drop("survived"), f"{base}/test", "csv")
     schema = _parse_datatype_string(PAX_SCHEMA)

@@ -7,10 +7,10 @@ only report tables that are small by construction are coalesced to one file.
 from __future__ import annotations
 
 import json
-import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
@@ -29,24 +29,42 @@ def write_report(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def _json_number(v):
-    if isinstance(v, float) and math.isinf(v):
-        return "inf" if v > 0 else "-inf"
-    return v
+def _spelled(value: Column, kind: T.DataType) -> Column:
+    """A value for :func:`write_params_json`: what JSON numbers can't say is spelled out."""
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _spelled(x, kind.elementType))
+    if not isinstance(kind, (T.DoubleType, T.FloatType)):
+        return value
+    inf = float("inf")
+    return F.parse_json(F.when(value == inf, '"inf"').when(value == -inf, '"-inf"').when(F.isnan(value), '"nan"')
+                        .when(value.cast("string") == "-0.0", '"-0.0"').otherwise(value.cast("string")))
 
 
-def params_to_json(tables: dict[str, DataFrame]) -> str:
-    """Parameter tables as one JSON document; infinities spelled out.
-    Parameter tables are small by construction (one row per learned group)."""
-    doc = {}
+def _as_text(kind: T.DataType) -> T.DataType:
+    """The type that a JSON value is read as before it gets its own."""
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_as_text(kind.elementType))
+    return T.StringType() if isinstance(kind, (T.DoubleType, T.FloatType)) else kind
+
+
+def write_params_json(tables: dict[str, DataFrame], path: str) -> None:
+    """Each parameter table as JSON lines under ``path/<name>`` with its schema beside
+    it, written by the executors (nothing is collected, whatever the number of groups)."""
     for name, df in tables.items():
-        rows = []
-        for r in df.collect():
-            d = r.asDict(recursive=True)
-            rows.append({k: ([_json_number(x) for x in v] if isinstance(v, list) else _json_number(v))
-                         for k, v in d.items()})
-        doc[name] = rows
-    return json.dumps(doc, ensure_ascii=False, indent=2, sort_keys=True)
+        row = F.struct(*[_spelled(F.col(f.name), f.dataType).alias(f.name) for f in df.schema])
+        df.select(F.to_json(row).alias("value")).write.mode("overwrite").text(f"{path}/{name}")
+        df.sparkSession.createDataFrame([(df.schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{name}.schema")
+
+
+def read_params_json(spark: SparkSession, path: str, names: list[str]) -> dict[str, DataFrame]:
+    """The tables that :func:`write_params_json` has written, with their own schemas."""
+    out = {}
+    for name in names:
+        schema = T.StructType.fromJson(json.loads(spark.read.text(f"{path}/{name}.schema").first()["value"]))
+        plain = T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in schema])
+        row = F.from_json("value", plain, {"mode": "FAILFAST"})
+        out[name] = spark.read.text(f"{path}/{name}").select(row.alias("r")).select(*[F.col("r").getField(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return out
 
 
 def write_params(tables: dict[str, DataFrame], path: str) -> None:

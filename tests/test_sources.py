@@ -30,10 +30,20 @@ def test_csv_header_checked_and_empty_quotes_are_null(spark):
         load_csv(spark, os.path.join(d, "missing.csv"), SCHEMA).collect()
 
 
-def test_params_json_spells_infinities(spark):
-    df = spark.createDataFrame([([float("-inf"), 1.5, float("inf")],)], "edges array<double>")
-    text = sinks.params_to_json({"fare_edges": df})
-    assert '"-inf"' in text and '"inf"' in text and "1.5" in text
+def test_params_come_back_from_json(spark, tmp_path):
+    inf = float("inf")
+    tables = {
+        "edges": spark.createDataFrame([([-inf, 1.5, 0.1 + 0.2, 1e300, 5e-324, inf], "x"), ([], None), (None, 'quote " and | ü\n'), ([None, -0.0], "y")], "edges array<double>, name string"),
+        "counts": spark.createDataFrame([(1 << 60, 3, True, 2.0), (None, None, None, None)], "n long, i int, b boolean, d double"),
+        "none": spark.createDataFrame([], "a double, b array<string>"),
+    }
+    sinks.write_params_json(tables, str(tmp_path))
+    back = sinks.read_params_json(spark, str(tmp_path), list(tables))
+    for name, df in tables.items():
+        assert back[name].schema == df.schema
+        assert sorted(map(repr, back[name].collect())) == sorted(map(repr, df.collect()))
+    text = "\n".join(r["value"] for r in spark.read.text(f"{tmp_path}/edges").collect())
+    assert '"-inf"' in text and '"inf"' in text and "1.5" in text and "Infinity" not in text
 
 
 def test_file_checksums(spark):
