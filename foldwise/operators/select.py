@@ -126,12 +126,12 @@ def knn_mutual_information(long: DataFrame, key: str, label: str, by: Sequence[s
     ``MI = psi(N) + <psi(k)> - <psi(N_class)> - <psi(m)>``, floored at 0.
     "Strictly closer" is evaluated on values: ``x - r < v < x + r``.
 
-    Neighbours come from exact per-class positions (skew-safe global index)
-    joined at offsets -k..k, and ``m`` from one skew-safe running count over
-    the values merged with the two query bounds of every point: no window
-    holds a whole class, no pair of points is ever formed beyond 2k offsets.
+    Neighbours come from ``lag`` and ``lead`` inside range slices, mended at the
+    slices' borders, and ``m`` from one skew-safe running count over the values
+    merged with the two query bounds of every point: no window holds a whole class,
+    and no pair of points is ever formed.
     """
-    from .ranks import global_index, running_sum
+    from .ranks import neighbours, running_sum
 
     by = list(by)
     g = [*by, "feature"]
@@ -139,21 +139,14 @@ def knn_mutual_information(long: DataFrame, key: str, label: str, by: Sequence[s
     rows = long.where(F.col("value").isNotNull()).select(*g, key, label, F.col("value").cast("double").alias("value"))
     ny = rows.groupBy(*gl).agg(F.count(F.lit(1)).alias("_ny"))
     rows = rows.join(ny, gl).where(F.col("_ny") > 1).withColumn("_k", F.least(F.lit(k), F.col("_ny") - 1))
-    pos = global_index(rows, ["value", key], group_by=gl, out="_i")
-    offsets = [d for d in range(-k, k + 1) if d != 0]
-    left = pos.select(*gl, key, "_i", F.explode(F.array(*[F.lit(d) for d in offsets])).alias("_d"))
-    right = pos.select(*gl, F.col("_i").alias("_j"), F.col("value").alias("_vj"))
-    nb = (left.join(right, [*[left[c] == right[c] for c in gl], right["_j"] == left["_i"] + left["_d"]], "inner")
-          .select(*[left[c] for c in gl], left[key], left["_d"], right["_vj"]))
-    nmap = nb.groupBy(*gl, key).agg(F.map_from_entries(F.collect_list(F.struct("_d", "_vj"))).alias("_nb"))
-    p = pos.join(nmap, [*gl, key], "left")
+    p = neighbours(rows, ["value", key], gl, "value", k)
     inf = F.lit(float("inf"))
     x = F.col("value")
 
     def dist(d: int):
         if d == 0:
             return F.lit(0.0)
-        v = F.col("_nb")[F.lit(d)]
+        v = F.get(F.col("_before" if d < 0 else "_after"), F.lit(abs(d) - 1))
         return F.coalesce(F.abs(v - x), inf)
 
     radius = None

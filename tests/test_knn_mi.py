@@ -3,6 +3,8 @@
 import collections
 import random
 
+import pytest
+
 from foldwise.operators.select import knn_mutual_information
 
 
@@ -45,3 +47,19 @@ def test_knn_mi_matches_brute_force(spark):
     got = {r["feature"]: r["mi"] for r in knn_mutual_information(df, "id", "y").collect()}
     for f, (v, lab) in data.items():
         assert abs(got[f] - brute(v, lab)) < 1e-9, f
+
+
+@pytest.mark.parametrize("slices", [1, 3, 40])
+def test_neighbours_across_slices(spark, slices):
+    from foldwise.operators.ranks import neighbours
+    rng = random.Random(slices)
+    rows = [(rng.choice(["a", "a", "a", None, "b"]), i, float(rng.randint(0, 6)) if i % 9 else None) for i in range(120)] + [("alone", 500, 1.0)]
+    df = spark.createDataFrame(rows, "g string, id long, v double")
+    got = {r["id"]: (r["_i"], r["_before"], r["_after"]) for r in neighbours(df, ["id"], ["g"], "v", 4, slices).collect()}
+    assert len(got) == len(rows)
+    for g in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == g), key=lambda r: r[1])
+        values = [r[2] for r in own]
+        at = lambda j: values[j] if 0 <= j < len(values) else None  # noqa: E731,B023
+        for i, r in enumerate(own):
+            assert got[r[1]] == (i, [at(i - d) for d in range(1, 5)], [at(i + d) for d in range(1, 5)])
