@@ -121,8 +121,11 @@ def quantile_edges(df: DataFrame, value: str, q: int, by: Sequence[str] = (),
 
     Edges are exact unless ``decimals`` asks for rounding.
     """
-    probs = [i / q for i in range(q + 1)]
-    qs = grouped_quantiles(df, list(by), value, probs)
+    return inner_edges(grouped_quantiles(df, list(by), value, [i / q for i in range(q + 1)]), q, by, out, decimals)
+
+
+def inner_edges(qs: DataFrame, q: int, by: Sequence[str] = (), out: str = "edges", decimals: int | None = None) -> DataFrame:
+    """The inner edges from the quantiles ``q0 .. q<q>`` of every group."""
     inner = [F.col(f"q{i}") for i in range(1, q)]
     if decimals is not None:
         inner = [F.round(c, decimals) for c in inner]

@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import learned_bin_code
 from ..session import materialize, sized_broadcast
-from .fit import quantile_edges
+from .fit import inner_edges
+from .quantiles import quantiles_from_counts
 
 SCORE_DECIMALS = 12
 
@@ -31,21 +32,6 @@ def class_counts(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame
     return df.groupBy(*by, label).agg(F.count(F.lit(1)).alias("_ny"))
 
 
-def bin_continuous(long: DataFrame, features: Sequence[str], by: Sequence[str] = (),
-                   bins: int = 10) -> DataFrame:
-    """E5b step 1: replace the values of ``features`` by their learned bin codes."""
-    by = list(by)
-    features = list(features)
-    if not features:
-        return long
-    cont = long.where(F.col("feature").isin(*features))
-    # at most features x groups rows: stored and sent to the rows behind a check
-    # of its size, so that no row is shuffled on a feature name
-    edges = sized_broadcast(materialize(quantile_edges(cont, "value", bins, by=[*by, "feature"])))
-    binned = F.when(F.col("edges").isNull(), F.col("value")).otherwise(learned_bin_code(F.col("value"), F.col("edges")).cast("double"))
-    return long.join(edges, [*by, "feature"], "left").withColumn("value", binned).drop("edges").select(*long.columns)
-
-
 def mutual_information(long: DataFrame, label: str, classes: DataFrame, by: Sequence[str] = (),
                        out: str = "mi") -> DataFrame:
     """Plug-in MI per ``(by..., feature)`` from the long form.
@@ -79,6 +65,28 @@ def mi_from_counts(c: DataFrame, label: str, classes: DataFrame, by: Sequence[st
     return j.groupBy(*by, "feature").agg(F.greatest(F.sum(term), F.lit(0.0)).alias(out))
 
 
+def value_cells(rows: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """``(feature, num, cat, label, _c)``: the rows by value of every column, stored; from
+    one read of the rows, and counted before anything is shuffled."""
+    items = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("num"), F.lit(None).cast("string").alias("cat")) for c in numeric]
+    items += [F.struct(F.lit(c).alias("feature"), F.lit(None).cast("double").alias("num"), F.col(c).cast("string").alias("cat")) for c in categorical]
+    long = rows.select(label, F.explode(F.array(*items)).alias("_s")).select(label, "_s.*").where("num IS NOT NULL OR cat IS NOT NULL")
+    return materialize(long.groupBy("feature", "num", "cat", label).agg(F.count(F.lit(1)).alias("_c")))
+
+
+def mi_of_cells(cells: DataFrame, label: str, classes: DataFrame, continuous: Sequence[str], bins: int = 10) -> DataFrame:
+    """E5a/E5b of every numeric column and one-hot category from :func:`value_cells`:
+    edges and bins are found on the counts, the rows are not read again."""
+    cont = cells.where(F.col("feature").isin(*continuous))
+    counts = cont.groupBy("feature", "num").agg(F.sum("_c").alias("_n"))
+    edges = inner_edges(quantiles_from_counts(counts, ["feature"], "num", [i / bins for i in range(bins + 1)]), bins, by=["feature"])
+    coded = cont.join(sized_broadcast(materialize(edges)), "feature").withColumn("value", learned_bin_code(F.col("num"), F.col("edges")).cast("double"))
+    other = cells.where(~F.col("feature").isin(*continuous)).withColumn("value", F.coalesce("num", F.lit(1.0))).withColumn("feature", F.concat_ws("_", "feature", "cat"))
+    kept = ["feature", "value", label, "_c"]
+    table = coded.select(*kept).unionByName(other.select(*kept)).groupBy("feature", "value", label).agg(F.sum("_c").alias("_c"))
+    return mi_from_counts(materialize(table), label, classes)
+
+
 def rank_features(scores: DataFrame, positions: DataFrame, by: Sequence[str] = (),
                   score: str = "mi") -> DataFrame:
     """O3: ``rank`` 1.. per group by rounded score desc, later column first on ties.

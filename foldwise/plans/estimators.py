@@ -33,7 +33,7 @@ ALL = 0
 
 
 def mutual_information_score(clean: DataFrame, encoder: EncoderParams, roles: Roles, names: list) -> DataFrame:
-    return score_features(clean, encoder, roles, names, by=())
+    return score_features(clean, roles, names)
 
 
 class TransformPipelineModel(Model, MLWritable, MLReadable):

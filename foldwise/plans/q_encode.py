@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from ..operators.encode import align_columns, encode_long, encode_wide, fit_encoder, one_hot_union
 from ..operators.features import (CATEGORICAL_COLUMNS, PASSTHROUGH_COLUMNS, SCALED_COLUMNS,
                                   apply_features, fit_features)
-from ..operators.select import bin_continuous, class_counts, mutual_information, rank_features
+from ..operators.select import class_counts, mi_of_cells, value_cells
 from ..session import materialize
 from .pax import PAX_ROLES, clean_rows_sql, pax, pax_split
-from .splits import CONTINUOUS, MI_BINS
+from .splits import CONTINUOUS, MI_BINS, score_features
 from .q_features import round_doubles
 from .registry import query
 from .views import VIEW_SQL
@@ -21,13 +21,18 @@ TRAIN_PID = "PassengerId % 5 <> 0"
 SELECT_K = 20
 
 
-def encoded_pax(spark: SparkSession, sf_dir: str):
-    """Fit feature row + encoder on the training rows; return (clean rows of all
-    rows with the label, encoder params, feature names)."""
+def clean_pax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean rows of all rows with the label, fitted on the training rows."""
     raw = pax(spark, sf_dir, materialized=True)
     train, _ = pax_split(spark, sf_dir, raw)
     fp = fit_features(train, PAX_ROLES)
-    clean = materialize(apply_features(raw, fp, PAX_ROLES, keep=["survived"]))
+    return materialize(apply_features(raw, fp, PAX_ROLES, keep=["survived"]))
+
+
+def encoded_pax(spark: SparkSession, sf_dir: str):
+    """Fit feature row + encoder on the training rows; return (clean rows of all
+    rows with the label, encoder params, feature names)."""
+    clean = clean_pax(spark, sf_dir)
     ctrain = clean.where(F.expr(TRAIN_PID))
     enc = fit_encoder(ctrain, SCALED_COLUMNS, PASSTHROUGH_COLUMNS, CATEGORICAL_COLUMNS)
     names = list(SCALED_COLUMNS) + list(PASSTHROUGH_COLUMNS) + [f"{c}_{v}" for c, v in one_hot_union(enc)]
@@ -36,12 +41,7 @@ def encoded_pax(spark: SparkSession, sf_dir: str):
 
 def _feature_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean, enc, names = encoded_pax(spark, sf_dir)
-    train = clean.where(F.expr(TRAIN_PID))
-    long = encode_long(train, enc, keys=["PassengerId", "survived"])
-    long = bin_continuous(long, CONTINUOUS, bins=MI_BINS)
-    mi = mutual_information(long, "survived", class_counts(train, "survived"))
-    positions = spark.createDataFrame(list(enumerate(names)), "position int, feature string")
-    return rank_features(mi, positions)
+    return score_features(clean.where(F.expr(TRAIN_PID)), PAX_ROLES, names)
 
 
 # ---- DuckDB twins -----------------------------------------------------------
@@ -152,7 +152,9 @@ def q_model_ready_width(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("e5_mutual_information", oracle=f"WITH {_MI_CTES}\nSELECT feature, round(mi, 6) AS mi FROM mi")
 def q_mutual_information(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E5a+E5b: mutual information of every encoded feature with the label."""
-    return round_doubles(_feature_scores(spark, sf_dir).select("feature", "mi"))
+    train = clean_pax(spark, sf_dir).where(F.expr(TRAIN_PID))
+    cells = value_cells(train, "survived", [*SCALED_COLUMNS, *PASSTHROUGH_COLUMNS], CATEGORICAL_COLUMNS)
+    return round_doubles(mi_of_cells(cells, "survived", class_counts(train, "survived"), CONTINUOUS, MI_BINS).select("feature", "mi"))
 
 
 @query("e7_feature_scores", oracle=f"""WITH {_MI_CTES},

@@ -21,10 +21,9 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..operators import split_stats as V
-from ..operators.encode import EncoderParams, encode_long
 from ..operators.features import (_PREFIX, _TITLE, CATEGORICAL_COLUMNS, PASSTHROUGH_COLUMNS, SCALED_COLUMNS, Roles, age_tiers, fare_tiers)
 from ..operators.logistic import MAX_COLUMNS
-from ..operators.select import bin_continuous, class_counts, mi_from_counts, mutual_information, rank_features
+from ..operators.select import class_counts, mi_from_counts, mi_of_cells, rank_features, value_cells
 from ..operators.split_stats import TRAIN, VALID, Splits
 from ..session import materialize, sized_broadcast
 
@@ -47,15 +46,13 @@ class Prepared:
     ranking: DataFrame      # (split, feature, mi, position, rank)
 
 
-def score_features(clean: DataFrame, enc: EncoderParams, r: Roles, names: list,
-                   by: tuple = ()) -> DataFrame:
-    """E5a/E5b on the rows of one training set; ranked (O3)."""
-    long = encode_long(clean, enc, keys=[KEY, r.label])
-    cont = [c for c in CONTINUOUS if c in names]
-    long = bin_continuous(long, cont, by=list(by), bins=MI_BINS)
-    mi = mutual_information(long, r.label, class_counts(clean, r.label, list(by)), by=list(by))
+def score_features(clean: DataFrame, r: Roles, names: list) -> DataFrame:
+    """E5a/E5b on the clean rows of one training set; ranked (O3).  Scaling a measure does
+    not move its bins, so the scores need no encoder."""
+    cells = value_cells(clean, r.label, NUMERIC, CATEGORICAL_COLUMNS)
+    mi = mi_of_cells(cells, r.label, class_counts(clean, r.label), CONTINUOUS, MI_BINS)
     positions = clean.sparkSession.createDataFrame(list(enumerate(names)), "position int, feature string")
-    return rank_features(mi, positions, by=list(by))
+    return rank_features(mi, positions)
 
 
 class Design:

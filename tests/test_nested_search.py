@@ -82,7 +82,7 @@ def test_design_and_scores_equal_a_fit_on_the_split_alone(spark, prepared, split
     clean = materialize(apply_features(train, fp, PAX_ROLES, keep=["survived"]))
     enc = fit_encoder(clean, SCALED_COLUMNS, PASSTHROUGH_COLUMNS, CATEGORICAL_COLUMNS)
     # the ranking of the split's features
-    want = {r["feature"]: (r["mi"], r["rank"]) for r in score_features(clean, enc, PAX_ROLES, p.names).collect()}
+    want = {r["feature"]: (r["mi"], r["rank"]) for r in score_features(clean, PAX_ROLES, p.names).collect()}
     got = {r["feature"]: (r["mi"], r["rank"]) for r in p.ranking.where(f"split = {split}").collect()}
     assert got.keys() == want.keys()
     for f in want:
