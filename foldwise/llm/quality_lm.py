@@ -9,27 +9,34 @@ document is scored without its own counts: the trusted texts fall into two halve
 by a hash of the text (equal texts into the same), and each half is scored by the
 model of the other.
 
-Documents and labels are dealt to buckets of about ``BUCKET_BYTES`` of text by
-document, once, with the texts compressed.  Each bucket gives its distinct n-grams with their trusted counts; these are added up by n-gram,
-the lower orders follow as continuation counts (the number of different
-one-symbol extensions to the left), discounts come from the counts of counts,
-and the probabilities of all n-grams that occur anywhere are worked out by joins
-sharded by n-gram.  They go back to the buckets that asked for them, where
-documents are scored.  Nothing is broadcast but one row of discounts per order.
-All of it is one Spark plan, so the documents are shuffled once and the shuffle
-is read twice.
+Documents, marked as trusted by a join with the labels, are dealt to buckets of
+about ``BUCKET_BYTES`` of text by a hash of the whole row, once, with the texts
+compressed.  Each bucket gives its distinct n-grams with their trusted counts; these
+are added up by n-gram, the lower orders follow as continuation counts (the number of
+different one-symbol extensions to the left), discounts come from the counts of
+counts, and the probabilities of all n-grams that occur anywhere are worked out by
+joins sharded by n-gram.  They go back to the buckets that asked for them, where
+documents are scored as a stream: a bucket's n-grams come first, then its documents
+one by one, so a task holds the n-grams of one bucket and one text.  Broadcast are
+one row of discounts per order, and the trusted identifiers behind a check of their
+size.  All of it is one Spark plan, so the documents are shuffled once and the
+shuffle is read twice.
 
 Defined results: NULL and empty texts have no perplexity (NULL) and are
-rejected; a NULL language is a language of its own; a language with fewer than
-``MIN_TRUSTED`` trusted documents says too little about itself: it has no
-threshold and every text with bytes stays; repeated labels of a
+rejected; a NULL language is a language of its own; the fewer trusted documents a
+language has, the less they say about it and the wider its threshold (the quantile
+times ``TOLERANCE ** (1 + FEW_TRUSTED / n)``, without bound as n goes to 0, so that
+every text with bytes stays in a language without any); repeated labels of a
 document trust it if any says quality 1; repeated documents count as often as
-they occur; a document with a NULL identifier is never trusted.
+they occur; a document with a NULL identifier is never trusted; identifiers of the
+two tables are compared as text; other columns of ``documents`` ride along in one
+struct, so their names cannot clash.
 """
 
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -44,12 +51,15 @@ from .common import documents, materialize, shuffle_partitions, sized_broadcast,
 
 ORDER = 4
 BUCKET_BYTES = 16 << 20
+LEAST_BYTES = 1 << 20  # of a bucket, where there are fewer buckets than tasks
 QUANTILE = 0.99
 TOLERANCE = 1.05
-MIN_TRUSTED = 20  # trusted documents that a language's threshold needs
+FEW_TRUSTED = 20  # with n trusted documents the tolerance is taken 1 + FEW_TRUSTED / n times
 PRIOR_BYTES = 32
 ACCURACY = 10_000  # of the quantile: ranks within 1 / ACCURACY
-CHUNK = 1 << 22
+CHUNK = 1 << 21  # bytes of text whose n-grams are worked on at once
+PIECE = 4 << 20  # bytes of rows worked on at once
+ROWS = 1 << 16
 ALPHABET = 256
 # a model and its trusted counts: of both halves, or of the other half only
 MODELS = {"all": "c0 + c1", "no0": "c1", "no1": "c0"}
@@ -69,39 +79,63 @@ def grams(text: bytes) -> np.ndarray:
     return g
 
 
+def grams_of(text: bytes) -> Iterator[np.ndarray]:
+    """The n-grams of a text in chunks, so that a very long one is never held whole
+    as integers."""
+    for i in range(0, len(text), CHUNK):
+        own = grams(text[max(0, i - ORDER + 1):i + CHUNK])
+        yield own[min(i, ORDER - 1):]
+
+
 def half(text: bytes) -> int:
     """The half of the trusted texts that a text falls into."""
     return zlib.crc32(text) & 1
 
 
+def pieces(batches: Iterator[pa.RecordBatch], limit: int = PIECE) -> Iterator[pa.RecordBatch]:
+    """Batches cut into slices of about ``limit`` bytes."""
+    for batch in batches:
+        step = max(1, batch.num_rows * limit // max(batch.nbytes, 1))
+        for i in range(0, batch.num_rows, step):
+            yield batch.slice(i, step)
+
+
+def _replaced(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
+    return batch.set_column(batch.schema.get_field_index(name), name, values)
+
+
 def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts compressed one by one, so that fewer bytes are shuffled."""
     squeeze = zstandard.ZstdCompressor(level=3, write_content_size=True).compress
-    for batch in batches:
-        at = batch.schema.get_field_index("x_text")
-        small = pa.array([None if t is None else squeeze(t) for t in batch.column(at).cast(pa.binary()).to_pylist()], pa.binary())
-        yield batch.set_column(at, "x_text", small)
+    for batch in pieces(batches):
+        texts = batch.column("x_text").cast(pa.binary()).to_pylist()
+        yield _replaced(batch, "x_text", pa.array([None if t is None else squeeze(t) for t in texts], pa.binary()))
 
 
-def unpacked(column: pa.Array) -> list[bytes]:
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compressed texts as strings again, a few at a time."""
     expand = zstandard.ZstdDecompressor().decompress
-    return [expand(t) if t else b"" for t in column.to_pylist()]
+    for batch in pieces(batches, PIECE // 4):
+        texts = batch.column("x_text").to_pylist()
+        yield _replaced(batch, "x_text", pa.array([None if t is None else expand(t) for t in texts], pa.binary()).cast(pa.string()))
+
 
+def _with_text_type(schema: T.StructType, kind: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, kind if f.name == "x_text" else f.dataType) for f in schema])
 
-def dealt(docs: DataFrame, labels: DataFrame, carry: list[str], n: int, buckets: int) -> DataFrame:
-    """Documents and labels by bucket: (b, x_id, x_kind, x_good, x_lang, x_text, carry...),
-    texts compressed.  A label row has x_kind 0 and sorts before its documents."""
-    key = F.col("doc_id").cast("long")
-    bucket = lambda k: F.pmod(k, F.lit(buckets)).cast("int")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    left = docs.select(bucket(F.when(key.isNull(), F.xxhash64(text)).otherwise(F.xxhash64(key))).alias("b"), key.alias("x_id"),
-                       F.lit(1).alias("x_kind"), F.lit(False).alias("x_good"), F.col("lang").alias("x_lang"), F.col("text").alias("x_text"),
-                       *[F.col(c) for c in carry])
-    left = left.mapInArrow(packed, T.StructType([T.StructField("x_text", T.BinaryType()) if f.name == "x_text" else T.StructField(f.name, f.dataType) for f in left.schema]))
-    marks = labels.where(F.col("doc_id").isNotNull()).select(
-        bucket(F.xxhash64(key)).alias("b"), key.alias("x_id"), F.lit(0).alias("x_kind"), F.coalesce(F.col("quality") == 1, F.lit(False)).alias("x_good"),
-        F.lit(None).cast("string").alias("x_lang"), F.lit(None).cast("binary").alias("x_text"), *[F.lit(None).cast(docs.schema[c].dataType).alias(c) for c in carry])
-    return left.unionByName(marks).repartition(n, "b")
+
+def dealt(docs: DataFrame, labels: DataFrame, n: int, buckets: int) -> DataFrame:
+    """Documents by bucket: (b, x_id, x_good, x_lang, x_text, x_row), texts compressed.
+    ``x_row`` has the caller's row without its text.  The bucket follows from the
+    whole row, so no identifier or text gathers rows that differ."""
+    good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("string").alias("x_of")).distinct()
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    own = docs.select(F.col("doc_id").alias("x_id"), F.col("lang").alias("x_lang"), F.col("text").alias("x_text"), row.alias("x_row"))
+    left = own.mapInArrow(packed, _with_text_type(own.schema, T.BinaryType()))
+    marked = left.join(sized_broadcast(materialize(good)), F.col("x_id").cast("string") == F.col("x_of"), "left")
+    hashed = [F.col("x_row").getField(f.name) for f in docs.schema if f.name != "text" and not re.search("map<|variant", f.dataType.simpleString())]
+    bucket = F.pmod(F.xxhash64("x_text", *hashed), F.lit(buckets)).cast("int")
+    return marked.select(bucket.alias("b"), "x_id", F.col("x_of").isNotNull().alias("x_good"), "x_lang", "x_text", "x_row").repartition(n, "b")
 
 
 def _bucket_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,7 +144,8 @@ def _bucket_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     bucket = None
     known = tuple(np.zeros(0, np.int64) for _ in range(3))
     texts: tuple[list[bytes], ...] = [], [], []  # of half 0, of half 1, not trusted
-    size, now, good = 0, None, False
+    size = 0
+    expand = zstandard.ZstdDecompressor().decompress
 
     def fold() -> None:
         nonlocal known, size
@@ -130,29 +165,27 @@ def _bucket_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             part.clear()
         size = 0
 
-    def rows() -> pa.RecordBatch:
+    def rows() -> Iterator[pa.RecordBatch]:
         nonlocal known
         fold()
         found, known = known, tuple(np.zeros(0, np.int64) for _ in range(3))
-        return pa.RecordBatch.from_arrays([pa.array(np.full(found[0].size, bucket, np.int32)), *map(pa.array, found)], names=["b", "g", "c0", "c1"])
+        for i in range(0, found[0].size, ROWS):
+            part = [c[i:i + ROWS] for c in found]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(part[0].size, bucket, np.int32)), *map(pa.array, part)], names=["b", "g", "c0", "c1"])
 
     for batch in batches:
-        for b, key, kind, label, text in zip(*[batch.column(c).to_pylist() for c in ("b", "x_id", "x_kind", "x_good")], unpacked(batch.column("x_text"))):
+        for b, good, small in zip(*[batch.column(c).to_pylist() for c in ("b", "x_good", "x_text")]):
             if b != bucket:
                 if bucket is not None:
-                    yield rows()
+                    yield from rows()
                 bucket = b
-            if key != now:
-                now, good = key, False
-            if kind == 0:
-                good = good or label
-            elif text:
-                texts[half(text) if good and key is not None else 2].append(text)
+            if small and (text := expand(small)):
+                texts[half(text) if good else 2].append(text)
                 size += len(text)
                 if size > CHUNK:
                     fold()
     if bucket is not None:
-        yield rows()
+        yield from rows()
 
 
 def _discounts(counts: DataFrame) -> DataFrame:
@@ -206,54 +239,78 @@ def log_probabilities(counts: DataFrame) -> DataFrame:
     return lower.select("g", *[F.log(f"p_{m}").alias(f"logp_{m}") for m in MODELS])
 
 
-def _score(carry: list[str], with_text: bool):
-    def run(rows: pa.Table, probs: pa.Table) -> pa.Table:
-        order = np.argsort(g := probs.column("g").to_numpy())
-        g, logp, *others = g[order], *[probs.column(f"logp_{m}").to_numpy()[order] for m in MODELS]
-        ids, kinds, goods = (rows.column(c).to_pylist() for c in ("x_id", "x_kind", "x_good"))
-        trusted = {i for i, k, x in zip(ids, kinds, goods) if k == 0 and x}
-        docs = rows.filter(pa.array([k == 1 for k in kinds], pa.bool_()))
-        good = [i in trusted for i in docs.column("x_id").to_pylist()]
-        ppl, held, sizes = [], [], []
-        whole = unpacked(docs.column("x_text"))
-        for text, own in zip(whole, good):
-            sizes.append(len(text))
-            total, without = 0.0, 0.0
-            for i in range(0, len(text), CHUNK):
-                at = np.searchsorted(g, grams(text)[i:i + CHUNK])
-                total += float(logp[at].sum())
-                without += float(others[half(text)][at].sum()) if own else 0.0
-            ppl.append(math.exp(-total / len(text)) if text else None)
-            held.append(math.exp(-without / len(text)) if text and own else None)
-        carried = [*(("x_text",) if with_text else ()), *carry]
-        blank = docs.column("x_text").is_null().to_pylist()
-        texts = pa.array([None if null else t.decode() for t, null in zip(whole, blank)], pa.string()) if with_text else None
-        out = [texts if c == "x_text" else docs.column(c) for c in ("x_id", "x_lang", *carried)]
-        return pa.table([*out, pa.array(good, pa.bool_()), pa.array(sizes, pa.int64()), pa.array(ppl, pa.float64()), pa.array(held, pa.float64())],
-                        names=["x_id", "x_lang", *carried, "x_trusted", "x_bytes", "x_ppl", "x_held"])
-
-    return run
-
-
-def perplexities(docs: DataFrame, labels: DataFrame, carry: list[str] = (), with_text: bool = False) -> DataFrame:
-    """x_id, x_lang, (x_text), carry..., x_trusted, x_bytes, x_ppl, x_held for
-    every document, stored; x_held is a trusted document's perplexity under the
-    model of the other half."""
-    clash = [c for c in carry if c == "b" or c.startswith("x_")]
-    if clash:
-        raise ValueError(f"columns {clash} clash with the classifier's")
-    n = shuffle_partitions(docs.sparkSession)
+LOGS = [f"logp_{m}" for m in MODELS]
+
+
+def _score(batches: Iterator[pa.RecordBatch], kept: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by bucket, its n-grams (x_kind 0, by g) before its documents: the
+    documents' columns ``kept`` with x_bytes, x_ppl and x_held, one text at a time."""
+    expand = zstandard.ZstdDecompressor().decompress
+    bucket, held, g, logs = None, [], np.zeros(0, np.int64), []
+
+    def scored(small: bytes | None, good: bool) -> tuple:
+        text = expand(small) if small else b""
+        if not text:
+            return 0, None, None
+        models = (0, 1 + half(text)) if good else (0,)
+        total = [0.0] * len(models)
+        for own in grams_of(text):
+            at = np.searchsorted(g, own)
+            if not g.size or at.max() >= g.size or (g[at] != own).any():
+                raise RuntimeError("a bucket's n-grams must come before its documents: is the union's partitioning kept?")
+            for i, m in enumerate(models):
+                total[i] += float(logs[m][at].sum())
+        ppl = [math.exp(-x / len(text)) for x in total]
+        return len(text), ppl[0], ppl[1] if good else None
+
+    for batch in pieces(batches):
+        b, kind = batch.column("b").to_numpy(), batch.column("x_kind").to_numpy()
+        cuts = [0, *(np.flatnonzero((np.diff(b) != 0) | (np.diff(kind) != 0)) + 1).tolist(), batch.num_rows]
+        for i, j in zip(cuts, cuts[1:]):
+            part = batch.slice(i, j - i)
+            if b[i] != bucket:
+                bucket, held, g, logs = b[i], [], np.zeros(0, np.int64), []
+            if kind[i] == 0:
+                held.append([part.column(c).to_numpy(zero_copy_only=False) for c in ("g", *LOGS)])
+                continue
+            if held:
+                g, *logs = (np.concatenate(c) for c in zip(*held))
+                held = []
+            found = [scored(t, x) for t, x in zip(part.column("x_text").to_pylist(), part.column("x_good").to_pylist())]
+            sizes, ppl, apart = zip(*found)
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pa.array(sizes, pa.int64()), pa.array(ppl, pa.float64()), pa.array(apart, pa.float64())],
+                                             names=[*kept, "x_bytes", "x_ppl", "x_held"])
+
+
+KEPT = ["x_id", "x_lang", "x_text", "x_row", "x_good"]
+
+
+def perplexities(docs: DataFrame, labels: DataFrame, whole: bool = False) -> DataFrame:
+    """x_id, x_lang, x_trusted, x_bytes, x_ppl, x_held for every document, stored, and
+    if ``whole`` x_text (compressed) and x_row (the other columns of ``docs``).  x_held is
+    a trusted document's perplexity under the model of the other half.
+
+    A bucket's n-grams and documents meet without a further shuffle: both sides are
+    dealt alike by bucket, and the union keeps that (where the session turns this off,
+    the union is dealt once more)."""
+    spark = docs.sparkSession
+    n = shuffle_partitions(spark)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    rows = dealt(docs, labels, list(carry), n, -(-total // BUCKET_BYTES) or 1)
-    asked = rows.sortWithinPartitions("b", "x_id", "x_kind").mapInArrow(_bucket_grams, "b int, g long, c0 long, c1 long").repartition(n, "g")
+    rows = dealt(docs, labels, n, max(1, -(-total // BUCKET_BYTES), min(n, total // LEAST_BYTES)))
+    asked = rows.sortWithinPartitions("b").mapInArrow(_bucket_grams, "b int, g long, c0 long, c1 long").repartition(n, "g")
     probs = log_probabilities(asked.groupBy("g").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")))
     # a bucket needs the model without a half for the n-grams of its trusted documents of that half
     slices = asked.join(probs.withColumnRenamed("g", "of"), F.col("g") == F.col("of")).select(
-        "b", "g", "logp_all", *[F.when(F.col(f"c{i}") > 0, F.col(f"logp_no{i}")).alias(f"logp_no{i}") for i in (0, 1)])
-    schema = T.StructType([T.StructField("x_id", T.LongType()), T.StructField("x_lang", T.StringType()),
-                           *([T.StructField("x_text", T.StringType())] if with_text else []), *[T.StructField(c, docs.schema[c].dataType) for c in carry],
-                           T.StructField("x_trusted", T.BooleanType()), T.StructField("x_bytes", T.LongType()), T.StructField("x_ppl", T.DoubleType()), T.StructField("x_held", T.DoubleType())])
-    return materialize(rows.groupBy("b").cogroup(slices.groupBy("b")).applyInArrow(_score(list(carry), with_text), schema))
+        "b", "g", "logp_all", *[F.when(F.col(f"c{i}") > 0, F.col(f"logp_no{i}")).alias(f"logp_no{i}") for i in (0, 1)]).repartition(n, "b")
+    none = lambda c: F.lit(None).cast(rows.schema[c].dataType).alias(c)
+    texts = rows.select("b", F.lit(1).alias("x_kind"), F.lit(None).cast("long").alias("g"), *[F.lit(None).cast("double").alias(c) for c in LOGS], *KEPT)
+    both = slices.select("b", F.lit(0).alias("x_kind"), "g", *LOGS, *[none(c) for c in KEPT]).union(texts)
+    if spark.conf.get("spark.sql.unionOutputPartitioning", "false") != "true":
+        both = both.repartition(n, "b")
+    kept = [c for c in KEPT if whole or c not in ("x_text", "x_row")]
+    out = T.StructType([rows.schema[c] for c in kept]).add("x_bytes", "long").add("x_ppl", "double").add("x_held", "double")
+    scored = both.sortWithinPartitions("b", "x_kind", "g").mapInArrow(lambda batches: _score(batches, kept), out)
+    return materialize(scored.withColumnRenamed("x_good", "x_trusted"))
 
 
 def evened(value: str = "x_ppl", weight: int = PRIOR_BYTES) -> Column:
@@ -263,14 +320,13 @@ def evened(value: str = "x_ppl", weight: int = PRIOR_BYTES) -> Column:
     return F.exp((F.log(value) * n + F.log("x_mid") * weight) / (n + weight))
 
 
-def _per_language(scored: DataFrame, values: Column, share: float, name: str, least: int) -> DataFrame:
-    """(x_of, name): a quantile over the trusted documents of each language, NULL
-    for languages with fewer than ``least``."""
+def _per_language(scored: DataFrame, values: Column, share: float, name: str) -> DataFrame:
+    """(x_of, name, x_n): a quantile over the trusted documents of each language and
+    their number, NULL for languages without any."""
     trusted = scored.where("x_trusted and x_held is not null")
     seen = scored.groupBy(F.col("x_lang").alias("x_of")).agg(F.count("*").alias("x_rows"))
     own = trusted.groupBy(F.col("x_lang").alias("x_by")).agg(F.percentile_approx(values, share, ACCURACY).alias(name), F.count("*").alias("x_n"))
-    return materialize(seen.join(own, F.col("x_of").eqNullSafe(F.col("x_by")), "left").select(
-        "x_of", F.when(F.col("x_n") >= least, F.col(name)).alias(name)))
+    return materialize(seen.join(own, F.col("x_of").eqNullSafe(F.col("x_by")), "left").select("x_of", name, "x_n"))
 
 
 def _with(scored: DataFrame, limits: DataFrame) -> DataFrame:
@@ -279,20 +335,21 @@ def _with(scored: DataFrame, limits: DataFrame) -> DataFrame:
 
 
 def judged(scored: DataFrame, quantile: float = QUANTILE, tolerance: float = TOLERANCE,
-           min_trusted: int = MIN_TRUSTED) -> DataFrame:
+           few: int = FEW_TRUSTED) -> DataFrame:
     """``scored`` plus x_even (the perplexity that is judged), x_limit and x_keep."""
-    middles = _per_language(scored, F.col("x_held"), 0.5, "x_mid", 1)
+    middles = _per_language(scored, F.col("x_held"), 0.5, "x_mid").drop("x_n")
     level = _with(scored, middles).withColumn("x_even", F.coalesce(evened(), F.col("x_ppl"))).withColumn("x_out", evened("x_held")).drop("x_mid")
-    limits = _per_language(level, F.col("x_out"), quantile, "x_lim", min_trusted)
+    limits = _per_language(level, F.col("x_out"), quantile, "x_lim")
     kept = F.col("x_ppl").isNotNull() & F.coalesce(F.col("x_even") <= F.col("x_limit"), F.lit(True))
-    return _with(level, limits).withColumn("x_limit", F.col("x_lim") * tolerance).withColumn("x_keep", kept).drop("x_lim", "x_out")
+    return _with(level, limits).withColumn("x_limit", F.col("x_lim") * F.pow(F.lit(float(tolerance)), 1 + few / F.col("x_n"))) \
+        .withColumn("x_keep", kept).drop("x_lim", "x_n", "x_out")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **rules) -> DataFrame:
     """``docs`` without the rejected documents, all columns kept."""
-    own = {"doc_id": "x_id", "lang": "x_lang", "text": "x_text"}
-    scored = perplexities(docs, labels, [c for c in docs.columns if c not in own], with_text=True)
-    return judged(scored, **rules).where("x_keep").select(*[F.col(own.get(c, c)).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+    kept = judged(perplexities(docs, labels, whole=True), **rules).where("x_keep").select("x_row", "x_text")
+    whole = kept.mapInArrow(unpacked, _with_text_type(kept.schema, T.StringType()))
+    return whole.select(*[(F.col("x_text") if c == "text" else F.col("x_row").getField(c)).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir):
