@@ -10,8 +10,8 @@ round with a smaller canonical form, and when it is not itself an entity of the
 corpus; the others draw again with the next attempt.  Different entities thus
 stay different, and no real entity is put in another's place.
 
-Documents that no pattern can match pass by untouched.  For the others the
-accepted surrogates of their entities are joined to the text, one row per
+Documents that no pattern can match pass by untouched.  The others are stored once;
+the accepted surrogates of their entities are joined to the text, one row per
 distinct text; an entity that stands in a large part of the documents is one row
 on one side of that join, and the other side is split by Spark when it is hot.
 
@@ -28,8 +28,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import documents, materialize
+from .common import documents, materialize, under_plain_names
 from .pii_entities import SIGN, WORDED, mentions, render, surrogate
 from .suffix_dedup import text_hashes
 
@@ -42,8 +43,8 @@ def candidate(text: str) -> Column:
     return F.col(text).rlike(SIGN) | F.col(text).rlike(WORDED)
 
 
-def entity_rows(docs: DataFrame, text: str) -> DataFrame:
-    """(t1, t2, kind, canonical): distinct entities of every distinct text."""
+def entity_rows(found: DataFrame, text: str) -> DataFrame:
+    """(t1, t2, kind, canonical): distinct entities of every distinct text of ``found``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -53,8 +54,8 @@ def entity_rows(docs: DataFrame, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.string(), pa.string()))],
                                              names=["t1", "t2", "kind", "canonical"])
 
-    candidates = docs.where(candidate(text)).select(F.col(text).alias("body"), *text_hashes(F.col(text)))
-    return candidates.mapInArrow(run, "t1 long, t2 long, kind string, canonical string").distinct()
+    bodies = found.select(F.col(text).alias("body"), *text_hashes(F.col(text)))
+    return bodies.mapInArrow(run, "t1 long, t2 long, kind string, canonical string").distinct()
 
 
 def draw(entities: DataFrame, key: bytes, attempt: int) -> DataFrame:
@@ -85,37 +86,37 @@ def assign(entities: DataFrame, key: bytes = KEY, max_attempts: int = MAX_ATTEMP
 
 def replace(docs: DataFrame, key: bytes = KEY, text: str = "text", n_column: str = "n_entities", kinds_column: str = "kinds") -> DataFrame:
     """``docs`` with surrogates in ``text``, the number of replaced mentions and
-    their kinds (sorted); columns of these two names are replaced."""
-    rows = materialize(entity_rows(docs, text))
+    their kinds (sorted); columns of these two names are replaced, all others ride along."""
+    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in (n_column, kinds_column)])
+    plain, names = under_plain_names(kept)
+    own, body = plain.columns, names[text]
+    hit = F.coalesce(candidate(body), F.lit(False))
+    found = materialize(plain.where(hit))  # a small part of the corpus, read twice below
+    rows = materialize(entity_rows(found, body))
     surrogates = materialize(assign(materialize(rows.select("kind", "canonical").distinct()), key))
-    of_text = rows.join(surrogates, ["kind", "canonical"]).groupBy(F.col("t1").alias("__t1"), F.col("t2").alias("__t2")).agg(
-        F.collect_list(F.struct("kind", "canonical", "surrogate")).alias("__map"))
-    own = [c for c in docs.columns if c not in (n_column, kinds_column)]
-    hit = F.coalesce(candidate(text), F.lit(False))
-    h1, h2 = text_hashes(F.col(text))
-    named = docs.select(*own).where(hit).withColumns({"__h1": h1, "__h2": h2}).join(
-        of_text, (F.col("__h1") == F.col("__t1")) & (F.col("__h2") == F.col("__t2")), "left").select(*own, "__map")
+    of_text = rows.join(surrogates, ["kind", "canonical"]).groupBy("t1", "t2").agg(F.collect_list(F.struct("kind", "canonical", "surrogate")).alias("map"))
+    named = found.withColumns(dict(zip(("h1", "h2"), text_hashes(F.col(body))))).join(
+        of_text, (F.col("h1") == F.col("t1")) & (F.col("h2") == F.col("t2")), "left").select(*own, "map")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, counts, kinds = [], [], []
-            for body, pairs in zip(batch.column(text).to_pylist(), batch.column("__map").to_pylist()):
+            for whole, pairs in zip(batch.column(body).to_pylist(), batch.column("map").to_pylist()):
                 new = {(x["kind"], x["canonical"]): x["surrogate"] for x in pairs or ()}
                 out, upto, n, seen = [], 0, 0, set()
-                for a, b, kind, canonical in mentions(body):
-                    out += [body[upto:a], render(body[a:b], kind, new[kind, canonical])]
+                for a, b, kind, canonical in mentions(whole):
+                    out += [whole[upto:a], render(whole[a:b], kind, new[kind, canonical])]
                     upto, n = b, n + 1
                     seen.add(kind.partition("-")[0])
-                texts.append("".join([*out, body[upto:]]))
+                texts.append("".join([*out, whole[upto:]]))
                 counts.append(n)
                 kinds.append(",".join(sorted(seen)))
-            cols = [pa.array(texts, pa.string()) if c == text else batch.column(c) for c in own]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(counts, pa.int64()), pa.array(kinds, pa.string())], names=[*own, n_column, kinds_column])
+            cols = [pa.array(texts, pa.string()) if c == body else batch.column(c) for c in own]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(counts, pa.int64()), pa.array(kinds, pa.string())], names=[*own, "n", "kinds"])
 
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in own)
-    changed = named.mapInArrow(run, f"{fields}, `{n_column}` long, `{kinds_column}` string")
-    untouched = docs.select(*own).where(~hit).select("*", F.lit(0).cast("long").alias(n_column), F.lit("").alias(kinds_column))
-    return changed.union(untouched)
+    changed = named.mapInArrow(run, T.StructType([*plain.schema, T.StructField("n", T.LongType()), T.StructField("kinds", T.StringType())]))
+    untouched = plain.where(~hit).select("*", F.lit(0).cast("long").alias("n"), F.lit("").alias("kinds"))
+    return changed.union(untouched).select(*[F.col(names[c]).alias(c) for c in kept.columns], F.col("n").alias(n_column), F.col("kinds").alias(kinds_column))
 
 
 def query(spark, sf_dir):
