@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize, sized_broadcast
+from ..session import materialize, scratch_path, sized_broadcast
 from .fit import category_lists, mean_std
 
 
@@ -49,6 +49,8 @@ def _scaled_expr(c: str):
 
 
 def _with_scale_params(df: DataFrame, p: EncoderParams) -> DataFrame:
+    if not p.scaled:
+        return df
     by = list(p.by)
     wide = p.scale.groupBy(*by).agg(*[
         agg for c in p.scaled for agg in (
@@ -131,3 +133,56 @@ def align_columns(df: DataFrame, names: Sequence[str], keep: Sequence[str] = ())
     cols += [F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias(n) if n in present
              else F.lit(0.0).alias(n) for n in names]
     return df.select(*cols)
+
+
+# ---- sparse form: no category reaches the driver, no column is made for one --------
+
+def dictionary(p: EncoderParams) -> DataFrame:
+    """``(feature, category, id)`` of every encoded column, stored: the numeric columns in
+    order (category NULL), then the categories by column and position.  The driver sees
+    one number per column."""
+    if p.by:
+        raise ValueError("a dictionary is made for one training set")
+    spark = p.categories.sparkSession
+    numeric = [*p.scaled, *p.passthrough]
+    sizes = {r["feature"]: r["n"] for r in p.categories.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
+    starts, at = {}, len(numeric)
+    for c in p.categorical:
+        starts[c], at = at, at + sizes.get(c, 0)
+    start = F.element_at(F.create_map(*[F.lit(x) for kv in starts.items() for x in kv]), F.col("feature")) if starts else F.lit(0)
+    listed = p.categories.select("feature", "category", (start + F.col("position")).cast("int").alias("id"))
+    plain = spark.createDataFrame([(c, None, i) for i, c in enumerate(numeric)], "feature string, category string, id int")
+    return materialize(plain.unionByName(listed))
+
+
+def encode_sparse(df: DataFrame, p: EncoderParams, ids: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """E1-E4 sparse form: ``keep`` columns, ``size``, ``indices`` (rising) and ``values`` of
+    the encoded row; zeros, NULLs and categories that the dictionary lacks have no entry.
+
+    Every categorical column looks its id up in the dictionary once: broadcast behind a
+    check of that column's size, else a shuffle join, which Spark splits where a
+    category is hot."""
+    width = ids.agg(F.max("id")).first()[0]
+    t = _with_scale_params(df, p)
+    for i, c in enumerate(p.categorical):
+        own = materialize(ids.where(F.col("feature") == c).select(F.col("category").alias(f"_c{i}"), F.col("id").alias(f"_id{i}")))
+        t = t.join(sized_broadcast(own), F.col(c).cast("string") == F.col(f"_c{i}"), "left")
+    cells = [F.struct(F.lit(i).alias("i"), e.cast("double").alias("v")) for i, e in
+             enumerate([*[_scaled_expr(c) for c in p.scaled], *[F.col(c) for c in p.passthrough]])]
+    cells += [F.struct(F.col(f"_id{i}").alias("i"), F.lit(1.0).alias("v")) for i in range(len(p.categorical))]
+    held = F.filter(F.array(*cells), lambda x: x["i"].isNotNull() & F.coalesce(x["v"] != 0, F.lit(False)))  # ids rise with the columns
+    return t.select(*keep, F.lit(0 if width is None else width + 1).alias("size"), held.alias("_e")).select(
+        *keep, "size", F.transform("_e", lambda x: x["i"]).alias("indices"), F.transform("_e", lambda x: x["v"]).alias("values"))
+
+
+def as_sparse_vectors(encoded: DataFrame, keep: Sequence[str], out: str = "features") -> DataFrame:
+    """``keep`` columns and an ML vector column, stored.  The vector's own storage form is
+    written and read back under its type, so no row passes through Python."""
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql import types as T
+
+    spark, path = encoded.sparkSession, scratch_path(encoded.sparkSession, "vectors")
+    form = F.struct(F.lit(0).cast("byte").alias("type"), "size", "indices", "values")
+    plain = encoded.select(*keep, form.alias(out))
+    plain.write.parquet(path)
+    return spark.read.schema(T.StructType([*[plain.schema[c] for c in keep], T.StructField(out, VectorUDT())])).parquet(path)

@@ -142,6 +142,8 @@ def inner_edges(qs: DataFrame, q: int, by: Sequence[str] = (), out: str = "edges
 
 def mean_std(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Mean and population standard deviation per column (long form)."""
+    if not columns:
+        return df.limit(0).select(*by, F.lit("").alias("feature"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("std"))
     aggs = []
     for c in columns:
         aggs += [F.avg(c).alias(f"{c}__mean"), F.stddev_pop(c).alias(f"{c}__std")]

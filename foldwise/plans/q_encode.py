@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.encode import align_columns, encode_long, encode_wide, fit_encoder, one_hot_union
+from ..operators.encode import align_columns, dictionary, encode_long, encode_sparse, encode_wide, fit_encoder, one_hot_union
 from ..operators.features import (CATEGORICAL_COLUMNS, PASSTHROUGH_COLUMNS, SCALED_COLUMNS,
                                   apply_features, fit_features)
 from ..operators.select import class_counts, mi_of_cells, value_cells
@@ -127,6 +127,19 @@ def q_encoded_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(encode_long(clean, enc, keys=["PassengerId"]))
 
 
+@query("e4_sparse_cells", oracle=f"""WITH {_CLEAN}
+SELECT feature, COUNT(*) AS rows, round(AVG(value), 4) AS mean FROM ({_long_sql('clean')}) t WHERE value <> 0 GROUP BY feature""")
+def q_sparse_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1+E4+E8: the sparse rows by encoded column: entries and their mean, named by the dictionary."""
+    clean, enc, _ = encoded_pax(spark, sf_dir)
+    ids = dictionary(enc)
+    rows = encode_sparse(clean, enc, ids, keep=["PassengerId"])
+    entries = rows.select(F.explode(F.arrays_zip("indices", "values")).alias("e")).groupBy(F.col("e.indices").alias("id")).agg(
+        F.count(F.lit(1)).alias("rows"), F.avg("e.values").alias("mean"))
+    named = entries.join(ids, "id").withColumn("feature", F.concat_ws("_", "feature", "category"))
+    return named.select("feature", "rows", F.round("mean", 4).alias("mean"))
+
+
 @query("e8_model_ready_width", oracle=f"""WITH {_CLEAN},
 {_POSITIONS}
 SELECT (SELECT COUNT(*) FROM clean) AS rows, CAST((SELECT COUNT(*) FROM pos) + 2 AS INTEGER) AS columns,
