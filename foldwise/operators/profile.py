@@ -14,7 +14,7 @@ from pyspark.sql.types import NumericType
 
 from ..functions.exprs import nan_as_null
 from ..session import materialize, sized_broadcast
-from .quantiles import grouped_quantiles
+from .quantiles import bracketed_quantiles, grouped_quantiles
 
 
 def _missing(df: DataFrame, c: str) -> Column:
@@ -150,7 +150,7 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str], whisker: float = 1.5
     number of outliers per group."""
     by = list(by)
     rows = nan_as_null(df, [value]).where(F.col(value).isNotNull())
-    q = grouped_quantiles(rows, by, value, [0.25, 0.5, 0.75]).select(
+    q = bracketed_quantiles(rows, by, value, [0.25, 0.5, 0.75]).select(
         *by, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     q = q.withColumn("_lf", F.col("q1") - whisker * (F.col("q3") - F.col("q1"))) \
          .withColumn("_uf", F.col("q3") + whisker * (F.col("q3") - F.col("q1")))
@@ -171,7 +171,7 @@ def mean_median(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     by = list(by)
     df = nan_as_null(df, [value])
     m = df.groupBy(*by).agg(F.avg(value).alias("mean"))
-    med = grouped_quantiles(df, by, value, [0.5]).withColumnRenamed("q0", "median")
+    med = bracketed_quantiles(df, by, value, [0.5]).withColumnRenamed("q0", "median")
     return m.join(med, by, "inner") if by else m.crossJoin(med)
 
 

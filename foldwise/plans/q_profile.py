@@ -144,6 +144,21 @@ def q_box_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(P.box_stats(table(spark, sf_dir, "orders"), "o_totalprice", ["o_orderpriority"]))
 
 
+@query("a19_box_stats_two_keys", oracle="""
+WITH q AS (SELECT o_orderpriority, o_orderstatus, quantile_cont(o_totalprice, 0.25) AS q1, quantile_cont(o_totalprice, 0.5) AS median,
+                  quantile_cont(o_totalprice, 0.75) AS q3 FROM orders GROUP BY o_orderpriority, o_orderstatus),
+f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lf, q3 + 1.5 * (q3 - q1) AS uf FROM q)
+SELECT o.o_orderpriority, o.o_orderstatus, round(f.q1, 6) AS q1, round(f.median, 6) AS median, round(f.q3, 6) AS q3,
+       round(MIN(CASE WHEN o_totalprice BETWEEN lf AND uf THEN o_totalprice END), 6) AS whisker_low,
+       round(MAX(CASE WHEN o_totalprice BETWEEN lf AND uf THEN o_totalprice END), 6) AS whisker_high,
+       COUNT(*) FILTER (WHERE NOT (o_totalprice BETWEEN lf AND uf)) AS outliers
+FROM orders o JOIN f ON o.o_orderpriority = f.o_orderpriority AND o.o_orderstatus = f.o_orderstatus
+GROUP BY o.o_orderpriority, o.o_orderstatus, f.q1, f.median, f.q3""")
+def q_box_stats_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Box-plot statistics of the price, split by two keys."""
+    return round_doubles(P.box_stats(table(spark, sf_dir, "orders"), "o_totalprice", ["o_orderpriority", "o_orderstatus"]))
+
+
 @query("a20_mean_median", oracle="""
 SELECT o_orderstatus, round(AVG(o_totalprice), 6) AS mean, round(quantile_cont(o_totalprice, 0.5), 6) AS median
 FROM orders GROUP BY o_orderstatus""")
@@ -267,11 +282,23 @@ def q_numeric_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(*P.numeric_columns(p, exclude=["pid"]))
 
 
-@query("u2_column_difference", oracle="SELECT 'survived' AS name, 'left_only' AS side")
+@query("u2_column_difference", oracle=oracle_with("pax", """
+SELECT 'survived' AS name, 'left_only' AS side, COUNT(survived) AS filled, COUNT(DISTINCT survived) AS values FROM pax WHERE pid % 5 <> 0
+UNION ALL SELECT 'embarked', 'left_only', COUNT(embarked), COUNT(DISTINCT embarked) FROM pax WHERE pid % 5 <> 0
+UNION ALL SELECT 'kin', 'right_only', COUNT(sibsp + parch), COUNT(DISTINCT sibsp + parch) FROM pax WHERE pid % 5 = 0"""))
 def q_column_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns of the training file missing from the test file."""
+    """Columns that only one of two batches has, with their filled cells and distinct values there."""
     p = view(spark, sf_dir, "pax")
-    return C.column_difference(p, p.drop("survived"))
+    left = p.where("pid % 5 <> 0")
+    right = p.where("pid % 5 = 0").withColumn("kin", F.col("sibsp") + F.col("parch")).drop("survived", "embarked")
+    out = None
+    for side, df, other in (("left_only", left, right), ("right_only", right, left)):
+        only = [c for c in df.columns if c not in other.columns]
+        cells = df.agg(*[g(c).alias(f"{n}{i}") for i, c in enumerate(only) for n, g in (("f", F.count), ("d", F.count_distinct))])
+        rows = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"f{i}").alias("filled"), F.col(f"d{i}").alias("values")) for i, c in enumerate(only)]))
+        part = cells.select(rows.alias("_c")).select("_c.*").join(C.column_difference(left, right).where(F.col("side") == side), "name")
+        out = part if out is None else out.unionByName(part)
+    return out.select("name", "side", "filled", "values")
 
 
 @query("j7_key_overlap", oracle="""
