@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..session import materialize, sized_broadcast
 from ..sources.tables import table
 
-__all__ = ["batches_of", "byte_texts", "documents", "materialize", "shuffle_partitions", "sized_broadcast", "table", "under_plain_names",
+__all__ = ["batches_of", "byte_texts", "documents", "materialize", "pieces", "shuffle_partitions", "sized_broadcast", "table", "under_plain_names",
            "with_own_names", "words_table"]
 
 
@@ -52,6 +52,17 @@ def batches_of(texts: Sequence[bytes], limit: int) -> Iterator[tuple[int, int]]:
         i = j
 
 
+PIECE = 4 << 20  # bytes of rows that a task works on at once
+
+
+def pieces(batches: Iterator[pa.RecordBatch], limit: int = PIECE) -> Iterator[pa.RecordBatch]:
+    """Batches cut into slices of about ``limit`` bytes."""
+    for batch in batches:
+        step = max(1, batch.num_rows * limit // max(batch.nbytes, 1))
+        for i in range(0, batch.num_rows, step):
+            yield batch.slice(i, step)
+
+
 def words_table(keep: bytes) -> bytes:
     """Translation table for ``bytes.translate``: A-Z lower-cased, every byte
     outside ``keep`` and below 0x80 turned into a space, so that ``split()``

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, table
+from .common import documents, pieces, table
 
 MAX_LABELLED = 512  # labelled pages that the weights are fitted on, taken by hash
 SMOOTH = 1.0
@@ -359,7 +359,7 @@ def extract(pages: DataFrame, weights: Weights, carry: list[str], html: str = "h
         raise ValueError(f"columns {sorted(clash)} clash with the result's")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             texts = [main_text(p, weights) for p in batch.column(html).to_pylist()]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in carry], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                                              names=[*carry, "text", "n_chars"])

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, materialize, under_plain_names
+from .common import documents, materialize, pieces, under_plain_names
 from .pii_entities import SIGN, WORDED, mentions, render, surrogate
 from .suffix_dedup import text_hashes
 
@@ -47,7 +47,7 @@ def entity_rows(found: DataFrame, text: str) -> DataFrame:
     """(t1, t2, kind, canonical): distinct entities of every distinct text of ``found``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             out = [(a, b, kind, canonical) for a, b, t in zip(*[batch.column(c).to_pylist() for c in ("t1", "t2", "body")])
                    for kind, canonical in sorted({(k, c) for _, _, k, c in mentions(t)})]
             cols = list(zip(*out)) or [(), (), (), ()]
@@ -99,7 +99,7 @@ def replace(docs: DataFrame, key: bytes = KEY, text: str = "text", n_column: str
         of_text, (F.col("h1") == F.col("t1")) & (F.col("h2") == F.col("t2")), "left").select(*own, "map")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             texts, counts, kinds = [], [], []
             for whole, pairs in zip(batch.column(body).to_pylist(), batch.column("map").to_pylist()):
                 new = {(x["kind"], x["canonical"]): x["surrogate"] for x in pairs or ()}

@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, materialize, shuffle_partitions, sized_broadcast, table
+from .common import PIECE, documents, materialize, pieces, shuffle_partitions, sized_broadcast, table
 
 ORDER = 4
 BUCKET_BYTES = 16 << 20
@@ -58,7 +58,6 @@ FEW_TRUSTED = 20  # with n trusted documents the tolerance is taken 1 + FEW_TRUS
 PRIOR_BYTES = 32
 ACCURACY = 10_000  # of the quantile: ranks within 1 / ACCURACY
 CHUNK = 1 << 21  # bytes of text whose n-grams are worked on at once
-PIECE = 4 << 20  # bytes of rows worked on at once
 ROWS = 1 << 16
 ALPHABET = 256
 # a model and its trusted counts: of both halves, or of the other half only
@@ -92,14 +91,6 @@ def half(text: bytes) -> int:
     return zlib.crc32(text) & 1
 
 
-def pieces(batches: Iterator[pa.RecordBatch], limit: int = PIECE) -> Iterator[pa.RecordBatch]:
-    """Batches cut into slices of about ``limit`` bytes."""
-    for batch in batches:
-        step = max(1, batch.num_rows * limit // max(batch.nbytes, 1))
-        for i in range(0, batch.num_rows, step):
-            yield batch.slice(i, step)
-
-
 def _replaced(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
     return batch.set_column(batch.schema.get_field_index(name), name, values)
 
