@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -50,3 +51,47 @@ def test_edges(make):
     alone = langid.learn(make([(1, "abc abc", "en")]))
     assert langid.predict(make([(2, "xyz")]), alone, ["doc_id"]).first()["lang_pred"] == "en"
     assert langid.predict(make([]), model, ["doc_id"]).count() == 0
+
+
+def test_query_against_the_definition(spark, sf_dir):
+    """Every row of the query's answer from counts, log-odds and decoding written out plainly."""
+    import zlib
+    from collections import Counter
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    held = lambda i: zlib.crc32(str(i).encode()) % 3 == 1
+
+    def bins(text):
+        low = bytes(b + 32 if 65 <= b <= 90 else b if b >= 0x80 or 97 <= b <= 122 else 32 for b in text.encode())
+        codes = (low[i] << 16 | low[i + 1] << 8 | low[i + 2] for i in range(len(low) - 2))
+        return [(c * 0x9E3779B1 % (1 << 32)) >> 16 for c in codes if c != 0x202020]
+
+    counts = {}
+    for i, text, label in docs:
+        if not held(i) and label is not None:
+            counts.setdefault(label, Counter()).update(bins(text or ""))
+    names = sorted(counts)
+    total = {x: counts[x].total() + langid.SMOOTH * langid.BINS for x in names}
+    code = langid.codewords(len(names))
+    share = lambda x, b: (counts[x][b] + langid.SMOOTH) / total[x]
+    weights, alpha = [], []
+    for bit in code.T:
+        sides = [[x for x, c in zip(names, bit) if c == v] for v in (1, 0)]
+        mean = [[sum(share(x, b) for x in side) / len(side) for b in range(langid.BINS)] for side in sides]
+        odds = [math.log(p / q) for p, q in zip(*mean)]
+        weights.append(odds)
+        alpha.append(sum((p - q) * o for p, q, o in zip(*mean, odds)))
+    alpha = [a / sum(alpha) for a in alpha]
+    got = {r["doc_id"]: r for r in langid.query(spark, sf_dir).collect()}
+    assert len(got) == len(docs)
+    for i, text, _ in docs:
+        r = got[i]
+        assert r["held_out"] == held(i)
+        if text is None or not any(c.isalpha() for c in text):
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        own = bins(text)
+        margins = [sum(w[b] for b in own) / len(own) if own else 0.0 for w in weights]
+        loss = [sum(a * math.log1p(math.exp(-langid.SHARPNESS * (1 if c else -1) * m)) for a, c, m in zip(alpha, row, margins)) for row in code]
+        best = min(range(len(names)), key=loss.__getitem__)
+        assert r["lang_pred"] == names[best], i
+        assert abs(r["score"] - 1 / sum(math.exp(loss[best] - x) for x in loss)) < 1e-4
