@@ -20,22 +20,20 @@ are not learned from; repeated rows count as often as they occur in training.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import combinations
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, documents
+from .common import byte_texts, documents, materialize
 
 GRAM = 3
 BINS = 1 << 16
 SMOOTH = 0.5
 SHARPNESS = 12.0  # margins are mean log-odds; this turns them into logits
 AMBIGUOUS = 0.1
-MAX_LANGUAGES = 4096
 UNKNOWN = "und"
 CHUNK = 1 << 20
 
@@ -70,26 +68,37 @@ def codewords(n: int) -> np.ndarray:
     rng = np.random.default_rng(n)
     while True:
         code = rng.integers(0, 2, (n, bits), dtype=np.int8)
-        far = min(int((code[a] != code[b]).sum()) for a, b in combinations(range(n), 2)) if n <= 200 else bits
-        if far >= bits // 4 and (code.sum(axis=0) % n != 0).all():
+        if least_distance(code) >= bits // 4 and (code.sum(axis=0) % n != 0).all():
             return code
         bits += 1
 
 
+def least_distance(code: np.ndarray, block: int = 512) -> int:
+    """The smallest number of bits in which two rows differ, a block of rows at a time."""
+    sign, least = 2.0 * code.astype(np.float32) - 1, code.shape[1]
+    for i in range(0, len(code), block):
+        same = sign[i:i + block] @ sign[i:].T  # bits - 2 * distance
+        same[np.arange(len(same)), np.arange(len(same))] = -code.shape[1]
+        least = min(least, int((code.shape[1] - same.max()) // 2))
+    return least
+
+
 class Model:
-    def __init__(self, languages: list[str], counts: np.ndarray):
-        """counts: languages x BINS."""
+    def __init__(self, languages: list[str], counts: Iterable[np.ndarray]):
+        """counts: BINS numbers of each language in turn; only sums per bit are held."""
         self.languages = languages
         self.code = codewords(len(languages))
-        share = (counts + SMOOTH) / (counts + SMOOTH).sum(axis=1, keepdims=True)
-        weights, alpha = [], []
-        for bit in self.code.T.astype(bool):  # every language weighs the same on its side
-            one, zero = share[bit].mean(axis=0), share[~bit].mean(axis=0)
-            odds = np.log(one / zero)
-            weights.append(odds)
-            alpha.append(float(((one - zero) * odds).sum()))
-        self.weights = np.array(weights, np.float32).T.copy() if weights else np.zeros((BINS, 0), np.float32)
-        self.alpha = np.array(alpha) / max(sum(alpha), 1e-12)
+        sides = np.zeros((2, self.code.shape[1], BINS))
+        for own, word in zip(counts, self.code):  # every language weighs the same on its side
+            share = (own + SMOOTH) / (own + SMOOTH).sum()
+            for value in (0, 1):
+                sides[value, word == value] += share
+        ones = self.code.sum(axis=0, dtype=np.int64)[:, None]
+        zero, one = sides[0] / np.maximum(len(languages) - ones, 1), sides[1] / np.maximum(ones, 1)
+        odds = np.log(one / zero)
+        alpha = ((one - zero) * odds).sum(axis=1)
+        self.weights = odds.T.astype(np.float32)
+        self.alpha = alpha / max(alpha.sum(), 1e-12)
 
     def margins(self, data: bytes) -> np.ndarray:
         bins = gram_bins(data)
@@ -113,9 +122,10 @@ class Model:
         return self.languages[best], float(1.0 / share.sum()), bool(second - loss[best] < AMBIGUOUS)
 
 
-def learn(docs: DataFrame, text: str = "text", lang: str = "lang", max_languages: int = MAX_LANGUAGES) -> Model:
-    """Counts from every row of ``docs`` with a language.  The driver receives at
-    most languages x BINS numbers; more than ``max_languages`` is an error."""
+def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
+    """Counts from every row of ``docs`` with a language.  They come to the driver one
+    language at a time; it holds 2 x bits x BINS numbers, and the bits grow with the
+    logarithm of the number of languages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
@@ -145,17 +155,17 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", max_languages
         return pa.RecordBatch.from_arrays([cat(names, pa.string()), cat(bins, pa.int32()), cat(values, pa.int64())], names=["label", "bin", "n"])
 
     labelled = docs.where(F.col(lang).isNotNull()).select(F.col(text).alias("body"), F.col(lang).alias("label"))
-    counts = labelled.mapInArrow(run, "label string, bin int, n long").groupBy("label", "bin").agg(F.sum("n").alias("n"))
-    per_language = counts.groupBy("label").agg(F.collect_list(F.struct("bin", "n")).alias("grams"))
-    languages, rows_of = [], []
-    for r in per_language.orderBy("label").toLocalIterator():
-        if len(languages) == max_languages:
-            raise ValueError(f"more than {max_languages} languages")
-        counted = np.zeros(BINS, np.float64)
-        counted[[g["bin"] for g in r["grams"]]] = [g["n"] for g in r["grams"]]
-        languages.append(r["label"])
-        rows_of.append(counted)
-    return Model(languages, np.array(rows_of) if rows_of else np.zeros((0, BINS)))
+    counts = materialize(labelled.mapInArrow(run, "label string, bin int, n long").groupBy("label", "bin").agg(F.sum("n").alias("n")))
+    languages = [r["label"] for r in counts.select("label").distinct().orderBy("label").collect()]
+    per_language = counts.groupBy("label").agg(F.collect_list(F.struct("bin", "n")).alias("grams"))  # at most BINS each
+
+    def rows_of() -> Iterator[np.ndarray]:
+        for r in per_language.orderBy("label").toLocalIterator():
+            counted = np.zeros(BINS, np.float64)
+            counted[[g["bin"] for g in r["grams"]]] = [g["n"] for g in r["grams"]]
+            yield counted
+
+    return Model(languages, rows_of())
 
 
 def predict(docs: DataFrame, model: Model, carry: list[str], text: str = "text") -> DataFrame:

@@ -95,3 +95,18 @@ def test_query_against_the_definition(spark, sf_dir):
         best = min(range(len(names)), key=loss.__getitem__)
         assert r["lang_pred"] == names[best], i
         assert abs(r["score"] - 1 / sum(math.exp(loss[best] - x) for x in loss)) < 1e-4
+
+
+def test_any_number_of_languages(spark):
+    """More than 200: distances are checked, and one learned language after the other is told apart."""
+    for n in (150, 201, 700):
+        code = langid.codewords(n)
+        want = min(int((code[i] != code[i + 1:]).sum(axis=1).min()) for i in range(n - 1))
+        assert langid.least_distance(code) == want >= code.shape[1] // 4
+    letters = "abcdefghijklmnopqrst"
+    words = {f"l{i:03d}": f"{letters[i % 20]}{letters[i // 20]}{letters[(7 * i) % 20]}x{letters[(3 * i + i // 20) % 20]}q" for i in range(230)}
+    docs = spark.createDataFrame([(i, f"{w} " * 30, x) for i, (x, w) in enumerate(words.items())], "doc_id long, text string, lang string")
+    model = langid.learn(docs)
+    assert model.languages == sorted(words) and langid.least_distance(model.code) >= model.code.shape[1] // 4
+    found = langid.predict(docs, model, ["lang"]).collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in found) >= 225
