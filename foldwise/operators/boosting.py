@@ -9,7 +9,7 @@ the best split of each open node.  A tree of depth d takes d passes, whatever th
 number of runs and rows; a tree grown leaf by leaf takes one for every split.
 
 The sum of the trees so far is stored with each row and run every ``KEEP`` steps; passes
-in between add the few trees since then.  Runs that differ only in their number of
+in between add the few trees since then, and only those of the runs that they are for.  Runs that differ only in their number of
 steps are one run: its stages are scored on the way.
 
 Differences from libraries of boosted trees: bins are the learned ones only, a row's or
@@ -35,7 +35,7 @@ from .fit import quantile_edges
 from .split_stats import TRAIN, VALID
 
 BINS = 32
-KEEP = 10
+KEEP = 4
 PIECE = 4096  # rows that a task works on at once
 
 
@@ -74,11 +74,15 @@ class Tree:
     def nodes(self, bins: np.ndarray) -> np.ndarray:
         """The leaf of every row of ``bins`` (rows x features)."""
         feature, cut, left, right = (np.array(x) for x in (self.feature, self.cut, self.left, self.right))
+        leaf = feature < 0
+        feature, cut = np.where(leaf, 0, feature), np.where(leaf, 255, cut)  # a leaf's rows go to its left: itself
+        here = np.arange(len(feature))
+        left, right = np.where(leaf, here, left), np.where(leaf, here, right)
+        step = np.stack([right, left], axis=1).ravel()
+        flat, first = np.ascontiguousarray(bins).ravel(), np.arange(len(bins)) * bins.shape[1]
         at = np.zeros(len(bins), np.int64)
         for _ in range(max(self.depth)):
-            inner = feature[at] >= 0
-            goes = bins[np.arange(len(bins)), np.maximum(feature[at], 0)] <= cut[at]
-            at = np.where(inner, np.where(goes, left[at], right[at]), at)
+            at = step[2 * at + (flat[first + feature[at]] <= cut[at])]
         return at
 
 
@@ -117,43 +121,61 @@ def columns_of(n: int, step: int, share: float, seed: int) -> np.ndarray:
     return np.sort(order[:max(1, round(share * n))])
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], n_runs: int, since: list[list[tuple[Tree, float]]]) -> Iterator[tuple]:
-    """(batch, bins, label, train, valid, row, scores of every run) with the trees that
-    are not stored yet added."""
+def _pieces(batches: Iterator[pa.RecordBatch], n_runs: int, since: list[list[tuple[Tree, float]]], wanted: Sequence[int]) -> Iterator[tuple]:
+    """(batch, bins, label, train, valid, row, scores of the ``wanted`` runs, one row each)
+    with the trees that are not stored yet added."""
     for batch in batches:
         for i in range(0, batch.num_rows, PIECE):
             part = batch.slice(i, PIECE)
             n = part.num_rows
-            bins = np.frombuffer(b"".join(part.column("b").to_pylist()), np.uint8).reshape(n, -1)
+            bins = _bytes(part.column("b")).reshape(n, -1)
             stored = part.column("s")
-            scores = np.zeros((n, n_runs)) if stored.null_count else np.frombuffer(b"".join(stored.to_pylist()), np.float64).reshape(n, n_runs).copy()
-            for m, trees in enumerate(since):
-                for tree, rate in trees:
-                    scores[:, m] += rate * np.array(tree.value)[tree.nodes(bins)]
+            scores = np.zeros((len(wanted), n)) if stored.null_count else _bytes(stored).view(np.float64).reshape(n, n_runs).T[list(wanted)]
+            for at, m in enumerate(wanted):
+                for tree, rate in since[m]:
+                    scores[at] += rate * np.array(tree.value)[tree.nodes(bins)]
             yield part, bins, part.column("y").to_numpy(), part.column(TRAIN).to_numpy(), part.column(VALID).to_numpy(), part.column("row").to_numpy(), scores
 
 
+def _bytes(column: pa.Array) -> np.ndarray:
+    """The bytes of a binary column without nulls, one value after the other."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int64 if pa.types.is_large_binary(column.type) else np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[at[0]:at[-1]]
+
+
 def histograms(rows: DataFrame, runs: Sequence[Run], trees: Sequence[Tree], wanted: dict[int, list[int]], since: list, step: int, n_bins: int, seed: int) -> dict:
     """{(run, node): array (feature, bin, [gradient, Hessian, rows])} of the wanted nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict = {}
-        for _, bins, y, train, _, row, scores in _pieces(batches, len(runs), since):
-            cell = np.arange(bins.shape[1]) * n_bins + bins  # (rows, features)
-            size = bins.shape[1] * n_bins
-            for m, nodes in wanted.items():
-                own = (train >> runs[m].split & 1).astype(bool) & drawn(row, step, runs[m].subsample, seed)
-                p = 1 / (1 + np.exp(-scores[:, m]))
-                at = trees[m].nodes(bins)
-                for node in nodes:
-                    rows_in = np.flatnonzero(own & (at == node))
-                    flat = cell[rows_in].ravel()
-                    sums = [np.bincount(flat, weights=np.repeat(w, bins.shape[1]), minlength=size)
-                            for w in (p[rows_in] - y[rows_in], p[rows_in] * (1 - p[rows_in]), np.ones(len(rows_in)))]
-                    own_sum = np.stack(sums, axis=1).ravel()
-                    total[m, node] = total[m, node] + own_sum if (m, node) in total else own_sum
-        for (m, node), x in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([m], pa.int32()), pa.array([node], pa.int32()), pa.array([x.tolist()], pa.list_(pa.float64()))], names=["run", "node", "sums"])
+        place = {m: np.full(len(trees[m].feature), -1) for m in wanted}  # of a node among the wanted ones
+        for m, nodes in wanted.items():
+            place[m][nodes] = np.arange(len(nodes))
+        draws = {}
+        for _, bins, y, train, _, row, scores in _pieces(batches, len(runs), since, list(wanted)):
+            by_feature = np.ascontiguousarray(bins.T)
+            draws.clear()
+            for (m, nodes), score in zip(wanted.items(), scores):
+                share = runs[m].subsample
+                if share not in draws:
+                    draws[share] = drawn(row, step, share, seed)
+                at = place[m][trees[m].nodes(bins)]
+                own = np.flatnonzero((train >> runs[m].split & 1).astype(bool) & draws[share] & (at >= 0))
+                if not len(own):
+                    continue
+                p = 1 / (1 + np.exp(-score[own]))
+                first, g, h = at[own] * n_bins, p - y[own], p * (1 - p)
+                size = len(nodes) * n_bins
+                if m not in total:
+                    total[m] = np.zeros((3, len(by_feature), size))
+                for f, cell in enumerate(first + np.take(by_feature, own, axis=1)):
+                    for to, weight in zip(total[m], (g, h, None)):
+                        to[f] += np.bincount(cell, weight, size)
+        for m, x in total.items():
+            for node, own in zip(wanted[m], x.reshape(*x.shape[:2], -1, n_bins).transpose(2, 1, 3, 0)):
+                if own[..., 2].any():
+                    yield pa.RecordBatch.from_arrays([pa.array([m], pa.int32()), pa.array([node], pa.int32()), pa.array([own.ravel().tolist()], pa.list_(pa.float64()))], names=["run", "node", "sums"])
 
     found = rows.mapInArrow(run, "run int, node int, sums array<double>").groupBy("run", "node").agg(Summarizer.sum(array_to_vector(F.col("sums"))).alias("sums"))
     return {(r["run"], r["node"]): r["sums"].toArray().reshape(-1, n_bins, 3) for r in found.collect()}
@@ -213,8 +235,8 @@ def stored(rows: DataFrame, n_runs: int, since: list) -> DataFrame:
     """The rows with the trees of ``since`` added to their stored scores."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, *_, scores in _pieces(batches, n_runs, since):
-            own = pa.array([s.tobytes() for s in scores], pa.binary())
+        for part, *_, scores in _pieces(batches, n_runs, since, range(n_runs)):
+            own = pa.array([s.tobytes() for s in scores.T], pa.binary())
             yield part.set_column(part.schema.get_field_index("s"), "s", own)
 
     return materialize(rows.mapInArrow(run, rows.schema))
@@ -226,9 +248,9 @@ def hits(rows: DataFrame, runs: Sequence[Run], since: list) -> list[tuple[int, i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(runs), 4), np.int64)
-        for _, _, y, train, valid, _, scores in _pieces(batches, len(runs), since):
+        for _, _, y, train, valid, _, scores in _pieces(batches, len(runs), since, range(len(runs))):
             for m, r in enumerate(runs):
-                right = (scores[:, m] > 0) == (y > 0)
+                right = (scores[m] > 0) == (y > 0)
                 t, v = ((mask >> r.split & 1).astype(bool) for mask in (train, valid))
                 total[m] += [t.sum(), (t & right).sum(), v.sum(), (v & right).sum()]
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(runs), dtype=np.int32)), *[pa.array(c) for c in total.T.copy()]], names=["run", *names])
@@ -249,6 +271,6 @@ def boost(rows: DataFrame, runs: Sequence[Run], stages: Sequence[int], n_feature
             since[m].append((tree, runs[m].learning_rate))
         if step + 1 in stages:
             scored[step + 1] = hits(rows, runs, since)
-        if len(since[0]) >= KEEP:
+        if len(since[0]) >= KEEP and step + 1 < max(stages):
             rows, since = stored(rows, len(runs), since), [[] for _ in runs]
     return trees, scored
