@@ -80,20 +80,29 @@ class Design:
             columns[c] = starts, many, np.nan_to_num(flat.to_numpy(zero_copy_only=False).astype(np.float64))
         y = batch.column(self.label).to_numpy(zero_copy_only=False).astype(np.float64)
         train, valid = (batch.column(c).to_numpy() for c in (TRAIN, VALID))
+        first = dict(zip(self.categories, len(NUMERIC) + np.cumsum([0, *map(len, self.categories.values())])))
+
+        def put(x: np.ndarray, c: str, own: np.ndarray) -> None:
+            if c in first:
+                hot = np.flatnonzero(own >= 0)
+                x[hot, first[c] + own[hot].astype(np.int64)] = 1.0
+            else:
+                x[:, NUMERIC.index(c)] = own
+
+        base = np.zeros((n, len(NUMERIC) + sum(map(len, self.categories.values()))))  # what all splits share
+        varied = [c for c, (_, many, _) in columns.items() if many.any()]
+        for c, (starts, _, values) in columns.items():
+            if c not in varied:
+                put(base, c, values[starts])
         for s in splits:
-            x = np.zeros((n, len(NUMERIC) + sum(map(len, self.categories.values()))))
-            at = lambda c: columns[c][2][columns[c][0] + np.where(columns[c][1], s, 0)]  # noqa: E731,B023
-            for i, c in enumerate(NUMERIC):
-                x[:, i] = at(c)
-                if c in self.scale:
-                    mean, deviation = self.scale[c][s]
-                    x[:, i] = (x[:, i] - mean) / deviation
-            first = len(NUMERIC)
-            for c, own in self.categories.items():
-                code = at(c).astype(np.int64)
-                hot = np.flatnonzero(code >= 0)
-                x[hot, first + code[hot]] = 1.0
-                first += len(own)
+            x = base.copy()
+            for c in varied:
+                starts, many, values = columns[c]
+                put(x, c, values[starts + np.where(many, s, 0)])
+            for c, scale in self.scale.items():
+                mean, deviation = scale[s]
+                i = NUMERIC.index(c)
+                x[:, i] = (x[:, i] - mean) / deviation
             yield s, x, y, (train >> s & 1).astype(bool), (valid >> s & 1).astype(bool)
 
 
