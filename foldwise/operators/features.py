@@ -170,7 +170,7 @@ def apply_features(df: DataFrame, p: FeatureParams, r: Roles = Roles(),
         "FareFilled": fare_f,
         "FareLog": X.log1p(fare_f),
         "FarePerPerson": X.ratio(fare_f, fam),
-        "FareBand": X.learned_bin(fare_f, F.col("_fe_edges")),
+        "FareBand": X.learned_bin(fare_f, F.col("_fe_edges"), most=r.fare_quantiles - 1),
         "EmbarkedFilled": F.coalesce(F.col(r.embarked), F.col("_pm_mode")),
         "Title": F.col(_TITLE),
         "CabinDeck": X.first_letter(r.cabin, X.CABIN_UNKNOWN),

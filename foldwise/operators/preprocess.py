@@ -44,7 +44,9 @@ def _src_title(r: Roles):
 def fit_src(train: DataFrame, r: Roles, fill_age_by_group: bool = True, encode_categorical: bool = True,
             scale_features: bool = True, extract_deck: bool = True) -> SrcParams:
     """E10 fit: every statistic from ``train`` only."""
-    d = X.nan_as_null(train, r.raw_features()).select("*", _src_title(r))
+    # every statistic below reads these columns: worked out once, not once per statistic
+    read = [c for c in dict.fromkeys([r.cls, r.sex, r.age, r.sibsp, r.parch, r.fare, r.embarked]) if c in train.columns]
+    d = materialize(X.nan_as_null(train, r.raw_features()).select(*read, _src_title(r)))
     age = None
     if fill_age_by_group:
         age = materialize(tiered_quantile(d, [["_title", r.sex, r.cls], []], r.age))
@@ -98,7 +100,7 @@ def transform_src(df: DataFrame, p: SrcParams, r: Roles) -> DataFrame:
     fam = X.family_size(r.sibsp, r.parch)
     t = t.withColumn("FamilySize", fam).withColumn("IsAlone", X.flag(fam == 1))
     t = join_params(t, p.fare_edges, [], "_fe_", ["edges"])
-    t = t.withColumn("FareBin", F.coalesce(X.learned_bin_code(r.fare, F.col("_fe_edges")),
+    t = t.withColumn("FareBin", F.coalesce(X.learned_bin_code(r.fare, F.col("_fe_edges"), FARE_BINS - 1),
                                            F.lit(X.SRC_FARE_BIN_DEFAULT)).cast("int")).drop("_fe_edges")
     t = t.withColumn("AgeBand", X.cut_right(r.age, X.SRC_AGE_CODE_EDGES, list(range(5)),
                                             X.SRC_AGE_CODE_DEFAULT).cast("int"))
