@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, sized_broadcast
 
 _PID = "_slice"
 
@@ -107,8 +107,8 @@ def neighbours(data: DataFrame, order_by: Sequence[str], group_by: Sequence[str]
 
     Rows are dealt to range slices and look at each other inside their slice (``lag`` and
     ``lead`` in one window).  Only the k rows at either border of a slice lack a
-    neighbour; these few meet by their places, across as many slices as it takes, so
-    neither a group nor its copies are ever in one task.
+    neighbour; these few are stored and meet by their places, across as many slices as it
+    takes, so neither a group nor its copies are ever in one task.
     """
     g = list(group_by)
     keys = g + list(order_by)
@@ -116,38 +116,41 @@ def neighbours(data: DataFrame, order_by: Sequence[str], group_by: Sequence[str]
     inside = Window.partitionBy(_PID, *g).orderBy(*order_by)
     sides = {"_before": F.lag, "_after": F.lead}
     seen = ranged.select("*", F.row_number().over(inside).alias("_row"),
-                         *[F.array(*[F.struct(step(F.lit(True), d).over(inside).alias("there"), step(value, d).over(inside).alias("v")) for d in range(1, k + 1)]).alias(s)
-                           for s, step in sides.items()])
+                         *[F.array(*[step(value, d).over(inside) for d in range(1, k + 1)]).alias(s) for s, step in sides.items()])
     sizes = ranged.groupBy(_PID, *g).agg(F.count(F.lit(1)).alias("_rows"))
     part = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
     before = part.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(F.col(_PID).alias("_o_slice"), *[F.col(c).alias(f"_o_{c}") for c in g], F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
+    starts = sizes.select(F.col(_PID).alias("_o_slice"), *[F.col(c).alias(f"_o_{c}") for c in g], "_rows", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
                           F.sum("_rows").over(part).alias("_all"))
+    starts = sized_broadcast(materialize(starts))  # so the rows are not shuffled again
     cond = [seen[_PID] == starts["_o_slice"]] + [seen[c].eqNullSafe(starts[f"_o_{c}"]) for c in g]
-    placed = materialize(seen.join(starts, cond).withColumn("_i", F.col("_start") + F.col("_row") - 1).drop("_o_slice", "_start", "_row", _PID, *[f"_o_{c}" for c in g]))
-    # places that a row has not met although its group has them
-    wanted = F.filter(F.concat(*[_lacking(s, sign, k) for s, sign in (("_before", -1), ("_after", 1))]), lambda x: (x["at"] >= 0) & (x["at"] < F.col("_all")))
-    whole = placed.withColumn("_wanted", wanted)
+    placed = materialize(seen.join(starts, cond).withColumn("_i", F.col("_start") + F.col("_row") - 1).drop("_o_slice", "_start", _PID, *[f"_o_{c}" for c in g]))
+    at_border = (F.col("_row") <= k) | (F.col("_row") > F.col("_rows") - k)
     own = [F.col(c) for c in data.columns]
-    done = whole.where(F.size("_wanted") == 0)
-    short = whole.where(F.size("_wanted") > 0)
-    asked = short.select(*[F.col(c).alias(f"_g_{c}") for c in g], F.col("_i").alias("_of"), F.explode("_wanted").alias("_w")).select("*", "_w.side", "_w.d", "_w.at").drop("_w")
+    done = placed.where(~at_border)
+    short = materialize(placed.where(at_border))  # at most 2k rows of a slice and group
+    # places that a row has not met although its group has them
+    wanted = F.filter(F.concat(*[_lacking(s, sign) for s, sign in (("_before", -1), ("_after", 1))]), lambda x: (x["at"] >= 0) & (x["at"] < F.col("_all")))
+    asked = short.withColumn("_wanted", wanted).select(*[F.col(c).alias(f"_g_{c}") for c in g], F.col("_i").alias("_of"), F.explode("_wanted").alias("_w")).select("*", "_w.side", "_w.d", "_w.at").drop("_w")
     there = short.select(*g, "_i", F.col(value).alias("_v"))  # what lies across a border is itself at one
     met = asked.join(there, [F.col("at") == F.col("_i"), *[F.col(f"_g_{c}").eqNullSafe(F.col(c)) for c in g]]).select("_of", "side", "d", "_v", *[f"_g_{c}" for c in g])
     found = met.groupBy("_of", *[f"_g_{c}" for c in g]).agg(F.collect_list(F.struct("side", "d", "_v")).alias("_found"))  # at most 2k
     patched = short.join(found, [F.col("_i") == F.col("_of"), *[short[c].eqNullSafe(F.col(f"_g_{c}")) for c in g]], "left")
-    values = lambda s: F.transform(F.col(s), lambda x: x["v"]).alias(s)
-
     none = F.array().cast(f"array<struct<side:string,d:int,_v:{data.schema[value].dataType.simpleString()}>>")
 
     def filled(s: str):
-        return F.transform(F.col(s), lambda x, j: F.when(x["there"], x["v"]).otherwise(
+        return F.transform(F.col(s), lambda x, j: F.when(_there(s, j + 1), x).otherwise(
             F.get(F.filter(F.coalesce("_found", none), lambda y: (y["side"] == s) & (y["d"] == j + 1)), F.lit(0))["_v"])).alias(s)
 
-    return done.select(*own, "_i", values("_before"), values("_after")).unionByName(patched.select(*[short[c] for c in data.columns], "_i", filled("_before"), filled("_after")))
+    return done.select(*own, "_i", "_before", "_after").unionByName(patched.select(*[short[c] for c in data.columns], "_i", filled("_before"), filled("_after")))
+
+
+def _there(side: str, d):
+    """Whether a row's own slice holds its neighbour at distance ``d``."""
+    return F.col("_row") > d if side == "_before" else F.col("_row") + d <= F.col("_rows")
 
 
-def _lacking(side: str, sign: int, k: int):
+def _lacking(side: str, sign: int):
     """(side, d, place) of the neighbours that a row has not met in its slice."""
-    at = F.transform(F.col(side), lambda x, j: F.struct(F.lit(side).alias("side"), (j + 1).alias("d"), (F.col("_i") + sign * (j + 1)).alias("at"), x["there"].alias("there")))
-    return F.filter(at, lambda x: x["there"].isNull())
+    at = F.transform(F.col(side), lambda x, j: F.struct(F.lit(side).alias("side"), (j + 1).alias("d"), (F.col("_i") + sign * (j + 1)).alias("at"), _there(side, j + 1).alias("there")))
+    return F.filter(at, lambda x: ~x["there"])

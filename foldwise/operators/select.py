@@ -80,7 +80,7 @@ def mi_of_cells(cells: DataFrame, label: str, classes: DataFrame, continuous: Se
     cont = cells.where(F.col("feature").isin(*continuous))
     counts = cont.groupBy("feature", "num").agg(F.sum("_c").alias("_n"))
     edges = inner_edges(quantiles_from_counts(counts, ["feature"], "num", [i / bins for i in range(bins + 1)]), bins, by=["feature"])
-    coded = cont.join(sized_broadcast(materialize(edges)), "feature").withColumn("value", learned_bin_code(F.col("num"), F.col("edges")).cast("double"))
+    coded = cont.join(sized_broadcast(materialize(edges)), "feature").withColumn("value", learned_bin_code(F.col("num"), F.col("edges"), bins - 1).cast("double"))
     other = cells.where(~F.col("feature").isin(*continuous)).withColumn("value", F.coalesce("num", F.lit(1.0))).withColumn("feature", F.concat_ws("_", "feature", "cat"))
     kept = ["feature", "value", label, "_c"]
     table = coded.select(*kept).unionByName(other.select(*kept)).groupBy("feature", "value", label).agg(F.sum("_c").alias("_c"))
@@ -162,25 +162,23 @@ def knn_mutual_information(long: DataFrame, key: str, label: str, by: Sequence[s
         r_kk = F.least(*[F.greatest(dist(-(kk - j)), dist(j)) for j in range(0, kk + 1)]) \
             if kk > 0 else F.lit(0.0)
         radius = F.when(F.col("_k") == kk, r_kk) if radius is None else radius.when(F.col("_k") == kk, r_kk)
-    p = p.withColumn("_r", radius)
+    p = materialize(p.select(*gl, "_ny", "_k", "value", "_i", radius.alias("_r")))  # read four times below
     # counts of points strictly inside (x - r, x + r); all points equal to x when r = 0
     pts = p.select(*g, x.alias("_v"), F.lit(1).alias("_t"), F.lit(1).cast("long").alias("_w"))
     zero = F.col("_r") == 0
     up = p.select(*g, (x + F.col("_r")).alias("_v"), F.when(zero, 2).otherwise(0).alias("_t"),
                   F.lit(0).cast("long").alias("_w"), F.col("_i").alias("_q"), F.lit(1).alias("_side"),
-                  F.col(label).alias("_lab"))
+                  F.col(label).alias("_lab"), "_ny", "_k")
     lo = p.select(*g, (x - F.col("_r")).alias("_v"), F.when(zero, 0).otherwise(2).alias("_t"),
                   F.lit(0).cast("long").alias("_w"), F.col("_i").alias("_q"), F.lit(-1).alias("_side"),
-                  F.col(label).alias("_lab"))
+                  F.col(label).alias("_lab"), "_ny", "_k")
     asked = up.unionByName(lo)
     # equal values are added up first, so that a value with very many copies (a
     # filled-in median) is one row of the running count
     places = pts.unionByName(asked.select(*g, "_v", "_t", "_w")).groupBy(*g, "_v", "_t").agg(F.sum("_w").alias("_w"))
     cum = materialize(running_sum(places, ["_v", "_t"], "_w", g, out="_c"))
     q = asked.drop("_w").join(cum, [*g, "_v", "_t"])
-    m = q.groupBy(*g, "_lab", "_q").agg(F.sum(F.col("_side") * F.col("_c")).alias("_m"))
-    m = m.withColumnRenamed("_lab", label).withColumnRenamed("_q", "_i")
-    per_point = p.join(m, [*gl, "_i"]).select(*g, label, "_ny", "_k", "_m")
+    per_point = q.groupBy(*g, "_lab", "_q", "_ny", "_k").agg(F.sum(F.col("_side") * F.col("_c")).alias("_m"))
     agg = per_point.groupBy(*g).agg(
         F.count(F.lit(1)).alias("_n"),
         F.avg(digamma_int(F.col("_k"))).alias("_pk"),

@@ -29,6 +29,13 @@ def clean_pax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(apply_features(raw, fp, PAX_ROLES, keep=["survived"]))
 
 
+def clean_train(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Raw and clean training rows, for queries that read the clean rows once: these are
+    worked out in that read and not stored."""
+    train, _ = pax_split(spark, sf_dir, pax(spark, sf_dir, materialized=True))
+    return train, apply_features(train, fit_features(train, PAX_ROLES), PAX_ROLES, keep=["survived"])
+
+
 def encoded_pax(spark: SparkSession, sf_dir: str):
     """Fit feature row + encoder on the training rows; return (clean rows of all
     rows with the label, encoder params, feature names)."""
@@ -284,9 +291,9 @@ SELECT feature, round(GREATEST({_psi_sql('big_n')} + pk - pn - pm, 0), 6) AS mi
 def q_knn_mi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """3-nearest-neighbour MI of the continuous clean features with the label."""
     from ..operators.select import knn_mutual_information
-    clean, _, _ = encoded_pax(spark, sf_dir)
-    train = clean.where(F.expr(TRAIN_PID))
-    long = train.select("PassengerId", "survived", F.explode(F.array(*[
+    _, clean = clean_train(spark, sf_dir)
+    narrow = materialize(clean.select("PassengerId", "survived", *CONTINUOUS))  # read twice below
+    long = narrow.select("PassengerId", "survived", F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in CONTINUOUS]))
         .alias("_s")).select("PassengerId", "survived", "_s.*")
     return round_doubles(knn_mutual_information(long, "PassengerId", "survived"))

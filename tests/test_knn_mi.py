@@ -63,3 +63,21 @@ def test_neighbours_across_slices(spark, slices):
         at = lambda j: values[j] if 0 <= j < len(values) else None  # noqa: E731,B023
         for i, r in enumerate(own):
             assert got[r[1]] == (i, [at(i - d) for d in range(1, 5)], [at(i + d) for d in range(1, 5)])
+
+
+def test_neighbours_store_only_the_borders(spark, monkeypatch):
+    """Rows inside a slice are final; what meets across slices is at most 2k rows of a slice and group, stored once."""
+    from foldwise.operators import ranks
+    stored = []
+
+    def counted(df):
+        out = keep(df)
+        stored.append(out.count())
+        return out
+
+    keep = ranks.materialize
+    monkeypatch.setattr(ranks, "materialize", counted)
+    df = spark.range(2000).selectExpr("id", "cast(id as double) v", "id % 2 g")
+    got = ranks.neighbours(df, ["v", "id"], ["g"], "v", 3, 4)
+    assert got.count() == 2000
+    assert min(n for n in stored if n > 8) <= 2 * 3 * 4 * 2
