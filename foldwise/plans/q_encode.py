@@ -172,8 +172,8 @@ def q_model_ready_width(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("e5_mutual_information", oracle=f"WITH {_MI_CTES}\nSELECT feature, round(mi, 6) AS mi FROM mi")
 def q_mutual_information(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E5a+E5b: mutual information of every encoded feature with the label."""
-    train = clean_pax(spark, sf_dir).where(F.expr(TRAIN_PID))
-    cells = value_cells(train, "survived", [*SCALED_COLUMNS, *PASSTHROUGH_COLUMNS], CATEGORICAL_COLUMNS)
+    train, clean = clean_train(spark, sf_dir)
+    cells = value_cells(clean, "survived", [*SCALED_COLUMNS, *PASSTHROUGH_COLUMNS], CATEGORICAL_COLUMNS)
     return round_doubles(mi_of_cells(cells, "survived", class_counts(train, "survived"), CONTINUOUS, MI_BINS).select("feature", "mi"))
 
 
