@@ -205,8 +205,8 @@ FROM clean c CROSS JOIN sel LEFT JOIN every e ON e.PassengerId = c.PassengerId A
 def q_model_ready_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E8+E6: the model-ready table (key, label at position 1, the 20 selected
     columns in column order), returned cell by cell."""
-    clean, enc, _ = encoded_pax(spark, sf_dir)
-    ranked = _feature_scores(spark, sf_dir).where(F.col("rank") <= SELECT_K)
+    clean, enc, every = encoded_pax(spark, sf_dir)
+    ranked = score_features(clean.where(F.expr(TRAIN_PID)), PAX_ROLES, every).where(F.col("rank") <= SELECT_K)
     names = [r["feature"] for r in ranked.orderBy("position").collect()]      # 20 rows
     ready = align_columns(encode_wide(clean, enc, keep=["PassengerId", "survived"]), names, keep=["PassengerId", "survived"])
     cells = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("value")) for c in names]))
