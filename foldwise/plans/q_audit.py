@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import audit as A
 from ..operators.features import CLEAN_COLUMNS, FeatureParams, apply_features, fit_features
 from ..operators.profile import total_nulls
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import sinks
 from ..sources.tables import table
 from .pax import PAX_ROLES, clean_rows_sql, fit_ctes, pax, pax_split
@@ -65,7 +65,7 @@ UNION ALL SELECT 'fare_edges', (SELECT COUNT(*) FROM edges), true"""
 
 
 def _clean_train_test(spark: SparkSession, sf_dir: str):
-    train, test = pax_split(spark, sf_dir)
+    train, test = pax_split(spark, sf_dir, pax(spark, sf_dir, materialized=True))
     fp = fit_features(train, PAX_ROLES)
     return train, test, apply_features(train, fp, PAX_ROLES), apply_features(test, fp, PAX_ROLES)
 
@@ -159,6 +159,7 @@ def q_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S4+S5: clean tables (partitioned parquet, CSV) and a report written and
     read back; rows per artifact."""
     train, test, ctrain, ctest = _clean_train_test(spark, sf_dir)
+    ctrain, ctest = materialize(ctrain), materialize(ctest)  # each is written and counted
     base = scratch_path(spark, "artifacts")
     sinks.write_table(ctrain, f"{base}/train_clean", "parquet")
     sinks.write_table(ctest, f"{base}/test_clean", "csv")
