@@ -43,7 +43,7 @@ def test_prefix_and_title_are_worked_out_once(spark, ticket, want):
     df = spark.createDataFrame([(ticket, "Doe, Mlle. X")], "t string, n string").repartition(1)
     out = df.select(X.ticket_prefix("t").alias("p"), X.title_b("n").alias("n"), X.title_b(F.lit(None).cast("string")).alias("none"))
     assert tuple(out.first()) == (want, "Miss", "Rare")
-    plan = df.select(X.ticket_prefix("t"), X.title_b("n"))._jdf.queryExecution().optimizedPlan().toString()
+    plan = df.select(X.ticket_prefix("t").alias("p"), X.title_b("n").alias("n"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract(") == 1 and plan.count("upper(") == 1
 
 
