@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .checksums import file_checksums  # noqa: F401  (S12)
+
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
     """Clean / model-ready tables; CSV with a header, no index column."""
@@ -91,10 +93,3 @@ def write_lines(df: DataFrame, column: str, path: str) -> None:
 def write_json_report(df: DataFrame, path: str) -> None:
     """A one-row report as JSON."""
     df.coalesce(1).write.mode("overwrite").json(path)
-
-
-def file_checksums(spark: SparkSession, pattern: str) -> DataFrame:
-    """``(file, bytes, sha256)`` of files, computed on the executors."""
-    files = spark.read.format("binaryFile").load(pattern)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"),
-                        F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))

@@ -1,6 +1,9 @@
 """Schema-checked CSV scans (S1) and sinks."""
 
+import gzip
+import hashlib
 import os
+import random
 import tempfile
 
 import pytest
@@ -52,3 +55,35 @@ def test_file_checksums(spark):
     r = sinks.file_checksums(spark, os.path.join(d, "*.txt")).first()
     assert r["file"] == "a.txt" and r["bytes"] == 3
     assert r["sha256"] == "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad"
+
+
+def test_large_files_are_hashed_in_pieces(spark):
+    """No row holds a large file: the whole-file source may not even read one here."""
+    d = tempfile.mkdtemp(prefix="fw-sum-", dir="/tmp")
+    noise = random.Random(5).randbytes(35_000)
+    bodies = {"noise": noise, "mark": b"\xef\xbb\xbf" + noise, "mark_ended": b"\xef\xbb\xbf" + noise + b"\n", "ended": noise + b"\n", "lines": b"\n" * 15_000,
+              "returns": b"a\r\n\r" * 4_000, "one_line": b"\0" * 25_000, "limit": noise[:5_000], "above": noise[:5_001], "small": b"abc",
+              "late_mark": noise[:9_999] + b"\n\xef\xbb\xbf" + noise, "two_marks": b"\xef\xbb\xbf" * 2 + noise}
+    for name, body in bodies.items():
+        os.makedirs(os.path.join(d, f"of {name}"))
+        with open(os.path.join(d, f"of {name}", f"{name}.parquet"), "wb") as f:
+            f.write(body)
+    conf = {"spark.sql.sources.binaryFile.maxLength": "5000", "spark.sql.files.maxPartitionBytes": "3000", "spark.sql.files.openCostInBytes": "0"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = sinks.file_checksums(spark, os.path.join(d, "*", "*.parquet"), whole=5_000, span=10_000, size=700).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sorted(tuple(r) for r in rows) == sorted((f"{n}.parquet", len(b), hashlib.sha256(b).hexdigest()) for n, b in bodies.items())
+
+
+def test_compressed_files_are_hashed_as_they_are(spark):
+    d = tempfile.mkdtemp(prefix="fw-sum-", dir="/tmp")
+    body = gzip.compress(b"abc\n" * 5_000 + random.Random(6).randbytes(5_000))
+    with open(os.path.join(d, "a.gz"), "wb") as f:
+        f.write(body)
+    r = sinks.file_checksums(spark, os.path.join(d, "*"), whole=1_000, span=2_000, size=300).first()
+    assert tuple(r) == ("a.gz", len(body), hashlib.sha256(body).hexdigest())
