@@ -2,9 +2,10 @@
 
 Every candidate is a (split, k) pair: a logistic regression on the split's training
 rows with its top-k features.  All of them are fitted together by the many-model
-Newton solver, in about ten passes over one stored row per input row, and scored in
-one more pass.  One number per candidate returns to the driver and becomes a small
-table that is ranked with window functions.
+solver over the packed rows: first, for every k, the model of all rows (one of which is the final
+one), then the candidates with these as their guides; scored in one more pass.  One
+number per candidate returns to the driver and becomes a small table that is ranked with
+window functions.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from ..operators import logistic
 from ..operators import metrics as M
 from ..operators.logistic import Fit
 from ..session import materialize
-from .splits import KEY, SPLIT, Prepared
+from .splits import KEY, SPLIT, Prepared, packed
 
 # The numbers of features tried by the search.
 K_GRID = [8, 12, 16, 20, 24, 28, 32, 36, 40, "all"]
@@ -53,8 +54,9 @@ def run_search(p: Prepared, k_grid=K_GRID, c: float = 1.0) -> SearchResult:
 
     cells = [(s, gi, k) for s in ids if s != 0 for gi, k in enumerate(k_grid)]
     fits = [fit_of(s, k) for s, _, k in cells]
-    weights = logistic.fit_many(p.rows, p.design, fits, c)
-    scores = logistic.accuracies(p.rows, p.design, fits, weights)
+    blocks, unpacked = packed(p)
+    weights, whole = logistic.fit_guided(blocks, unpacked, fits, [fit_of(0, k) for k in k_grid], [gi for _, gi, _ in cells], c)
+    scores = logistic.accuracies(blocks, unpacked, fits, weights)
     share = lambda hits, rows: hits / rows if rows else None
     results = [(s, gi, str(k), share(x["train_hits"], x["train_rows"]), share(x["valid_hits"], x["valid_rows"])) for (s, gi, k), x in zip(cells, scores)]
     cand = spark.createDataFrame(results, "split int, grid_pos int, k string, train_accuracy double, valid_accuracy double")
@@ -92,6 +94,4 @@ def run_search(p: Prepared, k_grid=K_GRID, c: float = 1.0) -> SearchResult:
     selection = M.rank_candidates(summary, "cv_accuracy_mean", "grid_pos").orderBy("rank", "k")
     best_k = selection.where("selected").first()["k"]
     k = "all" if best_k == "all" else int(best_k)
-    final = fit_of(0, k)
-    return SearchResult(cand, nested, selection.drop("grid_pos"), oof, best_k, [f[2] for f in _selected(ranking[0], k)],
-                        logistic.fit_many(p.rows, p.design, [final], c)[0])
+    return SearchResult(cand, nested, selection.drop("grid_pos"), oof, best_k, [f[2] for f in _selected(ranking[0], k)], whole[k_grid.index(k)])
