@@ -12,6 +12,10 @@ The sum of the trees so far is stored with each row and run every ``KEEP`` steps
 in between add the few trees since then, and only those of the runs that they are for.  Runs that differ only in their number of
 steps are one run: its stages are scored on the way.
 
+Rows with the same bins, label and masks are alike in every pass but for the draws of a
+tree.  :func:`merged` makes one of them, with the hashes of its keys, so a pass costs
+as many rows as there are different ones; a draw counts the hashes.
+
 Differences from libraries of boosted trees: bins are the learned ones only, a row's or
 column's draw follows from a hash (so reruns agree, on any cluster), and columns are
 drawn per tree.
@@ -24,6 +28,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -104,6 +109,53 @@ def binned_rows(df: DataFrame, features: Sequence[str], edges: Sequence[Sequence
                                  F.lit(None).cast("binary").alias("s")))
 
 
+def merged(rows: DataFrame) -> DataFrame:
+    """:func:`binned_rows` with equal rows made one, ``row`` the hashes of their keys one
+    after the other.  They meet by a range of (bins, label, masks, key), so many equal rows are
+    several tasks' work; a batch of a task merges what it holds."""
+    same = ["b", "y", TRAIN, VALID]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            parts = [_bytes(batch.column("b")).reshape(n, -1), *(batch.column(c).to_numpy()[:, None] for c in same[1:])]
+            new = np.any([(x[1:] != x[:-1]).any(axis=1) for x in parts], axis=0)
+            starts = np.concatenate([[0], np.flatnonzero(new) + 1])
+            keys = batch.column("row").to_numpy()
+            ends = pa.array(np.append(starts, n).astype(np.int32) * 8, pa.int32())
+            own = pa.Array.from_buffers(pa.binary(), len(starts), [None, ends.buffers()[1], pa.py_buffer(np.ascontiguousarray(keys).tobytes())])
+            kept = batch.take(pa.array(starts))
+            yield pa.RecordBatch.from_arrays([own, *[kept.column(c) for c in ("y", TRAIN, VALID, "b", "s")]], names=["row", "y", TRAIN, VALID, "b", "s"])
+
+    near = rows.select("row", "y", TRAIN, VALID, "b", "s").repartitionByRange(*same, "row").sortWithinPartitions(*same)
+    return materialize(near.mapInArrow(run, f"row binary, y double, {TRAIN} long, {VALID} long, b binary, s binary"))
+
+
+def _hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray | None]:
+    """The key hashes of the rows, and of merged rows where each one's start."""
+    if not (pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)):
+        return column.to_numpy(), None
+    sizes = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) // 8
+    return _bytes(column).view(np.int64), np.cumsum(sizes) - sizes
+
+
+def _number(column: pa.Array) -> np.ndarray | None:
+    """How many rows a merged one stands for; None for plain rows."""
+    hashes, starts = _hashes(column)
+    return None if starts is None else np.diff(np.append(starts, len(hashes)))
+
+
+def _weights(column: pa.Array, step: int, share: float, seed: int) -> np.ndarray:
+    """How many of each row are drawn (true or false for plain rows)."""
+    hashes, starts = _hashes(column)
+    if starts is not None and share >= 1:
+        return _number(column).astype(np.float64)
+    own = drawn(hashes, step, share, seed)
+    return own if starts is None else np.add.reduceat(own.astype(np.float64), starts)
+
+
 def drawn(row: np.ndarray, step: int, share: float, seed: int) -> np.ndarray:
     """Rows of a tree: a hash of (row, step, seed) below ``share``."""
     if share >= 1:
@@ -134,7 +186,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], n_runs: int, since: list[list[tup
             for at, m in enumerate(wanted):
                 for tree, rate in since[m]:
                     scores[at] += rate * np.array(tree.value)[tree.nodes(bins)]
-            yield part, bins, part.column("y").to_numpy(), part.column(TRAIN).to_numpy(), part.column(VALID).to_numpy(), part.column("row").to_numpy(), scores
+            yield part, bins, part.column("y").to_numpy(), part.column(TRAIN).to_numpy(), part.column(VALID).to_numpy(), part.column("row"), scores
 
 
 def _bytes(column: pa.Array) -> np.ndarray:
@@ -159,18 +211,21 @@ def histograms(rows: DataFrame, runs: Sequence[Run], trees: Sequence[Tree], want
             for (m, nodes), score in zip(wanted.items(), scores):
                 share = runs[m].subsample
                 if share not in draws:
-                    draws[share] = drawn(row, step, share, seed)
+                    draws[share] = _weights(row, step, share, seed)
                 at = place[m][trees[m].nodes(bins)]
-                own = np.flatnonzero((train >> runs[m].split & 1).astype(bool) & draws[share] & (at >= 0))
+                own = np.flatnonzero((train >> runs[m].split & 1).astype(bool) & (draws[share] > 0) & (at >= 0))
                 if not len(own):
                     continue
                 p = 1 / (1 + np.exp(-score[own]))
                 first, g, h = at[own] * n_bins, p - y[own], p * (1 - p)
+                many = None if draws[share].dtype == bool else draws[share][own]
+                if many is not None:
+                    g, h = g * many, h * many
                 size = len(nodes) * n_bins
                 if m not in total:
                     total[m] = np.zeros((3, len(by_feature), size))
                 for f, cell in enumerate(first + np.take(by_feature, own, axis=1)):
-                    for to, weight in zip(total[m], (g, h, None)):
+                    for to, weight in zip(total[m], (g, h, many)):
                         to[f] += np.bincount(cell, weight, size)
         for m, x in total.items():
             for node, own in zip(wanted[m], x.reshape(*x.shape[:2], -1, n_bins).transpose(2, 1, 3, 0)):
@@ -248,11 +303,12 @@ def hits(rows: DataFrame, runs: Sequence[Run], since: list) -> list[tuple[int, i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(runs), 4), np.int64)
-        for _, _, y, train, valid, _, scores in _pieces(batches, len(runs), since, range(len(runs))):
+        for _, _, y, train, valid, row, scores in _pieces(batches, len(runs), since, range(len(runs))):
+            many = _number(row)
             for m, r in enumerate(runs):
                 right = (scores[m] > 0) == (y > 0)
                 t, v = ((mask >> r.split & 1).astype(bool) for mask in (train, valid))
-                total[m] += [t.sum(), (t & right).sum(), v.sum(), (v & right).sum()]
+                total[m] += [x.sum() if many is None else many[x].sum() for x in (t, t & right, v, v & right)]
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(runs), dtype=np.int32)), *[pa.array(c) for c in total.T.copy()]], names=["run", *names])
 
     found = rows.mapInArrow(run, "run int, " + ", ".join(f"{n} long" for n in names)).groupBy("run").agg(*[F.sum(n).alias(n) for n in names]).collect()

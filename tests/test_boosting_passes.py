@@ -34,3 +34,19 @@ def test_a_pass_scores_only_the_runs_that_it_is_for(monkeypatch):
     (_, bins, *_, scores), = bo._pieces(iter([batch.slice(4)]), 3, [[(t, 0.5)] for t in trees], [1])
     assert seen == [trees[1]] and bins[:, 0].tolist() == list(range(4, n))
     assert scores.tolist() == [[10.0 + i + (0.5 if i <= 9 else 1.5) for i in range(4, n)]]
+
+
+def test_equal_rows_are_one_and_count_as_many(spark):
+    """Histograms and hits of merged rows are those of the rows, draws included."""
+    rng = np.random.default_rng(4)
+    rows = [(i, float(rng.random() < 0.4), int(rng.integers(0, 4)), 0, bytes(rng.integers(0, 3, 2).tolist()), None) for i in rng.integers(-2**62, 2**62, 600).tolist()]
+    df = spark.createDataFrame(rows, f"row long, y double, {TRAIN} long, {VALID} long, b binary, s binary").repartition(3)
+    one = bo.merged(df)
+    assert one.count() < 200
+    runs = [bo.Run(0, subsample=0.7), bo.Run(1)]
+    want, got = (bo.boost(x, runs, [5], 2, 3) for x in (df, one))
+    assert want[1] == got[1]
+    for x, y in zip(sum(want[0], []), sum(got[0], [])):
+        assert (x.feature, x.cut, x.left) == (y.feature, y.cut, y.left) and np.allclose(x.value, y.value)
+    a, b = (bo.histograms(x, runs, [bo.Tree(), bo.Tree()], {0: [0], 1: [0]}, [[], []], 3, 3, 42) for x in (df, one))
+    assert a.keys() == b.keys() and all(np.allclose(a[k], b[k]) for k in a)
